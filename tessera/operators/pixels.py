@@ -91,3 +91,21 @@ def quantise(df: DataFrame, cols: tuple[str, ...] = ("b", "g", "r")) -> DataFram
     """Float samples in 0..1 -> 8 bit (``*255``, half-even, saturated)."""
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, *[px.quantise8(c).alias(c) for c in cols])
+
+
+def assemble_rows(pixels: DataFrame, cols: tuple[str, ...] = ("b", "g", "r"),
+                  out: str = "pixels") -> DataFrame:
+    """Reassemble pixels into one sorted array per image row ``(image_id, y, out)``.
+
+    A group is one image row, so no group grows with the image height or the
+    corpus size; whole images are never gathered into one task.
+    """
+    packed = F.struct(F.col("x"), *[F.col(c) for c in cols])
+    return (pixels.groupBy("image_id", "y")
+            .agg(F.sort_array(F.collect_list(packed)).alias(out)))
+
+
+def explode_rows(rows: DataFrame, src: str = "pixels") -> DataFrame:
+    """Inverse of :func:`assemble_rows`."""
+    return rows.select("image_id", "y", F.explode(src).alias("p")).select(
+        "image_id", "y", "p.*")

@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.functions import pixel as px
+from tessera.functions.pixel import quantise8
 from tessera.operators import pixels as pxo
-from tessera.operators import stencil
+from tessera.operators import stencil, tone
 from tessera.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +37,150 @@ def q_gray(spark, sf_dir):
 @register("sobel")
 def q_sobel(spark, sf_dir):
     return stencil.sobel_x(pxo.gray(tb.pixels8(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------- helpers
+def r6(c):
+    """Round a float column to 6 decimals for cross-engine comparison.
+
+    ``round(x * 1e6) / 1e6`` rounds the binary value half away from zero, the
+    same in Spark and DuckDB; ``round(x, 6)`` does not (Spark rounds the
+    shortest decimal string), which matters for data with exact 7-decimal ties.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x * F.lit(1e6), 0) / F.lit(1e6) + F.lit(0.0)
+
+
+def _round_cols(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _with_8bit(df: DataFrame, cols=("b", "g", "r")) -> DataFrame:
+    """Float channels rounded to 6 decimals plus their 8-bit quantisation."""
+    return df.select(*[c for c in df.columns if c not in cols],
+                     *[r6(c).alias(c) for c in cols],
+                     *[quantise8(c).alias(f"{c}8") for c in cols])
+
+
+# Fixed parameters of the registered queries.
+EXPOSURE_ALPHA, EXPOSURE_BETA = 1.5, -20.0
+TONE_P1, TONE_P2 = 0.4, 1.2
+CONVOLVE_MASK = (
+    (1, 0, 0, 0, -1),
+    (2, 1, 0, -1, -2),
+    (3, 2, 1, -2, -3),
+    (2, 1, 0, -1, -2),
+    (0, 0, 1, 0, 0),
+)
+
+
+# ------------------------------------------------------------ pixels (A, B)
+@register("double_wrap")
+def q_double_wrap(spark, sf_dir):
+    return pxo.double_wrap(pxo.gray(tb.pixels8(spark, sf_dir)))
+
+
+@register("exposure")
+def q_exposure(spark, sf_dir):
+    return pxo.exposure(tb.pixels8(spark, sf_dir), EXPOSURE_ALPHA, EXPOSURE_BETA)
+
+
+@register("exposure_bracket")
+def q_exposure_bracket(spark, sf_dir):
+    return pxo.exposure_bracket(tb.pixels8(spark, sf_dir))
+
+
+@register("rgba_swizzle")
+def q_rgba_swizzle(spark, sf_dir):
+    return pxo.to_rgba(tb.pixels8(spark, sf_dir))
+
+
+@register("channel_split")
+def q_channel_split(spark, sf_dir):
+    return pxo.channel_split(tb.pixels8(spark, sf_dir))
+
+
+@register("sobel_reflect101")
+def q_sobel_reflect101(spark, sf_dir):
+    return stencil.sobel_x(pxo.gray(tb.pixels8(spark, sf_dir)), border="reflect101")
+
+
+@register("sobel_abs")
+def q_sobel_abs(spark, sf_dir):
+    grad = stencil.sobel_x(pxo.gray(tb.pixels8(spark, sf_dir)), clamp=False)
+    return pxo.abs_saturate(grad, "gray")
+
+
+@register("convolve")
+def q_convolve(spark, sf_dir):
+    return stencil.convolve(pxo.gray(tb.pixels8(spark, sf_dir)), CONVOLVE_MASK)
+
+
+@register("strip_assemble")
+def q_strip_assemble(spark, sf_dir):
+    rows = pxo.assemble_rows(tb.pixels8(spark, sf_dir))
+    text = F.array_join(F.transform(
+        "pixels", lambda s: F.concat_ws(":", s["b"], s["g"], s["r"])), " ")
+    return rows.select("image_id", "y", F.size("pixels").alias("n"), text.alias("strip"))
+
+
+# ------------------------------------------------------------- HDR (A, C)
+@register("hdr_scan")
+def q_hdr_scan(spark, sf_dir):
+    return _round_cols(tb.hdr(spark, sf_dir), ("b", "g", "r"))
+
+
+@register("luminance")
+def q_luminance(spark, sf_dir):
+    h = tb.hdr(spark, sf_dir)
+    return h.select("image_id", "y", "x", r6(px.luminance()).alias("lum"))
+
+
+@register("rgb_to_xyy")
+def q_rgb_to_xyy(spark, sf_dir):
+    return _round_cols(tone.rgb_to_xyy(tb.hdr(spark, sf_dir)), ("cx", "cy", "log_y"))
+
+
+@register("max_sample")
+def q_max_sample(spark, sf_dir):
+    return _round_cols(tone.max_sample(tb.hdr(spark, sf_dir)), ("max_sample",))
+
+
+@register("tone_log")
+def q_tone_log(spark, sf_dir):
+    return _with_8bit(tone.tone_log(tb.hdr(spark, sf_dir), TONE_P1, TONE_P2))
+
+
+@register("tone_adaptive")
+def q_tone_adaptive(spark, sf_dir):
+    return _with_8bit(tone.tone_adaptive(tb.hdr(spark, sf_dir), TONE_P1, TONE_P2))
+
+
+@register("tone_gamma")
+def q_tone_gamma(spark, sf_dir):
+    return _with_8bit(tone.tone_gamma(tb.hdr(spark, sf_dir), TONE_P1, TONE_P2))
+
+
+@register("tone_batch_params")
+def q_tone_batch_params(spark, sf_dir):
+    h = tb.hdr(spark, sf_dir)
+    # One parameter row per image present in the data: bias varies by image.
+    params = h.select("image_id").distinct().select(
+        "image_id", (F.lit(TONE_P1) + F.lit(0.1) * (F.col("image_id") % 3)).alias("p1"),
+        F.lit(TONE_P2).alias("p2"))
+    return _with_8bit(tone.tone_with_params(h, params, "A"))
+
+
+@register("lum_histogram")
+def q_lum_histogram(spark, sf_dir):
+    return tone.lum_histogram(tb.hdr(spark, sf_dir))
+
+
+@register("lum_cdf")
+def q_lum_cdf(spark, sf_dir):
+    return _round_cols(tone.lum_cdf(tone.lum_histogram(tb.hdr(spark, sf_dir))), ("cdf_norm",))
+
+
+@register("histeq_tonemap")
+def q_histeq_tonemap(spark, sf_dir):
+    return _with_8bit(tone.histeq_tonemap(tb.hdr(spark, sf_dir)))

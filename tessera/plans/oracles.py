@@ -55,3 +55,194 @@ select c.image_id, c.y, c.x,
 from gray8 c cross join sobel_mask m
 left join gray8 n on n.image_id=c.image_id and n.y=c.y+m.dy and n.x=c.x+m.dx
 group by c.image_id, c.y, c.x"""
+
+
+def R6(expr: str) -> str:
+    """Round to 6 decimals as ``round(x * 1e6) / 1e6`` (half away from zero on
+    the binary value, identical in both engines); adding 0.0 turns a negative
+    zero into zero."""
+    return f"(round(({expr}) * 1000000.0::double) / 1000000.0::double + 0.0)"
+
+
+def Q8(expr: str) -> str:
+    """Float in 0..1 -> 8 bit: x255, half-even, saturated, NULL -> 0."""
+    return f"cast(least(255, greatest(0, round_even(coalesce({expr}, 0)*255, 0))) as int)"
+
+
+def _tone_select(src: str, b: str, g: str, r: str) -> str:
+    return (f"select image_id, y, x, {R6(b)} b, {R6(g)} g, {R6(r)} r, "
+            f"{Q8(b)} b8, {Q8(g)} g8, {Q8(r)} r8 from {src}")
+
+
+def _exposure(v: str, alpha: str, beta: str) -> str:
+    raw = f"least(256.0, greatest(-1.0, {v}*{alpha} + {beta}))"
+    return f"least(255, greatest(0, cast(trunc({raw}) as int)))"
+
+
+def _mask_values(mask) -> str:
+    r = len(mask) // 2
+    rows = [f"({i - r},{j - r},{mask[i][j]})" for i in range(len(mask))
+            for j in range(len(mask))]
+    return "(values " + ",".join(rows) + ")"
+
+
+# Same fixed parameters as the catalogue (kept literal here on purpose: the
+# oracle is an independent statement of the query).
+CONVOLVE_MASK = (
+    (1, 0, 0, 0, -1),
+    (2, 1, 0, -1, -2),
+    (3, 2, 1, -2, -3),
+    (2, 1, 0, -1, -2),
+    (0, 0, 1, 0, 0),
+)
+
+ORACLES["double_wrap"] = _with(PIXELS8, GRAY) + \
+    "select image_id, y, x, (2*gray) % 256 gray from gray8"
+
+ORACLES["exposure"] = _with(PIXELS8) + (
+    "select image_id, y, x, "
+    + ", ".join(f"{_exposure(c, '1.5::double', '-20.0::double')} {c}" for c in "bgr")
+    + " from pixels8")
+
+ORACLES["exposure_bracket"] = _with(PIXELS8) + (
+    "select e.exposure_id, p.image_id, p.y, p.x, "
+    + ", ".join(f"{_exposure('p.' + c, 'e.alpha', 'e.beta')} {c}" for c in "bgr")
+    + " from pixels8 p cross join (values (0, 1.0::double, 25.0::double),"
+      " (1, 1.0::double, -25.0::double), (2, 1.0::double, 50.0::double),"
+      " (3, 1.0::double, -10.0::double)) e(exposure_id, alpha, beta)")
+
+ORACLES["rgba_swizzle"] = _with(PIXELS8) + \
+    "select image_id, y, x, r, g, b, 255 a from pixels8"
+
+ORACLES["channel_split"] = _with(PIXELS8) + """
+select image_id, y, x, 0 channel, b value from pixels8
+union all select image_id, y, x, 1, g from pixels8
+union all select image_id, y, x, 2, r from pixels8"""
+
+DIMS = "dims as (select image_id, max(y) + 1 h, max(x) + 1 w from gray8 group by image_id)"
+
+ORACLES["sobel_reflect101"] = _with(PIXELS8, GRAY, SOBEL_MASK, DIMS) + """
+select c.image_id, c.y, c.x, cast(least(255, greatest(0, sum(n.gray*m.w))) as int) gray
+from gray8 c join dims d on d.image_id = c.image_id cross join sobel_mask m
+join gray8 n on n.image_id = c.image_id
+ and n.y = case when c.y+m.dy < 0 then -(c.y+m.dy)
+                when c.y+m.dy > d.h-1 then 2*(d.h-1)-(c.y+m.dy) else c.y+m.dy end
+ and n.x = case when c.x+m.dx < 0 then -(c.x+m.dx)
+                when c.x+m.dx > d.w-1 then 2*(d.w-1)-(c.x+m.dx) else c.x+m.dx end
+group by c.image_id, c.y, c.x"""
+
+ORACLES["sobel_abs"] = _with(PIXELS8, GRAY, SOBEL_MASK) + """
+select c.image_id, c.y, c.x, cast(least(255, abs(coalesce(sum(n.gray*m.w), 0))) as int) gray
+from gray8 c cross join sobel_mask m
+left join gray8 n on n.image_id=c.image_id and n.y=c.y+m.dy and n.x=c.x+m.dx
+group by c.image_id, c.y, c.x"""
+
+ORACLES["convolve"] = _with(PIXELS8, GRAY) + f"""
+select c.image_id, c.y, c.x,
+       cast(least(255, greatest(0, coalesce(sum(n.gray*m.w), 0))) as int) gray
+from gray8 c cross join {_mask_values(CONVOLVE_MASK)} m(dy, dx, w)
+left join gray8 n on n.image_id=c.image_id and n.y=c.y+m.dy and n.x=c.x+m.dx
+group by c.image_id, c.y, c.x"""
+
+ORACLES["strip_assemble"] = _with(PIXELS8) + """
+select image_id, y, cast(count(*) as int) n,
+       string_agg(concat_ws(':', b, g, r), ' ' order by x) strip
+from pixels8 group by image_id, y"""
+
+# ------------------------------------------------------------------- HDR
+ORACLES["hdr_scan"] = _with(HDR) + \
+    f"select image_id, y, x, {R6('b')} b, {R6('g')} g, {R6('r')} r from hdr"
+
+ORACLES["luminance"] = _with(HDR) + (
+    "select image_id, y, x, "
+    + R6("b*0.0722::double + g*0.7152::double + r*0.2126::double") + " lum from hdr")
+
+XYY = """xyz as (
+  select image_id, y, x,
+         r*0.4124::double + g*0.3576::double + b*0.1805::double xx,
+         r*0.2126::double + g*0.7152::double + b*0.0722::double yy,
+         r*0.0193::double + g*0.1192::double + b*0.9505::double zz
+  from hdr),
+xyy as (
+  select image_id, y, x, xx/nullif(xx+yy+zz, 0) cx, yy/nullif(xx+yy+zz, 0) cy,
+         log10(0.0001::double + yy) log_y
+  from xyz)"""
+
+BINNED = """rng as (select image_id, min(log_y) lo, max(log_y) hi from xyy group by image_id),
+binned as (
+  select v.*, coalesce(least(1023, cast(floor(1024*(v.log_y - r.lo)/nullif(r.hi - r.lo, 0)) as int)), 0) bin
+  from xyy v join rng r on r.image_id = v.image_id),
+hist as (select image_id, bin, count(*) n from binned group by image_id, bin)"""
+
+MAXS = """mx as (select image_id, greatest(0, max(greatest(b, g, r))) m from hdr group by image_id)"""
+
+ORACLES["rgb_to_xyy"] = _with(HDR, XYY) + \
+    f"select image_id, y, x, {R6('cx')} cx, {R6('cy')} cy, {R6('log_y')} log_y from xyy"
+
+ORACLES["max_sample"] = _with(HDR, MAXS) + f"select image_id, {R6('m')} max_sample from mx"
+
+
+def _log_map(v: str, m: str, q: str, k: str) -> str:
+    return f"log10(1 + {q}*{v}) / nullif(log10(1 + {k}*{m}), 0)"
+
+
+def _adaptive_map(v: str, m: str, q: str, k: str) -> str:
+    expo = f"(ln({q}) / ln(0.5::double))"
+    den = f"100.0::double*log10(1 + {m})*pow(ln(2 + 8*({v}/nullif({m}, 0))), {expo})"
+    return f"{k}*ln(1 + {v}) / nullif({den}, 0)"
+
+
+def _gamma_map(v: str, f: str, gm: str) -> str:
+    return f"pow({v}*pow(2.0::double, {f}), 1.0::double/{gm})"
+
+
+_Q, _K = "0.4::double", "1.2::double"
+
+ORACLES["tone_log"] = _with(HDR, MAXS) + _tone_select(
+    "hdr join mx using (image_id)",
+    *[_log_map(c, "m", _Q, _K) for c in "bgr"])
+
+ORACLES["tone_adaptive"] = _with(HDR, MAXS) + _tone_select(
+    "hdr join mx using (image_id)",
+    *[_adaptive_map(c, "m", _Q, _K) for c in "bgr"])
+
+ORACLES["tone_gamma"] = _with(HDR) + _tone_select(
+    "hdr", *[_gamma_map(c, _Q, _K) for c in "bgr"])
+
+PARAMS = """params as (
+  select distinct image_id, 0.4::double + 0.1::double*(image_id % 3) p1, 1.2::double p2
+  from hdr)"""
+
+ORACLES["tone_batch_params"] = _with(HDR, MAXS, PARAMS) + _tone_select(
+    "hdr join mx using (image_id) join params using (image_id)",
+    *[_adaptive_map(c, "m", "p1", "p2") for c in "bgr"])
+
+ORACLES["lum_histogram"] = _with(HDR, XYY, BINNED) + "select image_id, bin, n from hist"
+
+CDF = """cdf as (
+  select image_id, bin, n,
+         cast(sum(n) over (partition by image_id order by bin
+                           rows between unbounded preceding and current row) as bigint) cdf,
+         sum(n) over (partition by image_id) total
+  from hist)"""
+
+ORACLES["lum_cdf"] = _with(HDR, XYY, BINNED, CDF) + \
+    f"select image_id, bin, n, cdf, {R6('cdf / nullif(total, 0)')} cdf_norm from cdf"
+
+HISTEQ = """mapped as (
+  select b.image_id, b.y, b.x, b.bin, b.cx, b.cy, c.cdf / nullif(c.total, 0) y_new
+  from binned b join cdf c on c.image_id = b.image_id and c.bin = b.bin),
+back as (
+  select image_id, y, x, bin, y_new, cx*(y_new/nullif(cy, 0)) x_new,
+         (1 - cx - cy)*(y_new/nullif(cy, 0)) z_new
+  from mapped),
+rgb as (
+  select image_id, y, x, bin,
+         x_new*3.2406::double + y_new*(-1.5372)::double + z_new*(-0.4986)::double r,
+         x_new*(-0.9689)::double + y_new*1.8758::double + z_new*0.0415::double g,
+         x_new*0.0557::double + y_new*(-0.2040)::double + z_new*1.0570::double b
+  from back)"""
+
+ORACLES["histeq_tonemap"] = _with(HDR, XYY, BINNED, CDF, HISTEQ) + (
+    f"select image_id, y, x, bin, {R6('b')} b, {R6('g')} g, {R6('r')} r, "
+     f"{Q8('b')} b8, {Q8('g')} g8, {Q8('r')} r8 from rgb")
