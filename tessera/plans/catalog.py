@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
 from tessera.functions.pixel import quantise8
+from tessera.operators import cluster as cl
+from tessera.operators import matrix as mx
 from tessera.operators import pixels as pxo
 from tessera.operators import stencil, tone
+from tessera.operators import timings as tm
 from tessera.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +68,9 @@ def _with_8bit(df: DataFrame, cols=("b", "g", "r")) -> DataFrame:
 # Fixed parameters of the registered queries.
 EXPOSURE_ALPHA, EXPOSURE_BETA = 1.5, -20.0
 TONE_P1, TONE_P2 = 0.4, 1.2
+ROW_BLOCKS = 7
+CLUSTER_K = 8
+LLOYD_ITERATIONS = 3
 CONVOLVE_MASK = (
     (1, 0, 0, 0, -1),
     (2, 1, 0, -1, -2),
@@ -184,3 +190,130 @@ def q_lum_cdf(spark, sf_dir):
 @register("histeq_tonemap")
 def q_histeq_tonemap(spark, sf_dir):
     return _with_8bit(tone.histeq_tonemap(tb.hdr(spark, sf_dir)))
+
+
+# ---------------------------------------------------------- linear algebra (D)
+def _gram_cells(df: DataFrame) -> DataFrame:
+    return _round_cols(df.select(F.col("i").cast("int"), F.col("j").cast("int"), "v"), ("v",))
+
+
+@register("vector_add")
+def q_vector_add(spark, sf_dir):
+    a, b = tb.vectors(spark, sf_dir)
+    return _round_cols(mx.vector_add(a, b), ("v",))
+
+
+@register("matmul_coo")
+def q_matmul_coo(spark, sf_dir):
+    e = tb.embedding_cells(spark, sf_dir)
+    return _gram_cells(mx.matmul_coo(mx.transpose(e), e))
+
+
+@register("matmul_block")
+def q_matmul_block(spark, sf_dir):
+    e = tb.embedding_cells(spark, sf_dir)
+    return _gram_cells(mx.matmul_block(mx.transpose(e), e, bs=128))
+
+
+@register("matmul_gram")
+def q_matmul_gram(spark, sf_dir):
+    rows = tb.read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("i"), F.col("embedding").cast("array<double>").alias("vec"))
+    return _gram_cells(mx.gram(rows))
+
+
+@register("matmul_rect")
+def q_matmul_rect(spark, sf_dir):
+    emb = tb.read_table(spark, sf_dir, "embeddings")
+    # Right factor: the label-centroid matrix (dimension x label), derived
+    # from the same table by one aggregation; its size is checked before it
+    # is broadcast.
+    centroids = (emb.select("label", F.posexplode("embedding").alias("k", "x"))
+                 .groupBy("k", "label").agg(F.avg(F.col("x").cast("double")).alias("v"))
+                 .select(F.col("k").cast("long").alias("i"),
+                         F.col("label").cast("long").alias("j"), "v"))
+    prod = mx.matmul_small_right(tb.embedding_cells(spark, sf_dir), centroids)
+    return _round_cols(prod.select(F.col("i").cast("long"), F.col("j").cast("int"), "v"), ("v",))
+
+
+@register("matrix_diff")
+def q_matrix_diff(spark, sf_dir):
+    # Truncating gray (GPU kernel) against half-even gray (library
+    # conversion), compared cell by cell.
+    p = tb.pixels8(spark, sf_dir)
+    a = pxo.gray(p, "floor")
+    b = pxo.gray(p, "half_even")
+    return mx.matrix_diff(a, b, keys=("image_id", "y", "x"), value="gray")
+
+
+@register("matrix_diff_summary")
+def q_matrix_diff_summary(spark, sf_dir):
+    p = tb.pixels8(spark, sf_dir)
+    return mx.matrix_diff_summary(pxo.gray(p, "floor"), pxo.gray(p, "half_even"),
+                                  keys=("image_id", "y", "x"), value="gray").select(
+        "n_cells", "n_diff", F.col("max_abs_diff").cast("int").alias("max_abs_diff"))
+
+
+@register("row_blocks")
+def q_row_blocks(spark, sf_dir):
+    ev = tb.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("i"))
+    return mx.row_blocks(ev, ROW_BLOCKS)
+
+
+@register("row_block_extents")
+def q_row_block_extents(spark, sf_dir):
+    ev = tb.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("i"))
+    return mx.block_extents(mx.row_blocks(ev, ROW_BLOCKS))
+
+
+# ---------------------------------------------------------------- clusters (C)
+@register("value_histogram")
+def q_value_histogram(spark, sf_dir):
+    return tb.values(spark, sf_dir)
+
+
+def _grid_assigned(spark, sf_dir):
+    vals = tb.values(spark, sf_dir)
+    return cl.nearest_centre(vals, cl.grid_centres(spark, vals, CLUSTER_K))
+
+
+@register("nearest_centre")
+def q_nearest_centre(spark, sf_dir):
+    return _grid_assigned(spark, sf_dir)
+
+
+@register("cluster_weighted_mean")
+def q_cluster_weighted_mean(spark, sf_dir):
+    return _round_cols(cl.cluster_weighted_mean(_grid_assigned(spark, sf_dir)), ("mean",))
+
+
+@register("lloyd_centres")
+def q_lloyd_centres(spark, sf_dir):
+    vals = tb.values(spark, sf_dir)
+    cents = cl.lloyd(vals, cl.grid_centres(spark, vals, CLUSTER_K), LLOYD_ITERATIONS)
+    return _round_cols(cents, ("c",))
+
+
+@register("kmeans_tonemap")
+def q_kmeans_tonemap(spark, sf_dir):
+    return _with_8bit(cl.kmeans_tonemap(tb.hdr(spark, sf_dir), seed=42))
+
+
+# ----------------------------------------------------------------- timings (E)
+def _timings(spark, sf_dir):
+    return tm.number_runs(tb.timing_runs(spark, sf_dir), "event_id")
+
+
+@register("timing_mean")
+def q_timing_mean(spark, sf_dir):
+    return _round_cols(tm.timing_mean(_timings(spark, sf_dir)), ("mean_gpu", "mean_cpu"))
+
+
+@register("timing_speedup")
+def q_timing_speedup(spark, sf_dir):
+    return _round_cols(tm.timing_speedup(_timings(spark, sf_dir)), ("speedup",))
+
+
+@register("timing_variant_ratio")
+def q_timing_variant_ratio(spark, sf_dir):
+    return _round_cols(tm.timing_variant_ratio(_timings(spark, sf_dir), "naive"), ("ratio",))

@@ -246,3 +246,116 @@ rgb as (
 ORACLES["histeq_tonemap"] = _with(HDR, XYY, BINNED, CDF, HISTEQ) + (
     f"select image_id, y, x, bin, {R6('b')} b, {R6('g')} g, {R6('r')} r, "
      f"{Q8('b')} b8, {Q8('g')} g8, {Q8('r')} r8 from rgb")
+
+# --------------------------------------------------------- linear algebra
+CELLS = """cells as (
+  select vec_id i, cast(unnest(range(len(embedding))) as int) j,
+         cast(unnest(embedding) as double) v
+  from embeddings)"""
+
+GRAM = """gram as (
+  select a.j i, b.j j, sum(a.v*b.v) v from cells a join cells b on a.i = b.i
+  group by a.j, b.j)"""
+
+ORACLES["vector_add"] = \
+    f"select event_id i, {R6('value + user_id*0.5::double')} v from events"
+
+ORACLES["matmul_coo"] = _with(CELLS, GRAM) + f"select i, j, {R6('v')} v from gram"
+ORACLES["matmul_block"] = ORACLES["matmul_coo"]
+ORACLES["matmul_gram"] = ORACLES["matmul_coo"]
+
+CENTROIDS = """cent as (
+  select k, label, avg(x) v
+  from (select label, cast(unnest(range(len(embedding))) as int) k,
+               cast(unnest(embedding) as double) x from embeddings)
+  group by k, label)"""
+
+ORACLES["matmul_rect"] = _with(CELLS, CENTROIDS) + f"""
+select c.i, cast(t.label as int) j, {R6('sum(c.v*t.v)')} v
+from cells c join cent t on t.k = c.j
+group by c.i, t.label"""
+
+GRAY_PAIR = """ga as (
+  select image_id, y, x,
+         cast(floor(r*0.299::double + g*0.587::double + b*0.114::double) as int) gray
+  from pixels8),
+gb as (
+  select image_id, y, x,
+         cast(round_even(r*0.299::double + g*0.587::double + b*0.114::double, 0) as int) gray
+  from pixels8),
+pair as (
+  select image_id, y, x, ga.gray a, gb.gray b
+  from ga full join gb using (image_id, y, x))"""
+
+ORACLES["matrix_diff"] = _with(PIXELS8, GRAY_PAIR) + \
+    "select image_id, y, x, a, b from pair where a is distinct from b"
+
+ORACLES["matrix_diff_summary"] = _with(PIXELS8, GRAY_PAIR) + """
+select count(*) n_cells, count(case when a is distinct from b then 1 end) n_diff,
+       cast(max(abs(a - b)) as int) max_abs_diff
+from pair"""
+
+BLOCKS = """blocks as (
+  select event_id i, cast(ntile(7) over (order by event_id) - 1 as int) block from events)"""
+
+ORACLES["row_blocks"] = _with(BLOCKS) + "select i, block from blocks"
+ORACLES["row_block_extents"] = _with(BLOCKS) + \
+    "select block, min(i) first_row, count(*) n_rows from blocks group by block"
+
+# ---------------------------------------------------------------- clusters
+VALS = "vals as (select value v, count(*) n from events group by value)"
+
+C0 = """c0 as (
+  select cast(r.range as int) cid,
+         s.lo + (s.hi - s.lo)*(cast(r.range as int) + 0.5::double)/8 c
+  from range(8) r, (select min(v) lo, max(v) hi from vals) s)"""
+
+
+def _assign(name: str, centres: str) -> str:
+    return f"""{name} as (
+  select v, n, cid from (
+    select v, n, cid, row_number() over (partition by v order by abs(v - c), cid) rn
+    from vals, {centres}) t
+  where rn = 1)"""
+
+
+def _step(k: int) -> str:
+    return ",\n".join([
+        _assign(f"a{k}", f"c{k - 1}"),
+        f"m{k} as (select cid, sum(n*v)/sum(n) c from a{k} group by cid)",
+        f"c{k} as (select p.cid, coalesce(m.c, p.c) c from c{k - 1} p "
+        f"left join m{k} m on m.cid = p.cid)",
+    ])
+
+
+ORACLES["value_histogram"] = _with(VALS) + "select v, n from vals"
+ORACLES["nearest_centre"] = _with(VALS, C0, _assign("a1", "c0")) + "select v, n, cid from a1"
+ORACLES["cluster_weighted_mean"] = _with(VALS, C0, _assign("a1", "c0")) + \
+    f"select cid, {R6('sum(n*n*v)/sum(n*n)')} mean from a1 group by cid"
+ORACLES["lloyd_centres"] = _with(VALS, C0, _step(1), _step(2), _step(3)) + \
+    f"select cid, {R6('c')} c from c3"
+
+# ----------------------------------------------------------------- timings
+TIMINGS = """timings as (
+  select event_type workload,
+         case user_id%3 when 0 then 'naive' when 1 then 'const' else 'shared' end variant,
+         cast(row_number() over (partition by event_type, user_id%3 order by event_id) as int) run_no,
+         value/cast(1000 as double) gpu,
+         value*(2+event_id%5)/cast(1000 as double) cpu
+  from events)"""
+
+MEANS = """means as (
+  select workload, variant, count(*) n_runs, avg(gpu) mean_gpu, avg(cpu) mean_cpu
+  from timings where run_no <= 20 group by workload, variant)"""
+
+ORACLES["timing_mean"] = _with(TIMINGS, MEANS) + \
+    f"select workload, variant, n_runs, {R6('mean_gpu')} mean_gpu, {R6('mean_cpu')} mean_cpu from means"
+
+ORACLES["timing_speedup"] = _with(TIMINGS) + f"""
+select workload, variant, {R6('avg(cpu/nullif(gpu, 0))')} speedup
+from timings where run_no <= 20 group by workload, variant"""
+
+ORACLES["timing_variant_ratio"] = _with(TIMINGS, MEANS) + f"""
+select m.workload, m.variant, {R6('b.mean_gpu / nullif(m.mean_gpu, 0)')} ratio
+from means m join (select workload, mean_gpu from means where variant = 'naive') b
+  on b.workload = m.workload"""
