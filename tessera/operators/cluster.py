@@ -3,8 +3,8 @@
 Data stays distributed: values are first reduced to a histogram ``(v, n)``
 (partial + final aggregation), the model is at most ``k`` centres on the
 driver (as in any k-means), and assigning a value to its nearest centre is a
-balanced CASE-WHEN tree over the sorted centres, evaluated inside codegen
-with ``log2(k)`` comparisons per row, with no join and no shuffle.
+binary search over the sorted centres (``log2(k)`` comparisons per row,
+JVM-side, with no join and no shuffle).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
+from tessera.plans.joins import materialise
 
 # Fixed values of the k-means tone map: clusters and Lloyd iterations.
 KMEANS_TONE_K = 256
@@ -47,27 +48,51 @@ def _sorted_unique(centres: list[tuple[int, float]]) -> list[tuple[float, int]]:
     return sorted((c, cid) for c, cid in best.items())
 
 
-def nearest_expr(v: Column, centres: list[tuple[int, float]], leaf=None) -> Column:
-    """Column choosing the nearest centre for ``v``; ties go to the smaller id.
+def _dlit(x: float) -> str:
+    """Exact SQL double literal for a finite float."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
 
-    ``centres`` is ``[(cid, centre)]``.  ``leaf(cid)`` gives the value returned
-    for a chosen centre (default: the id itself).
+
+def assign_nearest(df: DataFrame, value: str, centres: list[tuple[int, float]],
+                   out: str = "cid", leaf_values: dict[int, float] | None = None) -> DataFrame:
+    """Add ``out``: the id of the centre nearest to ``value`` (ties: smaller id),
+    or ``leaf_values[id]`` when given.
+
+    The sorted centres are the splits of a JVM binary search (MLlib's
+    ``Bucketizer``); the nearest centre is one of the two bracketing the
+    value, picked by ``least(struct(distance, id))``.  The generated code does
+    not depend on the centre values, so iterating with new centres reuses it.
     """
+    from pyspark.ml.feature import Bucketizer
+
     pts = _sorted_unique(centres)
     if not pts:
         raise ValueError("no centres")
-    leaf = leaf or (lambda cid: F.lit(cid))
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return leaf(pts[lo][1])
-        mid = (lo + hi) // 2
-        (a, ca), (b, cb) = pts[mid], pts[mid + 1]
-        da, db = F.abs(v - F.lit(a)), F.abs(v - F.lit(b))
-        return (F.when(da < db, node(lo, mid)).when(da > db, node(mid + 1, hi))
-                .otherwise(leaf(min(ca, cb))))
-
-    return node(0, len(pts) - 1)
+    cs = [c for c, _ in pts]
+    ids = [cid for _, cid in pts]
+    res = ids if leaf_values is None else [leaf_values[i] for i in ids]
+    n = len(cs)
+    bucket = f"__bucket_{out}"
+    splits = [float("-inf")] + cs + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=value, outputCol=bucket,
+                   handleInvalid="keep").transform(df)
+    arr_c = F.expr("array(" + ", ".join(_dlit(c) for c in cs) + ")")
+    arr_id = F.expr("array(" + ", ".join(str(int(i)) for i in ids) + ")")
+    k = F.col(bucket).cast("int")
+    lo = F.greatest(k, F.lit(1))
+    hi = F.least(k + 1, F.lit(n))
+    v = F.col(value)
+    best = F.least(
+        F.struct(F.abs(v - F.element_at(arr_c, lo)).alias("d"), F.element_at(arr_id, lo).alias("i"),
+                 lo.alias("p")),
+        F.struct(F.abs(v - F.element_at(arr_c, hi)).alias("d"), F.element_at(arr_id, hi).alias("i"),
+                 hi.alias("p")))
+    if leaf_values is None:
+        chosen = best["i"]
+    else:
+        arr_res = F.expr("array(" + ", ".join(_dlit(x) for x in res) + ")")
+        chosen = F.element_at(arr_res, best["p"])
+    return b.withColumn(out, F.when(v.isNull() | F.isnan(v), None).otherwise(chosen)).drop(bucket)
 
 
 def _collect_centres(centres: DataFrame) -> list[tuple[int, float]]:
@@ -77,7 +102,7 @@ def _collect_centres(centres: DataFrame) -> list[tuple[int, float]]:
 
 def nearest_centre(values: DataFrame, centres: DataFrame, value: str = "v") -> DataFrame:
     """Add ``cid``, the nearest centre of each value."""
-    return values.withColumn("cid", nearest_expr(F.col(value), _collect_centres(centres)))
+    return assign_nearest(values, value, _collect_centres(centres))
 
 
 def cluster_weighted_mean(assigned: DataFrame, value: str = "v",
@@ -96,20 +121,25 @@ def cluster_weighted_mean(assigned: DataFrame, value: str = "v",
         (F.sum(w * F.col(value)) / F.sum(w)).alias("mean"))
 
 
-def lloyd(values: DataFrame, centres: DataFrame, iterations: int, value: str = "v") -> DataFrame:
+def lloyd(values: DataFrame, centres: DataFrame, iterations: int, value: str = "v",
+          persist: bool = True) -> DataFrame:
     """Weighted Lloyd iterations on a histogram ``(v, n)`` from given centres.
 
-    Each iteration is one aggregation job over the histogram; an empty
-    cluster keeps its centre.  Returns ``(cid, c)``.
+    The histogram is written once to the checkpoint folder (``persist``) so
+    that iterations re-read it instead of recomputing its lineage; each
+    iteration is then one aggregation job.  An empty cluster keeps its
+    centre.  Returns ``(cid, c)``.
     """
     if iterations < 0:
         raise ValueError("iterations must be >= 0")
     spark = values.sparkSession
+    if persist and iterations > 0:
+        values = materialise(values.select(value, "n"), "histogram")
     cur = dict(_collect_centres(centres))
     n = F.col("n").cast("double")
     for _ in range(iterations):
-        cid = nearest_expr(F.col(value), list(cur.items()))
-        upd = (values.select(cid.alias("cid"), F.col(value).alias("v"), n.alias("n"))
+        upd = (assign_nearest(values.select(F.col(value).alias("v"), n.alias("n")), "v",
+                              list(cur.items()))
                .groupBy("cid").agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("c"))
                .collect())
         for r in upd:
@@ -132,25 +162,52 @@ def kmeans_centres(hist: DataFrame, k: int, iterations: int, seed: int,
     return [(cid, float(c[0])) for cid, c in enumerate(model.clusterCenters())]
 
 
+def random_centres(values: DataFrame, k: int, seed: int, value: str = "v") -> DataFrame:
+    """``k`` distinct values picked at random (seeded): the ``k`` smallest
+    ``xxhash64(value, seed)``.  A distributed top-k: each task keeps ``k`` rows,
+    and the pick does not change when a task is retried."""
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    picked = (values.select(F.col(value).alias("c"))
+              .orderBy(F.xxhash64(F.col("c"), F.lit(seed)), "c").limit(k).collect())
+    spark = values.sparkSession
+    return spark.createDataFrame([(i, r["c"]) for i, r in enumerate(picked)], "cid int, c double")
+
+
+def fit_centres(hist: DataFrame, k: int, iterations: int, seed: int,
+                method: str = "lloyd", value: str = "v") -> list[tuple[int, float]]:
+    """k-means centres of a weighted 1-D histogram: random initial centres,
+    then ``iterations`` Lloyd steps (``method="mllib"`` uses MLlib's KMeans)."""
+    if method == "mllib":
+        return kmeans_centres(hist, k, iterations, seed, value)
+    if method != "lloyd":
+        raise ValueError("method must be 'lloyd' or 'mllib'")
+    cents = lloyd(hist, random_centres(hist, k, seed, value), iterations, value, persist=False)
+    return _collect_centres(cents)
+
+
 def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
                    iterations: int = KMEANS_TONE_ITERATIONS, seed: int = 42,
-                   weight: str = "squared") -> DataFrame:
+                   weight: str = "squared", method: str = "lloyd") -> DataFrame:
     """Compress luminance to ``k`` levels and rescale B, G, R by new/old luminance.
 
     One codebook is fitted over the luminance histogram of the whole table
-    (for a single image this is the per-image algorithm).  The new level of a
+    (for a single image this is the per-image algorithm): random initial
+    centres and ``iterations`` Lloyd steps, like MLlib's random-init k-means
+    (``method="mllib"`` runs MLlib itself).  The new level of a
     cluster is the weighted mean of its values.  The final pass is one
-    projection: the tree returns the cluster mean directly.
+    projection: the search returns the cluster mean directly.
     Output ``(image_id, y, x, b, g, r)``; black pixels (luminance 0) get NULL.
     """
     lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
-    hist = value_histogram(lum, "lum")
-    centres = kmeans_centres(hist, k, iterations, seed)
-    assigned = hist.withColumn("cid", nearest_expr(F.col("v"), centres))
+    # Iterative fitting re-reads the histogram: write it once (lineage cut).
+    hist = materialise(value_histogram(lum, "lum"), "lum-histogram")
+    centres = fit_centres(hist, k, iterations, seed, method)
+    assigned = assign_nearest(hist, "v", centres)
     means = {int(r["cid"]): r["mean"] for r in
              cluster_weighted_mean(assigned, weight=weight).collect()}  # <= k rows
-    new_lum = nearest_expr(F.col("lum"), [(c, x) for c, x in centres if c in means],
-                           leaf=lambda cid: F.lit(float(means[cid])))
-    scale = px.safe_div(new_lum, F.col("lum"))
-    return lum.select("image_id", "y", "x",
-                      *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])
+    mapped = assign_nearest(lum, "lum", [(c, x) for c, x in centres if c in means],
+                            out="new_lum", leaf_values=means)
+    scale = px.safe_div(F.col("new_lum"), F.col("lum"))
+    return mapped.select("image_id", "y", "x",
+                         *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])

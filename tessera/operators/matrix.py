@@ -234,8 +234,8 @@ def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:
 
 
 def matmul_small_right(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``C = A B`` where ``B`` is small: its cells are materialised, counted and
-    broadcast when under the threshold (else a shuffle join), then each cell of
+    """``C = A B`` where ``B`` is small: its cells are materialised, size-checked
+    and broadcast when under the threshold (else a shuffle join), then each cell of
     ``A`` meets the row of ``B`` it multiplies."""
     left = a.select(F.col("i"), F.col("j").alias("k"), F.col("v").alias("av"))
     right = b.select(F.col("i").alias("k"), F.col("j"), F.col("v").alias("bv"))

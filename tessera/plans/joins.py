@@ -4,9 +4,10 @@ Per-image statistics (max sample, log-luminance range, CDF bins) have one row
 per image (or per image and bin), so their size grows with the number of
 images, not with pixels, but it is not bounded by a constant.  They are
 therefore materialised once in the session's checkpoint folder (lineage cut,
-survives executor loss), counted, and broadcast only when the exact size is
-under the broadcast threshold.  Beyond it the join is a shuffle join on the
-key, where adaptive execution splits a hot image's partition (skew join).
+survives executor loss) and broadcast only when their exact written size
+(times an in-memory expansion allowance) is under the broadcast threshold.
+Beyond it the join is a shuffle join on the key, where adaptive execution
+splits a hot image's partition (skew join).
 """
 
 from __future__ import annotations
@@ -15,24 +16,9 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
-_FIXED_WIDTH = {
-    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
-    T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8,
-}
-
-
-def row_bytes(schema: T.StructType) -> int:
-    """Conservative bytes per row of an unsafe row with this schema."""
-    total = 8  # null bitset word
-    for f in schema.fields:
-        w = _FIXED_WIDTH.get(type(f.dataType))
-        total += 8 if w is not None else 64
-    return total
-
 
 def broadcast_threshold(spark) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
@@ -45,26 +31,40 @@ def broadcast_threshold(spark) -> int:
     return int(raw)
 
 
-def materialise(df: DataFrame, name: str = "derived") -> tuple[DataFrame, int]:
+def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
-    return the re-read table with its exact row count.
+    return the re-read table.
 
-    One job computes it (``Dataset.checkpoint`` would compute it twice), the
-    lineage is cut, and the count reads only parquet footers.
+    One job computes it (``Dataset.checkpoint`` would compute it twice) and
+    the lineage is cut.  The re-read table's statistics are its exact file
+    size, known without another job.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    done = spark.read.parquet(path)
-    return done, done.count()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (exact file size for a plain scan)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+# Parquet pages are compressed; rows in memory take several times the bytes.
+IN_MEMORY_EXPANSION = 4
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_bytes: int | None = None) -> DataFrame:
-    """Join ``big`` with a derived ``small`` table, broadcasting it only if it fits."""
-    small, n = materialise(small, "join-side")
+    """Join ``big`` with a derived ``small`` table, broadcasting it only if it fits.
+
+    ``small`` is materialised; its file size times an in-memory expansion
+    allowance is compared with the broadcast threshold.  Beyond it the join
+    stays a shuffle join, where adaptive execution splits hot keys.
+    """
+    small = materialise(small, "join-side")
     limit = broadcast_threshold(big.sparkSession) if max_bytes is None else max_bytes
-    if limit > 0 and n * row_bytes(small.schema) <= limit:
+    if limit > 0 and size_in_bytes(small) * IN_MEMORY_EXPANSION <= limit:
         small = F.broadcast(small)
     return big.join(small, on, how)
 

@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture costs several JVM round trips per column
+        # function; it only serves error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEM", "8g"))
     )
     spark = builder.getOrCreate()
