@@ -103,7 +103,7 @@ def image_type_name(mode: str | Column) -> Column:
     """Name of an image type code: depth name, 'C', channel count."""
     m = col(mode)
     depth = F.element_at(F.array(*[F.lit(n) for n in DEPTH_NAMES]),
-                         m.bitwiseAND(F.lit(7)) + 1)
+                         (m.bitwiseAND(F.lit(7)) + 1).cast("int"))
     channels = F.shiftright(m, 3) + 1
     return F.concat(depth, F.lit("C"), channels.cast("string"))
 
