@@ -17,18 +17,13 @@ SOBEL_OR_GRAY_LOG = r"^(.*\.(?:jpg|png|jpeg))(.*)Times$"
 MATMUL_LOG = r"^TimesMult\.txt(\d+)$"
 
 
-def read_timing_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(workload, variant, run_no, gpu, cpu, ratio, unit, file)`` per log line.
+def parse_timing_lines(raw: DataFrame) -> DataFrame:
+    """Parse ``(line, file, name, ...)`` rows into timing columns.
 
-    Seconds are kept as seconds and milliseconds as milliseconds; ``unit``
-    says which.  ``run_no`` follows the line order inside each file (a log is
-    one small file, so the per-file window is bounded by its line count).
+    Works on batch and streaming DataFrames alike (no window, no state).
+    Output ``(workload, variant, gpu, cpu, ratio, unit, file)`` followed by
+    any other input columns, unchanged.
     """
-    raw = (spark.read.text(paths)
-           .select(F.col("value").alias("line"),
-                   F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_name").alias("name"),
-                   F.monotonically_increasing_id().alias("_seq")))
     raw = raw.where(F.trim("line") != "")
     parts = F.split(F.trim(F.regexp_replace("line", r"[,\s]+", " ")), " ")
     n = F.size(parts)
@@ -38,12 +33,29 @@ def read_timing_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     workload = F.when(is_mm, F.regexp_extract("name", MATMUL_LOG, 1)).otherwise(
         F.regexp_extract("name", SOBEL_OR_GRAY_LOG, 1))
     variant = F.when(is_mm, folder).otherwise(F.regexp_extract("name", SOBEL_OR_GRAY_LOG, 2))
-    w = Window.partitionBy("file").orderBy("_seq")
+    extra = [c for c in raw.columns if c not in ("line", "file", "name")]
     return raw.select(
         workload.alias("workload"), variant.alias("variant"),
-        F.row_number().over(w).alias("run_no"),
         F.when(n == 2, num(2)).otherwise(num(1)).alias("gpu"),
         F.when(n == 3, num(2)).when(n == 2, num(1)).alias("cpu"),
         F.when(n == 3, num(3)).alias("ratio"),
         F.when(n == 3, F.lit("s")).otherwise(F.lit("ms")).alias("unit"),
-        "file")
+        "file", *extra)
+
+
+def read_timing_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(workload, variant, run_no, gpu, cpu, ratio, unit, file)`` per log line.
+
+    Seconds are kept as seconds and milliseconds as milliseconds; ``unit``
+    says which.  ``run_no`` follows the line order inside each file (a log is
+    one small file, so the per-file window is bounded by its line count).
+    """
+    raw = (spark.read.text(paths)
+           .select(F.col("value").alias("line"),
+                   F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_name").alias("name"),
+                   F.monotonically_increasing_id().alias("_seq")))
+    parsed = parse_timing_lines(raw)
+    w = Window.partitionBy("file").orderBy("_seq")
+    return parsed.select("workload", "variant", F.row_number().over(w).alias("run_no"),
+                         "gpu", "cpu", "ratio", "unit", "file")
