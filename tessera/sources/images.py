@@ -65,13 +65,17 @@ def image_rejects(images: DataFrame) -> DataFrame:
 
 
 def image_strips(images: DataFrame) -> DataFrame:
-    """One binary strip per image row: ``(image_id, y, width, n_channels, strip)``."""
+    """One binary strip per image row: ``(image_id, y, width, n_channels, strip)``.
+
+    The strips are cut inside one expression and then exploded, so a
+    generated row carries its own strip only, never the whole image.
+    """
     v = _valid(images)
-    row_bytes = F.col("width") * F.col("n_channels")
-    return (v.select("image_id", "width", "n_channels", "data",
-                     F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y"))
-            .select("image_id", "y", "width", "n_channels",
-                    F.substring("data", F.col("y") * row_bytes + 1, row_bytes).alias("strip"))
+    rb = F.col("width") * F.col("n_channels")
+    strips = F.transform(F.sequence(F.lit(0), F.col("height") - 1),
+                         lambda y: F.substring(F.col("data"), y * rb + 1, rb))
+    return (v.select("image_id", "width", "n_channels",
+                     F.posexplode(strips).alias("y", "strip"))
             .repartition("image_id", "y"))
 
 
