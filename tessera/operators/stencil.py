@@ -1,6 +1,6 @@
 """Neighbourhood operators (convolution, Sobel) over ``(image_id, y, x, v)``.
 
-Two physical strategies, both free of per-image groups (an image may be a
+Three physical strategies, all free of per-image groups (an image may be a
 third of the corpus, so nothing is ever grouped by ``image_id`` alone):
 
 * **scatter** (any odd k x k mask): every pixel sends ``w * v`` to each target
@@ -12,12 +12,21 @@ third of the corpus, so nothing is ever grouped by ``image_id`` alone):
   one-row halo copied from each neighbouring band.  A horizontal window over
   ``(image_id, band, y)`` and a vertical window over ``(image_id, band, x)``
   both reuse that single shuffle.  Groups never exceed ``band_rows + 2`` rows.
+* **tiles** (any odd mask, default): the same banding (halo of ``k // 2``
+  rows), one shuffle by ``(image_id, band)`` with rows sorted inside each
+  partition, then ``mapInPandas`` turns each band into one NumPy array and
+  applies the mask by shifted slices.  A group is at most
+  ``(band_rows + k - 1) x width`` pixels, independent of the image height and
+  of the corpus size.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.pixel import clamp8
 
@@ -40,12 +49,19 @@ def _check_mask(mask) -> int:
 
 
 def convolve(df: DataFrame, mask, value: str = "gray", clamp: bool = True,
-             out: str | None = None) -> DataFrame:
+             out: str | None = None, method: str = "tiles", band_rows: int = 64) -> DataFrame:
     """Cross-correlate every image with an odd k x k integer or float mask.
 
     Neighbours outside the image count as zero.  Output has one row per input
     pixel: ``(image_id, y, x, out)``; ``clamp`` saturates to 0..255.
+    ``method="tiles"`` (default) works band by band in NumPy;
+    ``method="scatter"`` stays in the JVM and emits one row per non-zero
+    weight before a partially aggregated shuffle.
     """
+    if method == "tiles":
+        return tiled(df, mask, value=value, clamp=clamp, band_rows=band_rows, out=out)
+    if method != "scatter":
+        raise ValueError(f"unknown method {method!r}")
     k = _check_mask(mask)
     r = k // 2
     out = out or value
@@ -130,18 +146,148 @@ def separable3(df: DataFrame, vertical=SOBEL_X_VERTICAL, horizontal=SOBEL_X_HORI
             .select(*KEYS, out))
 
 
+def _banded(df: DataFrame, value: str, band_rows: int, halo: int) -> DataFrame:
+    """``(image_id, band, y, x, v)``: each pixel in its band, plus copies of the
+    first/last ``halo`` rows of a band in the neighbouring band."""
+    if band_rows < 1:
+        raise ValueError("band_rows must be >= 1")
+    if halo > band_rows:
+        raise ValueError("band_rows must be at least the mask radius")
+    b = F.lit(band_rows)
+    own = F.floor(F.col("y") / b).cast("int")
+    offsets = F.explode(F.array(F.lit(0), F.lit(-1), F.lit(1))).alias("o")
+    pos = F.col("y") % b
+    keep = ((F.col("o") == 0)
+            | ((F.col("o") == -1) & (pos < halo) & (F.col("own") > 0))
+            | ((F.col("o") == 1) & (pos >= band_rows - halo)))
+    return (df.select("image_id", "y", "x", F.col(value).alias("v"), own.alias("own"), offsets)
+            .where(keep)
+            .select("image_id", (F.col("own") + F.col("o")).alias("band"), "y", "x", "v"))
+
+
+def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: int,
+                 border: str, clamp: bool):
+    """Apply ``mask`` to one band given as coordinate arrays; core rows only."""
+    k = mask.shape[0]
+    r = k // 2
+    lo_core, hi_core = band * band_rows, band * band_rows + band_rows - 1
+    y0, y1 = int(ys.min()), int(ys.max())
+    x0, x1 = int(xs.min()), int(xs.max())
+    h, w = y1 - y0 + 1, x1 - x0 + 1
+    grid = np.zeros((h, w), dtype=mask.dtype)
+    present = np.zeros((h, w), dtype=bool)
+    grid[ys - y0, xs - x0] = vs
+    present[ys - y0, xs - x0] = True
+    if border == "zero":
+        padded = np.pad(grid, r)
+    else:
+        # Rows: mirror only where the band has no halo (an image edge).
+        top = r if y0 >= lo_core else 0
+        bottom = r if y1 <= hi_core else 0
+        vmode = "reflect" if h > 1 else "edge"
+        padded = np.pad(grid, ((top, bottom), (0, 0)), mode=vmode) if (top or bottom) else grid
+        padded = np.pad(padded, ((r - top, r - bottom), (0, 0)))
+        padded = np.pad(padded, ((0, 0), (r, r)), mode="reflect" if w > 1 else "edge")
+    acc = np.zeros((h, w), dtype=mask.dtype)
+    for i in range(k):
+        for j in range(k):
+            if mask[i, j] != 0:
+                acc += mask[i, j] * padded[i:i + h, j:j + w]
+    if clamp:
+        acc = np.clip(acc, 0, 255)
+    yy, xx = np.nonzero(present)
+    core = (yy + y0 >= lo_core) & (yy + y0 <= hi_core)
+    yy, xx = yy[core], xx[core]
+    return (np.full(len(yy), image_id), (yy + y0).astype(np.int32),
+            (xx + x0).astype(np.int32), acc[yy, xx])
+
+
+def _tile_fn(mask, band_rows: int, border: str, clamp: bool, out: str, integer: bool):
+    m = np.asarray(mask, dtype=np.int64 if integer else np.float64)
+
+    def bands_of(pdf: pd.DataFrame):
+        img = pdf["image_id"].to_numpy()
+        band = pdf["band"].to_numpy()
+        cut = np.flatnonzero((img[1:] != img[:-1]) | (band[1:] != band[:-1])) + 1
+        starts = np.concatenate(([0], cut))
+        ends = np.concatenate((cut, [len(pdf)]))
+        ys = pdf["y"].to_numpy(np.int64)
+        xs = pdf["x"].to_numpy(np.int64)
+        vs = pdf["v"].to_numpy(m.dtype)
+        parts = [_band_result(m, int(band[a]), img[a], ys[a:b], xs[a:b], vs[a:b],
+                              band_rows, border, clamp) for a, b in zip(starts, ends)]
+        if not parts:
+            return None
+        cols = [np.concatenate(c) for c in zip(*parts)]
+        return pd.DataFrame({"image_id": cols[0], "y": cols[1], "x": cols[2], out: cols[3]})
+
+    def run(batches):
+        # Rows arrive sorted by (image_id, band); a band may continue in the
+        # next Arrow batch, so the last band of each batch is carried over.
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = (pdf["image_id"].to_numpy() == pdf["image_id"].iloc[-1]) & \
+                   (pdf["band"].to_numpy() == pdf["band"].iloc[-1])
+            carry = pdf[last]
+            done = pdf[~last]
+            if len(done):
+                res = bands_of(done.reset_index(drop=True))
+                if res is not None:
+                    yield res
+        if carry is not None and len(carry):
+            res = bands_of(carry.reset_index(drop=True))
+            if res is not None:
+                yield res
+
+    return run
+
+
+def tiled(df: DataFrame, mask, value: str = "gray", border: str = "zero",
+          clamp: bool = True, band_rows: int = 64, out: str | None = None) -> DataFrame:
+    """Cross-correlate with an odd k x k mask, one NumPy band at a time.
+
+    Bands (with halos) are hash-partitioned by ``(image_id, band)`` and sorted
+    inside each partition; ``mapInPandas`` then walks the sorted rows and
+    processes every band as a dense array.  ``border="zero"``: neighbours
+    outside the image (or absent) count as 0, exactly like :func:`convolve`.
+    ``"reflect101"`` mirrors at image edges and assumes rectangular images.
+    """
+    k = _check_mask(mask)
+    if border not in BORDERS:
+        raise ValueError(f"border must be one of {BORDERS}")
+    out = out or value
+    integer = all(isinstance(w, (int, np.integer)) for row in mask for w in row)
+    id_type = dict(df.dtypes).get("image_id", "int")
+    out_type = "int" if integer and clamp else ("bigint" if integer else "double")
+    schema = f"image_id {id_type}, y int, x int, {out} {out_type}"
+    banded = (_banded(df, value, band_rows, k // 2)
+              .repartition("image_id", "band")
+              .sortWithinPartitions("image_id", "band"))
+    res = banded.mapInPandas(_tile_fn(mask, band_rows, border, clamp, out, integer), schema)
+    return res
+
+
 def sobel_x(df: DataFrame, value: str = "gray", border: str = "zero",
-            clamp: bool = True, method: str = "bands", band_rows: int = 64,
+            clamp: bool = True, method: str = "tiles", band_rows: int = 64,
             out: str | None = None) -> DataFrame:
     """Horizontal Sobel gradient, 8-bit saturated unless ``clamp=False``.
 
     ``border="zero"`` is the GPU kernels' rule, ``"reflect101"`` the
-    library comparator's.  ``method="scatter"`` supports only the zero border.
+    library comparator's.  ``method`` is ``"tiles"`` (NumPy per band),
+    ``"bands"`` (two windows over one shuffle) or ``"scatter"`` (zero border
+    only).
     """
+    if method == "tiles":
+        return tiled(df, SOBEL_X, value=value, border=border, clamp=clamp,
+                     band_rows=band_rows, out=out)
     if method == "scatter":
         if border != "zero":
             raise ValueError("scatter supports the zero border only")
-        return convolve(df, SOBEL_X, value=value, clamp=clamp, out=out)
+        return convolve(df, SOBEL_X, value=value, clamp=clamp, out=out, method="scatter")
     if method != "bands":
         raise ValueError(f"unknown method {method!r}")
     return separable3(df, SOBEL_X_VERTICAL, SOBEL_X_HORIZONTAL, value=value,

@@ -49,10 +49,14 @@ def test_sobel_matches_numpy(spark, h, w, band, seed):
     got = _to_array(stencil.sobel_x(df, band_rows=band), h, w)
     np.testing.assert_array_equal(got, want)
     np.testing.assert_array_equal(_to_array(stencil.sobel_x(df, method="scatter"), h, w), want)
+    np.testing.assert_array_equal(
+        _to_array(stencil.sobel_x(df, method="bands", band_rows=band), h, w), want)
     if h >= 2 and w >= 2:
         want_r = np.clip(_np_correlate(img, stencil.SOBEL_X, "reflect101"), 0, 255)
-        got_r = _to_array(stencil.sobel_x(df, border="reflect101", band_rows=band), h, w)
-        np.testing.assert_array_equal(got_r, want_r)
+        for method in ("tiles", "bands"):
+            got_r = _to_array(stencil.sobel_x(df, border="reflect101", band_rows=band,
+                                              method=method), h, w)
+            np.testing.assert_array_equal(got_r, want_r)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -61,20 +65,27 @@ def test_convolve_5x5_matches_numpy(spark, h, w, seed):
     rng = np.random.default_rng(seed)
     img = rng.integers(0, 256, size=(h, w))
     mask = rng.integers(-3, 4, size=(5, 5)).tolist()
-    got = _to_array(stencil.convolve(_gray_df(spark, img), mask, clamp=False), h, w)
-    np.testing.assert_array_equal(got, _np_correlate(img, mask, "zero"))
+    df = _gray_df(spark, img)
+    want = _np_correlate(img, mask, "zero")
+    np.testing.assert_array_equal(
+        _to_array(stencil.convolve(df, mask, clamp=False, method="scatter"), h, w), want)
+    got_t = _to_array(stencil.tiled(df, mask, clamp=False, band_rows=3), h, w)
+    np.testing.assert_array_equal(got_t, want)
 
 
 def test_sobel_strategies_agree_and_interior_borders_agree(spark):
     g = pxo.gray(tb.pixels8(spark, SF01))
-    bands = stencil.sobel_x(g)
+    bands = stencil.sobel_x(g, method="bands")
     scatter = stencil.sobel_x(g, method="scatter")
+    tiles = stencil.sobel_x(g)
     assert bands.exceptAll(scatter).count() == 0 and scatter.exceptAll(bands).count() == 0
+    assert tiles.exceptAll(bands).count() == 0 and bands.exceptAll(tiles).count() == 0
     refl = stencil.sobel_x(g, border="reflect101")
     interior = "y > 0 and y < 39 and x > 0 and x < 49"
     assert bands.where(interior).exceptAll(refl.where(interior)).count() == 0
-    conv = stencil.convolve(g, stencil.SOBEL_X)
-    assert conv.exceptAll(bands).count() == 0
+    for method in ("tiles", "scatter"):
+        conv = stencil.convolve(g, stencil.SOBEL_X, method=method)
+        assert conv.exceptAll(bands).count() == 0
 
 
 def test_exposure_identity_and_saturation(spark):

@@ -41,9 +41,11 @@ def test_filter_reaches_the_scan(spark):
     assert "Filter" in text
 
 
-def test_sobel_bands_shuffle_once(spark):
-    text = _static(stencil.sobel_x(pxo.gray(tb.pixels8(spark, SF01))))
-    assert text.count("Exchange") == 1
+def test_sobel_shuffles_once(spark):
+    g = pxo.gray(tb.pixels8(spark, SF01))
+    for method in ("bands", "tiles", "scatter"):
+        text = _static(stencil.sobel_x(g, method=method))
+        assert text.count("Exchange") == 1, method
 
 
 def test_exposure_bracket_has_no_join(spark):
