@@ -19,15 +19,17 @@ GROUP = ["workload", "variant"]
 REPORT_RUNS = 20
 
 
-def number_runs(df: DataFrame, order: str, first_runs: int | None = REPORT_RUNS) -> DataFrame:
-    """Add ``run_no`` (1-based, in ``order``) and keep the first ``first_runs``."""
+def number_runs(df: DataFrame, order: str, first_runs: int = REPORT_RUNS) -> DataFrame:
+    """Keep the first ``first_runs`` runs of each group, numbered from 1 in ``order``.
+
+    The bound is required: numbering every run would sort each whole group
+    in one task.  Statistics over all runs need no numbering (pass the
+    un-numbered rows with ``first_runs=None`` to the aggregates).
+    """
+    if first_runs is None or first_runs < 1:
+        raise ValueError("first_runs must be a positive bound")
     w = Window.partitionBy(*GROUP).orderBy(order)
-    numbered = df.withColumn("run_no", F.row_number().over(w))
-    if first_runs is None:
-        return numbered
-    if first_runs < 1:
-        raise ValueError("first_runs must be >= 1")
-    return numbered.where(F.col("run_no") <= first_runs)
+    return df.withColumn("run_no", F.row_number().over(w)).where(F.col("run_no") <= first_runs)
 
 
 def _runs(df: DataFrame, first_runs: int | None) -> DataFrame:

@@ -115,12 +115,15 @@ def tone_with_params(hdr: DataFrame, params: DataFrame, mode: str) -> DataFrame:
     m = (mode or "")[:1].upper()
     if m not in ("L", "A", "G"):
         raise ValueError(f"unknown tone-map mode {mode!r}; use L, G or A")
-    j = join_small(hdr, params.select("image_id", "p1", "p2"), "image_id")
+    per_image = params.select("image_id", "p1", "p2")
+    if m != "G":
+        # Both per-image tables are small: join them first, materialise once.
+        per_image = per_image.join(max_sample(hdr), "image_id")
+    j = join_small(hdr, per_image, "image_id")
     p1, p2 = F.col("p1"), F.col("p2")
     if m == "G":
         exprs = [gamma_map(F.col(c), p1, p2) for c in CHANNELS]
     else:
-        j = join_small(j, max_sample(hdr), "image_id")
         fn = log_map if m == "L" else adaptive_map
         exprs = [fn(F.col(c), F.col("max_sample"), p1, p2) for c in CHANNELS]
     return j.select(*KEYS, *[e.alias(c) for e, c in zip(exprs, CHANNELS)])
