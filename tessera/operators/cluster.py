@@ -175,20 +175,30 @@ def random_centres(values: DataFrame, k: int, seed: int, value: str = "v") -> Da
 
 
 def fit_centres(hist: DataFrame, k: int, iterations: int, seed: int,
-                method: str = "lloyd", value: str = "v") -> list[tuple[int, float]]:
-    """k-means centres of a weighted 1-D histogram: random initial centres,
-    then ``iterations`` Lloyd steps (``method="mllib"`` uses MLlib's KMeans)."""
+                method: str = "lloyd", value: str = "v",
+                init: str = "random") -> list[tuple[int, float]]:
+    """k-means centres of a weighted 1-D histogram: initial centres
+    (``init="random"``: seeded pick of distinct values; ``"grid"``: evenly
+    spread over the value range), then ``iterations`` Lloyd steps
+    (``method="mllib"`` runs MLlib's random-init KMeans instead)."""
     if method == "mllib":
         return kmeans_centres(hist, k, iterations, seed, value)
     if method != "lloyd":
         raise ValueError("method must be 'lloyd' or 'mllib'")
-    cents = lloyd(hist, random_centres(hist, k, seed, value), iterations, value, persist=False)
+    if init == "random":
+        start = random_centres(hist, k, seed, value)
+    elif init == "grid":
+        start = grid_centres(hist.sparkSession, hist, k, value)
+    else:
+        raise ValueError("init must be 'random' or 'grid'")
+    cents = lloyd(hist, start, iterations, value, persist=False)
     return _collect_centres(cents)
 
 
 def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
                    iterations: int = KMEANS_TONE_ITERATIONS, seed: int = 42,
-                   weight: str = "squared", method: str = "lloyd") -> DataFrame:
+                   weight: str = "squared", method: str = "lloyd",
+                   init: str = "random") -> DataFrame:
     """Compress luminance to ``k`` levels and rescale B, G, R by new/old luminance.
 
     One codebook is fitted over the luminance histogram of the whole table
@@ -202,7 +212,7 @@ def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
     lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
     # Iterative fitting re-reads the histogram: write it once (lineage cut).
     hist = materialise(value_histogram(lum, "lum"), "lum-histogram")
-    centres = fit_centres(hist, k, iterations, seed, method)
+    centres = fit_centres(hist, k, iterations, seed, method, init=init)
     assigned = assign_nearest(hist, "v", centres)
     means = {int(r["cid"]): r["mean"] for r in
              cluster_weighted_mean(assigned, weight=weight).collect()}  # <= k rows

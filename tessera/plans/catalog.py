@@ -299,6 +299,13 @@ def q_kmeans_tonemap(spark, sf_dir):
     return _with_8bit(cl.kmeans_tonemap(tb.hdr(spark, sf_dir), seed=42))
 
 
+@register("kmeans_tonemap_grid")
+def q_kmeans_tonemap_grid(spark, sf_dir):
+    # Same pipeline from centres spread evenly over the luminance range, so
+    # that an SQL oracle can reproduce every Lloyd step.
+    return _with_8bit(cl.kmeans_tonemap(tb.hdr(spark, sf_dir), init="grid"))
+
+
 # ----------------------------------------------------------------- timings (E)
 def _timings(spark, sf_dir):
     return tm.number_runs(tb.timing_runs(spark, sf_dir), "event_id")

@@ -359,3 +359,45 @@ ORACLES["timing_variant_ratio"] = _with(TIMINGS, MEANS) + f"""
 select m.workload, m.variant, {R6('b.mean_gpu / nullif(m.mean_gpu, 0)')} ratio
 from means m join (select workload, mean_gpu from means where variant = 'naive') b
   on b.workload = m.workload"""
+
+
+# ----------------------------------------------------- k-means tone map (grid)
+LUM = """lum as (
+  select image_id, y, x, b, g, r, b*0.0722::double + g*0.7152::double + r*0.2126::double lum
+  from hdr),
+lvals as (select lum v, count(*) n from lum group by lum)"""
+
+K0 = """k0 as (
+  select cast(t.range as int) cid,
+         s.lo + (s.hi - s.lo)*(cast(t.range as int) + 0.5::double)/256 c
+  from range(256) t, (select min(v) lo, max(v) hi from lvals) s)"""
+
+
+def _kassign(name: str, centres: str) -> str:
+    return f"""{name} as (
+  select v, n, cid from (
+    select v, n, cid, row_number() over (partition by v order by abs(v - c), cid) rn
+    from lvals, {centres}) t
+  where rn = 1)"""
+
+
+def _kstep(i: int) -> str:
+    return ",\n".join([
+        _kassign(f"ka{i}", f"k{i - 1}"),
+        f"km{i} as (select cid, sum(n*v)/sum(n) c from ka{i} group by cid)",
+        f"k{i} as (select p.cid, coalesce(m.c, p.c) c from k{i - 1} p "
+        f"left join km{i} m on m.cid = p.cid)",
+    ])
+
+
+KMAP = """kfinal as (
+  select a.v, w.mean from kfin a join (
+    select cid, sum(n*n*v)/sum(n*n) mean from kfin group by cid) w on w.cid = a.cid),
+kmapped as (
+  select l.image_id, l.y, l.x, l.b*(f.mean/nullif(l.lum, 0)) b,
+         l.g*(f.mean/nullif(l.lum, 0)) g, l.r*(f.mean/nullif(l.lum, 0)) r
+  from lum l join kfinal f on f.v = l.lum)"""
+
+ORACLES["kmeans_tonemap_grid"] = _with(
+    HDR, LUM, K0, *[_kstep(i) for i in range(1, 6)], _kassign("kfin", "k5"), KMAP) + \
+    _tone_select("kmapped", "b", "g", "r")
