@@ -51,3 +51,31 @@ def test_snapshot_sink_survives_restart(spark):
     q.awaitTermination()
     got = {r["workload"]: r["n_runs"] for r in spark.read.parquet(snap).collect()}
     assert got == {"128": 2, "512": 1}
+
+
+def test_tonemap_stream_matches_batch(spark):
+    from conftest import SF01
+    from tessera.operators import tone
+    from tessera.sources import tables as tb
+    from tessera.streaming.tonemap import start_tonemap_stream
+
+    src = tempfile.mkdtemp(prefix="tessera-hdr-src-")
+    out = tempfile.mkdtemp(prefix="tessera-hdr-out-")
+    hdr = tb.hdr(spark, SF01).selectExpr("cast(image_id as long) image_id", "y", "x", "b", "g", "r")
+    # One image per file; two images first, three later.
+    for i in (0, 1):
+        hdr.where(f"image_id = {i}").coalesce(1).write.parquet(f"{src}/img{i}")
+    q = start_tonemap_stream(spark, f"{src}/*", out, "L", 0.4, 1.2,
+                             checkpoint=f"{out}/_ckpt", available_now=True)
+    q.awaitTermination()
+    for i in (2, 3, 4):
+        hdr.where(f"image_id = {i}").coalesce(1).write.parquet(f"{src}/img{i}")
+    q = start_tonemap_stream(spark, f"{src}/*", out, "L", 0.4, 1.2,
+                             checkpoint=f"{out}/_ckpt", available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{out}/batch_id=*").select("image_id", "y", "x", "b", "g", "r")
+    want = tone.tone_log(hdr, 0.4, 1.2)
+    assert got.count() == 10000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(ValueError):
+        start_tonemap_stream(spark, src, out, "Q", 1.0, 1.0)
