@@ -50,8 +50,9 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-# Parquet pages are compressed; rows in memory take several times the bytes.
-IN_MEMORY_EXPANSION = 4
+# Parquet pages are compressed; numeric rows in memory (plus the hash table)
+# take about twice the bytes of the written file.
+IN_MEMORY_EXPANSION = 2
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -48,6 +48,18 @@ def _valid(images: DataFrame) -> DataFrame:
                         & F.col("n_channels").isin(*SUPPORTED_CHANNELS))
 
 
+def image_id_collisions(images: DataFrame) -> DataFrame:
+    """Image ids shared by more than one file (``image_id, n, origins``).
+
+    Ids are 64-bit hashes, so a collision is unlikely but possible for very
+    large corpora (about 3% for a billion files); run this once per corpus.
+    A group is one id, so it holds at most the few colliding files.
+    """
+    return (images.groupBy("image_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.collect_set("origin").alias("origins"))
+            .where(F.col("n") > 1))
+
+
 def image_catalog(images: DataFrame) -> DataFrame:
     """Per image: key, origin, size, channel count and type name."""
     return images.select("image_id", "origin", "height", "width", "n_channels", "mode",

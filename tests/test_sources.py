@@ -64,6 +64,7 @@ def test_image_scan_decodes_bgr(spark, image_dir):
 def test_image_rejects_and_gray_read(spark, image_dir):
     d, rgb, gray = image_dir
     images = imgs.read_images(spark, d)
+    assert imgs.image_id_collisions(images).count() == 0
     rej = imgs.image_rejects(images).collect()
     assert [os.path.basename(r["origin"]) for r in rej] == ["junk.png"]
     assert rej[0]["reason"] == "unreadable"
