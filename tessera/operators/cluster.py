@@ -9,11 +9,11 @@ JVM-side, with no join and no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
-from tessera.plans.joins import materialise
+from tessera.plans.joins import join_small, materialise
 
 # Fixed values of the k-means tone map: clusters and Lloyd iterations.
 KMEANS_TONE_K = 256
@@ -221,3 +221,126 @@ def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
     scale = px.safe_div(F.col("new_lum"), F.col("lum"))
     return mapped.select("image_id", "y", "x",
                          *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])
+
+
+# ------------------------------------------------------ per-image k-means
+def _bucket(v, lo, hi, buckets: int):
+    """Equal-width bucket of ``v`` in ``[lo, hi]`` (monotone in ``v``)."""
+    raw = F.floor(F.lit(buckets) * (v - lo) / F.nullif(hi - lo, F.lit(0.0)))
+    return F.coalesce(F.least(F.lit(buckets - 1), F.greatest(F.lit(0), raw.cast("int"))),
+                      F.lit(0))
+
+
+def _segments(centres: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
+    """Value segments between consecutive centres of each image, copied into
+    every bucket they overlap: ``(image_id, bucket, lc, lcid, uc, ucid)``.
+
+    ``lc``/``uc`` are the centres just below/above the segment (NULL beyond
+    the first/last centre).  A window orders at most ``k`` centres per image.
+    """
+    dedup = centres.groupBy("image_id", "c").agg(F.min("cid").alias("cid"))
+    w = Window.partitionBy("image_id").orderBy("c")
+    seg = dedup.select("image_id", F.col("c").alias("lc"), F.col("cid").alias("lcid"),
+                       F.lead("c").over(w).alias("uc"), F.lead("cid").over(w).alias("ucid"),
+                       F.row_number().over(w).alias("rk"))
+    first = seg.where(F.col("rk") == 1).select(
+        "image_id", F.lit(None).cast("double").alias("lc"), F.lit(None).cast("int").alias("lcid"),
+        F.col("lc").alias("uc"), F.col("lcid").alias("ucid"))
+    segs = seg.drop("rk").unionByName(first).join(ranges, "image_id")
+    b0 = F.when(F.col("lc").isNull(), F.lit(0)).otherwise(_bucket(F.col("lc"), F.col("lo"), F.col("hi"), buckets))
+    b1 = F.when(F.col("uc").isNull(), F.lit(buckets - 1)).otherwise(
+        _bucket(F.col("uc"), F.col("lo"), F.col("hi"), buckets))
+    return segs.select("image_id", F.explode(F.sequence(b0, b1)).alias("bucket"),
+                       "lc", "lcid", "uc", "ucid")
+
+
+def _assign_segments(values: DataFrame, segs: DataFrame, value: str) -> DataFrame:
+    """Range join of bucketed values with segments; adds ``cid``."""
+    v = F.col(value)
+    j = join_small(values, segs, ["image_id", "bucket"]).where(
+        (F.col("lc").isNull() | (v >= F.col("lc"))) & (F.col("uc").isNull() | (v < F.col("uc"))))
+    near = F.least(F.struct(F.abs(v - F.col("lc")).alias("d"), F.col("lcid").alias("i")),
+                   F.struct(F.abs(v - F.col("uc")).alias("d"), F.col("ucid").alias("i")))["i"]
+    cid = (F.when(F.col("lc").isNull(), F.col("ucid")).when(F.col("uc").isNull(), F.col("lcid"))
+           .otherwise(near))
+    return j.withColumn("cid", cid).drop("bucket", "lc", "lcid", "uc", "ucid")
+
+
+def _bucketed_histogram(hist: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Per-image value range and the histogram with its bucket, both written
+    once to the checkpoint folder (they are re-read by every iteration)."""
+    ranges = materialise(hist.groupBy("image_id").agg(F.min("v").alias("lo"),
+                                                      F.max("v").alias("hi")), "ranges")
+    hb = join_small(hist, ranges, "image_id").select(
+        "image_id", "v", "n", _bucket(F.col("v"), F.col("lo"), F.col("hi"), buckets).alias("bucket"))
+    return ranges, materialise(hb, "bucketed-histogram")
+
+
+def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
+                      init: str = "grid", buckets: int | None = None,
+                      prepared: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """k-means per image on a histogram ``(image_id, v, n)``: ``(image_id, cid, c)``.
+
+    Initial centres per image are spread evenly over the image's value range
+    (``init="grid"``) or are ``k`` seeded random distinct values (a per-image
+    top-k with a partial limit before the shuffle).  Each Lloyd step assigns
+    values by a range join on ``(image_id, bucket)`` against the segments
+    between consecutive centres (a hot image spreads over ``buckets``
+    buckets), then averages per ``(image_id, cid)``; empty clusters keep
+    their centre.  Centres are written to the checkpoint folder every step.
+    """
+    if k < 1 or iterations < 0:
+        raise ValueError("k must be >= 1 and iterations >= 0")
+    nb = buckets or max(64, 2 * k)
+    ranges, hb = prepared or _bucketed_histogram(hist, nb)
+    if init == "grid":
+        cid = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cid")
+        cents = ranges.select("image_id", "lo", "hi", cid).select(
+            "image_id", "cid",
+            (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("cid") + F.lit(0.5)) / F.lit(k))
+            .alias("c"))
+    elif init == "random":
+        w = Window.partitionBy("image_id").orderBy(F.xxhash64(F.col("v"), F.lit(seed)), "v")
+        cents = (hist.select("image_id", "v", F.row_number().over(w).alias("r"))
+                 .where(F.col("r") <= k)
+                 .select("image_id", (F.col("r") - 1).cast("int").alias("cid"), F.col("v").alias("c")))
+    else:
+        raise ValueError("init must be 'grid' or 'random'")
+    cents = materialise(cents, "centres")
+    for _ in range(iterations):
+        assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v")
+        upd = assigned.groupBy("image_id", "cid").agg(
+            (F.sum(F.col("n").cast("double") * F.col("v")) / F.sum("n")).alias("c_new"))
+        cents = materialise(
+            cents.join(upd, ["image_id", "cid"], "left")
+            .select("image_id", "cid", F.coalesce("c_new", "c").alias("c")), "centres")
+    return cents
+
+
+def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
+                             iterations: int = KMEANS_TONE_ITERATIONS, seed: int = 42,
+                             init: str = "grid", weight: str = "squared") -> DataFrame:
+    """k-means luminance compression with one codebook per image.
+
+    Pixels find their cluster through the same range join as the histogram
+    values (segments carry the cluster's weighted mean), so no table is ever
+    grouped by image.
+    """
+    nb = max(64, 2 * k)
+    lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
+    hist = value_histogram(lum, "lum", keys=("image_id",))
+    ranges, hb = _bucketed_histogram(hist, nb)
+    cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb))
+    assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v")
+    nn = F.col("n").cast("double")
+    wgt = nn * nn if weight == "squared" else nn
+    means = assigned.groupBy("image_id", "cid").agg(
+        (F.sum(wgt * F.col("v")) / F.sum(wgt)).alias("mean"))
+    # Each pixel's luminance is a histogram value: map it through the value
+    # assignment (image_id, v) -> mean.
+    value_mean = materialise(assigned.join(means, ["image_id", "cid"])
+                             .select("image_id", F.col("v").alias("lum"), "mean"), "value-means")
+    mapped = join_small(lum, value_mean, ["image_id", "lum"])
+    scale = px.safe_div(F.col("mean"), F.col("lum"))
+    return mapped.select("image_id", "y", "x",
+                         *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])

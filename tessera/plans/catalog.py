@@ -299,6 +299,13 @@ def q_kmeans_tonemap(spark, sf_dir):
     return _with_8bit(cl.kmeans_tonemap(tb.hdr(spark, sf_dir), seed=42))
 
 
+@register("kmeans_tonemap_per_image")
+def q_kmeans_tonemap_per_image(spark, sf_dir):
+    # One codebook per image (grid start per image), as when each image is
+    # tone-mapped on its own.
+    return _with_8bit(cl.kmeans_tonemap_per_image(tb.hdr(spark, sf_dir), init="grid"))
+
+
 @register("kmeans_tonemap_grid")
 def q_kmeans_tonemap_grid(spark, sf_dir):
     # Same pipeline from centres spread evenly over the luminance range, so

@@ -401,3 +401,48 @@ kmapped as (
 ORACLES["kmeans_tonemap_grid"] = _with(
     HDR, LUM, K0, *[_kstep(i) for i in range(1, 6)], _kassign("kfin", "k5"), KMAP) + \
     _tone_select("kmapped", "b", "g", "r")
+
+
+# ---------------------------------------------- k-means tone map per image
+PLUM = """plum as (
+  select image_id, y, x, b, g, r, b*0.0722::double + g*0.7152::double + r*0.2126::double lum
+  from hdr),
+pvals as (select image_id, lum v, count(*) n from plum group by image_id, lum),
+prng as (select image_id, min(v) lo, max(v) hi from pvals group by image_id)"""
+
+P0 = """p0 as (
+  select s.image_id, cast(t.range as int) cid,
+         s.lo + (s.hi - s.lo)*(cast(t.range as int) + 0.5::double)/256 c
+  from range(256) t, prng s)"""
+
+
+def _passign(name: str, centres: str) -> str:
+    return f"""{name} as (
+  select image_id, v, n, cid from (
+    select a.image_id, a.v, a.n, c.cid,
+           row_number() over (partition by a.image_id, a.v order by abs(a.v - c.c), c.cid) rn
+    from pvals a join {centres} c on c.image_id = a.image_id) t
+  where rn = 1)"""
+
+
+def _pstep(i: int) -> str:
+    return ",\n".join([
+        _passign(f"pa{i}", f"p{i - 1}"),
+        f"pm{i} as (select image_id, cid, sum(n*v)/sum(n) c from pa{i} group by image_id, cid)",
+        f"p{i} as (select p.image_id, p.cid, coalesce(m.c, p.c) c from p{i - 1} p "
+        f"left join pm{i} m on m.image_id = p.image_id and m.cid = p.cid)",
+    ])
+
+
+PMAP = """pfinal as (
+  select a.image_id, a.v, w.mean from pfin a join (
+    select image_id, cid, sum(n*n*v)/sum(n*n) mean from pfin group by image_id, cid) w
+    on w.image_id = a.image_id and w.cid = a.cid),
+pmapped as (
+  select l.image_id, l.y, l.x, l.b*(f.mean/nullif(l.lum, 0)) b,
+         l.g*(f.mean/nullif(l.lum, 0)) g, l.r*(f.mean/nullif(l.lum, 0)) r
+  from plum l join pfinal f on f.image_id = l.image_id and f.v = l.lum)"""
+
+ORACLES["kmeans_tonemap_per_image"] = _with(
+    HDR, PLUM, P0, *[_pstep(i) for i in range(1, 6)], _passign("pfin", "p5"), PMAP) + \
+    _tone_select("pmapped", "b", "g", "r")
