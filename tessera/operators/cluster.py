@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
-from tessera.plans.joins import join_small, materialise
+from tessera.plans.joins import broadcast_fits, join_small, materialise
 
 # Fixed values of the k-means tone map: clusters and Lloyd iterations.
 KMEANS_TONE_K = 256
@@ -254,10 +254,24 @@ def _segments(centres: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
                        "lc", "lcid", "uc", "ucid")
 
 
-def _assign_segments(values: DataFrame, segs: DataFrame, value: str) -> DataFrame:
-    """Range join of bucketed values with segments; adds ``cid``."""
+# Bytes per segment row in memory (keys, two centres, two ids, row overhead).
+_SEGMENT_ROW_BYTES = 64
+
+
+def _assign_segments(values: DataFrame, segs: DataFrame, value: str,
+                     broadcast: bool | None = None) -> DataFrame:
+    """Range join of bucketed values with segments; adds ``cid``.
+
+    ``broadcast`` is the caller's size decision (from a row bound); ``None``
+    materialises the segments and checks their written size.
+    """
     v = F.col(value)
-    j = join_small(values, segs, ["image_id", "bucket"]).where(
+    keys = ["image_id", "bucket"]
+    if broadcast is None:
+        j = join_small(values, segs, keys)
+    else:
+        j = values.join(F.broadcast(segs) if broadcast else segs, keys)
+    j = j.where(
         (F.col("lc").isNull() | (v >= F.col("lc"))) & (F.col("uc").isNull() | (v < F.col("uc"))))
     near = F.least(F.struct(F.abs(v - F.col("lc")).alias("d"), F.col("lcid").alias("i")),
                    F.struct(F.abs(v - F.col("uc")).alias("d"), F.col("ucid").alias("i")))["i"]
@@ -307,8 +321,11 @@ def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
     else:
         raise ValueError("init must be 'grid' or 'random'")
     cents = materialise(cents, "centres")
+    # Segment rows per image are at most k + 1 + buckets: size the join once.
+    n_images = ranges.count()
+    small = broadcast_fits(hist.sparkSession, n_images * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
     for _ in range(iterations):
-        assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v")
+        assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
         upd = assigned.groupBy("image_id", "cid").agg(
             (F.sum(F.col("n").cast("double") * F.col("v")) / F.sum("n")).alias("c_new"))
         cents = materialise(
@@ -331,7 +348,8 @@ def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
     hist = value_histogram(lum, "lum", keys=("image_id",))
     ranges, hb = _bucketed_histogram(hist, nb)
     cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb))
-    assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v")
+    small = broadcast_fits(hdr.sparkSession, ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
+    assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
     nn = F.col("n").cast("double")
     wgt = nn * nn if weight == "squared" else nn
     means = assigned.groupBy("image_id", "cid").agg(

@@ -70,6 +70,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+def broadcast_fits(spark, est_bytes: int) -> bool:
+    """Whether a table of ``est_bytes`` (in memory) may be broadcast."""
+    limit = broadcast_threshold(spark)
+    return limit > 0 and est_bytes <= limit
+
+
 def join_literal(big: DataFrame, small: DataFrame, on=None, how: str = "inner") -> DataFrame:
     """Join with a table whose size is fixed by its definition (a parameter
     list or a mask), so it is always broadcast."""

@@ -72,3 +72,23 @@ def test_centre_assignment_is_join_free(spark):
     vals = tb.values(spark, SF01)
     assigned = cl.assign_nearest(vals, "v", [(0, 1.0), (1, 100.0), (2, 300.0)])
     assert "Join" not in _static(assigned)
+
+
+def test_size_checked_joins_fall_back_to_shuffle_joins(spark):
+    """With broadcasting disabled the per-image joins become shuffle joins and
+    the results do not change (the path taken beyond the size check)."""
+    from tessera.plans.compare import compare, duckdb_views
+    from tessera.plans.oracles import ORACLES
+
+    con = duckdb_views(SF01)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("tone_log", "histeq_tonemap", "tone_batch_params",
+                     "kmeans_tonemap_per_image", "matmul_rect"):
+            df = QUERIES[name](spark, SF01)
+            assert compare(df.toPandas(), con.sql(ORACLES[name]).df()) is None, name
+            text = _plan(df)
+            assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
