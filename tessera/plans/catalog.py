@@ -44,14 +44,16 @@ def q_sobel(spark, sf_dir):
 
 # ----------------------------------------------------------------- helpers
 def r6(c):
-    """Round a float column to 6 decimals for cross-engine comparison.
+    """Round a float column for cross-engine comparison, on a binary grid.
 
-    ``round(x * 1e6) / 1e6`` rounds the binary value half away from zero, the
-    same in Spark and DuckDB; ``round(x, 6)`` does not (Spark rounds the
-    shortest decimal string), which matters for data with exact 7-decimal ties.
+    ``round(x * 2^20) / 2^20`` (resolution about 1e-6): scaling by a power of
+    two is exact, and a value with a short decimal expansion (this data has
+    many) almost never lies on a binary half-step, so a last-bit difference
+    between engines (summation order) does not flip the rounded result, as it
+    can with a decimal tie such as 1.7910375 at 6 decimals.
     """
     x = F.col(c) if isinstance(c, str) else c
-    return F.round(x * F.lit(1e6), 0) / F.lit(1e6) + F.lit(0.0)
+    return F.round(x * F.lit(COMPARE_SCALE), 0) / F.lit(COMPARE_SCALE) + F.lit(0.0)
 
 
 def _round_cols(df: DataFrame, cols) -> DataFrame:
@@ -65,6 +67,9 @@ def _with_8bit(df: DataFrame, cols=("b", "g", "r")) -> DataFrame:
                      *[quantise8(c).alias(f"{c}8") for c in cols])
 
 
+# Resolution of the comparison rounding (2^20).
+COMPARE_SCALE = 1048576.0
+
 # Fixed parameters of the registered queries.
 EXPOSURE_ALPHA, EXPOSURE_BETA = 1.5, -20.0
 TONE_P1, TONE_P2 = 0.4, 1.2

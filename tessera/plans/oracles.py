@@ -58,10 +58,9 @@ group by c.image_id, c.y, c.x"""
 
 
 def R6(expr: str) -> str:
-    """Round to 6 decimals as ``round(x * 1e6) / 1e6`` (half away from zero on
-    the binary value, identical in both engines); adding 0.0 turns a negative
-    zero into zero."""
-    return f"(round(({expr}) * 1000000.0::double) / 1000000.0::double + 0.0)"
+    """Round on the binary grid ``round(x * 2^20) / 2^20`` like the catalogue;
+    adding 0.0 turns a negative zero into zero."""
+    return f"(round(({expr}) * 1048576.0::double) / 1048576.0::double + 0.0)"
 
 
 def Q8(expr: str) -> str:
