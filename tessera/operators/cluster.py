@@ -28,11 +28,12 @@ def value_histogram(df: DataFrame, value: str, keys: tuple[str, ...] = (),
 
 def grid_centres(spark: SparkSession, values: DataFrame, k: int, value: str = "v") -> DataFrame:
     """``k`` initial centres evenly spread over ``[min, max]`` of the data:
-    ``lo + (hi - lo) * (cid + 0.5) / k``.  ``lo``/``hi`` are scalar subqueries."""
+    ``lo + (hi - lo) * (cid + 0.5) / k``.  ``min``/``max`` come from one
+    aggregation (one row to the driver)."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    lo = values.select(F.min(value)).scalar()
-    hi = values.select(F.max(value)).scalar()
+    r = values.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    lo, hi = F.lit(r["lo"]).cast("double"), F.lit(r["hi"]).cast("double")
     cid = F.col("id").cast("int")
     return spark.range(k).select(
         cid.alias("cid"), (lo + (hi - lo) * (cid + F.lit(0.5)) / F.lit(k)).alias("c"))

@@ -94,12 +94,13 @@ def row_blocks(df: DataFrame, n_blocks: int, index: str = "i",
     """Assign rows with a dense 0-based index to ``n_blocks`` contiguous blocks.
 
     Block sizes differ by at most one and the first ``n mod w`` blocks get the
-    extra row.  ``n_rows`` defaults to a scalar subquery ``count(*)``, so the
-    assignment is one narrow projection with no window over the whole table.
+    extra row.  ``n_rows`` defaults to ``count(*)`` (one aggregation job, one
+    number to the driver), so the assignment is one narrow projection with no
+    window over the whole table.
     """
     if n_blocks < 1:
         raise ValueError("n_blocks must be >= 1")
-    n = F.lit(n_rows) if n_rows is not None else df.select(F.count(F.lit(1))).scalar()
+    n = F.lit(int(n_rows if n_rows is not None else df.count())).cast("long")
     w = F.lit(n_blocks).cast("long")
     q = F.floor(n / w).cast("long")
     e = (n % w).cast("long")
