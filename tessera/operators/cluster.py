@@ -239,8 +239,11 @@ def _segments(centres: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
     ``lc``/``uc`` are the centres just below/above the segment (NULL beyond
     the first/last centre).  A window orders at most ``k`` centres per image.
     """
-    dedup = centres.groupBy("image_id", "c").agg(F.min("cid").alias("cid"))
-    w = Window.partitionBy("image_id").orderBy("c")
+    # Equal centres keep the smallest id: drop a centre equal to its
+    # predecessor in (c, cid) order.  Both windows share one partitioning.
+    w = Window.partitionBy("image_id").orderBy("c", "cid")
+    dedup = (centres.select("image_id", "cid", "c", F.lag("c").over(w).alias("prev"))
+             .where(F.col("prev").isNull() | (F.col("prev") != F.col("c"))))
     seg = dedup.select("image_id", F.col("c").alias("lc"), F.col("cid").alias("lcid"),
                        F.lead("c").over(w).alias("uc"), F.lead("cid").over(w).alias("ucid"),
                        F.row_number().over(w).alias("rk"))
@@ -293,7 +296,8 @@ def _bucketed_histogram(hist: DataFrame, buckets: int) -> tuple[DataFrame, DataF
 
 def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
                       init: str = "grid", buckets: int | None = None,
-                      prepared: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                      prepared: tuple[DataFrame, DataFrame] | None = None,
+                      small: bool | None = None) -> DataFrame:
     """k-means per image on a histogram ``(image_id, v, n)``: ``(image_id, cid, c)``.
 
     Initial centres per image are spread evenly over the image's value range
@@ -322,16 +326,23 @@ def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
     else:
         raise ValueError("init must be 'grid' or 'random'")
     cents = materialise(cents, "centres")
-    # Segment rows per image are at most k + 1 + buckets: size the join once.
-    n_images = ranges.count()
-    small = broadcast_fits(hist.sparkSession, n_images * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
+    if small is None:
+        # Segment rows per image are at most k + 1 + buckets: size the join once.
+        small = broadcast_fits(hist.sparkSession,
+                               ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
     for _ in range(iterations):
         assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
-        upd = assigned.groupBy("image_id", "cid").agg(
-            (F.sum(F.col("n").cast("double") * F.col("v")) / F.sum("n")).alias("c_new"))
+        # New centre = weighted mean of its values; an empty cluster keeps its
+        # old centre.  One aggregation over the union replaces a merge join.
+        both = cents.select("image_id", "cid", F.col("c").alias("old"),
+                            F.lit(None).cast("double").alias("nv"),
+                            F.lit(None).cast("double").alias("n")).unionByName(
+            assigned.select("image_id", "cid", F.lit(None).cast("double").alias("old"),
+                            (F.col("n").cast("double") * F.col("v")).alias("nv"),
+                            F.col("n").cast("double").alias("n")))
         cents = materialise(
-            cents.join(upd, ["image_id", "cid"], "left")
-            .select("image_id", "cid", F.coalesce("c_new", "c").alias("c")), "centres")
+            both.groupBy("image_id", "cid").agg(
+                F.coalesce(F.sum("nv") / F.sum("n"), F.max("old")).alias("c")), "centres")
     return cents
 
 
@@ -348,8 +359,9 @@ def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
     lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
     hist = value_histogram(lum, "lum", keys=("image_id",))
     ranges, hb = _bucketed_histogram(hist, nb)
-    cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb))
     small = broadcast_fits(hdr.sparkSession, ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
+    cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb),
+                              small=small)
     assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
     nn = F.col("n").cast("double")
     wgt = nn * nn if weight == "squared" else nn
