@@ -289,7 +289,7 @@ def _bucketed_histogram(hist: DataFrame, buckets: int) -> tuple[DataFrame, DataF
     once to the checkpoint folder (they are re-read by every iteration)."""
     ranges = materialise(hist.groupBy("image_id").agg(F.min("v").alias("lo"),
                                                       F.max("v").alias("hi")), "ranges")
-    hb = join_small(hist, ranges, "image_id").select(
+    hb = join_small(hist, ranges, "image_id", written=True).select(
         "image_id", "v", "n", _bucket(F.col("v"), F.col("lo"), F.col("hi"), buckets).alias("bucket"))
     return ranges, materialise(hb, "bucketed-histogram")
 
@@ -320,7 +320,7 @@ def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
             .alias("c"))
     elif init == "random":
         w = Window.partitionBy("image_id").orderBy(F.xxhash64(F.col("v"), F.lit(seed)), "v")
-        cents = (hist.select("image_id", "v", F.row_number().over(w).alias("r"))
+        cents = (hb.select("image_id", "v", F.row_number().over(w).alias("r"))
                  .where(F.col("r") <= k)
                  .select("image_id", (F.col("r") - 1).cast("int").alias("cid"), F.col("v").alias("c")))
     else:
@@ -352,8 +352,11 @@ def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
     """k-means luminance compression with one codebook per image.
 
     Pixels find their cluster through the same range join as the histogram
-    values (segments carry the cluster's weighted mean), so no table is ever
-    grouped by image.
+    values (bucket of their luminance, then the segment holding it), and the
+    cluster's weighted mean through a join on ``(image_id, cid)``.  Both
+    tables joined to the pixels are bounded by ``images x (k + 1 + buckets)``
+    rows, whatever the number of distinct luminance values, and are
+    broadcast when that fits; no table is ever grouped by image.
     """
     nb = max(64, 2 * k)
     lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
@@ -362,16 +365,17 @@ def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
     small = broadcast_fits(hdr.sparkSession, ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
     cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb),
                               small=small)
-    assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
+    segs = materialise(_segments(cents, ranges, nb), "segments")
+    assigned = _assign_segments(hb, segs, "v", broadcast=small)
     nn = F.col("n").cast("double")
     wgt = nn * nn if weight == "squared" else nn
     means = assigned.groupBy("image_id", "cid").agg(
         (F.sum(wgt * F.col("v")) / F.sum(wgt)).alias("mean"))
-    # Each pixel's luminance is a histogram value: map it through the value
-    # assignment (image_id, v) -> mean.
-    value_mean = materialise(assigned.join(means, ["image_id", "cid"])
-                             .select("image_id", F.col("v").alias("lum"), "mean"), "value-means")
-    mapped = join_small(lum, value_mean, ["image_id", "lum"])
+    lum_b = join_small(lum, ranges, "image_id", written=True).select(
+        "image_id", "y", "x", "b", "g", "r", "lum",
+        _bucket(F.col("lum"), F.col("lo"), F.col("hi"), nb).alias("bucket"))
+    px_cid = _assign_segments(lum_b, segs, "lum", broadcast=small)
+    mapped = join_small(px_cid, means, ["image_id", "cid"])
     scale = px.safe_div(F.col("mean"), F.col("lum"))
     return mapped.select("image_id", "y", "x",
                          *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])

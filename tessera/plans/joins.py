@@ -56,14 +56,16 @@ IN_MEMORY_EXPANSION = 2
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_bytes: int | None = None) -> DataFrame:
+               max_bytes: int | None = None, written: bool = False) -> DataFrame:
     """Join ``big`` with a derived ``small`` table, broadcasting it only if it fits.
 
-    ``small`` is materialised; its file size times an in-memory expansion
-    allowance is compared with the broadcast threshold.  Beyond it the join
-    stays a shuffle join, where adaptive execution splits hot keys.
+    ``small`` is materialised (unless ``written``: it already is a plain
+    parquet scan); its file size times an in-memory expansion allowance is
+    compared with the broadcast threshold.  Beyond it the join stays a
+    shuffle join, where adaptive execution splits hot keys.
     """
-    small = materialise(small, "join-side")
+    if not written:
+        small = materialise(small, "join-side")
     limit = broadcast_threshold(big.sparkSession) if max_bytes is None else max_bytes
     if limit > 0 and size_in_bytes(small) * IN_MEMORY_EXPANSION <= limit:
         small = F.broadcast(small)
