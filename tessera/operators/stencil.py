@@ -221,24 +221,38 @@ def _tile_fn(mask, band_rows: int, border: str, clamp: bool, out: str, integer:
         return pd.DataFrame({"image_id": cols[0], "y": cols[1], "x": cols[2], out: cols[3]})
 
     def run(batches):
-        # Rows arrive sorted by (image_id, band); a band may continue in the
-        # next Arrow batch, so the last band of each batch is carried over.
-        carry = None
+        # Rows arrive sorted by (image_id, band); a band may continue over
+        # several Arrow batches.  The pieces of the open band are kept in a
+        # list and joined once when the band is complete (no repeated copies).
+        pending: list[pd.DataFrame] = []
+        open_key = None
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            last = (pdf["image_id"].to_numpy() == pdf["image_id"].iloc[-1]) & \
-                   (pdf["band"].to_numpy() == pdf["band"].iloc[-1])
-            carry = pdf[last]
-            done = pdf[~last]
-            if len(done):
-                res = bands_of(done.reset_index(drop=True))
+            img = pdf["image_id"].to_numpy()
+            band = pdf["band"].to_numpy()
+            if open_key is not None:
+                same = (img == open_key[0]) & (band == open_key[1])
+                n_same = len(pdf) if same.all() else int(np.argmin(same))
+                if n_same:
+                    pending.append(pdf.iloc[:n_same])
+                if n_same == len(pdf):
+                    continue
+                res = bands_of(pd.concat(pending, ignore_index=True))
                 if res is not None:
                     yield res
-        if carry is not None and len(carry):
-            res = bands_of(carry.reset_index(drop=True))
+                pending = []
+                pdf = pdf.iloc[n_same:].reset_index(drop=True)
+                img, band = img[n_same:], band[n_same:]
+            last = (img == img[-1]) & (band == band[-1])
+            open_key = (img[-1], band[-1])
+            if (~last).any():
+                res = bands_of(pdf[~last].reset_index(drop=True))
+                if res is not None:
+                    yield res
+            pending = [pdf[last]]
+        if pending:
+            res = bands_of(pd.concat(pending, ignore_index=True))
             if res is not None:
                 yield res
 

@@ -169,3 +169,23 @@ def test_black_pixels_are_null_then_zero(spark):
     hdr = tb.hdr(spark, SF01)
     out = tone.histeq_tonemap(hdr).where("image_id = 0 and y = 0 and x = 0").collect()[0]
     assert out["r"] is None and out["g"] is None and out["b"] is None
+
+
+def test_tiles_with_bands_spanning_many_arrow_batches(spark):
+    from pyspark.sql import functions as F
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        px_ = spark.range(3 * 130 * 90).select(
+            (F.col("id") / (130 * 90)).cast("int").alias("image_id"),
+            ((F.col("id") % (130 * 90)) / 90).cast("int").alias("y"),
+            (F.col("id") % 90).cast("int").alias("x"),
+            F.pmod(F.xxhash64("id"), F.lit(256)).cast("int").alias("gray"))
+        for border in ("zero", "reflect101"):
+            a = stencil.sobel_x(px_, border=border, method="tiles")
+            b = stencil.sobel_x(px_, border=border, method="bands")
+            assert a.count() == 3 * 130 * 90
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
