@@ -10,9 +10,9 @@ Products, by shape:
 * ``matmul_coo``: join cells on the inner index, aggregate by ``(i, j)``.
   For sparse or skinny inputs; the join emits one row per multiply.
 * ``matmul_block``: pack ``bs x bs`` blocks (groups bounded by ``bs^2``
-  cells), join blocks on the inner block index, multiply each pair with
-  NumPy inside ``mapInPandas`` and add the partial blocks, summing inside each
-  task before the shuffle.  For dense inputs.
+  cells), join blocks on the inner block index, shuffle the pairs by output
+  block, and multiply-add them with NumPy inside ``mapInPandas``.  For dense
+  inputs.
 * ``gram``: ``X^T X`` of a tall matrix given as rows ``(i, array)``: each
   task adds ``x x^T`` over its own rows and emits one ``d x d`` partial, so
   the only shuffle carries ``tasks * d^2`` cells.
@@ -159,16 +159,16 @@ def _dense(pos, val, bs: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
-                 max_open_blocks: int = 64) -> DataFrame:
+                 max_open_blocks: int = 1) -> DataFrame:
     """Dense ``C = A B`` by ``bs x bs`` blocks.
 
     Ragged edge blocks are zero-padded; a cell of ``C`` is emitted exactly
     when some inner index has a stored cell on both sides (the product of the
     two sparsity patterns), so the result has the same cells as
-    :func:`matmul_coo`.  Partial products of the same output block are added
-    inside the task before the final aggregation; at most
-    ``max_open_blocks`` output blocks are held per task, then flushed, so task
-    memory stays bounded whatever the matrix size.
+    :func:`matmul_coo`.  Block pairs are shuffled by output block and sorted,
+    so one task adds all partial products of an output block and emits its
+    cells once (no aggregation of partial cells); a task holds one open
+    output block at a time.
     """
     if bs < 1:
         raise ValueError("block size must be >= 1")
@@ -176,7 +176,10 @@ def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
         "bi", "bk", F.col("pos").alias("a_pos"), F.col("val").alias("a_val"))
     bb = _pack_blocks(b, bs, "bk", "bj").select(
         "bk", "bj", F.col("pos").alias("b_pos"), F.col("val").alias("b_val"))
-    pairs = ab.join(bb, "bk").select("bi", "bj", "a_pos", "a_val", "b_pos", "b_val")
+    # Pairs of the same output block meet in one task (sorted), so all their
+    # partial products are summed there and each cell is emitted once.
+    pairs = (ab.join(bb, "bk").select("bi", "bj", "a_pos", "a_val", "b_pos", "b_val")
+             .repartition("bi", "bj").sortWithinPartitions("bi", "bj"))
 
     def flush(acc, hit) -> Iterator[pd.DataFrame]:
         for (bi, bj), m in acc.items():
@@ -205,8 +208,7 @@ def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
                     acc[key], hit[key] = prod, cover
         yield from flush(acc, hit)
 
-    partial = pairs.mapInPandas(multiply, CELL_SCHEMA)
-    return partial.groupBy("i", "j").agg(F.sum("v").alias("v"))
+    return pairs.mapInPandas(multiply, CELL_SCHEMA)
 
 
 def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:

@@ -26,6 +26,9 @@ def scale_conf(input_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # Arrow batches handed to Python (matrix blocks, image strips) are
+        # bounded by bytes as well as by records.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * MIB),
     }
 
 

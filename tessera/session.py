@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         # Python call-site capture costs several JVM round trips per column
         # function; it only serves error messages.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Rows handed to Python may be large (matrix blocks): bound batches by bytes too.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEM", "8g"))
     )
     spark = builder.getOrCreate()
