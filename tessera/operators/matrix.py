@@ -159,43 +159,47 @@ def _dense(pos, val, bs: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
-                 max_open_blocks: int = 1) -> DataFrame:
+                 pairs_per_task: int = 256) -> DataFrame:
     """Dense ``C = A B`` by ``bs x bs`` blocks.
 
     Ragged edge blocks are zero-padded; a cell of ``C`` is emitted exactly
     when some inner index has a stored cell on both sides (the product of the
     two sparsity patterns), so the result has the same cells as
-    :func:`matmul_coo`.  Block pairs are shuffled by output block and sorted,
-    so one task adds all partial products of an output block and emits its
-    cells once (no aggregation of partial cells); a task holds one open
-    output block at a time.
+    :func:`matmul_coo`.  Block pairs are shuffled by output block and by
+    group of ``pairs_per_task`` inner blocks (``bk div pairs_per_task``), and
+    sorted, so a task adds up to ``pairs_per_task`` partial products of one
+    output block, holding one open block at a time; the final aggregation
+    then adds at most ``ceil(inner blocks / pairs_per_task)`` partials per
+    cell.  A product with a single output block (a Gram matrix) is thus
+    still spread over many tasks.
     """
-    if bs < 1:
-        raise ValueError("block size must be >= 1")
+    if bs < 1 or pairs_per_task < 1:
+        raise ValueError("block size and pairs_per_task must be >= 1")
     ab = _pack_blocks(a, bs, "bi", "bk").select(
         "bi", "bk", F.col("pos").alias("a_pos"), F.col("val").alias("a_val"))
     bb = _pack_blocks(b, bs, "bk", "bj").select(
         "bk", "bj", F.col("pos").alias("b_pos"), F.col("val").alias("b_val"))
-    # Pairs of the same output block meet in one task (sorted), so all their
-    # partial products are summed there and each cell is emitted once.
-    pairs = (ab.join(bb, "bk").select("bi", "bj", "a_pos", "a_val", "b_pos", "b_val")
-             .repartition("bi", "bj").sortWithinPartitions("bi", "bj"))
+    # Pairs of one output block and one inner-block group meet in one task
+    # (sorted), so their partial products are summed there.
+    grp = F.floor(F.col("bk") / F.lit(pairs_per_task)).cast("long").alias("grp")
+    pairs = (ab.join(bb, "bk").select("bi", "bj", grp, "a_pos", "a_val", "b_pos", "b_val")
+             .repartition("bi", "bj", "grp").sortWithinPartitions("bi", "bj", "grp"))
 
     def flush(acc, hit) -> Iterator[pd.DataFrame]:
-        for (bi, bj), m in acc.items():
-            rr, cc = np.nonzero(hit[(bi, bj)])
+        for (bi, bj, g), m in acc.items():
+            rr, cc = np.nonzero(hit[(bi, bj, g)])
             if len(rr):
                 yield pd.DataFrame({"i": bi * bs + rr, "j": bj * bs + cc, "v": m[rr, cc]})
         acc.clear()
         hit.clear()
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[tuple[int, int], np.ndarray] = {}
-        hit: dict[tuple[int, int], np.ndarray] = {}
+        acc: dict[tuple[int, int, int], np.ndarray] = {}
+        hit: dict[tuple[int, int, int], np.ndarray] = {}
         for pdf in batches:
-            for bi, bj, ap, av, bp, bv in zip(pdf["bi"], pdf["bj"], pdf["a_pos"],
-                                              pdf["a_val"], pdf["b_pos"], pdf["b_val"]):
-                key = (int(bi), int(bj))
+            for bi, bj, g, ap, av, bp, bv in zip(pdf["bi"], pdf["bj"], pdf["grp"], pdf["a_pos"],
+                                                 pdf["a_val"], pdf["b_pos"], pdf["b_val"]):
+                key = (int(bi), int(bj), int(g))
                 ma, pa = _dense(ap, av, bs)
                 mb, pb = _dense(bp, bv, bs)
                 prod, cover = ma @ mb, (pa @ pb) > 0
@@ -203,12 +207,13 @@ def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
                     acc[key] += prod
                     hit[key] |= cover
                 else:
-                    if len(acc) >= max_open_blocks:
+                    if acc:  # sorted input: the previous block is complete
                         yield from flush(acc, hit)
                     acc[key], hit[key] = prod, cover
         yield from flush(acc, hit)
 
-    return pairs.mapInPandas(multiply, CELL_SCHEMA)
+    partial = pairs.mapInPandas(multiply, CELL_SCHEMA)
+    return partial.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
 def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:

@@ -103,6 +103,9 @@ def test_gram_equals_numpy(spark):
     cells = tb.embedding_cells(spark, SF001)
     blk = _dense(mx.matmul_block(mx.transpose(cells), cells, bs=100), 64, 64)
     np.testing.assert_allclose(blk, x.T @ x, rtol=1e-10, atol=1e-12)
+    # One output block, five inner blocks in groups of two: three tasks' partials.
+    salted = _dense(mx.matmul_block(mx.transpose(cells), cells, bs=100, pairs_per_task=2), 64, 64)
+    np.testing.assert_allclose(salted, x.T @ x, rtol=1e-10, atol=1e-12)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
