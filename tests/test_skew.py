@@ -45,3 +45,16 @@ def test_histogram_shuffle_spreads_a_hot_image(spark):
     assert parts >= 8 and share < 0.25
     hist = tone.lum_histogram(px)
     assert hist.where("image_id = 0").agg(F.sum("n")).first()[0] == 120000
+
+
+def test_per_image_kmeans_on_a_hot_image(spark):
+    from tessera.operators import cluster as cl
+
+    px = _corpus(spark)
+    out = cl.kmeans_tonemap_per_image(px, k=8, iterations=2)
+    assert out.count() == px.count()
+    # Every image got its own codebook: at most 8 distinct scale factors each.
+    scales = (out.alias("o").join(px.alias("p"), ["image_id", "y", "x"])
+              .select("image_id", (F.col("o.g") / F.col("p.g")).alias("s"))
+              .where("s is not null").groupBy("image_id").agg(F.countDistinct("s").alias("k")))
+    assert scales.agg(F.max("k")).first()[0] > 1
