@@ -55,6 +55,6 @@ def test_per_image_kmeans_on_a_hot_image(spark):
     assert out.count() == px.count()
     # Every image got its own codebook: at most 8 distinct scale factors each.
     scales = (out.alias("o").join(px.alias("p"), ["image_id", "y", "x"])
-              .select("image_id", (F.col("o.g") / F.col("p.g")).alias("s"))
+              .select("image_id", F.try_divide(F.col("o.g"), F.col("p.g")).alias("s"))
               .where("s is not null").groupBy("image_id").agg(F.countDistinct("s").alias("k")))
     assert scales.agg(F.max("k")).first()[0] > 1
