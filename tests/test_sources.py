@@ -161,3 +161,33 @@ def test_write_pixels_round_trip(spark, tmp_path):
     sinks.append_timings(row, log)
     sinks.append_timings(row, log)
     assert spark.read.parquet(log).count() == 2
+
+
+def test_golden_gray_timing_report(spark):
+    """Published gray timings for the 640x360 image: mean GPU 0.00016625 s,
+    mean CPU 0.0007245 s, speedup (mean of per-run ratios) 4.2346495."""
+    from tessera.operators import timings as tm
+
+    d = tempfile.mkdtemp(prefix="tessera-gray-")
+    # The 20 recorded runs (gpu s, cpu s, ratio).
+    runs = [
+        (0.000234, 0.002419, 10.3376), (0.000186, 0.000545, 2.93011),
+        (0.000162, 0.000512, 3.16049), (0.000164, 0.000628, 3.82927),
+        (0.000162, 0.000648, 4), (0.000162, 0.000661, 4.08025),
+        (0.000162, 0.000665, 4.10494), (0.000162, 0.000613, 3.78395),
+        (0.000161, 0.000661, 4.10559), (0.00016, 0.000681, 4.25625),
+        (0.00016, 0.000602, 3.7625), (0.000161, 0.000603, 3.74534),
+        (0.000161, 0.0007, 4.34783), (0.000161, 0.000634, 3.93789),
+        (0.00016, 0.000636, 3.975), (0.000162, 0.000643, 3.96914),
+        (0.000161, 0.000671, 4.1677), (0.000162, 0.000638, 3.93827),
+        (0.000161, 0.000703, 4.36646), (0.000161, 0.000627, 3.89441),
+    ]
+    with open(os.path.join(d, "crash.jpgTimes"), "w") as f:
+        f.writelines(f"{g} {c} {q}\n" for g, c, q in runs)
+    logs = read_timing_logs(spark, d)
+    m = tm.timing_mean(logs).collect()[0]
+    assert (m["workload"], m["variant"], m["n_runs"]) == ("crash.jpg", "", 20)
+    assert m["mean_gpu"] == pytest.approx(0.00016625, rel=1e-12)
+    assert m["mean_cpu"] == pytest.approx(0.0007245, rel=1e-12)
+    sp = tm.timing_speedup(logs).collect()[0]["speedup"]
+    assert sp == pytest.approx(4.2346495, rel=1e-7)
