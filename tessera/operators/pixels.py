@@ -83,8 +83,8 @@ def channel_merge(long_df: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"
 
 
 def abs_saturate(df: DataFrame, value: str) -> DataFrame:
-    """``|v|`` saturated to 255 (absolute value of a signed gradient)."""
-    return df.select(*KEYS, F.least(F.lit(255), F.abs(F.col(value))).alias(value))
+    """``|v|`` saturated to 255 (absolute value of a signed gradient), as int."""
+    return df.select(*KEYS, F.least(F.lit(255), F.abs(F.col(value))).cast("int").alias(value))
 
 
 def quantise(df: DataFrame, cols: tuple[str, ...] = ("b", "g", "r")) -> DataFrame:
