@@ -45,15 +45,26 @@ def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (exact file size for a plain scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 # Parquet pages are compressed; numeric rows in memory (plus the hash table)
 # take about twice the bytes of the written file.
 IN_MEMORY_EXPANSION = 2
 
+# Bytes per field assumed when the size must be estimated from a row count.
+_FIELD_BYTES = 16
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (exact file size for a plain scan).
+
+    Without access to the plan (Spark Connect) the rows are counted and a
+    fixed width per field is assumed, then halved so that the caller's
+    in-memory allowance gives the same estimate.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return df.count() * len(df.columns) * _FIELD_BYTES // IN_MEMORY_EXPANSION
+
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_bytes: int | None = None, written: bool = False) -> DataFrame:

@@ -49,7 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting is absent (tests); a cluster without the setting is an error,
     because a machine-local folder does not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
