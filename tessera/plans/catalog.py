@@ -2,7 +2,7 @@
 a DataFrame whose column names equal those of its oracle in ``oracles.py``.
 
 Library operators return full precision; the catalogue rounds float columns
-to 6 decimals only so that results can be compared across engines.
+on a 2^-20 grid only so that results can be compared across engines.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def q_sobel(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- helpers
-def r6(c):
+def cmp_round(c):
     """Round a float column for cross-engine comparison, on a binary grid.
 
     ``round(x * 2^20) / 2^20`` (resolution about 1e-6): scaling by a power of
@@ -57,13 +57,13 @@ def r6(c):
 
 
 def _round_cols(df: DataFrame, cols) -> DataFrame:
-    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[cmp_round(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _with_8bit(df: DataFrame, cols=("b", "g", "r")) -> DataFrame:
-    """Float channels rounded to 6 decimals plus their 8-bit quantisation."""
+    """Float channels rounded for comparison plus their 8-bit quantisation."""
     return df.select(*[c for c in df.columns if c not in cols],
-                     *[r6(c).alias(c) for c in cols],
+                     *[cmp_round(c).alias(c) for c in cols],
                      *[quantise8(c).alias(f"{c}8") for c in cols])
 
 
@@ -144,7 +144,7 @@ def q_hdr_scan(spark, sf_dir):
 @register("luminance")
 def q_luminance(spark, sf_dir):
     h = tb.hdr(spark, sf_dir)
-    return h.select("image_id", "y", "x", r6(px.luminance()).alias("lum"))
+    return h.select("image_id", "y", "x", cmp_round(px.luminance()).alias("lum"))
 
 
 @register("rgb_to_xyy")

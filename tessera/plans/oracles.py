@@ -57,7 +57,7 @@ left join gray8 n on n.image_id=c.image_id and n.y=c.y+m.dy and n.x=c.x+m.dx
 group by c.image_id, c.y, c.x"""
 
 
-def R6(expr: str) -> str:
+def CMP(expr: str) -> str:
     """Round on the binary grid ``round(x * 2^20) / 2^20`` like the catalogue;
     adding 0.0 turns a negative zero into zero."""
     return f"(round(({expr}) * 1048576.0::double) / 1048576.0::double + 0.0)"
@@ -69,7 +69,7 @@ def Q8(expr: str) -> str:
 
 
 def _tone_select(src: str, b: str, g: str, r: str) -> str:
-    return (f"select image_id, y, x, {R6(b)} b, {R6(g)} g, {R6(r)} r, "
+    return (f"select image_id, y, x, {CMP(b)} b, {CMP(g)} g, {CMP(r)} r, "
             f"{Q8(b)} b8, {Q8(g)} g8, {Q8(r)} r8 from {src}")
 
 
@@ -150,11 +150,11 @@ from pixels8 group by image_id, y"""
 
 # ------------------------------------------------------------------- HDR
 ORACLES["hdr_scan"] = _with(HDR) + \
-    f"select image_id, y, x, {R6('b')} b, {R6('g')} g, {R6('r')} r from hdr"
+    f"select image_id, y, x, {CMP('b')} b, {CMP('g')} g, {CMP('r')} r from hdr"
 
 ORACLES["luminance"] = _with(HDR) + (
     "select image_id, y, x, "
-    + R6("b*0.0722::double + g*0.7152::double + r*0.2126::double") + " lum from hdr")
+    + CMP("b*0.0722::double + g*0.7152::double + r*0.2126::double") + " lum from hdr")
 
 XYY = """xyz as (
   select image_id, y, x,
@@ -176,9 +176,9 @@ hist as (select image_id, bin, count(*) n from binned group by image_id, bin)"""
 MAXS = """mx as (select image_id, greatest(0, max(greatest(b, g, r))) m from hdr group by image_id)"""
 
 ORACLES["rgb_to_xyy"] = _with(HDR, XYY) + \
-    f"select image_id, y, x, {R6('cx')} cx, {R6('cy')} cy, {R6('log_y')} log_y from xyy"
+    f"select image_id, y, x, {CMP('cx')} cx, {CMP('cy')} cy, {CMP('log_y')} log_y from xyy"
 
-ORACLES["max_sample"] = _with(HDR, MAXS) + f"select image_id, {R6('m')} max_sample from mx"
+ORACLES["max_sample"] = _with(HDR, MAXS) + f"select image_id, {CMP('m')} max_sample from mx"
 
 
 def _log_map(v: str, m: str, q: str, k: str) -> str:
@@ -226,7 +226,7 @@ CDF = """cdf as (
   from hist)"""
 
 ORACLES["lum_cdf"] = _with(HDR, XYY, BINNED, CDF) + \
-    f"select image_id, bin, n, cdf, {R6('cdf / nullif(total, 0)')} cdf_norm from cdf"
+    f"select image_id, bin, n, cdf, {CMP('cdf / nullif(total, 0)')} cdf_norm from cdf"
 
 HISTEQ = """mapped as (
   select b.image_id, b.y, b.x, b.bin, b.cx, b.cy, c.cdf / nullif(c.total, 0) y_new
@@ -243,7 +243,7 @@ rgb as (
   from back)"""
 
 ORACLES["histeq_tonemap"] = _with(HDR, XYY, BINNED, CDF, HISTEQ) + (
-    f"select image_id, y, x, bin, {R6('b')} b, {R6('g')} g, {R6('r')} r, "
+    f"select image_id, y, x, bin, {CMP('b')} b, {CMP('g')} g, {CMP('r')} r, "
      f"{Q8('b')} b8, {Q8('g')} g8, {Q8('r')} r8 from rgb")
 
 # --------------------------------------------------------- linear algebra
@@ -257,9 +257,9 @@ GRAM = """gram as (
   group by a.j, b.j)"""
 
 ORACLES["vector_add"] = \
-    f"select event_id i, {R6('value + user_id*0.5::double')} v from events"
+    f"select event_id i, {CMP('value + user_id*0.5::double')} v from events"
 
-ORACLES["matmul_coo"] = _with(CELLS, GRAM) + f"select i, j, {R6('v')} v from gram"
+ORACLES["matmul_coo"] = _with(CELLS, GRAM) + f"select i, j, {CMP('v')} v from gram"
 ORACLES["matmul_block"] = ORACLES["matmul_coo"]
 ORACLES["matmul_gram"] = ORACLES["matmul_coo"]
 
@@ -270,7 +270,7 @@ CENTROIDS = """cent as (
   group by k, label)"""
 
 ORACLES["matmul_rect"] = _with(CELLS, CENTROIDS) + f"""
-select c.i, cast(t.label as int) j, {R6('sum(c.v*t.v)')} v
+select c.i, cast(t.label as int) j, {CMP('sum(c.v*t.v)')} v
 from cells c join cent t on t.k = c.j
 group by c.i, t.label"""
 
@@ -330,9 +330,9 @@ def _step(k: int) -> str:
 ORACLES["value_histogram"] = _with(VALS) + "select v, n from vals"
 ORACLES["nearest_centre"] = _with(VALS, C0, _assign("a1", "c0")) + "select v, n, cid from a1"
 ORACLES["cluster_weighted_mean"] = _with(VALS, C0, _assign("a1", "c0")) + \
-    f"select cid, {R6('sum(n*n*v)/sum(n*n)')} mean from a1 group by cid"
+    f"select cid, {CMP('sum(n*n*v)/sum(n*n)')} mean from a1 group by cid"
 ORACLES["lloyd_centres"] = _with(VALS, C0, _step(1), _step(2), _step(3)) + \
-    f"select cid, {R6('c')} c from c3"
+    f"select cid, {CMP('c')} c from c3"
 
 # ----------------------------------------------------------------- timings
 TIMINGS = """timings as (
@@ -348,14 +348,14 @@ MEANS = """means as (
   from timings where run_no <= 20 group by workload, variant)"""
 
 ORACLES["timing_mean"] = _with(TIMINGS, MEANS) + \
-    f"select workload, variant, n_runs, {R6('mean_gpu')} mean_gpu, {R6('mean_cpu')} mean_cpu from means"
+    f"select workload, variant, n_runs, {CMP('mean_gpu')} mean_gpu, {CMP('mean_cpu')} mean_cpu from means"
 
 ORACLES["timing_speedup"] = _with(TIMINGS) + f"""
-select workload, variant, {R6('avg(cpu/nullif(gpu, 0))')} speedup
+select workload, variant, {CMP('avg(cpu/nullif(gpu, 0))')} speedup
 from timings where run_no <= 20 group by workload, variant"""
 
 ORACLES["timing_variant_ratio"] = _with(TIMINGS, MEANS) + f"""
-select m.workload, m.variant, {R6('b.mean_gpu / nullif(m.mean_gpu, 0)')} ratio
+select m.workload, m.variant, {CMP('b.mean_gpu / nullif(m.mean_gpu, 0)')} ratio
 from means m join (select workload, mean_gpu from means where variant = 'naive') b
   on b.workload = m.workload"""
 
