@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, html, quality
+from tessera.llm import bpe, chat, html, neardup, quality
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,35 @@ def bpe_files() -> dict[str, str]:
     return {"path": public_tokenizers.path(BPE_RANKS), "pattern": public_tokenizers.PATTERN}
 
 
+def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), n=3, similarity=(85, 100))
+
+
+OP1_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) = 0 then []
+    when len(ws) < 3 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) end) as sh
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select a.doc_id as u, b.doc_id as v, count(*) as inter
+  from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by 1, 2),
+l as (
+  select u, v from p join n nu on nu.doc_id = u join n nv on nv.doc_id = v
+  where 100 * inter >= 85 * (nu.n + nv.n - inter)),
+r(u, v) as (select u, v from l union select r.u, l.v from r join l on r.v = l.u)
+select d.doc_id, coalesce(n.n, 0) as n_shingles,
+  least(d.doc_id, coalesce(m.lo, d.doc_id)) as component_id,
+  d.doc_id = least(d.doc_id, coalesce(m.lo, d.doc_id)) as kept
+from documents d left join n using (doc_id)
+left join (select u as doc_id, min(v) as lo from r group by u) m using (doc_id)
+"""
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -67,10 +96,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_neardup": op1_minhash_neardup,
     "op3_quality_rules": op3_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_chat_format": op8_chat_format,
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES = {"op8_chat_format": OP8_SQL}
+ORACLES = {"op1_minhash_neardup": OP1_SQL, "op8_chat_format": OP8_SQL}
