@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, html, neardup, quality
+from tessera.llm import bpe, chat, html, langid, neardup, quality, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -28,7 +28,8 @@ def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') as ws from documents),
 s as (
   select distinct doc_id, unnest(case when len(ws) = 0 then []
     when len(ws) < 3 then [array_to_string(ws, ' ')]
@@ -56,6 +57,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "removed_lines", "removed_chars")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), **bpe_files(), with_ids=False)
 
@@ -98,8 +108,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op3_quality_rules": op3_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_chat_format": op8_chat_format,
+    "op9_language_id": op9_language_id,
     "op10_html_extraction": op10_html_extraction,
 }
 
