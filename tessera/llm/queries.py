@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, html, langid, neardup, quality, toxicity
+from tessera.llm import bpe, chat, html, langid, neardup, quality, suffixdedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -51,6 +51,10 @@ left join (select u as doc_id, min(v) as lo from r group by u) m using (doc_id)
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.suffix_dedup(_read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -107,6 +111,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
