@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, html, langid, neardup, quality, suffixdedup, toxicity
+from tessera.llm import bpe, brown, chat, html, langid, neardup, quality, suffixdedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -61,6 +61,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "removed_lines", "removed_chars")
 
 
+def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_held_out(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -113,6 +119,7 @@ QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_brown_lm": op4_brown_lm,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_chat_format": op8_chat_format,
