@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, brown, chat, html, langid, neardup, quality, suffixdedup, toxicity
+from tessera.llm import bpe, brown, chat, decontam, html, langid, neardup, quality, suffixdedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -67,6 +67,11 @@ def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(_read(spark, sf_dir, "documents"),
+                                  _read(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -120,6 +125,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_brown_lm": op4_brown_lm,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_chat_format": op8_chat_format,

@@ -105,12 +105,12 @@ def _parts(data, off, length):
         yield cut, np.array([0, len(cut)]), s
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, keep: tuple = ()) -> DataFrame:
     """``rid, doc_id, text``: rows with equal id and text share ``rid`` (and
     hence spans); equal ids with other texts do not."""
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     return docs.select(F.xxhash64(doc_id, text).alias("rid"), doc_id.alias("doc_id"),
-                       text.alias("text"))
+                       text.alias("text"), *keep)
 
 
 def units(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -129,7 +129,7 @@ def units(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                      pa.array(q.astype(np.int32))],
                     names=["rid", "core", "whole", "a", "n", "q"])
 
-    return rows.mapInArrow(run, UNIT)
+    return rows.select("rid", "doc_id", "text").mapInArrow(run, UNIT)
 
 
 def _spans(df: DataFrame, length: int) -> DataFrame:
@@ -277,15 +277,18 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int | None = Non
     return found
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = True,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, with
     ``with_text``, ``text`` (what is left; parts of a cut character are left
     out) and ``spans``.
 
     Null texts are empty.  Repeated rows repeat each other's windows.  Texts
-    under ``length`` bytes stay whole.  Other columns are ignored.
+    under ``length`` bytes stay whole.  The columns of ``keep`` come back as a
+    struct ``kept``; other columns are ignored.
     """
-    rows = keyed(docs)
+    carried = F.struct(*keep).alias("kept") if keep else F.lit(None).cast("int").alias("kept")
+    rows = keyed(docs, (carried,))
     spans = repeated_spans(rows, length).groupBy("rid").agg(
         F.collect_set(F.struct("s", "e")).alias("u"))
 
@@ -320,9 +323,15 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
                 cols += [pa.array(out["text"], pa.string()), pa.array(out["spans"], pa.list_(
                     pa.struct([("s", pa.int32()), ("e", pa.int32())])))]
                 names += ["text", "spans"]
+            if keep:
+                cols.append(part.column(3))
+                names.append("kept")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
         schema += ", text string, spans array<struct<s:int,e:int>>"
-    return rows.join(spans, "rid", "left").select("doc_id", "text", "u").mapInArrow(run, schema)
+    if keep:
+        schema += f", kept {rows.schema['kept'].dataType.simpleString()}"
+    cols = ["doc_id", "text", "u", *(["kept"] if keep else [])]
+    return rows.join(spans, "rid", "left").select(*cols).mapInArrow(run, schema)

@@ -162,19 +162,20 @@ def _features(data, off, lex: Lexicon, second: np.ndarray, seeds: np.ndarray) ->
 def features(docs: DataFrame, lex: Lexicon, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, the columns of ``keep`` and ``features array<double>``."""
     second, seeds = _known(SECOND_PERSON), _known(INSULTS)
-    cols = [F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("text").cast("string").alias("text"), *keep]
-    narrow = docs.select(*cols)
-    fields = [f for f in narrow.schema.fields if f.name != "text"]
+    more = [c for c in keep if c not in ("doc_id", "text")]
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text"), *(F.col(f"`{c}`") for c in more))
+    out = ["doc_id", *(["text"] if "text" in keep else []), *more]
+    fields = [narrow.schema[c] for c in out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def run(batches):
         for part, data, off in tx.pieces(batches):
             x = _features(data, off, lex, second, seeds)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(part.column(i) for i in range(2, part.num_columns)),
+                [*(part.column(part.schema.get_field_index(c)) for c in out),
                  tx.lists(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())],
-                names=["doc_id", *keep, "features"])
+                names=[*out, "features"])
 
     return narrow.mapInArrow(run, schema + ", features array<double>")
 
@@ -227,14 +228,11 @@ def learn_lexicon(rows: DataFrame, n_bad: int, n_good: int) -> Lexicon:
     return Lexicon(*out)
 
 
-def _constant(docs: DataFrame, score: float) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.lit(score).cast("double").alias("score"))
-
-
-def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """``(doc_id, score)`` for every row of ``docs``, learned from ``labelled``
-    ``(doc_id, toxic)`` whose texts are looked up in ``docs``.
+def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS,
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns of ``keep`` and ``score`` for every row of
+    ``docs``, learned from ``labelled`` ``(doc_id, toxic)`` whose texts are
+    looked up in ``docs``.
 
     At most ``per_class`` rows of each class are used, chosen by id hash and
     weighted back to the class sizes; this bound is what allows broadcasting
@@ -249,7 +247,8 @@ def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLAS
     size = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     if len(size) < 2:
-        return _constant(docs, float(max(size, default=0)))
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep,
+                           F.lit(float(max(size, default=0))).alias("score"))
     order = F.xxhash64("doc_id", F.lit(17))
     picked = [labels.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(per_class)
               for t in (0, 1)]
@@ -276,9 +275,9 @@ def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLAS
     raw = lambda df: trees.transform(df).withColumn("p", vector_to_array("probability")[1])
     iso = IsotonicRegression(featuresCol="p", labelCol="y", weightCol="weight",
                              predictionCol="score").fit(raw(tune))
-    every = features(texts, lex).withColumn("x", array_to_vector("features"))
+    every = features(docs, lex, keep).withColumn("x", array_to_vector("features"))
     return iso.transform(raw(every)).select(
-        "doc_id", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+        "doc_id", *keep, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
@@ -293,3 +292,18 @@ def classify(docs: DataFrame, labelled: DataFrame, folds: int = 5, fold: int = 0
     return score(docs, labelled.where(~out)).select(
         "doc_id", out.alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def reject(docs: DataFrame, labelled: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic.  The
+    columns pass through the scoring, so no join brings them back.  Columns
+    named like the model's own (``features``, ``x``, ``p``, ``score`` and the
+    trees' outputs) are carried under other names meanwhile."""
+    out = held_out(F.col("doc_id"), folds, fold)
+    names = docs.columns
+    inner = ["doc_id" if c == "doc_id" else "text" if c == "text" else f"_c{i}"
+             for i, c in enumerate(names)]
+    plain = docs.toDF(*inner)
+    keep = tuple(c for c in inner if c != "doc_id")
+    good = score(plain, labelled.where(~out), keep=keep).where("score < 0.5")
+    return good.select(*(F.col(i).alias(c) for i, c in zip(inner, names)))
