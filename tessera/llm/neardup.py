@@ -7,15 +7,19 @@
    their sketch, so only the rarest values of a sketch need a list: any two
    sketches with the required overlap share one of them.  Values in one sketch
    only need no list at all.  That keeps passages shared by otherwise different
-   documents out of the lists.
-3. Candidates of a list are compared with pivots, never all with all: first one
-   pivot; then, while a list holds several components, more pivots from
-   outside its largest component, twice as many in each round.  A list ends
-   when the pairs that were not compared lie in one component, so no link
-   between different components is lost.
-4. A candidate pair passes if the union sketch estimates a similarity near the
+   documents out of the lists.  Documents that stay in a list get a larger
+   sketch and lists again, from which most loose ones fall out.
+3. An entry of a list knows how many values its document can share at most with
+   a partner first met in this list.  Pairs whose sizes ask for more are not
+   compared.
+4. Candidates of a list are compared with pivots, never all with all: first one
+   pivot, then, while a list holds several components, more pivots from
+   outside its largest component, more in each round.  A list ends when the
+   pairs that were not compared lie in one component or cannot be links, so no
+   link between different components is lost.
+5. A candidate pair passes if the union sketch estimates a similarity near the
    threshold, and becomes a link if the full sets confirm it exactly.
-5. Links are contracted to components.
+6. Links are contracted to components.
 """
 
 from __future__ import annotations
@@ -32,14 +36,18 @@ from tessera.plans.joins import materialise
 
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)    # 100 * intersection >= 80 * union
-SKETCH = 32
-# Sketches of linked documents share about 2J / (1 + J) >= 0.89 of their values;
-# 0.55 lies over seven standard deviations below for the default sketch.
-OVERLAP = 0.55
-# The union-sketch estimate may fall short of the threshold by this much
-# (over five standard deviations) before the exact check is skipped.
-ESTIMATE_SLACK = 0.40
-FIRST_PIVOTS = 2
+SKETCH = 32               # values of the first sketch
+DEEP_SKETCH = 256         # values of the second, for candidates only
+SIGMAS = 5                # standard deviations allowed to sketch overlaps and estimates
+PIVOT_GROWTH = 8          # pivots per list and round grow by this factor
+
+
+def needed_overlap(similarity, k: int) -> float:
+    """Share of a ``k``-value sketch that linked documents have in common, less
+    ``SIGMAS`` standard deviations."""
+    j = similarity[0] / similarity[1]
+    p = 2 * j / (1 + j)
+    return max(0.0, p - SIGMAS * (p * (1 - p) / k) ** 0.5)
 
 
 def _shingles(part, data, off, n):
@@ -89,22 +97,51 @@ def _narrow(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
-def inverted_lists(reps: DataFrame, overlap: float = OVERLAP) -> DataFrame:
-    """``(value, doc)``: each sketch's rarest values that other sketches hold.
+_NO_CAP = 1 << 40
+
 
-    A sketch of ``m`` values keeps its ``m - ceil(overlap * m) + 1`` rarest
-    (ties by value); of these only values in two sketches or more are listed.
+def inverted_lists(docs: DataFrame, similarity, k: int) -> DataFrame:
+    """``(value, doc, size, cap)`` from ``(doc, size, sketch)`` with sketches of
+    ``k`` values: each sketch's rarest values that other sketches hold.
+
+    Of ``m`` values the ``m - ceil(share * m) + 1`` rarest (ties by value) are
+    kept.  ``share`` is the similarity itself where both sketches of any link
+    are whole sets, otherwise ``needed_overlap``.  ``cap`` is the number of
+    values from this one on: what the document can share with a partner whose
+    first common value this is.
     """
-    values = reps.select(F.col("doc_id").alias("doc"), F.size("sketch").alias("m"),
+    num, den = similarity
+    whole = F.col("size") * den <= F.lit(num * k)     # so is every possible partner
+    values = docs.select("doc", "size", F.size("sketch").alias("m"),
                          F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = (values.join(shared, "value").groupBy("doc", "m")
+    own = (values.join(shared, "value").groupBy("doc", "size", "m")
            .agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("s")))
     alone = F.col("m") - F.size("s")                  # values that no other sketch holds
-    prefix = F.col("m") - F.ceil(F.col("m") * F.lit(overlap)) + 1
-    return own.select("doc", F.explode(F.slice(
-        "s", 1, F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("x")).select(
-        F.col("x.value").alias("value"), "doc")
+    least = F.when(whole, F.floor((F.col("m") * num + (den - 1)) / F.lit(den))).otherwise(
+        F.ceil(F.col("m") * F.lit(needed_overlap(similarity, k))))
+    prefix = F.greatest(F.col("m") - least + 1 - alone, F.lit(0)).cast("int")
+    own = own.select("doc", "size", whole.alias("whole"), (F.col("m") - alone).alias("left"),
+                     F.slice("s", 1, prefix).alias("s"))
+    own = own.select("doc", "size", "whole", "left", F.posexplode("s").alias("at", "x"))
+    cap = F.when(F.col("whole"), F.col("left") - F.col("at")).otherwise(F.lit(_NO_CAP))
+    return own.select(F.col("x.value").alias("value"), "doc", "size",
+                      cap.cast("long").alias("cap"))
+
+
+def _enough(similarity, cap, a, b):
+    """Whether ``cap`` common values can make sets of sizes ``a``, ``b`` a link."""
+    num, den = similarity
+    return cap * (num + den) >= (a + b) * num
+
+
+def _live(state: DataFrame, similarity, group: str) -> DataFrame:
+    """Entries of lists with different ``group`` values, without entries that
+    cannot link even to the smallest member."""
+    by = state.groupBy("value").agg(F.min("size").alias("ms"), F.min(group).alias("lo"),
+                                    F.max(group).alias("hi")).where("lo != hi")
+    return state.join(by.select("value", "ms"), "value").where(
+        _enough(similarity, F.col("cap"), F.col("size"), F.col("ms"))).drop("ms")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity=SIMILARITY, k: int = SKETCH) -> DataFrame:
@@ -118,49 +155,49 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity=SIMILARITY, k: int = S
     union = F.slice(F.sort_array(F.array_union(sa, sb)), 1, k)
     common = F.size(F.array_intersect(F.array_intersect(sa, sb), union))
     estimate = common / F.size(union)
-    near = both.where(estimate >= F.lit(num / den - ESTIMATE_SLACK))
+    j = num / den
+    near = both.where(estimate >= F.lit(j - SIGMAS * (j * (1 - j) / k) ** 0.5))
     inter = F.size(F.array_intersect("a", "b"))
     return near.where(den * inter >= num * (F.size("a") + F.size("b") - inter)).select("u", "v")
 
 
 def link_components(lists: DataFrame, sets: DataFrame, similarity=SIMILARITY,
                     k: int = SKETCH) -> DataFrame:
-    """``(node, component)`` over the links of all candidate pairs."""
-    pivots = FIRST_PIVOTS
-    first = lists.groupBy("value").agg(F.min("doc").alias("u"))
-    pairs = (lists.join(first, "value").where("doc != u")
-             .select("u", F.col("doc").alias("v")).distinct())
-    links = materialise(confirm(pairs, sets, similarity, k), "links")
-    # Members still to be compared: all but the pivots used so far.
-    rest = materialise(lists.join(first, "value").where("doc != u").select("value", "doc"), "lists")
+    """``(node, component)`` over the links of all candidate pairs; None if there
+    is no candidate."""
+    rest, links, comp, pivots = lists, None, None, 1
     while True:
-        comp = components(links)
-        state = rest.join(comp, rest["doc"] == comp["node"], "left").select(
-            "value", "doc", F.coalesce("component", "doc").alias("c"))
-        open_lists = (state.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                      .where("lo != hi").select("value"))
-        state = materialise(state.join(open_lists, "value", "left_semi"), "lists")
+        state = rest.withColumn("c", F.col("doc"))
+        if comp is not None:
+            state = rest.join(comp, rest["doc"] == comp["node"], "left").select(
+                *rest.columns, F.coalesce("component", "doc").alias("c"))
+        state = materialise(_live(state, similarity, "c"), "lists")
         if state.limit(1).count() == 0:
             return comp
-        sizes = state.groupBy("value", "c").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("value").agg(F.max_by("c", F.struct("n", "c")).alias("big"))
-        outside = state.join(largest, "value").where("c != big")
-        by = Window.partitionBy("value").orderBy("doc")
+        outside = state
+        if links is not None:
+            sizes = state.groupBy("value", "c").agg(F.count(F.lit(1)).alias("n"))
+            largest = sizes.groupBy("value").agg(F.max_by("c", F.struct("n", "c")).alias("big"))
+            outside = state.join(largest, "value").where("c != big")
+        # Pivots with the fewest values of their own come first: central documents.
+        by = Window.partitionBy("value").orderBy((F.col("cap") / F.col("size")).desc(), "doc")
         chosen = materialise(outside.withColumn("r", F.row_number().over(by)).where(
-            F.col("r") <= pivots).select("value", F.col("doc").alias("u"), F.col("c").alias("cu")),
+            F.col("r") <= pivots).select("value", F.col("doc").alias("u"), F.col("c").alias("cu"),
+                                         F.col("size").alias("su"), F.col("cap").alias("capu")),
             "pivots")
-        pairs = (state.join(chosen, "value").where("c != cu")
-                 .select("u", F.col("doc").alias("v")).distinct())
+        can = _enough(similarity, F.least("cap", "capu"), F.col("size"), F.col("su"))
+        pairs = (state.join(chosen, "value").where((F.col("c") != F.col("cu")) & can)
+                 .select(F.least("u", "doc").alias("u"), F.greatest("u", "doc").alias("v")).distinct())
         more = confirm(pairs, sets, similarity, k)
-        links = materialise(links.union(more), "links")
-        rest = materialise(state.join(
-            chosen.select("value", F.col("u").alias("doc")), ["value", "doc"], "left_anti")
-            .select("value", "doc"), "lists")
-        pivots *= 2
+        links = materialise(more if links is None else links.union(more), "links")
+        comp = components(links)
+        rest = materialise(state.drop("c").join(
+            chosen.select("value", F.col("u").alias("doc")), ["value", "doc"], "left_anti"), "lists")
+        pivots *= PIVOT_GROWTH
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, similarity=SIMILARITY,
-                    k: int = SKETCH) -> DataFrame:
+                    k: int = SKETCH, deep: int = DEEP_SKETCH) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     ``n_shingles`` is the size of the document's set, ``component_id`` the
@@ -177,14 +214,17 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, similarity=SIMILARI
         classes, ["f1", "f2", "n_shingles"]).select("doc_id", "rep").distinct()
     member = materialise(member, "members")
     reps = solid.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", "n_shingles", "sketch")
-    lists = materialise(inverted_lists(reps), "lists")
-    alone = lists.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    lists = materialise(lists.join(alone.select("value"), "value", "left_semi"), "lists")
-    wanted = lists.select(F.col("doc").alias("doc_id")).distinct()
+        F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), "sketch")
+    rough = materialise(inverted_lists(reps, similarity, k), "rough-lists")
+    wanted = _live(rough, similarity, "doc").select(F.col("doc").alias("doc_id")).distinct()
     sets = materialise(full_sets(
         docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), n), "sets")
+    deeper = sets.select(F.col("doc_id").alias("doc"), F.size("hashes").cast("long").alias("size"),
+                         F.slice("hashes", 1, deep).alias("sketch"))
+    lists = materialise(inverted_lists(deeper, similarity, deep), "lists")
     comp = link_components(lists, sets, similarity, k)
+    if comp is None:
+        comp = member.where("false").select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     again = member.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ties = member.join(again.select("doc_id"), "doc_id", "left_semi")
     node = member.join(comp, member["rep"] == comp["node"], "left").select(

@@ -246,9 +246,12 @@ def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLAS
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     size = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    if len(size) < 2:
+    def constant(classes):
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep,
-                           F.lit(float(max(size, default=0))).alias("score"))
+                           F.lit(float(max(classes, default=0))).alias("score"))
+
+    if len(size) < 2:
+        return constant(size)
     order = F.xxhash64("doc_id", F.lit(17))
     picked = [labels.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(per_class)
               for t in (0, 1)]
@@ -259,6 +262,9 @@ def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLAS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     rows = materialise(texts.join(F.broadcast(sample), "doc_id"), "tox-sample")
+    present = {r["toxic"] for r in rows.select("toxic").distinct().collect()}
+    if len(present) < 2:                              # labels of other documents
+        return constant(present)
     first = rows.where("part < 4")
     have = {r["toxic"]: r["n"] for r in first.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
