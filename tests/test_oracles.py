@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF01
 from tessera.plans.catalog import QUERIES
-from tessera.plans.compare import compare, duckdb_views
+from compare import compare, duckdb_views
 from tessera.plans.oracles import ORACLES
 
 

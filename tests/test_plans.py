@@ -77,7 +77,7 @@ def test_centre_assignment_is_join_free(spark):
 def test_size_checked_joins_fall_back_to_shuffle_joins(spark):
     """With broadcasting disabled the per-image joins become shuffle joins and
     the results do not change (the path taken beyond the size check)."""
-    from tessera.plans.compare import compare, duckdb_views
+    from compare import compare, duckdb_views
     from tessera.plans.oracles import ORACLES
 
     con = duckdb_views(SF01)
