@@ -9,11 +9,13 @@ JVM-side, with no join and no shuffle).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
-from tessera.plans.joins import broadcast_fits, join_small, materialise
+from tessera.plans.joins import join_small, materialise
 
 # Fixed values of the k-means tone map: clusters and Lloyd iterations.
 KMEANS_TONE_K = 256
@@ -32,13 +34,19 @@ def grid_centres(spark: SparkSession, values: DataFrame, k: int, value: str = "v
     aggregation (one row to the driver)."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    r = values.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    r = defined_only(values, value).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     lo, hi = F.lit(r["lo"]).cast("double"), F.lit(r["hi"]).cast("double")
     cid = F.col("id").cast("int")
     return spark.range(k).select(
         cid.alias("cid"), (lo + (hi - lo) * (cid + F.lit(0.5)) / F.lit(k)).alias("c"))
 
 
+def defined_only(values: DataFrame, value: str = "v") -> DataFrame:
+    """Rows whose value is neither NULL nor NaN: what a model is fitted on."""
+    v = F.col(value)
+    return values.where(v.isNotNull() & ~F.isnan(v.cast("double")))
+
+
 def _sorted_unique(centres: list[tuple[int, float]]) -> list[tuple[float, int]]:
     best: dict[float, int] = {}
     for cid, c in centres:
@@ -118,7 +126,7 @@ def cluster_weighted_mean(assigned: DataFrame, value: str = "v",
     w = n * n if weight == "squared" else n
     if weight not in ("squared", "count"):
         raise ValueError("weight must be 'squared' or 'count'")
-    return assigned.groupBy("cid").agg(
+    return assigned.where("cid is not null").groupBy("cid").agg(
         (F.sum(w * F.col(value)) / F.sum(w)).alias("mean"))
 
 
@@ -134,6 +142,7 @@ def lloyd(values: DataFrame, centres: DataFrame, iterations: int, value: str = "
     if iterations < 0:
         raise ValueError("iterations must be >= 0")
     spark = values.sparkSession
+    values = defined_only(values, value)
     if persist and iterations > 0:
         values = materialise(values.select(value, "n"), "histogram")
     cur = dict(_collect_centres(centres))
@@ -163,14 +172,25 @@ def kmeans_centres(hist: DataFrame, k: int, iterations: int, seed: int,
     return [(cid, float(c[0])) for cid, c in enumerate(model.clusterCenters())]
 
 
+# Values are hashed as integers on this grid for the random start.
+HASH_GRID = float(1 << 20)
+
+
+def start_order(value, seed: int):
+    """Pseudo-random order of values: the MD5 of ``floor(v * 2^20):seed``, so that
+    any SQL engine draws the same start."""
+    grid = F.floor(value * F.lit(HASH_GRID)).cast("string")
+    return F.md5(F.concat(grid, F.lit(f":{seed}")).cast("binary"))
+
+
 def random_centres(values: DataFrame, k: int, seed: int, value: str = "v") -> DataFrame:
-    """``k`` distinct values picked at random (seeded): the ``k`` smallest
-    ``xxhash64(value, seed)``.  A distributed top-k: each task keeps ``k`` rows,
-    and the pick does not change when a task is retried."""
+    """``k`` distinct values picked at random (seeded): the ``k`` first in
+    ``start_order``, ties by value.  A distributed top-k: each task keeps ``k``
+    rows, and the pick does not change when a task is retried."""
     if k < 1:
         raise ValueError("k must be >= 1")
     picked = (values.select(F.col(value).alias("c"))
-              .orderBy(F.xxhash64(F.col("c"), F.lit(seed)), "c").limit(k).collect())
+              .orderBy(start_order(F.col("c"), seed), "c").limit(k).collect())
     spark = values.sparkSession
     return spark.createDataFrame([(i, r["c"]) for i, r in enumerate(picked)], "cid int, c double")
 
@@ -208,11 +228,15 @@ def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
     (``method="mllib"`` runs MLlib itself).  The new level of a
     cluster is the weighted mean of its values.  The final pass is one
     projection: the search returns the cluster mean directly.
-    Output ``(image_id, y, x, b, g, r)``; black pixels (luminance 0) get NULL.
+    Output ``(image_id, y, x, b, g, r)``; black pixels (luminance 0) and pixels
+    with an undefined sample get NULL.
     """
     lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
     # Iterative fitting re-reads the histogram: write it once (lineage cut).
-    hist = materialise(value_histogram(lum, "lum"), "lum-histogram")
+    hist = materialise(value_histogram(defined_only(lum, "lum"), "lum"), "lum-histogram")
+    if hist.limit(1).count() == 0:                    # nothing defined to fit on
+        return hdr.select("image_id", "y", "x",
+                          *[F.lit(None).cast("double").alias(c) for c in ("b", "g", "r")])
     centres = fit_centres(hist, k, iterations, seed, method, init=init)
     assigned = assign_nearest(hist, "v", centres)
     means = {int(r["cid"]): r["mean"] for r in
@@ -225,93 +249,107 @@ def kmeans_tonemap(hdr: DataFrame, k: int = KMEANS_TONE_K,
 
 
 # ------------------------------------------------------ per-image k-means
-def _bucket(v, lo, hi, buckets: int):
-    """Equal-width bucket of ``v`` in ``[lo, hi]`` (monotone in ``v``)."""
-    raw = F.floor(F.lit(buckets) * (v - lo) / F.nullif(hi - lo, F.lit(0.0)))
-    return F.coalesce(F.least(F.lit(buckets - 1), F.greatest(F.lit(0), raw.cast("int"))),
-                      F.lit(0))
-
-
-def _segments(centres: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
-    """Value segments between consecutive centres of each image, copied into
-    every bucket they overlap: ``(image_id, bucket, lc, lcid, uc, ucid)``.
-
-    ``lc``/``uc`` are the centres just below/above the segment (NULL beyond
-    the first/last centre).  A window orders at most ``k`` centres per image.
-    """
-    # Equal centres keep the smallest id: drop a centre equal to its
-    # predecessor in (c, cid) order.  Both windows share one partitioning.
-    w = Window.partitionBy("image_id").orderBy("c", "cid")
-    dedup = (centres.select("image_id", "cid", "c", F.lag("c").over(w).alias("prev"))
-             .where(F.col("prev").isNull() | (F.col("prev") != F.col("c"))))
-    seg = dedup.select("image_id", F.col("c").alias("lc"), F.col("cid").alias("lcid"),
-                       F.lead("c").over(w).alias("uc"), F.lead("cid").over(w).alias("ucid"),
-                       F.row_number().over(w).alias("rk"))
-    first = seg.where(F.col("rk") == 1).select(
-        "image_id", F.lit(None).cast("double").alias("lc"), F.lit(None).cast("int").alias("lcid"),
-        F.col("lc").alias("uc"), F.col("lcid").alias("ucid"))
-    segs = seg.drop("rk").unionByName(first).join(ranges, "image_id")
-    b0 = F.when(F.col("lc").isNull(), F.lit(0)).otherwise(_bucket(F.col("lc"), F.col("lo"), F.col("hi"), buckets))
-    b1 = F.when(F.col("uc").isNull(), F.lit(buckets - 1)).otherwise(
-        _bucket(F.col("uc"), F.col("lo"), F.col("hi"), buckets))
-    return segs.select("image_id", F.explode(F.sequence(b0, b1)).alias("bucket"),
-                       "lc", "lcid", "uc", "ucid")
-
-
-# Bytes per segment row in memory (keys, two centres, two ids, row overhead).
-_SEGMENT_ROW_BYTES = 64
-
-
-def _assign_segments(values: DataFrame, segs: DataFrame, value: str,
-                     broadcast: bool | None = None) -> DataFrame:
-    """Range join of bucketed values with segments; adds ``cid``.
-
-    ``broadcast`` is the caller's size decision (from a row bound); ``None``
-    materialises the segments and checks their written size.
-    """
-    v = F.col(value)
-    keys = ["image_id", "bucket"]
-    if broadcast is None:
-        j = join_small(values, segs, keys)
-    else:
-        j = values.join(F.broadcast(segs) if broadcast else segs, keys)
-    j = j.where(
-        (F.col("lc").isNull() | (v >= F.col("lc"))) & (F.col("uc").isNull() | (v < F.col("uc"))))
-    near = F.least(F.struct(F.abs(v - F.col("lc")).alias("d"), F.col("lcid").alias("i")),
-                   F.struct(F.abs(v - F.col("uc")).alias("d"), F.col("ucid").alias("i")))["i"]
-    cid = (F.when(F.col("lc").isNull(), F.col("ucid")).when(F.col("uc").isNull(), F.col("lcid"))
-           .otherwise(near))
-    return j.withColumn("cid", cid).drop("bucket", "lc", "lcid", "uc", "ucid")
-
-
-def _bucketed_histogram(hist: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Per-image value range and the histogram with its bucket, both written
-    once to the checkpoint folder (they are re-read by every iteration)."""
-    ranges = materialise(hist.groupBy("image_id").agg(F.min("v").alias("lo"),
-                                                      F.max("v").alias("hi")), "ranges")
-    hb = join_small(hist, ranges, "image_id", written=True).select(
-        "image_id", "v", "n", _bucket(F.col("v"), F.col("lo"), F.col("hi"), buckets).alias("bucket"))
-    return ranges, materialise(hb, "bucketed-histogram")
+# Rows of one image that a task takes at once; a larger image is dealt over several.
+ROWS_PER_PART = 200_000
+
+
+def _parts(counts: DataFrame, rows: int) -> DataFrame:
+    """``(image_id, parts)`` from ``(image_id, n)``: into how many parts an
+    image's rows are dealt."""
+    return counts.select("image_id", (F.floor((F.col("n") - 1) / F.lit(rows)) + 1).alias("parts"))
+
+
+def _dealt(df: DataFrame, parts: DataFrame) -> DataFrame:
+    """``df`` with a part number below its image's ``parts``."""
+    return join_small(df, parts, "image_id", "left", written=True).withColumn(
+        "part", F.pmod(F.xxhash64(*df.columns), F.coalesce("parts", F.lit(1)))).drop("parts")
+
+
+def _arrays(centres: DataFrame, parts: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Per image and part the centres ``(image_id, part, cs array<struct<c, cid, ...>>)``:
+    at most ``k`` per image, in order of value and id."""
+    packed = centres.where("c is not null").groupBy("image_id").agg(
+        F.sort_array(F.collect_list(F.struct("c", "cid", *more))).alias("cs"))
+    return packed.join(parts, "image_id").select(
+        "image_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        "cs")
+
+
+def _nearest(values: np.ndarray, centres: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Position of the nearest of the sorted centres (ties: smaller id).  Of
+    equal centres the first has the smallest id."""
+    first = np.ones(len(centres), bool)
+    first[1:] = centres[1:] != centres[:-1]
+    at = np.flatnonzero(first)
+    c, i = centres[at], ids[at]
+    hi = np.clip(np.searchsorted(c, values, "right"), 1, max(len(c) - 1, 1))
+    hi = np.minimum(hi, len(c) - 1)
+    lo = np.maximum(hi - 1, 0)
+    dl, dh = np.abs(values - c[lo]), np.abs(values - c[hi])
+    low = (dl < dh) | ((dl == dh) & (i[lo] <= i[hi]))
+    return at[np.where(low, lo, hi)]
+
+
+def _search(left: pa.Table, right: pa.Table, value: str):
+    """Values of a part as an array, and the place of each one's centre."""
+    v = left.column(value).to_numpy(zero_copy_only=False).astype(float)
+    cs = right.column("cs").combine_chunks().flatten()
+    c = cs.field("c").to_numpy(zero_copy_only=False)
+    cid = cs.field("cid").to_numpy(zero_copy_only=False)
+    return v, cs, cid, _nearest(v, c, cid)
+
+
+def _partial_sums(dealt: DataFrame, arrays: DataFrame, squared: bool = False) -> DataFrame:
+    """``(image_id, cid, nv, n)`` summed inside each part, then over parts."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0 or right.num_rows == 0:
+            return pa.table({"image_id": pa.array([], pa.int64()), "cid": pa.array([], pa.int32()),
+                             "nv": pa.array([], pa.float64()), "n": pa.array([], pa.float64())})
+        v, _, cid, at = _search(left, right, "v")
+        n = left.column("n").to_numpy().astype(float)
+        w = n * n if squared else n
+        k = len(cid)
+        hit = np.flatnonzero(np.bincount(at, minlength=k))
+        return pa.table({
+            "image_id": pa.array([left.column("image_id")[0].as_py()] * len(hit), pa.int64()),
+            "cid": pa.array(cid[hit].astype(np.int32)),
+            "nv": pa.array(np.bincount(at, weights=w * v, minlength=k)[hit]),
+            "n": pa.array(np.bincount(at, weights=w, minlength=k)[hit])})
+
+    sums = dealt.groupBy("image_id", "part").cogroup(arrays.groupBy("image_id", "part")).applyInArrow(
+        run, "image_id long, cid int, nv double, n double")
+    return sums.groupBy("image_id", "cid").agg(F.sum("nv").alias("nv"), F.sum("n").alias("n"))
 
 
 def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
-                      init: str = "grid", buckets: int | None = None,
-                      prepared: tuple[DataFrame, DataFrame] | None = None,
-                      small: bool | None = None) -> DataFrame:
+                      init: str = "grid") -> DataFrame:
     """k-means per image on a histogram ``(image_id, v, n)``: ``(image_id, cid, c)``.
 
     Initial centres per image are spread evenly over the image's value range
     (``init="grid"``) or are ``k`` seeded random distinct values (a per-image
-    top-k with a partial limit before the shuffle).  Each Lloyd step assigns
-    values by a range join on ``(image_id, bucket)`` against the segments
-    between consecutive centres (a hot image spreads over ``buckets``
-    buckets), then averages per ``(image_id, cid)``; empty clusters keep
-    their centre.  Centres are written to the checkpoint folder every step.
+    top-k with a partial limit before the shuffle).  Undefined values are left
+    out.
     """
+    return _fit_per_image(_prepared(hist), k, iterations, seed, init)[0]
+
+
+def _prepared(hist: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per-image ranges, parts, and the dealt histogram, all written once."""
+    hist = materialise(defined_only(hist).withColumn("image_id", F.col("image_id").cast("long")),
+                       "histogram")
+    ranges = materialise(hist.groupBy("image_id").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")), "ranges")
+    parts = materialise(_parts(ranges, ROWS_PER_PART), "parts")
+    return ranges, parts, materialise(_dealt(hist, parts), "dealt-histogram")
+
+
+def _fit_per_image(prepared, k: int, iterations: int, seed: int, init: str):
+    """Centres, and the prepared tables.  A Lloyd step sends each image's sorted
+    centres (at most ``k``) to the parts of its histogram, finds every value's
+    centre by binary search there, and shuffles partial sums only."""
     if k < 1 or iterations < 0:
         raise ValueError("k must be >= 1 and iterations >= 0")
-    nb = buckets or max(64, 2 * k)
-    ranges, hb = prepared or _bucketed_histogram(hist, nb)
+    ranges, parts, dealt = prepared
     if init == "grid":
         cid = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cid")
         cents = ranges.select("image_id", "lo", "hi", cid).select(
@@ -319,31 +357,19 @@ def per_image_centres(hist: DataFrame, k: int, iterations: int, seed: int = 42,
             (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("cid") + F.lit(0.5)) / F.lit(k))
             .alias("c"))
     elif init == "random":
-        w = Window.partitionBy("image_id").orderBy(F.xxhash64(F.col("v"), F.lit(seed)), "v")
-        cents = (hb.select("image_id", "v", F.row_number().over(w).alias("r"))
+        w = Window.partitionBy("image_id").orderBy(start_order(F.col("v"), seed), "v")
+        cents = (dealt.select("image_id", "v", F.row_number().over(w).alias("r"))
                  .where(F.col("r") <= k)
                  .select("image_id", (F.col("r") - 1).cast("int").alias("cid"), F.col("v").alias("c")))
     else:
         raise ValueError("init must be 'grid' or 'random'")
     cents = materialise(cents, "centres")
-    if small is None:
-        # Segment rows per image are at most k + 1 + buckets: size the join once.
-        small = broadcast_fits(hist.sparkSession,
-                               ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
     for _ in range(iterations):
-        assigned = _assign_segments(hb, _segments(cents, ranges, nb), "v", broadcast=small)
-        # New centre = weighted mean of its values; an empty cluster keeps its
-        # old centre.  One aggregation over the union replaces a merge join.
-        both = cents.select("image_id", "cid", F.col("c").alias("old"),
-                            F.lit(None).cast("double").alias("nv"),
-                            F.lit(None).cast("double").alias("n")).unionByName(
-            assigned.select("image_id", "cid", F.lit(None).cast("double").alias("old"),
-                            (F.col("n").cast("double") * F.col("v")).alias("nv"),
-                            F.col("n").cast("double").alias("n")))
-        cents = materialise(
-            both.groupBy("image_id", "cid").agg(
-                F.coalesce(F.sum("nv") / F.sum("n"), F.max("old")).alias("c")), "centres")
-    return cents
+        sums = _partial_sums(dealt, _arrays(cents, parts))
+        # New centre = weighted mean of its values; an empty cluster keeps its centre.
+        cents = materialise(cents.join(sums, ["image_id", "cid"], "left").select(
+            "image_id", "cid", F.coalesce(F.col("nv") / F.col("n"), F.col("c")).alias("c")), "centres")
+    return cents, prepared
 
 
 def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
@@ -351,31 +377,40 @@ def kmeans_tonemap_per_image(hdr: DataFrame, k: int = KMEANS_TONE_K,
                              init: str = "grid", weight: str = "squared") -> DataFrame:
     """k-means luminance compression with one codebook per image.
 
-    Pixels find their cluster through the same range join as the histogram
-    values (bucket of their luminance, then the segment holding it), and the
-    cluster's weighted mean through a join on ``(image_id, cid)``.  Both
-    tables joined to the pixels are bounded by ``images x (k + 1 + buckets)``
-    rows, whatever the number of distinct luminance values, and are
-    broadcast when that fits; no table is ever grouped by image.
+    Pixels are dealt in parts of bounded size like the histogram; each part gets
+    its image's sorted centres with their new levels and looks its pixels up by
+    binary search.  Every pixel keeps its row; pixels with an undefined sample
+    and black ones get NULL.
     """
-    nb = max(64, 2 * k)
-    lum = hdr.select("image_id", "y", "x", "b", "g", "r", px.luminance().alias("lum"))
-    hist = value_histogram(lum, "lum", keys=("image_id",))
-    ranges, hb = _bucketed_histogram(hist, nb)
-    small = broadcast_fits(hdr.sparkSession, ranges.count() * (k + 1 + nb) * _SEGMENT_ROW_BYTES)
-    cents = per_image_centres(hist, k, iterations, seed, init, nb, prepared=(ranges, hb),
-                              small=small)
-    segs = materialise(_segments(cents, ranges, nb), "segments")
-    assigned = _assign_segments(hb, segs, "v", broadcast=small)
-    nn = F.col("n").cast("double")
-    wgt = nn * nn if weight == "squared" else nn
-    means = assigned.groupBy("image_id", "cid").agg(
-        (F.sum(wgt * F.col("v")) / F.sum(wgt)).alias("mean"))
-    lum_b = join_small(lum, ranges, "image_id", written=True).select(
-        "image_id", "y", "x", "b", "g", "r", "lum",
-        _bucket(F.col("lum"), F.col("lo"), F.col("hi"), nb).alias("bucket"))
-    px_cid = _assign_segments(lum_b, segs, "lum", broadcast=small)
-    mapped = join_small(px_cid, means, ["image_id", "cid"])
-    scale = px.safe_div(F.col("mean"), F.col("lum"))
-    return mapped.select("image_id", "y", "x",
-                         *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])
+    lum = hdr.select(F.col("image_id").cast("long").alias("image_id"), "y", "x", "b", "g", "r",
+                     px.luminance().alias("lum"))
+    hist = value_histogram(defined_only(lum, "lum"), "lum", keys=("image_id",))
+    cents, prepared = _fit_per_image(_prepared(hist), k, iterations, seed, init)
+    _, parts, dealt = prepared
+    if weight not in ("squared", "count"):
+        raise ValueError("weight must be 'squared' or 'count'")
+    sums = _partial_sums(dealt, _arrays(cents, parts), weight == "squared")
+    levels = materialise(cents.join(sums, ["image_id", "cid"]).select(
+        "image_id", "cid", "c", (F.col("nv") / F.col("n")).alias("mean")), "levels")
+    px_parts = materialise(_parts(lum.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")),
+                                  ROWS_PER_PART), "parts")
+    arrays = _arrays(levels, px_parts, ("mean",))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        n = left.num_rows
+        level = np.full(n, np.nan)
+        v = left.column("lum").to_numpy(zero_copy_only=False).astype(float)
+        ok = np.flatnonzero(~np.isnan(v))
+        if right.num_rows and len(ok):
+            _, cs, _, at = _search(left.take(pa.array(ok)), right, "lum")
+            level[ok] = cs.field("mean").to_numpy(zero_copy_only=False)[at]
+        return left.select(["image_id", "y", "x", "b", "g", "r", "lum"]).append_column(
+            "level", pa.array(level, mask=np.isnan(level)))
+
+    found = _dealt(lum, px_parts).groupBy("image_id", "part").cogroup(
+        arrays.groupBy("image_id", "part")).applyInArrow(
+        run, "image_id long, y int, x int, b double, g double, r double, lum double, level double")
+    scale = px.safe_div(F.col("level"), F.col("lum"))
+    kind = dict(hdr.dtypes)["image_id"]
+    return found.select(F.col("image_id").cast(kind).alias("image_id"), "y", "x",
+                        *[(F.col(c) * scale).alias(c) for c in ("b", "g", "r")])

@@ -10,14 +10,17 @@ Products, by shape:
 * ``matmul_coo``: join cells on the inner index, aggregate by ``(i, j)``.
   For sparse or skinny inputs; the join emits one row per multiply.
 * ``matmul_block``: pack ``bs x bs`` blocks (groups bounded by ``bs^2``
-  cells), join blocks on the inner block index, shuffle the pairs by output
-  block, and multiply-add them with NumPy inside ``mapInPandas``.  For dense
-  inputs.
+  cells), group them in cuboids of blocks, send each block once per cuboid that
+  needs it, and multiply whole cuboids with NumPy.  For dense inputs.
 * ``gram``: ``X^T X`` of a tall matrix given as rows ``(i, array)``: each
   task adds ``x x^T`` over its own rows and emits one ``d x d`` partial, so
   the only shuffle carries ``tasks * d^2`` cells.
-* ``matmul_small_right``: ``A B`` with ``B`` small (size checked, then
-  broadcast); the row-partitioned left side is never shuffled for the join.
+* ``matmul_rows``: ``A B`` with ``A`` as rows and ``B`` small (size checked,
+  then sent to every task): rows are multiplied where they are, no shuffle.
+
+Products of integer cells are exact integers; NaN and infinite cells follow
+floating-point rules; repeated cells add up; a NULL cell contributes nothing,
+but its position counts, so a result cell that only NULLs reach is NULL.
 """
 
 from __future__ import annotations
@@ -26,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.joins import join_small
-
 CELL_SCHEMA = T.StructType([
     T.StructField("i", T.LongType(), False),
     T.StructField("j", T.LongType(), False),
@@ -118,6 +120,11 @@ def block_extents(blocks: DataFrame, index: str = "i") -> DataFrame:
 
 
 # ------------------------------------------------------------------ products
+def _summed(m: DataFrame) -> DataFrame:
+    """One row per position: repeated cells added."""
+    return m.groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
 def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
     """``C = A B`` on coordinate tables; ``a(i, k, v)`` given as ``(i, j, v)``."""
     left = a.select(F.col("i"), F.col("j").alias("k"), F.col("v").alias("av"))
@@ -130,105 +137,138 @@ def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
 
-def _pack_blocks(m: DataFrame, bs: int, row_key: str, col_key: str) -> DataFrame:
+def _pack_blocks(m: DataFrame, bs: int, row_key: str, col_key: str, kind: str) -> DataFrame:
     """Group cells into ``bs x bs`` blocks ``(row_key, col_key, pos, val)``.
 
     ``pos`` holds the row-major offsets inside the block and ``val`` the
     values, as two aligned arrays that NumPy unpacks without a Python loop.
-    A block holds at most ``bs^2`` cells, whatever the matrix size.
+    A block holds at most ``bs^2`` distinct cells, whatever the matrix size.
     """
-    cells = (m.select(F.floor(F.col("i") / bs).cast("long").alias(row_key),
-                      F.floor(F.col("j") / bs).cast("long").alias(col_key),
-                      F.struct(((F.col("i") % bs) * bs + F.col("j") % bs).cast("int").alias("p"),
-                               F.col("v").cast("double").alias("v")).alias("cell"))
-             .groupBy(row_key, col_key).agg(F.collect_list("cell").alias("_cells")))
+    cells = (_summed(m).select(
+        F.floor(F.col("i") / bs).cast("long").alias(row_key),
+        F.floor(F.col("j") / bs).cast("long").alias(col_key),
+        F.struct(((F.col("i") % bs) * bs + F.col("j") % bs).cast("int").alias("p"),
+                 F.col("v").cast(kind).alias("v")).alias("cell"))
+        .groupBy(row_key, col_key).agg(F.collect_list("cell").alias("_cells")))
     return cells.select(row_key, col_key,
                         F.transform("_cells", lambda c: c["p"]).alias("pos"),
                         F.transform("_cells", lambda c: c["v"]).alias("val"))
 
 
-def _dense(pos, val, bs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Block values and its stored-cell pattern as ``bs x bs`` arrays."""
-    m = np.zeros(bs * bs)
-    pat = np.zeros(bs * bs)
-    if pos is not None and len(pos):
-        p = np.asarray(pos, dtype=np.int64)
-        m[p] = np.nan_to_num(np.asarray(val, dtype=np.float64))
-        pat[p] = 1.0
-    return m.reshape(bs, bs), pat.reshape(bs, bs)
-
-
-def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128,
-                 pairs_per_task: int = 256) -> DataFrame:
-    """Dense ``C = A B`` by ``bs x bs`` blocks.
-
-    Ragged edge blocks are zero-padded; a cell of ``C`` is emitted exactly
-    when some inner index has a stored cell on both sides (the product of the
-    two sparsity patterns), so the result has the same cells as
-    :func:`matmul_coo`.  Block pairs are shuffled by output block and by
-    group of ``pairs_per_task`` inner blocks (``bk div pairs_per_task``), and
-    sorted, so a task adds up to ``pairs_per_task`` partial products of one
-    output block, holding one open block at a time; the final aggregation
-    then adds at most ``ceil(inner blocks / pairs_per_task)`` partials per
-    cell.  A product with a single output block (a Gram matrix) is thus
-    still spread over many tasks.
+def _cuboid_side(table: pa.Table, row: str, col: str, bs: int, dtype):
+    """A side of a cuboid as one dense array with the masks of its stored and of
+    its valued cells, and the first block row and column."""
+    rows, cols = table.column(row).to_numpy(), table.column(col).to_numpy()
+    r0, c0 = int(rows.min()), int(cols.min())
+    shape = ((int(rows.max()) - r0 + 1) * bs, (int(cols.max()) - c0 + 1) * bs)
+    m, stored, valued = np.zeros(shape, dtype), np.zeros(shape, bool), np.zeros(shape, bool)
+    for k in range(table.num_rows):
+        pos = table.column("pos")[k].values.to_numpy(zero_copy_only=False)
+        val = table.column("val")[k].values
+        y = (int(rows[k]) - r0) * bs + pos // bs
+        x = (int(cols[k]) - c0) * bs + pos % bs
+        known = ~val.is_null().to_numpy(zero_copy_only=False)
+        stored[y, x] = True
+        valued[y[known], x[known]] = True
+        m[y[known], x[known]] = val.drop_null().to_numpy(zero_copy_only=False)
+    return m, stored, valued, r0, c0
+
+
+def _product(ma, va, mb, vb):
+    """``ma @ mb`` over valued cells: a NaN or infinity only meets valued cells."""
+    if ma.dtype != np.float64:
+        return ma @ mb
+    bad_a, bad_b = ~np.isfinite(ma), ~np.isfinite(mb)
+    with np.errstate(invalid="ignore", over="ignore"):
+        out = np.where(bad_a, 0.0, ma) @ np.where(bad_b, 0.0, mb)
+        for r, k in zip(*np.nonzero(bad_a)):
+            cols = np.flatnonzero(vb[k])
+            out[r, cols] += ma[r, k] * mb[k, cols]
+        for k, c in zip(*np.nonzero(bad_b)):
+            rows = np.flatnonzero(va[:, k] & ~bad_a[:, k])
+            out[rows, c] += ma[rows, k] * mb[k, c]
+    return out
+
+
+def _is_integer(m: DataFrame) -> bool:
+    return isinstance(m.schema["v"].dataType, T.IntegralType)
+
+
+def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128, side: int = 4) -> DataFrame:
+    """Dense ``C = A B`` by cuboids of ``side^3`` blocks of ``bs x bs`` cells.
+
+    A block of ``A`` goes once to every cuboid column of ``B``, and the reverse:
+    with ``nb`` blocks per dimension a block is sent ``nb / side`` times, not
+    ``nb`` times, and no pair of blocks is ever shuffled.  A task multiplies the
+    two sides of a cuboid as dense arrays (``side * bs`` squared) and emits its
+    partial cells; the final aggregation adds one partial per cuboid layer.
+    The result has the same cells and values as :func:`matmul_coo`, exact
+    ``bigint`` for integer input.
     """
-    if bs < 1 or pairs_per_task < 1:
-        raise ValueError("block size and pairs_per_task must be >= 1")
-    ab = _pack_blocks(a, bs, "bi", "bk").select(
-        "bi", "bk", F.col("pos").alias("a_pos"), F.col("val").alias("a_val"))
-    bb = _pack_blocks(b, bs, "bk", "bj").select(
-        "bk", "bj", F.col("pos").alias("b_pos"), F.col("val").alias("b_val"))
-    # Pairs of one output block and one inner-block group meet in one task
-    # (sorted), so their partial products are summed there.
-    grp = F.floor(F.col("bk") / F.lit(pairs_per_task)).cast("long").alias("grp")
-    pairs = (ab.join(bb, "bk").select("bi", "bj", grp, "a_pos", "a_val", "b_pos", "b_val")
-             .repartition("bi", "bj", "grp").sortWithinPartitions("bi", "bj", "grp"))
-
-    def flush(acc, hit) -> Iterator[pd.DataFrame]:
-        for (bi, bj, g), m in acc.items():
-            rr, cc = np.nonzero(hit[(bi, bj, g)])
-            if len(rr):
-                yield pd.DataFrame({"i": bi * bs + rr, "j": bj * bs + cc, "v": m[rr, cc]})
-        acc.clear()
-        hit.clear()
-
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[tuple[int, int, int], np.ndarray] = {}
-        hit: dict[tuple[int, int, int], np.ndarray] = {}
-        for pdf in batches:
-            for bi, bj, g, ap, av, bp, bv in zip(pdf["bi"], pdf["bj"], pdf["grp"], pdf["a_pos"],
-                                                 pdf["a_val"], pdf["b_pos"], pdf["b_val"]):
-                key = (int(bi), int(bj), int(g))
-                ma, pa = _dense(ap, av, bs)
-                mb, pb = _dense(bp, bv, bs)
-                prod, cover = ma @ mb, (pa @ pb) > 0
-                if key in acc:
-                    acc[key] += prod
-                    hit[key] |= cover
-                else:
-                    if acc:  # sorted input: the previous block is complete
-                        yield from flush(acc, hit)
-                    acc[key], hit[key] = prod, cover
-        yield from flush(acc, hit)
-
-    partial = pairs.mapInPandas(multiply, CELL_SCHEMA)
+    if bs < 1 or side < 1:
+        raise ValueError("block size and side must be >= 1")
+    exact = _is_integer(a) and _is_integer(b)
+    kind, dtype = ("long", np.int64) if exact else ("double", np.float64)
+    span = bs * side
+    top = (a.agg(F.coalesce(F.floor(F.max("i") / span), F.lit(-1)).cast("long").alias("x")).first()["x"],
+           b.agg(F.coalesce(F.floor(F.max("j") / span), F.lit(-1)).cast("long").alias("x")).first()["x"])
+
+    def copies(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 0)).cast("long")))
+
+    group = lambda c: F.floor(F.col(c) / side).cast("long")
+    ab = _pack_blocks(a, bs, "bi", "bk", kind).select(
+        group("bi").alias("gi"), copies(top[1]).alias("gj"), group("bk").alias("gk"),
+        "bi", "bk", "pos", "val")
+    bb = _pack_blocks(b, bs, "bk", "bj", kind).select(
+        copies(top[0]).alias("gi"), group("bj").alias("gj"), group("bk").alias("gk"),
+        "bk", "bj", "pos", "val")
+    schema = pa.schema([("i", pa.int64()), ("j", pa.int64()),
+                        ("v", pa.int64() if exact else pa.float64())])
+
+    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0 or right.num_rows == 0:
+            return schema.empty_table()
+        ma, sa, va, i0, ka = _cuboid_side(left, "bi", "bk", bs, dtype)
+        mb, sb, vb, kb, j0 = _cuboid_side(right, "bk", "bj", bs, dtype)
+        lo, hi = max(ka, kb), min(ka + ma.shape[1] // bs, kb + mb.shape[0] // bs)
+        if lo >= hi:
+            return schema.empty_table()
+        x = slice((lo - ka) * bs, (hi - ka) * bs)
+        y = slice((lo - kb) * bs, (hi - kb) * bs)
+        cover = (sa[:, x].astype(np.float32) @ sb[y].astype(np.float32)) > 0
+        real = (va[:, x].astype(np.float32) @ vb[y].astype(np.float32)) > 0
+        prod = _product(ma[:, x], va[:, x], mb[y], vb[y])
+        r, c = np.nonzero(cover)
+        return pa.table([pa.array(i0 * bs + r), pa.array(j0 * bs + c),
+                         pa.array(prod[r, c], mask=~real[r, c])], schema=schema)
+
+    keys = ["gi", "gj", "gk"]
+    partial = ab.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInArrow(
+        multiply, f"i long, j long, v {kind}")
     return partial.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
+# A task of ``gram`` holds a d x d array of doubles: 128 MB at most.
+GRAM_MAX_WIDTH = 4096
+
+
 def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:
     """``X^T X`` for a tall matrix given as rows ``(i, vec array<double>)``.
 
     Each task sums ``x x^T`` over its own rows (one BLAS call per Arrow
     batch) and emits one ``d x d`` partial; the final sum shuffles only those.
+    A NULL row is a row without cells and adds nothing.  Rows wider than
+    ``GRAM_MAX_WIDTH`` raise: use :func:`matmul_block`.
     """
-
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = None
         for pdf in batches:
             vals = [np.asarray(v, dtype=np.float64) for v in pdf[vec] if v is not None]
             if not vals:
                 continue
+            if len(vals[0]) > GRAM_MAX_WIDTH:
+                raise ValueError(f"gram: rows wider than {GRAM_MAX_WIDTH}; use matmul_block")
             x = np.vstack(vals)
             g = x.T @ x
             acc = g if acc is None else acc + g
@@ -241,14 +281,53 @@ def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:
             .groupBy("i", "j").agg(F.sum("v").alias("v")))
 
 
-def matmul_small_right(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``C = A B`` where ``B`` is small: its cells are materialised, size-checked
-    and broadcast when under the threshold (else a shuffle join), then each cell of
-    ``A`` meets the row of ``B`` it multiplies."""
-    left = a.select(F.col("i"), F.col("j").alias("k"), F.col("v").alias("av"))
-    right = b.select(F.col("i").alias("k"), F.col("j"), F.col("v").alias("bv"))
-    return (join_small(left, right, "k")
-            .groupBy("i", "j").agg(F.sum(F.col("av") * F.col("bv")).alias("v")))
+# Cells of a right factor that every task may hold (8 bytes each).
+RIGHT_MAX_CELLS = 1 << 22
+
+
+def matmul_rows(rows: DataFrame, b: DataFrame, vec: str = "vec") -> DataFrame:
+    """``C = A B`` with ``A`` as rows ``(i, vec)`` and ``B`` as cells, by row blocks:
+    ``(i, vec)`` with rows of ``C``.
+
+    ``B`` is replicated to every task if it has at most ``RIGHT_MAX_CELLS``
+    cells (counted first): each Arrow batch of rows is one product, nothing is
+    shuffled.  A larger ``B`` goes through :func:`matmul_block` and the rows are
+    put together again.  A NULL row stays NULL.
+    """
+    d = b.agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("i"), F.max("j").alias("j")).first()
+    width = (d["j"] if d["j"] is not None else -1) + 1
+    if d["n"] > RIGHT_MAX_CELLS or (d["n"] and (d["i"] + 1) * width > RIGHT_MAX_CELLS):
+        cells = rows.select("i", F.posexplode(vec).alias("j", "v"))
+        found = cells_to_rows(matmul_block(cells.withColumn("j", F.col("j").cast("long")), b), vec)
+        return rows.select("i").join(found, "i", "left")
+    right = np.zeros(((d["i"] if d["i"] is not None else -1) + 1, width))
+    for r in _summed(b).collect():
+        right[r["i"], r["j"]] = r["v"]
+    ref = rows.sparkSession.sparkContext.broadcast(right)
+
+    def multiply(batches):
+        m = ref.value
+        for batch in batches:
+            vecs = batch.column(1)
+            known = vecs.is_valid().to_numpy(zero_copy_only=False)
+            flat = vecs.flatten().to_numpy(zero_copy_only=False).astype(float)
+            out = flat.reshape(int(known.sum()), -1) @ m if known.any() else np.empty((0, m.shape[1]))
+            off = np.zeros(len(known) + 1, np.int32)
+            np.cumsum(known * m.shape[1], out=off[1:])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(
+                    pa.array(off), pa.array(out.ravel()), mask=pa.array(~known))], names=["i", vec])
+
+    return rows.select(F.col("i").cast("long").alias("i"),
+                       F.col(vec).cast("array<double>").alias(vec)).mapInArrow(
+        multiply, f"i long, {vec} array<double>")
+
+
+def cells_to_rows(m: DataFrame, vec: str = "vec") -> DataFrame:
+    """Coordinate cells -> ``(i, vec)`` rows in order of ``j`` (all cells stored).
+    A group is one matrix row, bounded by the matrix width."""
+    return (m.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("_c"))
+            .select("i", F.transform("_c", lambda s: s["v"]).alias(vec)))
 
 
 # ---------------------------------------------------------------- comparison
@@ -279,13 +358,3 @@ def matrix_diff_summary(a: DataFrame, b: DataFrame, tol: float = 0.0,
     return j.agg(F.count(F.lit(1)).alias("n_cells"),
                  F.count(F.when(_differs(av, bv, tol), 1)).alias("n_diff"),
                  F.max(F.abs(av - bv)).alias("max_abs_diff"))
-
-
-# ------------------------------------------------------------- conversions
-def cells_to_rows(m: DataFrame, width: int, vec: str = "vec") -> DataFrame:
-    """Coordinate cells -> ``(i, vec)`` dense rows of length ``width``.
-
-    A group is one matrix row (``width`` cells), bounded by the matrix width.
-    """
-    return (m.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("_c"))
-            .select("i", F.transform("_c", lambda s: s["v"]).alias(vec)))

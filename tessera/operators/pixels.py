@@ -87,12 +87,6 @@ def abs_saturate(df: DataFrame, value: str) -> DataFrame:
     return df.select(*KEYS, F.least(F.lit(255), F.abs(F.col(value))).cast("int").alias(value))
 
 
-def quantise(df: DataFrame, cols: tuple[str, ...] = ("b", "g", "r")) -> DataFrame:
-    """Float samples in 0..1 -> 8 bit (``*255``, half-even, saturated)."""
-    keep = [c for c in df.columns if c not in cols]
-    return df.select(*keep, *[px.quantise8(c).alias(c) for c in cols])
-
-
 def assemble_rows(pixels: DataFrame, cols: tuple[str, ...] = ("b", "g", "r"),
                   out: str = "pixels") -> DataFrame:
     """Reassemble pixels into one sorted array per image row ``(image_id, y, out)``.

@@ -180,9 +180,9 @@ def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: i
     if border == "zero":
         padded = np.pad(grid, r)
     else:
-        # Rows: mirror only where the band has no halo (an image edge).
-        top = r if y0 >= lo_core else 0
-        bottom = r if y1 <= hi_core else 0
+        # Rows: mirror as many as the halo lacks (it ends at an image edge).
+        top = r - min(r, max(0, lo_core - y0))
+        bottom = r - min(r, max(0, y1 - hi_core))
         vmode = "reflect" if h > 1 else "edge"
         padded = np.pad(grid, ((top, bottom), (0, 0)), mode=vmode) if (top or bottom) else grid
         padded = np.pad(padded, ((r - top, r - bottom), (0, 0)))

@@ -1,11 +1,8 @@
 """Benchmark-timing analytics over ``(workload, variant, run_no, gpu, cpu)``.
 
-The published averages cover the first 20 runs of each log (later runs were
-appended afterwards), so ``first_runs`` defaults to 20; ``None`` uses every
-run.  Numbering runs is a ``row_number()`` per (workload, variant); with a
-``run_no <= k`` filter Catalyst inserts a partial WindowGroupLimit before the
-shuffle, so each task ships at most ``k`` rows per group and a hot group never
-reaches one task whole.
+Statistics cover every run.  ``first_runs=k`` restricts them to runs numbered
+up to ``k`` (the published tables average the first 20 lines of logs that grew
+later); ``number_runs`` numbers rows that have no ``run_no``.
 """
 
 from __future__ import annotations
@@ -19,7 +16,7 @@ GROUP = ["workload", "variant"]
 REPORT_RUNS = 20
 
 
-def number_runs(df: DataFrame, order: str, first_runs: int = REPORT_RUNS) -> DataFrame:
+def number_runs(df: DataFrame, order: str, first_runs: int) -> DataFrame:
     """Keep the first ``first_runs`` runs of each group, numbered from 1 in ``order``.
 
     The bound is required: numbering every run would sort each whole group
@@ -33,12 +30,14 @@ def number_runs(df: DataFrame, order: str, first_runs: int = REPORT_RUNS) -> Dat
 
 
 def _runs(df: DataFrame, first_runs: int | None) -> DataFrame:
-    if first_runs is None or "run_no" not in df.columns:
+    if first_runs is None:
         return df
+    if "run_no" not in df.columns:
+        raise ValueError("first_runs needs run numbers (see number_runs)")
     return df.where(F.col("run_no") <= first_runs)
 
 
-def timing_mean(runs: DataFrame, first_runs: int | None = REPORT_RUNS) -> DataFrame:
+def timing_mean(runs: DataFrame, first_runs: int | None = None) -> DataFrame:
     """Mean GPU and CPU time per workload and variant."""
     return _runs(runs, first_runs).groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n_runs"),
@@ -46,15 +45,16 @@ def timing_mean(runs: DataFrame, first_runs: int | None = REPORT_RUNS) -> DataFr
         F.avg("cpu").alias("mean_cpu"))
 
 
-def timing_speedup(runs: DataFrame, first_runs: int | None = REPORT_RUNS) -> DataFrame:
+def timing_speedup(runs: DataFrame, first_runs: int | None = None) -> DataFrame:
     """Speedup as the mean of per-run ratios ``cpu / gpu`` (0 s runs skipped)."""
     ratio = F.col("cpu") / F.nullif(F.col("gpu"), F.lit(0.0))
     return _runs(runs, first_runs).groupBy(*GROUP).agg(F.avg(ratio).alias("speedup"))
 
 
 def timing_variant_ratio(runs: DataFrame, base: str,
-                         first_runs: int | None = REPORT_RUNS) -> DataFrame:
-    """Ratio of means ``mean_gpu(base) / mean_gpu(variant)`` per workload.
+                         first_runs: int | None = None) -> DataFrame:
+    """Ratio of means ``mean_gpu(base) / mean_gpu(variant)`` per workload; NULL
+    for a workload without the base variant.
 
     Means are aggregated first (one row per workload and variant), so the
     self-join pairs tiny tables only.
@@ -62,6 +62,6 @@ def timing_variant_ratio(runs: DataFrame, base: str,
     means = timing_mean(runs, first_runs).select(*GROUP, "mean_gpu")
     b = means.where(F.col("variant") == base).select(
         "workload", F.col("mean_gpu").alias("base_gpu"))
-    return (means.join(b, "workload")
+    return (means.join(b, "workload", "left")
             .select("workload", "variant",
                     (F.col("base_gpu") / F.nullif(F.col("mean_gpu"), F.lit(0.0))).alias("ratio")))

@@ -1,11 +1,14 @@
 """Tone mapping of HDR pixel tables ``(image_id, y, x, b, g, r)`` (doubles).
 
 Global operators need one statistic per image (maximum sample, log-luminance
-range, luminance CDF).  They are computed by partial + final aggregation
-(a hot image never lands whole in one task), written once to the checkpoint
-folder and joined back by ``image_id`` with a size-checked broadcast
-(``tessera.plans.joins.join_small``).  The per-pixel formulas are built-in
-expressions inside one codegen span.
+range, luminance CDF).  They are computed by partial + final aggregation,
+written once to the checkpoint folder and joined back by ``image_id`` with a
+size-checked broadcast or, beyond the check, a salted shuffle join
+(``tessera.plans.joins.join_small``), so a hot image is never gathered in one
+task.  The per-pixel formulas are built-in expressions inside one codegen span.
+
+Undefined samples (NaN or NULL) are left out of the statistics; results that
+depend on one are NULL (0 after quantising), and the pixel's row stays.
 """
 
 from __future__ import annotations
@@ -30,14 +33,19 @@ def _lit(v) -> Column:
 
 
 # --------------------------------------------------------------------- stats
+def defined(c: str | Column) -> Column:
+    """The value, NULL instead of NaN."""
+    return F.nanvl(px.col(c), F.lit(None).cast("double"))
+
+
 def max_sample(hdr: DataFrame) -> DataFrame:
-    """Per image: the largest raw channel sample, never below 0."""
-    return hdr.groupBy("image_id").agg(
-        F.greatest(F.lit(0.0), F.max(F.greatest("b", "g", "r"))).alias("max_sample"))
+    """Per image: the largest defined channel sample, never below 0."""
+    return hdr.groupBy("image_id").agg(F.greatest(
+        F.lit(0.0), F.max(F.greatest(*[defined(c) for c in CHANNELS]))).alias("max_sample"))
 
 
 def _with_max(hdr: DataFrame) -> DataFrame:
-    return join_small(hdr, max_sample(hdr), "image_id")
+    return join_small(hdr, max_sample(hdr), "image_id", "left")
 
 
 # -------------------------------------------------------------- per-sample maps
@@ -77,19 +85,19 @@ def _check_gamma(gamma) -> None:
 def tone_log(hdr: DataFrame, q: float, k: float) -> DataFrame:
     j = _with_max(hdr)
     m = F.col("max_sample")
-    return j.select(*KEYS, *[log_map(F.col(c), m, q, k).alias(c) for c in CHANNELS])
+    return j.select(*KEYS, *[defined(log_map(F.col(c), m, q, k)).alias(c) for c in CHANNELS])
 
 
 def tone_adaptive(hdr: DataFrame, q: float, k: float) -> DataFrame:
     _check_bias(q)
     j = _with_max(hdr)
     m = F.col("max_sample")
-    return j.select(*KEYS, *[adaptive_map(F.col(c), m, q, k).alias(c) for c in CHANNELS])
+    return j.select(*KEYS, *[defined(adaptive_map(F.col(c), m, q, k)).alias(c) for c in CHANNELS])
 
 
 def tone_gamma(hdr: DataFrame, f_stop: float, gamma: float) -> DataFrame:
     _check_gamma(gamma)
-    return hdr.select(*KEYS, *[gamma_map(F.col(c), f_stop, gamma).alias(c) for c in CHANNELS])
+    return hdr.select(*KEYS, *[defined(gamma_map(F.col(c), f_stop, gamma)).alias(c) for c in CHANNELS])
 
 
 def tonemap(hdr: DataFrame, mode: str, p1: float, p2: float) -> DataFrame:
@@ -110,7 +118,8 @@ def tonemap(hdr: DataFrame, mode: str, p1: float, p2: float) -> DataFrame:
 def tone_with_params(hdr: DataFrame, params: DataFrame, mode: str) -> DataFrame:
     """Batch tone map with per-image parameters ``(image_id, p1, p2)``.
 
-    ``params`` has one row per image; it is joined with a size check.
+    ``params`` has one row per image; it is joined with a size check.  Pixels
+    of an image without parameters stay, with NULL samples.
     """
     m = (mode or "")[:1].upper()
     if m not in ("L", "A", "G"):
@@ -118,29 +127,30 @@ def tone_with_params(hdr: DataFrame, params: DataFrame, mode: str) -> DataFrame:
     per_image = params.select("image_id", "p1", "p2")
     if m != "G":
         # Both per-image tables are small: join them first, materialise once.
-        per_image = per_image.join(max_sample(hdr), "image_id")
-    j = join_small(hdr, per_image, "image_id")
+        per_image = max_sample(hdr).join(per_image, "image_id", "left")
+    j = join_small(hdr, per_image, "image_id", "left")
     p1, p2 = F.col("p1"), F.col("p2")
     if m == "G":
         exprs = [gamma_map(F.col(c), p1, p2) for c in CHANNELS]
     else:
         fn = log_map if m == "L" else adaptive_map
         exprs = [fn(F.col(c), F.col("max_sample"), p1, p2) for c in CHANNELS]
-    return j.select(*KEYS, *[e.alias(c) for e, c in zip(exprs, CHANNELS)])
+    return j.select(*KEYS, *[defined(e).alias(c) for e, c in zip(exprs, CHANNELS)])
 
 
 # ------------------------------------------------------ histogram equalisation
 def rgb_to_xyy(hdr: DataFrame, delta: float = px.LOG_Y_DELTA) -> DataFrame:
     """``(image_id, y, x, cx, cy, log_y)``: chromaticity and log10 luminance.
 
-    Black pixels (X+Y+Z = 0) have NULL chromaticity.
+    Black pixels (X+Y+Z = 0) have NULL chromaticity; a pixel with an undefined
+    sample has no value at all.
     """
     xx, yy, zz = px.rgb_to_xyz(F.col("r"), F.col("g"), F.col("b"))
     total = xx + yy + zz
     return hdr.select(*KEYS,
-                      px.safe_div(xx, total).alias("cx"),
-                      px.safe_div(yy, total).alias("cy"),
-                      F.log10(F.lit(delta) + yy).alias("log_y"))
+                      defined(px.safe_div(xx, total)).alias("cx"),
+                      defined(px.safe_div(yy, total)).alias("cy"),
+                      defined(F.log10(F.lit(delta) + yy)).alias("log_y"))
 
 
 def _lum_range(xyy: DataFrame) -> DataFrame:
@@ -149,16 +159,18 @@ def _lum_range(xyy: DataFrame) -> DataFrame:
 
 
 def bin_index(log_y: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """``min(bins-1, floor(bins (log_y - lo) / (hi - lo)))``; bin 0 for a flat image."""
+    """``min(bins-1, floor(bins (log_y - lo) / (hi - lo)))``; bin 0 for a flat image, NULL for an
+    undefined value."""
     scaled = F.floor(F.lit(bins) * (log_y - lo) / F.nullif(hi - lo, F.lit(0.0)))
-    return F.coalesce(F.least(F.lit(bins - 1), scaled.cast("int")), F.lit(0))
+    index = F.coalesce(F.least(F.lit(bins - 1), scaled.cast("int")), F.lit(0))
+    return F.when(log_y.isNotNull(), index)
 
 
 def _binned(hdr: DataFrame, bins: int) -> DataFrame:
     if bins < 1:
         raise ValueError("bins must be >= 1")
     xyy = rgb_to_xyy(hdr)
-    j = join_small(xyy, _lum_range(xyy), "image_id")
+    j = join_small(xyy, _lum_range(xyy), "image_id", "left")
     return j.select(*KEYS, "cx", "cy", "log_y",
                     bin_index(F.col("log_y"), F.col("min_log_y"), F.col("max_log_y"),
                               bins).alias("bin"))
@@ -166,7 +178,12 @@ def _binned(hdr: DataFrame, bins: int) -> DataFrame:
 
 def lum_histogram(hdr: DataFrame, bins: int = HISTEQ_BINS) -> DataFrame:
     """Non-empty log-luminance bins ``(image_id, bin, n)``."""
-    return _binned(hdr, bins).groupBy("image_id", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return _histogram(_binned(hdr, bins))
+
+
+def _histogram(binned: DataFrame) -> DataFrame:
+    return (binned.where("bin is not null").groupBy("image_id", "bin")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def lum_cdf(hist: DataFrame, bins: int = HISTEQ_BINS, exclusive: bool = False) -> DataFrame:
@@ -198,9 +215,8 @@ def histeq_tonemap(hdr: DataFrame, bins: int = HISTEQ_BINS,
     Output ``(image_id, y, x, bin, b, g, r)``; undefined (black) pixels are NULL.
     """
     binned = _binned(hdr, bins)
-    hist = binned.groupBy("image_id", "bin").agg(F.count(F.lit(1)).alias("n"))
-    cdf = lum_cdf(hist, bins, exclusive).select("image_id", "bin", "cdf_norm")
-    j = join_small(binned, cdf, ["image_id", "bin"])
+    cdf = lum_cdf(_histogram(binned), bins, exclusive).select("image_id", "bin", "cdf_norm")
+    j = join_small(binned, cdf, ["image_id", "bin"], "left")
     y_new = F.col("cdf_norm")
     ratio = px.safe_div(y_new, F.col("cy"))
     x_new = F.col("cx") * ratio

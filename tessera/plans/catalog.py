@@ -20,6 +20,9 @@ from tessera.operators import pixels as pxo
 from tessera.operators import stencil, tone
 from tessera.operators import timings as tm
 from tessera.sources import tables as tb
+from tessera.sources.hdr import hdr_from_samples
+from tessera.sources.sinks import scale_hdr
+from tessera.sources.timing_logs import parse_timing_lines, rejected_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,8 +215,15 @@ def q_vector_add(spark, sf_dir):
 
 @register("matmul_coo")
 def q_matmul_coo(spark, sf_dir):
-    e = tb.embedding_cells(spark, sf_dir)
-    return _gram_cells(mx.matmul_coo(mx.transpose(e), e))
+    # Sparse input: one join row per pair of stored cells of a user.
+    m = tb.sparse_cells(spark, sf_dir)
+    return _gram_cells(mx.matmul_coo(mx.transpose(m), m))
+
+
+@register("matmul_int")
+def q_matmul_int(spark, sf_dir):
+    m = tb.integer_cells(spark, sf_dir)
+    return mx.matmul_block(mx.transpose(m), m, bs=16, side=2)
 
 
 @register("matmul_block")
@@ -233,14 +243,15 @@ def q_matmul_gram(spark, sf_dir):
 def q_matmul_rect(spark, sf_dir):
     emb = tb.read_table(spark, sf_dir, "embeddings")
     # Right factor: the label-centroid matrix (dimension x label), derived
-    # from the same table by one aggregation; its size is checked before it
-    # is broadcast.
+    # from the same table by one aggregation; its size is checked before every
+    # task gets it.
     centroids = (emb.select("label", F.posexplode("embedding").alias("k", "x"))
                  .groupBy("k", "label").agg(F.avg(F.col("x").cast("double")).alias("v"))
                  .select(F.col("k").cast("long").alias("i"),
                          F.col("label").cast("long").alias("j"), "v"))
-    prod = mx.matmul_small_right(tb.embedding_cells(spark, sf_dir), centroids)
-    return _round_cols(prod.select(F.col("i").cast("long"), F.col("j").cast("int"), "v"), ("v",))
+    rows = emb.select(F.col("vec_id").alias("i"), F.col("embedding").alias("vec"))
+    prod = mx.matmul_rows(rows, centroids).select("i", F.posexplode("vec").alias("j", "v"))
+    return _round_cols(prod, ("v",))
 
 
 @register("matrix_diff")
@@ -322,7 +333,7 @@ def q_kmeans_tonemap_grid(spark, sf_dir):
 
 # ----------------------------------------------------------------- timings (E)
 def _timings(spark, sf_dir):
-    return tm.number_runs(tb.timing_runs(spark, sf_dir), "event_id")
+    return tb.timing_runs(spark, sf_dir)
 
 
 @register("timing_mean")
@@ -338,3 +349,92 @@ def q_timing_speedup(spark, sf_dir):
 @register("timing_variant_ratio")
 def q_timing_variant_ratio(spark, sf_dir):
     return _round_cols(tm.timing_variant_ratio(_timings(spark, sf_dir), "naive"), ("ratio",))
+
+
+# --------------------------------------------------- undefined samples (NaN, NULL)
+@register("tone_log_holes")
+def q_tone_log_holes(spark, sf_dir):
+    return _with_8bit(tone.tone_log(tb.hdr_holes(spark, sf_dir), TONE_P1, TONE_P2))
+
+
+@register("histeq_tonemap_holes")
+def q_histeq_tonemap_holes(spark, sf_dir):
+    out = tone.histeq_tonemap(tb.hdr_holes(spark, sf_dir))
+    return _with_8bit(out.fillna(-1, ["bin"]))        # -1: no bin
+
+
+@register("kmeans_tonemap_holes")
+def q_kmeans_tonemap_holes(spark, sf_dir):
+    return _with_8bit(cl.kmeans_tonemap(tb.hdr_holes(spark, sf_dir), init="grid"))
+
+
+@register("kmeans_tonemap_per_image_holes")
+def q_kmeans_tonemap_per_image_holes(spark, sf_dir):
+    return _with_8bit(cl.kmeans_tonemap_per_image(tb.hdr_holes(spark, sf_dir), init="grid"))
+
+
+@register("kmeans_tonemap_per_image_random")
+def q_kmeans_tonemap_per_image_random(spark, sf_dir):
+    return _with_8bit(cl.kmeans_tonemap_per_image(tb.hdr(spark, sf_dir), init="random", seed=42))
+
+
+# ------------------------------------------------------------- remaining operators
+@register("convolve_reflect101")
+def q_convolve_reflect101(spark, sf_dir):
+    # 40 rows in bands of 13: the last band has one row, the halo two.
+    return stencil.tiled(pxo.gray(tb.pixels8(spark, sf_dir)), CONVOLVE_MASK,
+                         border="reflect101", band_rows=13)
+
+
+@register("hdr_promote")
+def q_hdr_promote(spark, sf_dir):
+    return _round_cols(hdr_from_samples(tb.hdr_samples(spark, sf_dir))[0], ("b", "g", "r"))
+
+
+@register("hdr_rejects")
+def q_hdr_rejects(spark, sf_dir):
+    return hdr_from_samples(tb.hdr_samples(spark, sf_dir))[1]
+
+
+@register("timing_log_rows")
+def q_timing_log_rows(spark, sf_dir):
+    return parse_timing_lines(tb.log_lines(spark, sf_dir))
+
+
+@register("timing_log_rejects")
+def q_timing_log_rejects(spark, sf_dir):
+    return rejected_lines(tb.log_lines(spark, sf_dir))
+
+
+@register("scale_hdr")
+def q_scale_hdr(spark, sf_dir):
+    return _round_cols(scale_hdr(tb.hdr(spark, sf_dir)), ("b", "g", "r"))
+
+
+@register("rgba_round_trip")
+def q_rgba_round_trip(spark, sf_dir):
+    return pxo.from_rgba(pxo.to_rgba(tb.pixels8(spark, sf_dir)))
+
+
+@register("channel_merge")
+def q_channel_merge(spark, sf_dir):
+    return pxo.channel_merge(pxo.channel_split(tb.pixels8(spark, sf_dir)))
+
+
+@register("image_type_name")
+def q_image_type_name(spark, sf_dir):
+    ev = tb.read_table(spark, sf_dir, "events")
+    code = (F.col("event_id") % 64).cast("int")
+    return ev.select("event_id", code.alias("code"), px.image_type_name(code).alias("name"))
+
+
+@register("lum_cdf_exclusive")
+def q_lum_cdf_exclusive(spark, sf_dir):
+    hist = tone.lum_histogram(tb.hdr(spark, sf_dir))
+    return _round_cols(tone.lum_cdf(hist, exclusive=True), ("cdf_norm",))
+
+
+@register("cluster_mean")
+def q_cluster_mean(spark, sf_dir):
+    return _round_cols(cl.cluster_weighted_mean(_grid_assigned(spark, sf_dir), weight="count"),
+                       ("mean",))

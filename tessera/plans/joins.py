@@ -3,11 +3,9 @@
 Per-image statistics (max sample, log-luminance range, CDF bins) have one row
 per image (or per image and bin), so their size grows with the number of
 images, not with pixels, but it is not bounded by a constant.  They are
-therefore materialised once in the session's checkpoint folder (lineage cut,
-survives executor loss) and broadcast only when their exact written size
-(times an in-memory expansion allowance) is under the broadcast threshold.
-Beyond it the join is a shuffle join on the key, where adaptive execution
-splits a hot image's partition (skew join).
+materialised once in the session's checkpoint folder (lineage cut, survives
+executor loss) and broadcast only when rows times width are under the broadcast
+threshold.  Beyond it the join is a shuffle join on the key and a salt.
 """
 
 from __future__ import annotations
@@ -31,6 +29,25 @@ def broadcast_threshold(spark) -> int:
     return int(raw)
 
 
+# Folders written by this process and not released yet.
+_WRITTEN: list[str] = []
+
+
+def release(spark) -> int:
+    """Delete the tables that :func:`materialise` wrote so far.
+
+    Call it when the results built on them have been written or collected: a
+    DataFrame that still reads one of them fails afterwards.  Returns how many
+    folders went.
+    """
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
+
+
 def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
     return the re-read table.
@@ -42,55 +59,48 @@ def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Parquet pages are compressed; numeric rows in memory (plus the hash table)
-# take about twice the bytes of the written file.
-IN_MEMORY_EXPANSION = 2
-
-# Bytes per field assumed when the size must be estimated from a row count.
-_FIELD_BYTES = 16
+# In-memory bytes assumed per field of a hashed row, and per row.
+_FIELD_BYTES = 24
+_ROW_BYTES = 48
+# Copies of the small side in a shuffle join: a hot key spreads over as many tasks.
+SALTS = 16
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (exact file size for a plain scan).
-
-    Without access to the plan (Spark Connect) the rows are counted and a
-    fixed width per field is assumed, then halved so that the caller's
-    in-memory allowance gives the same estimate.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return df.count() * len(df.columns) * _FIELD_BYTES // IN_MEMORY_EXPANSION
+    """Rows times an assumed row width (compressed file size says little about
+    the size in memory).  ``df`` is a written table of numbers, so the count
+    comes from file metadata."""
+    return df.count() * (_ROW_BYTES + _FIELD_BYTES * len(df.columns))
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_bytes: int | None = None, written: bool = False) -> DataFrame:
-    """Join ``big`` with a derived ``small`` table, broadcasting it only if it fits.
+    """Join ``big`` with a derived ``small`` table of numbers.
 
     ``small`` is materialised (unless ``written``: it already is a plain
-    parquet scan); its file size times an in-memory expansion allowance is
-    compared with the broadcast threshold.  Beyond it the join stays a
-    shuffle join, where adaptive execution splits hot keys.
+    parquet scan) and broadcast if its size in memory is under the broadcast
+    threshold.  Otherwise both sides are shuffled by the key and a salt: a key
+    that holds a large share of ``big`` is dealt over ``SALTS`` tasks, and no
+    later aggregation can reuse a partitioning by the bare key.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
     if not written:
         small = materialise(small, "join-side")
-    limit = broadcast_threshold(big.sparkSession) if max_bytes is None else max_bytes
-    if limit > 0 and size_in_bytes(small) * IN_MEMORY_EXPANSION <= limit:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    if broadcast_fits(big.sparkSession, size_in_bytes(small), max_bytes):
+        return big.join(F.broadcast(small), on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)))
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                             F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
-def broadcast_fits(spark, est_bytes: int) -> bool:
+def broadcast_fits(spark, est_bytes: int, max_bytes: int | None = None) -> bool:
     """Whether a table of ``est_bytes`` (in memory) may be broadcast."""
-    limit = broadcast_threshold(spark)
+    limit = broadcast_threshold(spark) if max_bytes is None else max_bytes
     return limit > 0 and est_bytes <= limit
-
-
-def join_literal(big: DataFrame, small: DataFrame, on=None, how: str = "inner") -> DataFrame:
-    """Join with a table whose size is fixed by its definition (a parameter
-    list or a mask), so it is always broadcast."""
-    b = F.broadcast(small)
-    return big.crossJoin(b) if on is None else big.join(b, on, how)

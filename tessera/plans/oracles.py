@@ -259,9 +259,19 @@ GRAM = """gram as (
 ORACLES["vector_add"] = \
     f"select event_id i, {CMP('value + user_id*0.5::double')} v from events"
 
-ORACLES["matmul_coo"] = _with(CELLS, GRAM) + f"select i, j, {CMP('v')} v from gram"
-ORACLES["matmul_block"] = ORACLES["matmul_coo"]
-ORACLES["matmul_gram"] = ORACLES["matmul_coo"]
+ORACLES["matmul_block"] = _with(CELLS, GRAM) + f"select i, j, {CMP('v')} v from gram"
+ORACLES["matmul_gram"] = ORACLES["matmul_block"]
+
+ORACLES["matmul_coo"] = f"""
+with m as (select user_id i, event_id % 97 j, sum(value) v from events group by 1, 2)
+select cast(a.j as int) i, cast(b.j as int) j, {CMP('sum(a.v*b.v)')} v
+from m a join m b on a.i = b.i group by a.j, b.j"""
+
+ORACLES["matmul_int"] = """
+with m as (select event_id % 53 i, cast(floor(event_id/53) as bigint) % 37 j,
+                  sum(cast(floor(value*100) as bigint)) v from events group by 1, 2)
+select a.j i, b.j j, cast(sum(a.v*b.v) as bigint) v from m a join m b on a.i = b.i
+group by a.j, b.j"""
 
 CENTROIDS = """cent as (
   select k, label, avg(x) v
@@ -338,25 +348,24 @@ ORACLES["lloyd_centres"] = _with(VALS, C0, _step(1), _step(2), _step(3)) + \
 TIMINGS = """timings as (
   select event_type workload,
          case user_id%3 when 0 then 'naive' when 1 then 'const' else 'shared' end variant,
-         cast(row_number() over (partition by event_type, user_id%3 order by event_id) as int) run_no,
          value/cast(1000 as double) gpu,
          value*(2+event_id%5)/cast(1000 as double) cpu
   from events)"""
 
 MEANS = """means as (
   select workload, variant, count(*) n_runs, avg(gpu) mean_gpu, avg(cpu) mean_cpu
-  from timings where run_no <= 20 group by workload, variant)"""
+  from timings group by workload, variant)"""
 
 ORACLES["timing_mean"] = _with(TIMINGS, MEANS) + \
     f"select workload, variant, n_runs, {CMP('mean_gpu')} mean_gpu, {CMP('mean_cpu')} mean_cpu from means"
 
 ORACLES["timing_speedup"] = _with(TIMINGS) + f"""
 select workload, variant, {CMP('avg(cpu/nullif(gpu, 0))')} speedup
-from timings where run_no <= 20 group by workload, variant"""
+from timings group by workload, variant"""
 
 ORACLES["timing_variant_ratio"] = _with(TIMINGS, MEANS) + f"""
 select m.workload, m.variant, {CMP('b.mean_gpu / nullif(m.mean_gpu, 0)')} ratio
-from means m join (select workload, mean_gpu from means where variant = 'naive') b
+from means m left join (select workload, mean_gpu from means where variant = 'naive') b
   on b.workload = m.workload"""
 
 
@@ -445,3 +454,123 @@ pmapped as (
 ORACLES["kmeans_tonemap_per_image"] = _with(
     HDR, PLUM, P0, *[_pstep(i) for i in range(1, 6)], _passign("pfin", "p5"), PMAP) + \
     _tone_select("pmapped", "b", "g", "r")
+
+
+# ------------------------------------------------------ random k-means start
+def _start(name: str, values: str, by_image: bool) -> str:
+    key = "image_id, " if by_image else ""
+    part = "partition by image_id " if by_image else ""
+    order = "md5(cast(cast(floor(v*1048576.0::double) as bigint) as varchar) || ':42'), v"
+    return (f"{name} as (select {key}cast(rn - 1 as int) cid, v c from (select {key}v, "
+            f"row_number() over ({part}order by {order}) rn from {values}) t where rn <= 256)")
+
+
+ORACLES["kmeans_tonemap"] = _with(
+    HDR, LUM, _start("k0", "lvals", False), *[_kstep(i) for i in range(1, 6)],
+    _kassign("kfin", "k5"), KMAP) + _tone_select("kmapped", "b", "g", "r")
+
+ORACLES["kmeans_tonemap_per_image_random"] = _with(
+    HDR, PLUM, _start("p0", "pvals", True), *[_pstep(i) for i in range(1, 6)],
+    _passign("pfin", "p5"), PMAP) + _tone_select("pmapped", "b", "g", "r")
+
+# ------------------------------------------------------- undefined samples
+# A NaN sample counts like a missing one, so the oracle has NULL for both.
+HOLES = HDR.replace("hdr as (", "hdr_whole as (") + """,
+hdr as (
+  select image_id, y, x, b,
+         case when (image_id*2000 + y*50 + x) % 103 = 5 then null else g end g,
+         case when (image_id*2000 + y*50 + x) % 101 = 7 then null else r end r
+  from hdr_whole)"""
+
+ORACLES["tone_log_holes"] = _with(HOLES, MAXS) + _tone_select(
+    "hdr join mx using (image_id)", *[_log_map(c, "m", _Q, _K) for c in "bgr"])
+
+_BINNED_HOLES = BINNED.replace(
+    "select v.*, coalesce(", "select v.*, case when v.log_y is not null then coalesce(").replace(
+    "as int)), 0) bin", "as int)), 0) end bin").replace(
+    "from binned group by image_id, bin", "from binned where bin is not null group by image_id, bin")
+_HISTEQ_HOLES = HISTEQ.replace("from binned b join cdf c", "from binned b left join cdf c")
+
+ORACLES["histeq_tonemap_holes"] = _with(HOLES, XYY, _BINNED_HOLES, CDF, _HISTEQ_HOLES) + (
+    f"select image_id, y, x, coalesce(bin, -1) bin, {CMP('b')} b, {CMP('g')} g, {CMP('r')} r, "
+    f"{Q8('b')} b8, {Q8('g')} g8, {Q8('r')} r8 from rgb")
+
+_LUM_HOLES = LUM.replace("from lum group by", "from lum where lum is not null group by")
+_KMAP_HOLES = KMAP.replace("from lum l join kfinal", "from lum l left join kfinal")
+_PLUM_HOLES = PLUM.replace("from plum group by", "from plum where lum is not null group by")
+_PMAP_HOLES = PMAP.replace("from plum l join pfinal", "from plum l left join pfinal")
+
+ORACLES["kmeans_tonemap_holes"] = _with(
+    HOLES, _LUM_HOLES, K0, *[_kstep(i) for i in range(1, 6)], _kassign("kfin", "k5"),
+    _KMAP_HOLES) + _tone_select("kmapped", "b", "g", "r")
+
+ORACLES["kmeans_tonemap_per_image_holes"] = _with(
+    HOLES, _PLUM_HOLES, P0, *[_pstep(i) for i in range(1, 6)], _passign("pfin", "p5"),
+    _PMAP_HOLES) + _tone_select("pmapped", "b", "g", "r")
+
+# ------------------------------------------------------ remaining operators
+ORACLES["convolve_reflect101"] = _with(PIXELS8, GRAY, DIMS) + f"""
+select c.image_id, c.y, c.x, cast(least(255, greatest(0, sum(n.gray*m.w))) as int) gray
+from gray8 c join dims d on d.image_id = c.image_id
+cross join {_mask_values(CONVOLVE_MASK)} m(dy, dx, w)
+join gray8 n on n.image_id = c.image_id
+ and n.y = case when c.y+m.dy < 0 then -(c.y+m.dy)
+                when c.y+m.dy > d.h-1 then 2*(d.h-1)-(c.y+m.dy) else c.y+m.dy end
+ and n.x = case when c.x+m.dx < 0 then -(c.x+m.dx)
+                when c.x+m.dx > d.w-1 then 2*(d.w-1)-(c.x+m.dx) else c.x+m.dx end
+group by c.image_id, c.y, c.x"""
+
+PROMOTED = """promoted as (
+  select cast(floor(event_id/2000) as int) image_id,
+         cast(floor((event_id%2000)/50) as int) y, cast(event_id%50 as int) x, value,
+         [3, 1, 4, 2][cast(floor(event_id/2000) as int) % 4 + 1] n
+  from events)"""
+
+ORACLES["hdr_promote"] = _with(PROMOTED) + f"""
+select image_id, y, x, {CMP('value*0.01::double')} b,
+       {CMP('value*0.01::double*(case when n = 1 then 1 else 2 end)')} g,
+       {CMP('value*0.01::double*(case when n = 1 then 1 else 3 end)')} r
+from promoted where n <> 2"""
+
+ORACLES["hdr_rejects"] = _with(PROMOTED) + """
+select distinct image_id, n n_channels, 'image must be colour' reason from promoted where n = 2"""
+
+LINES = """lines as (
+  select case when event_id%13 = 0 then a || ' seconds' when event_id%17 = 0 then '1 2 3 4'
+              when event_id%19 = 0 then '  ' when event_id%3 = 0 then a || ' ' || u || ' 7'
+              when event_id%3 = 1 then a || ', ' || u else a end line,
+         'img' || event_id%5 || '.jpg' workload, case when user_id%2 = 0 then 'CM' else '' end variant,
+         case when event_id%13 = 0 then 'not a number' when event_id%17 = 0 then 'wrong number of fields' end reason,
+         event_id%13 <> 0 and event_id%17 <> 0 and event_id%19 <> 0 ok,
+         event_id%3 layout, a::double a, u::double u
+  from (select *, cast(cast(floor(value) as bigint) as varchar) a, cast(user_id as varchar) u from events))"""
+
+ORACLES["timing_log_rows"] = _with(LINES) + """
+select workload, variant, case when layout = 1 then u else a end gpu,
+       case when layout = 0 then u when layout = 1 then a end cpu,
+       case when layout = 0 then 7.0::double end ratio,
+       case when layout = 0 then 's' else 'ms' end unit, 'logs/' || workload || variant || 'Times' file
+from lines where ok"""
+
+ORACLES["timing_log_rejects"] = _with(LINES) + """
+select 'logs/' || workload || variant || 'Times' file, line, reason from lines
+where reason is not null"""
+
+ORACLES["scale_hdr"] = _with(HDR) + (
+    f"select image_id, y, x, {CMP('b*255')} b, {CMP('g*255')} g, {CMP('r*255')} r from hdr")
+ORACLES["rgba_round_trip"] = _with(PIXELS8) + "select image_id, y, x, b, g, r from pixels8"
+ORACLES["channel_merge"] = ORACLES["rgba_round_trip"]
+
+ORACLES["image_type_name"] = """
+select event_id, cast(event_id % 64 as int) code,
+       ['8U', '8S', '16U', '16S', '32S', '32F', '64F', 'User'][event_id % 8 + 1] || 'C'
+       || cast(cast(floor((event_id % 64)/8) as int) + 1 as varchar) name
+from events"""
+
+ORACLES["lum_cdf_exclusive"] = _with(HDR, XYY, BINNED, CDF) + f"""
+select image_id, bin, n, cdf - n cdf,
+       {CMP('(cdf - n) / nullif(total - coalesce(last_n, 0), 0)')} cdf_norm
+from cdf left join (select image_id, n last_n from hist where bin = 1023) using (image_id)"""
+
+ORACLES["cluster_mean"] = _with(VALS, C0, _assign("a1", "c0")) + \
+    f"select cid, {CMP('sum(n*v)/sum(n)')} mean from a1 group by cid"

@@ -34,7 +34,7 @@ def hdr_from_samples(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Long samples -> (wide HDR pixels, rejects ``(image_id, n_channels, reason)``).
 
     The per-image channel count is a small per-image table (partial + final
-    aggregation), joined back with a size-checked broadcast.
+    aggregation), joined back with a size-checked broadcast or a salted join.
     """
     per_image = samples.groupBy("image_id").agg(
         (F.max("channel") + 1).alias("n_channels"), F.min("channel").alias("min_channel"))

@@ -61,6 +61,66 @@ def hdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hdr_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hdr`` with undefined samples: red is NaN in every 101st pixel (from the
+    7th), green is NULL in every 103rd (from the 5th)."""
+    h = hdr(spark, sf_dir).withColumn(
+        "__id", F.col("image_id") * IMAGE_PIXELS + F.col("y") * IMAGE_WIDTH + F.col("x"))
+    return h.select(
+        *PIXEL_KEYS, "b",
+        F.when(F.col("__id") % 103 == 5, F.lit(None)).otherwise(F.col("g")).alias("g"),
+        F.when(F.col("__id") % 101 == 7, F.lit(float("nan"))).otherwise(F.col("r")).alias("r"))
+
+
+# Channels of image ``image_id`` in the long sample table, by ``image_id % 4``.
+SAMPLE_CHANNELS = (3, 1, 4, 2)
+
+
+def hdr_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long samples ``(image_id, y, x, channel, value)`` of images with one to
+    four channels."""
+    ev = read_table(spark, sf_dir, "events")
+    keys = _pixel_keys(F.col("event_id"))
+    n = F.element_at(F.array(*[F.lit(k) for k in SAMPLE_CHANNELS]), F.col("image_id") % 4 + 1)
+    px = ev.select(*keys, "value")
+    return px.select(*PIXEL_KEYS, F.explode(F.sequence(F.lit(0), n - 1)).alias("channel"),
+                     "value").select(
+        *PIXEL_KEYS, "channel",
+        (F.col("value") * F.lit(0.01) * (F.col("channel") + 1)).alias("value"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw log lines ``(line, file, name)`` written from the events: three layouts,
+    and malformed lines."""
+    ev = read_table(spark, sf_dir, "events")
+    a, b = F.floor("value").cast("string"), F.col("user_id").cast("string")
+    line = (F.when(F.col("event_id") % 13 == 0, F.concat(a, F.lit(" seconds")))
+            .when(F.col("event_id") % 17 == 0, F.lit("1 2 3 4"))
+            .when(F.col("event_id") % 19 == 0, F.lit("  "))
+            .when(F.col("event_id") % 3 == 0, F.concat(a, F.lit(" "), b, F.lit(" 7")))
+            .when(F.col("event_id") % 3 == 1, F.concat(a, F.lit(", "), b)).otherwise(a))
+    name = F.concat(F.lit("img"), (F.col("event_id") % 5).cast("string"), F.lit(".jpg"),
+                    F.when(F.col("user_id") % 2 == 0, F.lit("CM")).otherwise(F.lit("")), F.lit("Times"))
+    return ev.select(line.alias("line"), F.concat(F.lit("logs/"), name).alias("file"), name.alias("name"))
+
+
+def sparse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sparse matrix of doubles from the events ``(i, j, v)``: user by event
+    number modulo 97, repeated cells as they come."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").cast("long").alias("i"),
+                     (F.col("event_id") % 97).cast("long").alias("j"), F.col("value").alias("v"))
+
+
+def integer_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dense integer matrix from the events ``(i, j, v)``, 53 by 37, with
+    repeated cells."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select((F.col("event_id") % 53).cast("long").alias("i"),
+                     (F.floor(F.col("event_id") / 53) % 37).cast("long").alias("j"),
+                     F.floor(F.col("value") * 100).cast("long").alias("v"))
+
+
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of distinct values ``(v double, n bigint)`` (partial + final agg)."""
     ev = read_table(spark, sf_dir, "events")
@@ -104,8 +164,3 @@ def embedding_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("vec_id").alias("i"), F.col("j").cast("int"),
                     F.col("v").cast("double")))
 
-
-def embedding_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row labels of the embeddings matrix ``(i, label)``."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select(F.col("vec_id").alias("i"), "label")

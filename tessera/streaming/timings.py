@@ -9,13 +9,10 @@ stopped.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.session import ensure_checkpoint_dir
 from tessera.sources.timing_logs import parse_timing_lines
 
 
@@ -43,18 +40,17 @@ def running_timing_stats(lines: DataFrame) -> DataFrame:
 
 
 def start_running_stats(spark: SparkSession, folder: str, sink: str,
-                        checkpoint: str | None = None, to_table: bool = False,
+                        checkpoint: str, to_table: bool = False,
                         available_now: bool = False) -> StreamingQuery:
     """Start the running-statistics query.
 
     ``sink`` is a parquet folder rewritten with the latest snapshot after each
     micro-batch (``to_table=False``) or the name of an in-memory table (for
-    tests and notebooks).  The checkpoint defaults to a folder under the
-    session's shared checkpoint directory.
+    tests and notebooks).  ``checkpoint`` is a folder on shared storage; the
+    same folder makes a restart resume where the query stopped.
     """
     stats = running_timing_stats(read_timing_log_stream(spark, folder))
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    writer = stats.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+    writer = stats.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     if to_table:

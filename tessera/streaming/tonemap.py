@@ -10,36 +10,33 @@ overwrites its own folder, which makes the sink idempotent under retries.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators import tone
-from tessera.session import ensure_checkpoint_dir
 
 HDR_SCHEMA = "image_id long, y int, x int, b double, g double, r double"
 
 
 def start_tonemap_stream(spark: SparkSession, folder: str, out: str, mode: str,
-                         p1: float, p2: float, checkpoint: str | None = None,
-                         available_now: bool = False,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Tone-map HDR pixel files (``image_id, y, x, b, g, r``) arriving in ``folder``."""
+                         p1: float, p2: float, checkpoint: str,
+                         available_now: bool = False) -> StreamingQuery:
+    """Tone-map HDR pixel files (``image_id, y, x, b, g, r``) arriving in ``folder``.
+
+    ``checkpoint`` is a folder on shared storage; the same folder makes a
+    restart resume.  A trigger takes all files that are there, so the files of
+    an image that arrive together are never split over two batches.
+    """
     m = (mode or "")[:1].upper()
     if m not in ("L", "A", "G"):
         raise ValueError(f"unknown tone-map mode {mode!r}; use L, G or A")
-    reader = spark.readStream.schema(HDR_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(folder)
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(HDR_SCHEMA).parquet(folder)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         result = tone.tonemap(batch, m, p1, p2)
         result.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
-    writer = stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(process)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -39,7 +39,14 @@ def test_formula_matrices_rectangular(spark):
     want = np.add.outer(np.arange(62), np.arange(15)) @ np.multiply.outer(np.arange(15), np.arange(7))
     np.testing.assert_allclose(_dense(mx.matmul_coo(a, b), 62, 7), want)
     np.testing.assert_allclose(_dense(mx.matmul_block(a, b, bs=8), 62, 7), want)
-    np.testing.assert_allclose(_dense(mx.matmul_small_right(a, b), 62, 7), want)
+    rows = mx.cells_to_rows(a)
+    for limit in (mx.RIGHT_MAX_CELLS, 4):             # replicated, and by blocks
+        mx_limit, mx.RIGHT_MAX_CELLS = mx.RIGHT_MAX_CELLS, limit
+        try:
+            got = {r["i"]: r["vec"] for r in mx.matmul_rows(rows, b).collect()}
+        finally:
+            mx.RIGHT_MAX_CELLS = mx_limit
+        np.testing.assert_allclose([got[i] for i in range(62)], want)
 
 
 def test_random_int_matrix_range_determinism_and_exact_product(spark):
@@ -104,7 +111,7 @@ def test_gram_equals_numpy(spark):
     blk = _dense(mx.matmul_block(mx.transpose(cells), cells, bs=100), 64, 64)
     np.testing.assert_allclose(blk, x.T @ x, rtol=1e-10, atol=1e-12)
     # One output block, five inner blocks in groups of two: three tasks' partials.
-    salted = _dense(mx.matmul_block(mx.transpose(cells), cells, bs=100, pairs_per_task=2), 64, 64)
+    salted = _dense(mx.matmul_block(mx.transpose(cells), cells, bs=16, side=2), 64, 64)
     np.testing.assert_allclose(salted, x.T @ x, rtol=1e-10, atol=1e-12)
 
 
@@ -138,3 +145,32 @@ def test_parameter_checks(spark):
         mx.matmul_block(a, a, bs=0)
     with pytest.raises(ValueError):
         mx.row_blocks(a, 0)
+
+
+def test_block_equals_coo_on_undefined_and_repeated_cells(spark):
+    nan, inf = float("nan"), float("inf")
+    a = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (0, 1, nan), (1, 2, inf), (2, 2, 0.0),
+                               (3, 5, None), (4, 5, 7.0), (4, 5, None), (5, 9, 2.0)],
+                              "i long, j long, v double")
+    b = spark.createDataFrame([(0, 0, 4.0), (0, 3, 5.0), (1, 3, 1.0), (2, 0, 0.0), (2, 4, 3.0),
+                               (5, 1, 2.0), (9, 9, -inf), (9, 2, None)], "i long, j long, v double")
+    key = lambda df: {(r["i"], r["j"]): str(r["v"]) for r in df.collect()}
+    for bs, side in ((1, 1), (2, 2), (64, 4)):
+        assert key(mx.matmul_block(a, b, bs=bs, side=side)) == key(mx.matmul_coo(a, b))
+
+
+def test_integer_block_product_is_exact(spark):
+    big = 2 ** 53 + 1
+    a = spark.createDataFrame([(0, 0, big), (0, 1, 1), (70, 1, 3)], "i long, j long, v long")
+    b = spark.createDataFrame([(0, 0, 1), (1, 65, 2)], "i long, j long, v long")
+    prod = mx.matmul_block(a, b, bs=8, side=2)
+    assert dict(prod.dtypes)["v"] == "bigint"
+    assert {(r["i"], r["j"]): r["v"] for r in prod.collect()} == {(0, 0): big, (0, 65): 2, (70, 65): 6}
+
+
+def test_row_product_shuffles_nothing_and_keeps_null_rows(spark):
+    b = spark.createDataFrame([(0, 0, 1.0), (1, 1, 2.0)], "i long, j long, v double")
+    rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "i long, vec array<double>")
+    prod = mx.matmul_rows(rows, b)
+    assert "Exchange" not in prod._jdf.queryExecution().executedPlan().toString()
+    assert {r["i"]: r["vec"] for r in prod.collect()} == {1: [1.0, 4.0], 2: None}

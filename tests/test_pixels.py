@@ -189,3 +189,21 @@ def test_tiles_with_bands_spanning_many_arrow_batches(spark):
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_reflect101_of_any_radius_around_band_edges(spark):
+    """Against NumPy's mirror padding, for heights around a band's edge."""
+    rng = np.random.default_rng(4)
+    for radius in (1, 2, 3):
+        mask = rng.integers(-3, 4, (2 * radius + 1, 2 * radius + 1)).tolist()
+        for h in (radius + 1, 7, 8, 9, 10, 15, 16, 17):
+            img = rng.integers(0, 256, (h, 9))
+            rows = [(0, y, x, int(img[y, x])) for y in range(h) for x in range(9)]
+            df = spark.createDataFrame(rows, "image_id int, y int, x int, gray int")
+            got = np.zeros((h, 9), int)
+            for r in stencil.tiled(df, mask, border="reflect101", clamp=False, band_rows=8).collect():
+                got[r["y"], r["x"]] = r["gray"]
+            pad = np.pad(img, radius, mode="reflect")
+            want = sum(mask[i][j] * pad[i:i + h, j:j + 9]
+                       for i in range(2 * radius + 1) for j in range(2 * radius + 1))
+            np.testing.assert_array_equal(got, want)

@@ -78,4 +78,4 @@ def test_tonemap_stream_matches_batch(spark):
     assert got.count() == 10000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     with pytest.raises(ValueError):
-        start_tonemap_stream(spark, src, out, "Q", 1.0, 1.0)
+        start_tonemap_stream(spark, src, out, "Q", 1.0, 1.0, checkpoint=f"{out}/_ckpt")
