@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import textops as tx
 
-CACHE_PIECES = 200_000    # encoded pieces remembered per worker
+CACHE_PIECES = 250_000    # encoded pieces remembered per worker, twice
+CACHED_CHARS = 64         # longer pieces are not remembered
 CACHE_PAIRS = 500_000     # compatibility answers remembered per worker
 
 
@@ -34,16 +37,19 @@ class Codec:
 
         self.split = regex.compile(pattern).findall
         self.tokens = dict(sorted((r, t) for t, r in ranks.items()))
+        self.size = [0] * (max(self.tokens, default=0) + 1)
+        for rank, token in self.tokens.items():
+            self.size[rank] = len(token)
         self.ranks = ranks
-        self.longest = max(map(len, ranks), default=0)
         self.match = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
             self.match.add_word(token.decode("latin-1"), rank)
         self.match.make_automaton()
         self.halves: dict[int, tuple[int, int]] = {}
-        self.shorter: dict[int, int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, bytes] = {}
+        self.shorter: list[int | None] = [None] * len(self.size)
+        self.pairs: dict[int, bool] = {}              # left << 32 | right
+        self.cache: dict[str, bytes] = {}             # pieces used lately,
+        self.older: dict[str, bytes] = {}             # and before that
 
     # -- the merge that made a token, found once per token -----------------
     def halves_of(self, token: int) -> tuple[int, int]:
@@ -76,13 +82,10 @@ class Codec:
         neighbours would have merged earlier than the merges that hide them,
         the pair cannot stand in a result.
         """
-        key = (left, right)
-        got = self.pairs.get(key)
-        if got is None:
-            got = self._compatible(left, right)
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = got
+        got = self._compatible(left, right)
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = got
         return got
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -116,7 +119,7 @@ class Codec:
 
     def prefix_token(self, token: int) -> int:
         """The longest shorter token that starts ``token`` (-1: none)."""
-        got = self.shorter.get(token)
+        got = self.shorter[token]
         if got is None:
             text, got = self.tokens[token], -1
             for n in range(len(text) - 1, 0, -1):
@@ -135,46 +138,62 @@ class Codec:
         n = len(piece)
         # The longest token starting at each position; matches come by their end.
         longest = [-1] * n
-        tokens, compatible = self.tokens, self.compatible
+        size, known, shorter = self.size, self.pairs.get, self.shorter
         for last, rank in self.match.iter(piece.decode("latin-1")):
-            start = last + 1 - len(tokens[rank])
-            longest[start] = rank                     # later ends are longer
+            longest[last + 1 - size[rank]] = rank     # later ends are longer
         dead = bytearray(n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], -1
         while True:
             while token >= 0:
-                end = at + len(tokens[token])
-                if not dead[end] and (not out or compatible(out[-1], token)):
-                    break
-                token = self.prefix_token(token)
+                end = at + size[token]
+                if not dead[end]:
+                    if before < 0:
+                        break
+                    fits = known(before << 32 | token)
+                    if fits is None:
+                        fits = self.compatible(before, token)
+                    if fits:
+                        break
+                less = shorter[token]
+                token = self.prefix_token(token) if less is None else less
             if token >= 0:
                 out.append(token)
-                at = end
-                if at == n:
+                if end == n:
                     return out
-                token = longest[at]
+                at, before, token = end, token, longest[end]
             else:
                 dead[at] = 1
                 if not out:
                     raise ValueError("the rank file lacks single bytes of this text")
                 token = out.pop()
-                at -= len(tokens[token])
+                at -= size[token]
+                before = out[-1] if out else -1
                 token = self.prefix_token(token)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        cache, out = self.cache, []
-        for piece in self.split(text):
-            ids = cache.get(piece)
-            if ids is None:
-                ids = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
-                if len(cache) >= CACHE_PIECES:
-                    cache.clear()
-                cache[piece] = ids
-            out.append(ids)
+        pieces = self.split(text)
+        out = list(map(self.cache.get, pieces))
+        if None in out:
+            for i, ids in enumerate(out):
+                if ids is None:
+                    out[i] = self._packed(pieces[i])
         return b"".join(out)
 
+    def _packed(self, piece: str) -> bytes:
+        ids = self.cache.get(piece) or self.older.get(piece)
+        if ids is None:
+            ids = array("I", self.encode_piece(piece.encode()))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
+        if len(self.cache) >= CACHE_PIECES:
+            self.older, self.cache = self.cache, {}
+        if len(piece) <= CACHED_CHARS:
+            self.cache[piece] = ids
+        return ids
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
