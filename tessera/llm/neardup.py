@@ -7,8 +7,8 @@
    their sketch, so only the rarest values of a sketch need a list: any two
    sketches with the required overlap share one of them.  Values in one sketch
    only need no list at all.  That keeps passages shared by otherwise different
-   documents out of the lists.  Documents that stay in a list get a larger
-   sketch and lists again, from which most loose ones fall out.
+   documents out of the lists.  Documents that stay in a list get lists again
+   from their whole sets, from which the loose ones fall out.
 3. An entry of a list knows how many values its document can share at most with
    a partner first met in this list.  Pairs whose sizes ask for more are not
    compared.
@@ -36,8 +36,7 @@ from tessera.plans.joins import materialise
 
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)    # 100 * intersection >= 80 * union
-SKETCH = 32               # values of the first sketch
-DEEP_SKETCH = 256         # values of the second, for candidates only
+SKETCH = 32               # values of a sketch
 SIGMAS = 5                # standard deviations allowed to sketch overlaps and estimates
 PIVOT_GROWTH = 8          # pivots per list and round grow by this factor
 
@@ -100,9 +99,10 @@ def _narrow(docs: DataFrame) -> DataFrame:
 _NO_CAP = 1 << 40
 
 
-def inverted_lists(docs: DataFrame, similarity, k: int) -> DataFrame:
+def inverted_lists(docs: DataFrame, similarity, k: int | None) -> DataFrame:
     """``(value, doc, size, cap)`` from ``(doc, size, sketch)`` with sketches of
-    ``k`` values: each sketch's rarest values that other sketches hold.
+    ``k`` values (None: whole sets): each sketch's rarest values that other
+    sketches hold.
 
     Of ``m`` values the ``m - ceil(share * m) + 1`` rarest (ties by value) are
     kept.  ``share`` is the similarity itself where both sketches of any link
@@ -111,7 +111,9 @@ def inverted_lists(docs: DataFrame, similarity, k: int) -> DataFrame:
     first common value this is.
     """
     num, den = similarity
-    whole = F.col("size") * den <= F.lit(num * k)     # so is every possible partner
+    # A whole set whose every possible partner is one too.
+    whole = F.lit(True) if k is None else F.col("size") * den <= F.lit(num * k)
+    share = 0.0 if k is None else needed_overlap(similarity, k)
     values = docs.select("doc", "size", F.size("sketch").alias("m"),
                          F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -119,7 +121,7 @@ def inverted_lists(docs: DataFrame, similarity, k: int) -> DataFrame:
            .agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("s")))
     alone = F.col("m") - F.size("s")                  # values that no other sketch holds
     least = F.when(whole, F.floor((F.col("m") * num + (den - 1)) / F.lit(den))).otherwise(
-        F.ceil(F.col("m") * F.lit(needed_overlap(similarity, k))))
+        F.ceil(F.col("m") * F.lit(share)))
     prefix = F.greatest(F.col("m") - least + 1 - alone, F.lit(0)).cast("int")
     own = own.select("doc", "size", whole.alias("whole"), (F.col("m") - alone).alias("left"),
                      F.slice("s", 1, prefix).alias("s"))
@@ -197,7 +199,7 @@ def link_components(lists: DataFrame, sets: DataFrame, similarity=SIMILARITY,
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, similarity=SIMILARITY,
-                    k: int = SKETCH, deep: int = DEEP_SKETCH) -> DataFrame:
+                    k: int = SKETCH) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     ``n_shingles`` is the size of the document's set, ``component_id`` the
@@ -220,8 +222,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, similarity=SIMILARI
     sets = materialise(full_sets(
         docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), n), "sets")
     deeper = sets.select(F.col("doc_id").alias("doc"), F.size("hashes").cast("long").alias("size"),
-                         F.slice("hashes", 1, deep).alias("sketch"))
-    lists = materialise(inverted_lists(deeper, similarity, deep), "lists")
+                         F.col("hashes").alias("sketch"))
+    lists = materialise(inverted_lists(deeper, similarity, None), "lists")
     comp = link_components(lists, sets, similarity, k)
     if comp is None:
         comp = member.where("false").select(F.col("rep").alias("node"), F.col("rep").alias("component"))
