@@ -16,7 +16,7 @@ third of the corpus, so nothing is ever grouped by ``image_id`` alone):
   rows), one shuffle by ``(image_id, band)`` with rows sorted inside each
   partition, then ``mapInPandas`` turns each band into one NumPy array and
   applies the mask by shifted slices.  A group is at most
-  ``(band_rows + k - 1) x width`` pixels, independent of the image height and
+  ``(band_rows + k - 1) x (TILE_COLS + k - 1)`` pixels, independent of the image size and
   of the corpus size.
 """
 
@@ -145,31 +145,39 @@ def separable3(df: DataFrame, vertical=SOBEL_X_VERTICAL, horizontal=SOBEL_X_HORI
             .select(*KEYS, out))
 
 
+# Columns of a tile: a wide mosaic is cut in x as well.
+TILE_COLS = 2048
+
+
+def _owners(c: str, size: int, halo: int):
+    """The tiles along one axis that need a pixel: its own, and the neighbour
+    whose halo it lies in (edge pixels only)."""
+    own = F.floor(F.col(c) / F.lit(size)).cast("int")
+    pos = F.col(c) % F.lit(size)
+    return F.explode(F.array_compact(F.array(
+        own, F.when((pos < halo) & (own > 0), own - 1),
+        F.when(pos >= size - halo, own + 1))))
+
+
 def _banded(df: DataFrame, value: str, band_rows: int, halo: int) -> DataFrame:
-    """``(image_id, band, y, x, v)``: each pixel in its band, plus copies of the
-    first/last ``halo`` rows of a band in the neighbouring band."""
+    """``(image_id, band, tile, y, x, v)``: each pixel in its tile, plus copies of
+    the ``halo`` edge rows and columns of a tile in the neighbouring tiles."""
     if band_rows < 1:
         raise ValueError("band_rows must be >= 1")
-    if halo > band_rows:
+    if halo > min(band_rows, TILE_COLS):
         raise ValueError("band_rows must be at least the mask radius")
-    b = F.lit(band_rows)
-    own = F.floor(F.col("y") / b).cast("int")
-    offsets = F.explode(F.array(F.lit(0), F.lit(-1), F.lit(1))).alias("o")
-    pos = F.col("y") % b
-    keep = ((F.col("o") == 0)
-            | ((F.col("o") == -1) & (pos < halo) & (F.col("own") > 0))
-            | ((F.col("o") == 1) & (pos >= band_rows - halo)))
-    return (df.select("image_id", "y", "x", F.col(value).alias("v"), own.alias("own"), offsets)
-            .where(keep)
-            .select("image_id", (F.col("own") + F.col("o")).alias("band"), "y", "x", "v"))
-
-
-def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: int,
-                 border: str, clamp: bool):
-    """Apply ``mask`` to one band given as coordinate arrays; core rows only."""
+    v = F.col(value).alias("v")
+    rows = df.select("image_id", "y", "x", v, _owners("y", band_rows, halo).alias("band"))
+    return rows.select("image_id", "band", _owners("x", TILE_COLS, halo).alias("tile"), "y", "x", "v")
+
+
+def _band_result(mask: np.ndarray, band: int, tile: int, image_id, ys, xs, vs, band_rows: int,
+                 tile_cols: int, border: str, clamp: bool):
+    """Apply ``mask`` to one tile given as coordinate arrays; core pixels only."""
     k = mask.shape[0]
     r = k // 2
     lo_core, hi_core = band * band_rows, band * band_rows + band_rows - 1
+    lo_col, hi_col = tile * tile_cols, tile * tile_cols + tile_cols - 1
     y0, y1 = int(ys.min()), int(ys.max())
     x0, x1 = int(xs.min()), int(xs.max())
     h, w = y1 - y0 + 1, x1 - x0 + 1
@@ -180,13 +188,17 @@ def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: i
     if border == "zero":
         padded = np.pad(grid, r)
     else:
-        # Rows: mirror as many as the halo lacks (it ends at an image edge).
-        top = r - min(r, max(0, lo_core - y0))
-        bottom = r - min(r, max(0, y1 - hi_core))
-        vmode = "reflect" if h > 1 else "edge"
-        padded = np.pad(grid, ((top, bottom), (0, 0)), mode=vmode) if (top or bottom) else grid
-        padded = np.pad(padded, ((r - top, r - bottom), (0, 0)))
-        padded = np.pad(padded, ((0, 0), (r, r)), mode="reflect" if w > 1 else "edge")
+        # Mirror as many rows and columns as the halo lacks (it ends at an image edge).
+        padded = grid
+        for axis, size, before, after in (
+                (0, h, lo_core - y0, y1 - hi_core), (1, w, lo_col - x0, x1 - hi_col)):
+            lack = (r - min(r, max(0, before)), r - min(r, max(0, after)))
+            rest = (r - lack[0], r - lack[1])
+            wide = [(0, 0), (0, 0)]
+            wide[axis] = lack
+            padded = np.pad(padded, wide, mode="reflect" if size > 1 else "edge")
+            wide[axis] = rest
+            padded = np.pad(padded, wide)
     acc = np.zeros((h, w), dtype=mask.dtype)
     for i in range(k):
         for j in range(k):
@@ -195,7 +207,8 @@ def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: i
     if clamp:
         acc = np.clip(acc, 0, 255)
     yy, xx = np.nonzero(present)
-    core = (yy + y0 >= lo_core) & (yy + y0 <= hi_core)
+    core = ((yy + y0 >= lo_core) & (yy + y0 <= hi_core)
+            & (xx + x0 >= lo_col) & (xx + x0 <= hi_col))
     yy, xx = yy[core], xx[core]
     return (np.full(len(yy), image_id), (yy + y0).astype(np.int32),
             (xx + x0).astype(np.int32), acc[yy, xx])
@@ -203,36 +216,38 @@ def _band_result(mask: np.ndarray, band: int, image_id, ys, xs, vs, band_rows: i
 
 def _tile_fn(mask, band_rows: int, border: str, clamp: bool, out: str, integer: bool):
     m = np.asarray(mask, dtype=np.int64 if integer else np.float64)
+    tile_cols = TILE_COLS
 
     def bands_of(pdf: pd.DataFrame):
         img = pdf["image_id"].to_numpy()
-        band = pdf["band"].to_numpy()
-        cut = np.flatnonzero((img[1:] != img[:-1]) | (band[1:] != band[:-1])) + 1
+        band, tile = pdf["band"].to_numpy(), pdf["tile"].to_numpy()
+        cut = np.flatnonzero((img[1:] != img[:-1]) | (band[1:] != band[:-1])
+                             | (tile[1:] != tile[:-1])) + 1
         starts = np.concatenate(([0], cut))
         ends = np.concatenate((cut, [len(pdf)]))
         ys = pdf["y"].to_numpy(np.int64)
         xs = pdf["x"].to_numpy(np.int64)
         vs = pdf["v"].to_numpy(m.dtype)
-        parts = [_band_result(m, int(band[a]), img[a], ys[a:b], xs[a:b], vs[a:b],
-                              band_rows, border, clamp) for a, b in zip(starts, ends)]
+        parts = [_band_result(m, int(band[a]), int(tile[a]), img[a], ys[a:b], xs[a:b], vs[a:b],
+                              band_rows, tile_cols, border, clamp) for a, b in zip(starts, ends)]
         if not parts:
             return None
         cols = [np.concatenate(c) for c in zip(*parts)]
         return pd.DataFrame({"image_id": cols[0], "y": cols[1], "x": cols[2], out: cols[3]})
 
     def run(batches):
-        # Rows arrive sorted by (image_id, band); a band may continue over
-        # several Arrow batches.  The pieces of the open band are kept in a
-        # list and joined once when the band is complete (no repeated copies).
+        # Rows arrive sorted by (image_id, band, tile); a tile may continue over
+        # several Arrow batches.  The pieces of the open tile are kept in a
+        # list and joined once when it is complete (no repeated copies).
         pending: list[pd.DataFrame] = []
         open_key = None
         for pdf in batches:
             if not len(pdf):
                 continue
             img = pdf["image_id"].to_numpy()
-            band = pdf["band"].to_numpy()
+            band, tile = pdf["band"].to_numpy(), pdf["tile"].to_numpy()
             if open_key is not None:
-                same = (img == open_key[0]) & (band == open_key[1])
+                same = (img == open_key[0]) & (band == open_key[1]) & (tile == open_key[2])
                 n_same = len(pdf) if same.all() else int(np.argmin(same))
                 if n_same:
                     pending.append(pdf.iloc[:n_same])
@@ -243,9 +258,9 @@ def _tile_fn(mask, band_rows: int, border: str, clamp: bool, out: str, integer:
                     yield res
                 pending = []
                 pdf = pdf.iloc[n_same:].reset_index(drop=True)
-                img, band = img[n_same:], band[n_same:]
-            last = (img == img[-1]) & (band == band[-1])
-            open_key = (img[-1], band[-1])
+                img, band, tile = img[n_same:], band[n_same:], tile[n_same:]
+            last = (img == img[-1]) & (band == band[-1]) & (tile == tile[-1])
+            open_key = (img[-1], band[-1], tile[-1])
             if (~last).any():
                 res = bands_of(pdf[~last].reset_index(drop=True))
                 if res is not None:
@@ -261,11 +276,12 @@ def _tile_fn(mask, band_rows: int, border: str, clamp: bool, out: str, integer:
 
 def tiled(df: DataFrame, mask, value: str = "gray", border: str = "zero",
           clamp: bool = True, band_rows: int = 64, out: str | None = None) -> DataFrame:
-    """Cross-correlate with an odd k x k mask, one NumPy band at a time.
+    """Cross-correlate with an odd k x k mask, one NumPy tile at a time.
 
-    Bands (with halos) are hash-partitioned by ``(image_id, band)`` and sorted
-    inside each partition; ``mapInPandas`` then walks the sorted rows and
-    processes every band as a dense array.  ``border="zero"``: neighbours
+    Tiles of ``band_rows`` x ``TILE_COLS`` pixels (with halos) are
+    hash-partitioned by ``(image_id, band, tile)`` and sorted inside each
+    partition; ``mapInPandas`` then walks the sorted rows and processes every
+    tile as a dense array, so memory depends on neither height nor width.  ``border="zero"``: neighbours
     outside the image (or absent) count as 0, exactly like :func:`convolve`.
     ``"reflect101"`` mirrors at image edges and assumes rectangular images.
     """
@@ -278,8 +294,8 @@ def tiled(df: DataFrame, mask, value: str = "gray", border: str = "zero",
     out_type = "int" if integer and clamp else ("bigint" if integer else "double")
     schema = f"image_id {id_type}, y int, x int, {out} {out_type}"
     banded = (_banded(df, value, band_rows, k // 2)
-              .repartition("image_id", "band")
-              .sortWithinPartitions("image_id", "band"))
+              .repartition("image_id", "band", "tile")
+              .sortWithinPartitions("image_id", "band", "tile"))
     res = banded.mapInPandas(_tile_fn(mask, band_rows, border, clamp, out, integer), schema)
     return res
 

@@ -191,8 +191,11 @@ def test_tiles_with_bands_spanning_many_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-def test_reflect101_of_any_radius_around_band_edges(spark):
-    """Against NumPy's mirror padding, for heights around a band's edge."""
+@pytest.mark.parametrize("cols", [2048, 4])
+def test_reflect101_of_any_radius_around_tile_edges(spark, monkeypatch, cols):
+    """Against NumPy's mirror padding, for heights around a band's edge, with
+    one tile across and with narrow tiles."""
+    monkeypatch.setattr(stencil, "TILE_COLS", cols)
     rng = np.random.default_rng(4)
     for radius in (1, 2, 3):
         mask = rng.integers(-3, 4, (2 * radius + 1, 2 * radius + 1)).tolist()
