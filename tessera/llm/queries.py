@@ -81,6 +81,75 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+OP2_SQL = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as hx from documents),
+w as (
+  select doc_id, i, md5(substr(hx, 2 * i + 1, 800)) as h
+  from (select doc_id, hx, unnest(range(length(hx) // 2 - 399)) as i from d
+        where length(hx) >= 800)),
+r as (select doc_id, i from w where h in (select h from w group by h having count(*) > 1)),
+g as (
+  select doc_id, i, sum(case when i > before + 400 then 1 else 0 end)
+    over (partition by doc_id order by i) as run
+  from (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from r)),
+s as (select doc_id, run, min(i) as b, max(i) + 400 as e from g group by doc_id, run),
+p as (
+  select doc_id, run, b, e, coalesce(lag(e) over (partition by doc_id order by run), 0) as after_last
+  from s),
+k as (
+  select doc_id, count(*) as n_spans, sum(e - b) as n_removed, max(e) as last,
+    string_agg(substr(hx, 2 * after_last + 1, 2 * (b - after_last)), '' order by run) as head
+  from p join d using (doc_id) group by doc_id)
+select doc_id, length(hx) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+
+OP3_SQL = r"""
+with d as (
+  select doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (
+  select doc_id, unnest(range(1, len(ws) - 6)) as i, ws from d where len(ws) >= 8),
+g as (select doc_id, i, array_to_string(ws[i:i + 7], ' ') as g from w),
+c as (
+  select doc_id, count(distinct i + k) as n_repeat_words from (
+    select doc_id, i, unnest(range(8)) as k
+    from g where (doc_id, g) in (select (doc_id, g) from g group by doc_id, g having count(*) > 1))
+  group by doc_id),
+l as (
+  select doc_id, host, line, regexp_extract_all(translate(line,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'),
+    '[^\x20\x09-\x0D]+') as ws
+  from (select doc_id, host, unnest(string_split(t, chr(10))) as line from d)),
+lw as (select doc_id, host, line, array_to_string(ws, ' ') as norm,
+  length(array_to_string(ws, '')) as chars from l where len(ws) > 0),
+dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from lw group by doc_id),
+h as (select host, count(*) as host_docs from d group by host),
+common as (
+  select host, norm from (select host, norm, count(distinct doc_id) as n from lw group by host, norm)
+  join h using (host) where n >= 10 and n > host_docs * 0.005),
+gone as (
+  select doc_id, count(distinct norm) as removed_lines, sum(chars) as removed_chars
+  from lw join common using (host, norm) group by doc_id),
+b as (
+  select doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+    coalesce(removed_lines, 0) as removed_lines,
+    cast(coalesce(removed_chars, 0) as bigint) as removed_chars
+  from d left join dup using (doc_id) left join c using (doc_id) left join gone using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+  not (n_words < 20 or 100 * n_repeat_words > 30 * n_words)
+    and word_chars - removed_chars >= word_chars * 0.5 as kept,
+  removed_lines, removed_chars
+from b
+"""
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), **bpe_files(), with_ids=False)
 
@@ -120,6 +189,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(_read(spark, sf_dir, "pages"))
 
 
+# The article of the given pages by pattern: their block elements are p, h1 and
+# div, their references amp and quot.
+OP10_SQL = r"""
+with a as (
+  select page_id, url, regexp_replace(regexp_replace(regexp_replace(
+    regexp_extract(html, '<article>(.*?)</article>', 1, 's'),
+    '</?(?:p|h1|div)\b[^>]*>', chr(1), 'g'), '</?b>', '', 'g'), '<[^>]+>', ' ', 'g') as body
+  from pages),
+u as (
+  select page_id, url, regexp_replace(regexp_replace(body, '&quot;', '"', 'g'),
+    '&amp;?', '&', 'g') as body from a),
+t as (
+  select page_id, url, array_to_string(list_filter(list_transform(string_split(body, chr(1)),
+    lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''),
+    chr(10) || chr(10)) as text from u)
+select page_id, url, text, length(text) as n_chars from t
+"""
+
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -133,4 +220,10 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES = {"op1_minhash_neardup": OP1_SQL, "op8_chat_format": OP8_SQL}
+ORACLES = {
+    "op1_minhash_neardup": OP1_SQL,
+    "op2_suffix_dedup": OP2_SQL,
+    "op3_quality_rules": OP3_SQL,
+    "op8_chat_format": OP8_SQL,
+    "op10_html_extraction": OP10_SQL,
+}
