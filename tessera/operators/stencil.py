@@ -12,12 +12,12 @@ third of the corpus, so nothing is ever grouped by ``image_id`` alone):
   one-row halo copied from each neighbouring band.  A horizontal window over
   ``(image_id, band, y)`` and a vertical window over ``(image_id, band, x)``
   both reuse that single shuffle.  Groups never exceed ``band_rows + 2`` rows.
-* **tiles** (any odd mask, default): the same banding (halo of ``k // 2``
-  rows), one shuffle by ``(image_id, band)`` with rows sorted inside each
-  partition, then ``mapInPandas`` turns each band into one NumPy array and
-  applies the mask by shifted slices.  A group is at most
-  ``(band_rows + k - 1) x (TILE_COLS + k - 1)`` pixels, independent of the image size and
-  of the corpus size.
+* **tiles** (any odd mask, default): bands of rows cut in tiles of columns
+  (halo of ``k // 2`` on all sides), one shuffle by ``(image_id, band, tile)``
+  with rows sorted inside each partition, then ``mapInPandas`` turns each tile
+  into one NumPy array and applies the mask by shifted slices.  A group is at
+  most ``(band_rows + k - 1) x (TILE_COLS + k - 1)`` pixels, independent of the
+  image size and of the corpus size.
 """
 
 from __future__ import annotations

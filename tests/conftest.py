@@ -16,4 +16,7 @@ def spark():
 
     s = local_session(cores="*", shuffle_partitions=8, app="tessera-tests")
     yield s
+    from tessera.plans.joins import release
+
+    release(s)
     s.stop()

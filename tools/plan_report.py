@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tessera.plans.catalog import QUERIES  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 
-KEEP = ("Exchange", "Join", "Scan", "Aggregate", "Window", "Sort ", "MapInPandas",
+KEEP = ("Exchange", "QueryStage", "AQEShuffleRead", "Join", "Scan", "Aggregate", "Window", "Sort ", "MapInPandas",
         "Generate", "BroadcastExchange", "Limit", "Union", "Expand", "Filter", "Project")
 
 
@@ -46,7 +46,7 @@ def main() -> None:
     for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()                      # runs this very query execution
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         cond = condense(plan)
         n_ex = sum(1 for c in cond if "Exchange hashpartitioning" in c or "Exchange rangepartitioning" in c
                    or "Exchange SinglePartition" in c)
