@@ -22,6 +22,17 @@ def test_held_out_labels_are_not_used(spark):
     assert a == b
 
 
+def test_features_have_names_and_see_what_they_are_named_after(spark, words):
+    rows = [(1, words(40)), (2, "YOU are an IDIOT and st*pid! why? " + words(10)), (3, None)]
+    lex = t.Lexicon(*(t.np.empty(0, k) for k in ("u8", "f8", "u8", "f8")))
+    got = {r.doc_id: dict(zip(t.FEATURES, r.features, strict=True)) for r in t.features(
+        spark.createDataFrame(rows, "doc_id long, text string"), lex).collect()}
+    assert got[2]["seed_hits"] > 0 and got[2]["near_second"] == 1 and got[2]["obfuscation_rate"] > 0
+    assert got[2]["caps_word_rate"] > got[1]["caps_word_rate"] and got[2]["exclaim_rate"] > 0
+    assert got[1]["seed_hits"] == got[1]["obfuscation_rate"] == 0
+    assert got[3]["hit_count"] == got[3]["log_words"] == 0
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in t.score(odd_docs, none).collect()} == {0.0}
