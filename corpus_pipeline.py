@@ -37,7 +37,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Passages that repeat are cut out; a document of which nothing is left goes."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
     cut = suffixdedup.suffix_dedup(docs, PASSAGE_BYTES, keep=others)
-    cut = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    cut = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     whole = {"doc_id": F.col("doc_id"), "text": F.col("text"),
              "n_chars": F.char_length("text").cast("long")}
     return cut.select(*(whole.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns))
