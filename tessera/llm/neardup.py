@@ -116,7 +116,9 @@ def inverted_lists(docs: DataFrame, similarity, k: int | None) -> DataFrame:
     share = 0.0 if k is None else needed_overlap(similarity, k)
     values = docs.select("doc", "size", F.size("sketch").alias("m"),
                          F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written first: a join of two shuffled tables is one whose hot keys Spark splits.
+    shared = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                         "shared-values")
     own = (values.join(shared, "value").groupBy("doc", "size", "m")
            .agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("s")))
     alone = F.col("m") - F.size("s")                  # values that no other sketch holds
@@ -142,7 +144,8 @@ def _live(state: DataFrame, similarity, group: str) -> DataFrame:
     cannot link even to the smallest member."""
     by = state.groupBy("value").agg(F.min("size").alias("ms"), F.min(group).alias("lo"),
                                     F.max(group).alias("hi")).where("lo != hi")
-    return state.join(by.select("value", "ms"), "value").where(
+    by = materialise(by.select("value", "ms"), "open-lists")
+    return state.join(by, "value").where(
         _enough(similarity, F.col("cap"), F.col("size"), F.col("ms"))).drop("ms")
 
 
@@ -180,7 +183,7 @@ def link_components(lists: DataFrame, sets: DataFrame, similarity=SIMILARITY,
         if links is not None:
             sizes = state.groupBy("value", "c").agg(F.count(F.lit(1)).alias("n"))
             largest = sizes.groupBy("value").agg(F.max_by("c", F.struct("n", "c")).alias("big"))
-            outside = state.join(largest, "value").where("c != big")
+            outside = state.join(materialise(largest, "largest"), "value").where("c != big")
         # Pivots with the fewest values of their own come first: central documents.
         by = Window.partitionBy("value").orderBy((F.col("cap") / F.col("size")).desc(), "doc")
         chosen = materialise(outside.withColumn("r", F.row_number().over(by)).where(
@@ -210,7 +213,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, similarity=SIMILARI
     """
     sk = materialise(sketches(docs, n, k), "sketches")
     solid = sk.where("n_shingles > 0 and doc_id is not null")
-    classes = solid.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = materialise(solid.groupBy("f1", "f2", "n_shingles").agg(
+        F.min("doc_id").alias("rep")), "classes")
     # Repeated ids with different texts tie their classes together.
     member = solid.select("doc_id", "f1", "f2", "n_shingles").join(
         classes, ["f1", "f2", "n_shingles"]).select("doc_id", "rep").distinct()

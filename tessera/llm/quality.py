@@ -167,7 +167,7 @@ def quality(docs: DataFrame, host: str = "source", min_docs: int = LINE_MIN_DOCS
     the base rule fails or less than ``min_kept`` of the characters remain.
     """
     measured = materialise(measure(docs, host), "quality-lines")
-    common = common_lines(measured, min_docs, share)
+    common = materialise(common_lines(measured, min_docs, share), "common-lines")
     rows = (measured.select("doc_id", F.coalesce("host", F.lit("")).alias("host"),
                             F.explode(F.arrays_zip("lines", "line_chars")).alias("l"))
             .select("doc_id", "host", F.col("l.lines").alias("line"),

@@ -146,6 +146,8 @@ def _classify(unit: DataFrame, name: str, extra: tuple[str, ...] = ()):
     """
     cores = unit.groupBy("core").agg(F.count(F.lit(1)).alias("c"), F.min("whole").alias("lo"),
                                      F.max("whole").alias("hi")).where("c > 1")
+    # Written first: a join of two shuffled tables is one whose hot keys Spark splits.
+    cores = materialise(cores, name + "-counts")
     both = materialise(unit.join(cores.drop("c"), "core").withColumn(
         "mixed", F.col("lo") != F.col("hi")).drop("lo", "hi"), name)
     mixed = both.where("mixed")
@@ -154,7 +156,7 @@ def _classify(unit: DataFrame, name: str, extra: tuple[str, ...] = ()):
         F.min(F.struct("rid", "a", "n", "q", *extra)).alias("r"))
     groups = materialise(groups, name + "-distinct")
     size = groups.groupBy("core").agg(F.count(F.lit(1)).alias("distinct"))
-    twice = groups.where("copies > 1").select("core", "whole")
+    twice = materialise(groups.where("copies > 1").select("core", "whole"), name + "-copies")
     sure = both.where("not mixed").drop("mixed").unionByName(
         mixed.drop("mixed").join(twice, ["core", "whole"], "left_semi"))
     reps = groups.join(size, "core").select("core", "whole", "distinct", "copies", "r.*")
