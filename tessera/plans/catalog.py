@@ -21,7 +21,7 @@ from tessera.operators import stencil, tone
 from tessera.operators import timings as tm
 from tessera.sources import tables as tb
 from tessera.sources.hdr import hdr_from_samples
-from tessera.sources.sinks import scale_hdr
+from tessera.sources.sinks import scale_hdr, to_8bit
 from tessera.sources.timing_logs import parse_timing_lines, rejected_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,3 +438,16 @@ def q_lum_cdf_exclusive(spark, sf_dir):
 def q_cluster_mean(spark, sf_dir):
     return _round_cols(cl.cluster_weighted_mean(_grid_assigned(spark, sf_dir), weight="count"),
                        ("mean",))
+
+
+@register("tone_dispatch")
+def q_tone_dispatch(spark, sf_dir):
+    h = tb.hdr(spark, sf_dir)
+    out = [tone.tonemap(h, mode, TONE_P1, TONE_P2).withColumn("mode", F.lit(mode[0]))
+           for mode in ("Logarithmic", "adaptive", "G")]
+    return _round_cols(out[0].unionByName(out[1]).unionByName(out[2]), ("b", "g", "r"))
+
+
+@register("write_8bit")
+def q_write_8bit(spark, sf_dir):
+    return to_8bit(tone.tone_log(tb.hdr(spark, sf_dir), TONE_P1, TONE_P2))

@@ -574,3 +574,19 @@ from cdf left join (select image_id, n last_n from hist where bin = 1023) using
 
 ORACLES["cluster_mean"] = _with(VALS, C0, _assign("a1", "c0")) + \
     f"select cid, {CMP('sum(n*v)/sum(n)')} mean from a1 group by cid"
+
+
+def _mode(mode: str, src: str, cols: list[str]) -> str:
+    return (f"select image_id, y, x, " + ", ".join(f"{CMP(e)} {c}" for e, c in zip(cols, "bgr"))
+            + f", '{mode}' \"mode\" from {src}")
+
+
+ORACLES["tone_dispatch"] = _with(HDR, MAXS) + " union all ".join([
+    _mode("L", "hdr join mx using (image_id)", [_log_map(c, "m", _Q, _K) for c in "bgr"]),
+    _mode("a", "hdr join mx using (image_id)", [_adaptive_map(c, "m", _Q, _K) for c in "bgr"]),
+    _mode("G", "hdr", [_gamma_map(c, _Q, _K) for c in "bgr"])])
+
+ORACLES["write_8bit"] = _with(HDR, MAXS) + (
+    "select image_id, y, x, " + ", ".join(
+        f"{Q8(_log_map(c, 'm', _Q, _K))} {c}" for c in "bgr")
+    + " from hdr join mx using (image_id)")
