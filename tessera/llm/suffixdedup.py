@@ -36,6 +36,7 @@ LENGTH = 400
 GRAM = 32
 HOT_UNITS = 256           # distinct units of a core that one shard may hold
 SHARD_BYTES = 1 << 20     # text per suffix array
+TASK_BYTES = 1 << 25      # text per task of the shard stage
 SEGMENT = 1 << 24         # longer texts are cut for anchors, with overlap
 _POS = np.uint64((1 << 26) - 1)
 
@@ -155,7 +156,8 @@ def _classify(unit: DataFrame, name: str, extra: tuple[str, ...] = ()):
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("rid", "a", "n", "q", *extra)).alias("r"))
     groups = materialise(groups, name + "-distinct")
-    size = groups.groupBy("core").agg(F.count(F.lit(1)).alias("distinct"))
+    size = materialise(groups.groupBy("core").agg(F.count(F.lit(1)).alias("distinct")),
+                       name + "-sizes")
     twice = materialise(groups.where("copies > 1").select("core", "whole"), name + "-copies")
     sure = both.where("not mixed").drop("mixed").unionByName(
         mixed.drop("mixed").join(twice, ["core", "whole"], "left_semi"))
@@ -253,7 +255,12 @@ def _shard_spans(cold: DataFrame, length: int) -> DataFrame:
         if rows:
             yield flush(rows)
 
-    return (cold.select("core", "rid", "a", "body", "copies").repartition("core")
+    # A fixed number of partitions: merging small ones by size would put much
+    # more work in a task than its bytes show.
+    total = cold.agg(F.coalesce(F.sum(F.col("n") + F.lit(length)), F.lit(0)).alias("b")).first()["b"]
+    parts = max(int(cold.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                total // TASK_BYTES)
+    return (cold.select("core", "rid", "a", "body", "copies").repartition(parts, "core")
             .sortWithinPartitions("core").mapInArrow(run, "rid long, s int, e int"))
 
 
