@@ -270,6 +270,9 @@ def score(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLAS
         F.count(F.lit(1)).alias("n")).collect()}
     lex = learn_lexicon(first, have.get(1, 0), have.get(0, 0))
     x = materialise(features(rows, lex, ("toxic", "weight", "part")), "tox-features")
+    # The sample is bounded: in one sorted partition sums have one order, so that
+    # runs agree to the last bit.
+    x = x.repartition(1).sortWithinPartitions("doc_id", "features")
     x = x.withColumn("x", array_to_vector("features")).withColumn("y", F.col("toxic").cast("double"))
     fit, tune = x.where("part >= 4 and part < 8"), x.where("part >= 8")
     if fit.select("y").distinct().count() < 2:        # too few labels to hold parts out
