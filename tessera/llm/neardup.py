@@ -43,10 +43,11 @@ PIVOT_GROWTH = 8          # pivots per list and round grow by this factor
 
 def needed_overlap(similarity, k: int) -> float:
     """Share of a ``k``-value sketch that linked documents have in common, less
-    ``SIGMAS`` standard deviations."""
+    ``SIGMAS`` standard deviations.  Of the ``k`` smallest values of the union a
+    share of the similarity is in both sketches, whatever the sizes of the sets;
+    if one set contains the other there are no more."""
     j = similarity[0] / similarity[1]
-    p = 2 * j / (1 + j)
-    return max(0.0, p - SIGMAS * (p * (1 - p) / k) ** 0.5)
+    return max(0.0, j - SIGMAS * (j * (1 - j) / k) ** 0.5)
 
 
 def _shingles(part, data, off, n):

@@ -58,6 +58,16 @@ def test_small_sketches_still_find_every_component(spark, rng, words):
     assert got == brute(rows, 3, 85, 100)
 
 
+def test_contained_texts_just_above_the_threshold_are_linked(spark, rng):
+    rows = []
+    for i in range(1500):
+        w = ["%x" % rng.getrandbits(48) for _ in range(500)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:402]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 5, (80, 100)).collect()}
+    assert [d for d, c in got.items() if c != d - d % 2] == []
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = neardup.near_duplicates(odd_docs, 3).collect()
     assert len(rows) == odd_docs.count()
