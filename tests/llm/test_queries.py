@@ -35,3 +35,24 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, SF001).columns == docs.columns
             stage(spark, docs, SF001).collect()
+
+
+def test_repeated_rows_leave_one_copy(spark, tmp_path, words):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    twice = next(r for r in docs.collect() if r.n_chars >= 1000 and r.doc_id in {
+        x.doc_id for x in corpus_pipeline.run(spark, SF001).collect()})
+    docs.union(spark.createDataFrame([twice], docs.schema)).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    ids = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert ids.count(twice.doc_id) == 1
+
+
+def test_every_row_is_a_node_of_the_near_duplicate_stage(spark, words):
+    a, b, c = words(200), words(200), words(200)
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, c), (None, words(200)), (9, None)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], DOCS)
+    got = corpus_pipeline.drop_near_duplicates(spark, df.repartition(3), "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
+        (d or 0, t or "") for d, t in [rows[0], rows[2], rows[3], rows[5], rows[6]])
