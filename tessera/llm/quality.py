@@ -28,7 +28,7 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
 _FOLD = tx.LOWER.copy()
 _FOLD[48:58] = 48
 
-BASE_SCHEMA = ("doc_id long, host string, n_words long, word_chars long, n_symbols long, "
+BASE_SCHEMA = ("uid long, doc_id long, host string, n_words long, word_chars long, n_symbols long, "
                "n_dup_lines long, n_repeat_words long, lines array<long>, "
                "line_chars array<long>")
 
@@ -114,7 +114,7 @@ def _measure(batches):
             h, d, c = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         per_doc = np.bincount(d, minlength=n_docs)
         yield pa.RecordBatch.from_arrays([
-            part.column(0), part.column(2),
+            part.column(3), part.column(0), part.column(2),
             pa.array(np.bincount(doc, minlength=n_docs), pa.int64()),
             pa.array(word_chars, pa.int64()),
             pa.array(_sums(_SYMBOL[data], off), pa.int64()),
@@ -122,61 +122,72 @@ def _measure(batches):
             pa.array(_repeat_words(raw, doc, n_docs, WINDOW_WORDS), pa.int64()),
             tx.lists(h.view(np.int64), per_doc, pa.int64()),
             tx.lists(c, per_doc, pa.int64()),
-        ], names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        ], names=["uid", "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                   "n_repeat_words", "lines", "line_chars"])
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Per document the base counts and its distinct normalised lines.
+    """Per row the base counts and its distinct normalised lines; ``uid`` is the
+    row's own key (fixed once the result is written).
 
     Columns other than ``doc_id``, ``text`` and ``host`` are ignored.  A null
     or blank text has no words and no lines.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("text").cast("string").alias("text"),
-                         F.col(host).cast("string").alias("host"))
+                         F.col(host).cast("string").alias("host"),
+                         F.monotonically_increasing_id().alias("uid"))
     return narrow.mapInArrow(_measure, BASE_SCHEMA)
 
 
 def common_lines(measured: DataFrame, min_docs: int = LINE_MIN_DOCS,
                  share: float = LINE_SHARE) -> DataFrame:
     """``(host, line)`` held by at least ``min_docs`` distinct documents of the
-    host and by more than ``share`` of them.
+    host and by more than ``share`` of its rows.
 
-    Each document lists a line once, so counting rows counts documents; both
-    counts combine on the map side, so a hot line or host costs one row per task.
+    Each row lists a line once, so counting rows counts documents, less the
+    further rows of ids that repeat; all counts combine on the map side, so a hot
+    line or host costs one row per task.  Rows without id add to no line.
     """
     host_docs = measured.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(
         F.count(F.lit(1)).alias("host_docs"))
-    lines = (measured.select(F.coalesce("host", F.lit("")).alias("host"),
-                             F.explode("lines").alias("line"))
-             .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= min_docs))
+    each = measured.select("doc_id", F.coalesce("host", F.lit("")).alias("host"),
+                           F.explode("lines").alias("line"))
+    lines = each.groupBy("host", "line").agg(F.count("doc_id").alias("n")).where(
+        F.col("n") >= min_docs)
+    again = materialise(measured.groupBy("doc_id").agg(F.count("doc_id").alias("c")).where("c > 1")
+                        .select("doc_id"), "repeated-ids")
+    if again.limit(1).count():
+        more = (each.join(again, "doc_id", "left_semi").groupBy("host", "line")
+                .agg((F.count("doc_id") - F.count_distinct("doc_id")).alias("more")))
+        lines = lines.join(more, ["host", "line"], "left").select(
+            "host", "line", (F.col("n") - F.coalesce("more", F.lit(0))).alias("n")).where(
+            F.col("n") >= min_docs)
     return (lines.join(host_docs, "host")
             .where(F.col("n") > F.col("host_docs") * F.lit(share)).select("host", "line"))
 
 
 def quality(docs: DataFrame, host: str = "source", min_docs: int = LINE_MIN_DOCS,
             share: float = LINE_SHARE, min_kept: float = MIN_KEPT_SHARE) -> DataFrame:
-    """One row per document with base counts, ``base_failed`` and ``kept``.
+    """One row per row of ``docs`` with base counts, ``base_failed`` and ``kept``.
 
     Null text or no words: all counts 0, fails the base rule.  A null host is a
-    host of its own.  Repeated ``doc_id`` rows are separate documents here, as
-    long as their ids differ in the line counts they only count by row.
+    host of its own.  Rows that repeat a ``doc_id`` are measured one by one, but
+    count as one document of a line.
     ``removed_chars`` are word characters of common lines; ``kept`` is false if
     the base rule fails or less than ``min_kept`` of the characters remain.
     """
     measured = materialise(measure(docs, host), "quality-lines")
     common = materialise(common_lines(measured, min_docs, share), "common-lines")
-    rows = (measured.select("doc_id", F.coalesce("host", F.lit("")).alias("host"),
+    rows = (measured.select("uid", F.coalesce("host", F.lit("")).alias("host"),
                             F.explode(F.arrays_zip("lines", "line_chars")).alias("l"))
-            .select("doc_id", "host", F.col("l.lines").alias("line"),
+            .select("uid", "host", F.col("l.lines").alias("line"),
                     F.col("l.line_chars").alias("chars")))
     removed = (rows.join(common, ["host", "line"])
-               .groupBy("doc_id").agg(F.sum("chars").alias("removed_chars"),
-                                      F.count(F.lit(1)).alias("removed_lines")))
+               .groupBy("uid").agg(F.sum("chars").alias("removed_chars"),
+                                   F.count(F.lit(1)).alias("removed_lines")))
     base = measured.drop("lines", "line_chars", "host")
-    out = base.join(removed, "doc_id", "left").fillna(0, ["removed_chars", "removed_lines"])
+    out = base.join(removed, "uid", "left").drop("uid").fillna(0, ["removed_chars", "removed_lines"])
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     enough = (F.col("word_chars") - F.col("removed_chars")) >= F.col("word_chars") * F.lit(min_kept)

@@ -55,6 +55,19 @@ def test_base_counts_and_line_rule(spark, rng, words):
     assert any(r.removed_chars for r in got.values())
 
 
+def test_repeated_rows_are_measured_one_by_one(spark, words):
+    footer, rare = words(10), words(9)
+    rows = [(i, words(30) + "\n" + footer, "h") for i in range(5)]
+    rows += [rows[0]] + [(90, rare + "\n" + words(30 + i), "h") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = q.quality(df, min_docs=5, share=0.05).collect()
+    assert len(got) == len(rows)
+    chars = len(footer.replace(" ", ""))
+    assert all((r.removed_lines, r.removed_chars, r.kept) == (1, chars, True)
+               for r in got if r.doc_id < 90)
+    assert all(r.removed_lines == 0 for r in got if r.doc_id == 90)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = q.quality(odd_docs).collect()
     assert len(rows) == odd_docs.count()
