@@ -285,6 +285,31 @@ def gram(rows: DataFrame, vec: str = "vec") -> DataFrame:
 RIGHT_MAX_CELLS = 1 << 22
 
 
+def _full_rows(width: int):
+    """``(i, k, v)`` from ``(i, _k, _c)``: the cells of ``_c`` in a row of ``width``
+    doubles, 0 where there is none.  Slices hold ``RIGHT_MAX_CELLS`` cells at most
+    (one row at least)."""
+    step = max(1, RIGHT_MAX_CELLS // max(width, 1))
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, step):
+                batch = whole.slice(lo, step)
+                lists = batch.column(2)
+                count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                cells = lists.flatten()
+                out = np.zeros((batch.num_rows, width))
+                j, v = (x.to_numpy(zero_copy_only=False) for x in cells.flatten())
+                out[np.repeat(np.arange(batch.num_rows), count), j] = v
+                off = np.arange(batch.num_rows + 1, dtype=np.int32) * width
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1),
+                     pa.ListArray.from_arrays(pa.array(off), pa.array(out.ravel()))],
+                    names=["i", "k", "v"])
+
+    return run
+
+
 def matmul_rows(rows: DataFrame, b: DataFrame, vec: str = "vec") -> DataFrame:
     """``C = A B`` with ``A`` as rows ``(i, vec)`` and ``B`` as cells, by row blocks:
     ``(i, vec)`` with rows of ``C``.
@@ -292,14 +317,19 @@ def matmul_rows(rows: DataFrame, b: DataFrame, vec: str = "vec") -> DataFrame:
     ``B`` is replicated to every task if it has at most ``RIGHT_MAX_CELLS``
     cells (counted first): each Arrow batch of rows is one product, nothing is
     shuffled.  A larger ``B`` goes through :func:`matmul_block` and the rows are
-    put together again.  A NULL row stays NULL.
+    put together again.  Either way the rows are doubles as wide as ``B``, 0
+    where ``B`` has no cells, and a NULL row stays NULL.
     """
     d = b.agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("i"), F.max("j").alias("j")).first()
     width = (d["j"] if d["j"] is not None else -1) + 1
     if d["n"] > RIGHT_MAX_CELLS or (d["n"] and (d["i"] + 1) * width > RIGHT_MAX_CELLS):
-        cells = rows.select("i", F.posexplode(vec).alias("j", "v"))
-        found = cells_to_rows(matmul_block(cells.withColumn("j", F.col("j").cast("long")), b), vec)
-        return rows.select("i").join(found, "i", "left")
+        cells = rows.select("i", F.posexplode(F.col(vec).cast("array<double>")).alias("j", "v"))
+        product = matmul_block(cells.withColumn("j", F.col("j").cast("long")),
+                               b.withColumn("v", F.col("v").cast("double")))
+        found = product.groupBy("i").agg(F.collect_list(F.struct("j", "v")).alias("_c"))
+        return rows.select(F.col("i").cast("long").alias("i"), F.col(vec).isNotNull().alias("_k")).join(
+            found, "i", "left").mapInArrow(_full_rows(width), "i long, k boolean, v array<double>").select(
+            "i", F.when(F.col("k"), F.col("v")).alias(vec))
     right = np.zeros(((d["i"] if d["i"] is not None else -1) + 1, width))
     for r in _summed(b).collect():
         right[r["i"], r["j"]] = r["v"]

@@ -174,3 +174,16 @@ def test_row_product_shuffles_nothing_and_keeps_null_rows(spark):
     prod = mx.matmul_rows(rows, b)
     assert "Exchange" not in prod._jdf.queryExecution().executedPlan().toString()
     assert {r["i"]: r["vec"] for r in prod.collect()} == {1: [1.0, 4.0], 2: None}
+
+
+def test_matmul_rows_fills_missing_columns_either_way(spark, monkeypatch):
+    rows = spark.createDataFrame([(0, [1, 2]), (1, None), (2, [3, 0]), (3, [0, 0])],
+                                 "i long, vec array<long>")
+    b = spark.createDataFrame([(0, 0, 5), (1, 0, 1), (1, 2, 7), (0, 4, 2)], "i long, j long, v long")
+    want = [(0, [7.0, 0.0, 14.0, 0.0, 2.0]), (1, None), (2, [15.0, 0.0, 0.0, 0.0, 6.0]),
+            (3, [0.0] * 5)]
+    for limit in (1 << 22, 1):
+        monkeypatch.setattr(mx, "RIGHT_MAX_CELLS", limit)
+        got = mx.matmul_rows(rows, b)
+        assert got.dtypes == [("i", "bigint"), ("vec", "array<double>")]
+        assert sorted((r.i, r.vec) for r in got.collect()) == want
