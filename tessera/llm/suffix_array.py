@@ -164,13 +164,16 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     common prefix with the suffix before it in ``sa``, up to ``limit``.
 
     Only irreducible values (the left neighbours differ) are compared; every
-    other value is one less than the value at its left.
+    other value is one less than the value at its left.  ``limit`` must exceed
+    the distance from any place to the next separator 1: the places after a
+    separator are compared too, so that no carried value comes from one that
+    was cut off at ``limit``.
     """
     n = len(t)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     left = np.arange(n)
-    need = (before >= 0) & ((left == 0) | (before == 0)
+    need = (before >= 0) & ((left == 0) | (before == 0) | (t[np.maximum(left - 1, 0)] == 1)
                             | (t[np.maximum(left - 1, 0)] != t[np.maximum(before - 1, 0)]))
     plcp = np.zeros(n, np.int64)
     i = np.flatnonzero(need)

@@ -42,6 +42,29 @@ def test_suffix_array_and_prefixes(rng, monkeypatch, scan):
             assert plcp[b] == k
 
 
+def test_short_periods_and_equal_units(rng):
+    base = "".join(rng.choice("ab") for _ in range(30))
+    for period in (1, 2, 7, 45):
+        line = "".join(rng.choice("abcd") for _ in range(period))
+        units = [(line * 300)[:n].encode() for n in (200, 90, 200, 41)]
+        units += [(base + line * 200)[:180].encode(), b"x" + units[0][:150], units[0], b""]
+        rng.shuffle(units)
+        for length in (20, 40, 100):
+            count = Counter(u[i:i + length] for u in units for i in range(len(u) - length + 1))
+            got = sa.repeated(units, length)
+            for u, at in zip(units, got):
+                assert at.tolist() == [i for i in range(len(u) - length + 1)
+                                       if count[u[i:i + length]] > 1]
+
+
+def test_texts_of_a_short_period(spark, rng):
+    line = "".join(rng.choice("abcdefgh ") for _ in range(37))
+    rows = [(i, "".join(rng.choice("xyz") for _ in range(rng.randrange(90)))
+             + (line * 60)[:rng.randrange(30, 1500)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(tuple(r) for r in sd.suffix_dedup(df, 60, with_text=False).collect()) == brute(rows, 60)
+
+
 @pytest.mark.parametrize("hot", [256, 3])
 def test_equals_brute_force(spark, rng, monkeypatch, hot):
     monkeypatch.setattr(sd, "HOT_UNITS", hot)
