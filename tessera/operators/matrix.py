@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.plans.numbering import number_rows
+
 CELL_SCHEMA = T.StructType([
     T.StructField("i", T.LongType(), False),
     T.StructField("j", T.LongType(), False),
@@ -113,6 +115,20 @@ def row_blocks(df: DataFrame, n_blocks: int, index: str = "i",
     return df.withColumn("block", block.cast("int"))
 
 
+def row_blocks_by(df: DataFrame, n_blocks: int, order, index: str = "i") -> DataFrame:
+    """``row_blocks`` of a table without a dense index: rows are numbered by
+    the ``order`` columns first (``index`` is that number).  Rows that tie get
+    consecutive numbers in any order."""
+    return row_blocks(number_rows(df, order, name=index), n_blocks, index, n_rows=df.count())
+
+
+def vector_add_by(a: DataFrame, b: DataFrame, order_a, order_b) -> DataFrame:
+    """``C[i] = A[i] + B[i]`` of two tables with a value ``v`` and no position:
+    the position of a row is its number by the order columns of its table."""
+    return vector_add(number_rows(a, order_a, name="i").select("i", "v"),
+                      number_rows(b, order_b, name="i").select("i", "v"))
+
+
 def block_extents(blocks: DataFrame, index: str = "i") -> DataFrame:
     """``(block, first_row, n_rows)`` per block (partial + final aggregation)."""
     return blocks.groupBy("block").agg(F.min(index).alias("first_row"),

@@ -451,3 +451,21 @@ def q_tone_dispatch(spark, sf_dir):
 @register("write_8bit")
 def q_write_8bit(spark, sf_dir):
     return to_8bit(tone.tone_log(tb.hdr(spark, sf_dir), TONE_P1, TONE_P2))
+
+
+# ------------------------------------------------- tables without a dense index
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@register("row_blocks_by_order")
+def q_row_blocks_by_order(spark, sf_dir):
+    lines = tb.read_table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    return mx.row_blocks_by(lines, ROW_BLOCKS, LINE_ORDER)
+
+
+@register("vector_add_by_order")
+def q_vector_add_by_order(spark, sf_dir):
+    a = tb.read_table(spark, sf_dir, "events").select("ts", "event_id", F.col("value").alias("v"))
+    b = tb.read_table(spark, sf_dir, "orders").select("o_totalprice", "o_orderkey",
+                                                      (F.col("o_custkey") * F.lit(0.5)).alias("v"))
+    return mx.vector_add_by(a, b, ("ts", "event_id"), ("o_totalprice", "o_orderkey"))

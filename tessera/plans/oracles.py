@@ -590,3 +590,18 @@ ORACLES["write_8bit"] = _with(HDR, MAXS) + (
     "select image_id, y, x, " + ", ".join(
         f"{Q8(_log_map(c, 'm', _Q, _K))} {c}" for c in "bgr")
     + " from hdr join mx using (image_id)")
+
+
+# ------------------------------------------------- tables without a dense index
+LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+
+ORACLES["row_blocks_by_order"] = f"""
+select {LINE_ORDER}, row_number() over (order by {LINE_ORDER}) - 1 i,
+       cast(ntile(7) over (order by {LINE_ORDER}) - 1 as int) block
+from lineitem"""
+
+ORACLES["vector_add_by_order"] = """
+with a as (select row_number() over (order by ts, event_id) - 1 i, value v from events),
+b as (select row_number() over (order by o_totalprice, o_orderkey) - 1 i, o_custkey*0.5::double v
+      from orders)
+select i, a.v + b.v v from a join b using (i)"""
