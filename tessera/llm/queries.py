@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, brown, chat, decontam, html, langid, neardup, quality, suffixdedup, toxicity
+from tessera.llm import bpe, brown, chat, decontam, html, langid, merkle, neardup, quality, suffixdedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -207,6 +207,78 @@ t as (
 select page_id, url, text, length(text) as n_chars from t
 """
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = F.col("doc_id")
+    tampered = F.when((F.crc32(doc.cast("string")) % 2 == 0) & F.col("text").contains("\n"),
+                      merkle.leaf_digest(text=F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
+    m = merkle.manifest(_read(spark, sf_dir, "documents"), tampered=tampered)
+    proofs = merkle.prove(m, m.leaves).withColumn("now", F.coalesce("tampered", "leaf"))
+    return merkle.verify(proofs, "now").select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def _sql_crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text, bit by bit."""
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint),
+    lambda c, b: list_reduce(range(8), lambda e, k: xor(e >> 1, 3988292384 * (e & 1)), xor(c, b)),
+    4294967295), 4294967295)"""
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# Level by level from the leaves; then each leaf's siblings at every level below
+# the last one, and the fold over them.
+OP11_SQL = rf"""
+with recursive d as (
+  select doc_id, dense_rank() over (order by source nulls first) - 1 as tree,
+    {_sql_leaf("text")} as leaf,
+    case when {_sql_crc32("doc_id::varchar")} % 2 = 0
+      then {_sql_leaf("replace(text, chr(10), '')")} end as tampered
+  from documents),
+l as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos,
+    count(*) over (partition by tree) as cnt, row_number() over () as id from d),
+n(tree, lvl, i, h, cnt) as (
+  select tree, 0, pos, leaf, cnt from l
+  union all
+  select tree, lvl + 1, i // 3, sha256(string_agg(h, '' order by i)), (cnt + 2) // 3
+  from n where cnt > 1 group by tree, lvl, i // 3, cnt),
+sub as (select tree, h, lvl from n where cnt = 1),
+t(lvl, i, h, cnt) as (
+  select 0, tree, h, (select count(*) from sub) from sub
+  union all
+  select lvl + 1, i // 3, sha256(string_agg(h, '' order by i)), (cnt + 2) // 3
+  from t where cnt > 1 group by lvl, i // 3, cnt),
+root as (select h from t where cnt = 1),
+up(id, step, pos, i, h) as (
+  select l.id, n.lvl, l.pos // pow(3, n.lvl)::bigint, n.i, n.h
+  from l join n on n.tree = l.tree and n.cnt > 1 and n.i // 3 = l.pos // pow(3, n.lvl + 1)::bigint
+  union all
+  select l.id, sub.lvl + t.lvl, l.tree // pow(3, t.lvl)::bigint, t.i, t.h
+  from l join sub using (tree)
+  join t on t.cnt > 1 and t.i // 3 = l.tree // pow(3, t.lvl + 1)::bigint),
+steps as (
+  select id, step, coalesce(string_agg(h, '' order by i) filter (i < pos), '') as a,
+    coalesce(string_agg(h, '' order by i) filter (i > pos), '') as b
+  from up group by id, step),
+proof as (select id, string_agg(a || b, '' order by step) as p from steps group by id),
+f(id, step, h) as (
+  select id, 0, coalesce(tampered, leaf) from l
+  union all
+  select id, step + 1, sha256(a || h || b) from f join steps using (id, step)),
+folded as (select id, arg_max(h, step) as h from f group by id)
+select doc_id, leaf, sub.h as subroot, root.h as root, sha256(coalesce(p, '')) as proof_sha256,
+  folded.h as folded_root, folded.h = root.h as verified
+from l join sub using (tree) join folded using (id) left join proof using (id) cross join root
+"""
+
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -218,6 +290,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_html_extraction": op10_html_extraction,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
@@ -226,4 +299,5 @@ ORACLES = {
     "op3_quality_rules": OP3_SQL,
     "op8_chat_format": OP8_SQL,
     "op10_html_extraction": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
