@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, brown, chat, decontam, html, langid, merkle, neardup, quality, suffixdedup, toxicity
+from tessera.llm import bpe, brown, chat, decontam, html, langid, merkle, neardup, quality, simhash, suffixdedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -279,6 +279,11 @@ select doc_id, leaf, sub.h as subroot, root.h as root, sha256(coalesce(p, '')) a
 from l join sub using (tree) join folded using (id) left join proof using (id) cross join root
 """
 
+def op12_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return near.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -291,6 +296,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_html_extraction": op10_html_extraction,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash_neardup": op12_simhash_neardup,
 }
 
 ORACLES = {
