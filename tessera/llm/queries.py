@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, brown, chat, decontam, html, langid, merkle, neardup, quality, simhash, suffixdedup, toxicity
+from tessera.llm import (bpe, brown, chat, decontam, html, langid, merkle, neardup, quality, simhash,
+                         suffixdedup, toxicity, trie)
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -284,6 +285,48 @@ def op12_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.number_turns(_read(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.regroup(turns))
+
+
+# A prefix is its turns' digests in order; sums run over all pairs of a node and
+# its ancestors.
+OP13_SQL = rf"""
+with t as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, h) - 1 as p, h, n
+  from (select conv_id, turn, strlen(coalesce(text, '')) as n,
+      md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as h
+    from conversations where conv_id is not null)),
+k as (select c, c - c % 5 as base, {_sql_crc32("c::varchar")} % 9 as h from (select distinct c from t)),
+m as (select k.c, k.base, k.h, least(k.h, coalesce((select count(*) from t where t.c = k.base), 0)) as m from k),
+r as (
+  select m.c, t.p + 1 as d, t.h, t.n from m join t on t.c = m.base and t.p < m.h
+  union all
+  select m.c, t.p - m.h + m.m + 1, t.h, t.n from m join t on t.c = m.c and t.p >= m.h),
+x as (
+  select c, d, n, string_agg(h, '') over (partition by c order by d) as key from r
+  union all select c, 0, 0, '' from k),
+l as (select c, max(d) as len from x group by c),
+node as (
+  select key, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs, any_value(n) as n,
+    coalesce(string_agg(c, ',' order by c) filter (d = len), '') as ends
+  from x join l using (c) group by key),
+kids as (
+  select substr(key, 1, length(key) - 32) as key, count(*) as n_children from node where depth > 0 group by 1),
+full_ as (select node.*, coalesce(n_children, 0) as n_children from node left join kids using (key)),
+up as (select f.*, unnest(range(depth + 1)) as level from full_ f),
+sums as (
+  select substr(key, 1, 32 * level::int) as key, count(*) filter (n_children = 0) as n_leaves,
+    sum((n_convs - 1) * n)::bigint as saved_tokens
+  from up group by 1)
+select f.conv_id, f.depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+  sha256(f.ends) as ends_sha256
+from full_ f join sums using (key)
+left join full_ p on f.depth > 0 and p.key = substr(f.key, 1, length(f.key) - 32)
+"""
+
+
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -297,6 +340,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_simhash_neardup": op12_simhash_neardup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -306,4 +350,5 @@ ORACLES = {
     "op8_chat_format": OP8_SQL,
     "op10_html_extraction": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
