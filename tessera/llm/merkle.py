@@ -245,8 +245,9 @@ def manifest(docs: DataFrame, **extra: Column) -> Manifest:
     leaves = materialise(number_rows(leaves, ["doc_id", "leaf"], ["source"], name="at", dense="tree"),
                          "leaves")
     passes, subroots = build(leaves.select("tree", "at", F.unhex("leaf").alias("digest")))
-    tops, root = build(subroots.select(F.lit(0).cast("long").alias("tree"),
-                                       F.col("tree").alias("at"), "digest"))
+    # Written: a join on a constant would become a cross join.
+    tops, root = build(materialise(subroots.select(
+        F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), "digest"), "subroots"))
     return Manifest(leaves, passes, subroots, tops, root)
 
 
@@ -255,7 +256,8 @@ def prove(m: Manifest, wanted: DataFrame) -> DataFrame:
     ``root`` and the ``path`` from the leaf up to the root."""
     head = m.root.select("tree", "digest", "level", F.array().cast(PATH).alias("path"),
                          F.lit(None).cast("binary").alias("subroot"), F.col("digest").alias("root"))
-    trees = wanted.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at")).distinct()
+    trees = materialise(wanted.select(
+        F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at")).distinct(), "trees")
     heads = descend(m.top_passes, head, trees).select(
         F.col("at").alias("tree"), "digest", "path", F.col("digest").alias("subroot"), "root")
     heads = materialise(heads.join(m.subroots.select("tree", "level"), "tree"), "heads")

@@ -241,6 +241,7 @@ def subtree_sums(nodes: DataFrame, rows: DataFrame, values: list[str], limit: in
     state = nodes.select(*KEY, *PARENT, "conv", F.col("depth").alias("d"), F.col("weight").alias("w"),
                          *values, *(zero.alias(c) for c in added),
                          zero.alias("ca"), zero.alias("cb"))
+    state = materialise(state, "state")               # a join on a constant would be a cross join
     done, small = [], []
     while True:
         heavy = materialise(state.groupBy(*COMP).agg(F.max("w").alias("total"), F.min("d").alias("top_d"))
