@@ -17,7 +17,7 @@ from tessera.functions.pixel import quantise8
 from tessera.operators import cluster as cl
 from tessera.operators import matrix as mx
 from tessera.operators import pixels as pxo
-from tessera.operators import stencil, tone
+from tessera.operators import stencil, tiles, tone
 from tessera.operators import timings as tm
 from tessera.sources import tables as tb
 from tessera.sources.hdr import hdr_from_samples
@@ -469,3 +469,44 @@ def q_vector_add_by_order(spark, sf_dir):
     b = tb.read_table(spark, sf_dir, "orders").select("o_totalprice", "o_orderkey",
                                                       (F.col("o_custkey") * F.lit(0.5)).alias("v"))
     return mx.vector_add_by(a, b, ("ts", "event_id"), ("o_totalprice", "o_orderkey"))
+
+
+# ------------------------------------------------------------------ packed tiles
+# A 31 x 31 mask of rank two; SQL has the same formula.
+LARGE_MASK = tuple(tuple((i % 4 + 1) * (j % 5 - 2) + i - 15 for j in range(31)) for i in range(31))
+
+
+def _gray_tiles(spark, sf_dir):
+    return tiles.pack(pxo.gray(tb.pixels8(spark, sf_dir)), "gray", "uint8")
+
+
+@register("sobel_tiles")
+def q_sobel_tiles(spark, sf_dir):
+    return tiles.unpack(tiles.sobel_x(_gray_tiles(spark, sf_dir)))
+
+
+@register("sobel_reflect101_tiles")
+def q_sobel_reflect101_tiles(spark, sf_dir):
+    return tiles.unpack(tiles.sobel_x(_gray_tiles(spark, sf_dir), border="reflect101"))
+
+
+@register("convolve_tiles")
+def q_convolve_tiles(spark, sf_dir):
+    return tiles.unpack(tiles.convolve(_gray_tiles(spark, sf_dir), CONVOLVE_MASK))
+
+
+@register("convolve_reflect101_tiles")
+def q_convolve_reflect101_tiles(spark, sf_dir):
+    return tiles.unpack(tiles.convolve(_gray_tiles(spark, sf_dir), CONVOLVE_MASK, border="reflect101"))
+
+
+@register("convolve_large_mask")
+def q_convolve_large_mask(spark, sf_dir):
+    out = tiles.convolve(_gray_tiles(spark, sf_dir), LARGE_MASK, clamp=False)
+    return tiles.unpack(out, types=("bigint",))
+
+
+@register("gray_tiles")
+def q_gray_tiles(spark, sf_dir):
+    colour = tiles.pack(tb.pixels8(spark, sf_dir), ("b", "g", "r"), "uint8")
+    return tiles.unpack(tiles.gray(colour))

@@ -605,3 +605,15 @@ with a as (select row_number() over (order by ts, event_id) - 1 i, value v from
 b as (select row_number() over (order by o_totalprice, o_orderkey) - 1 i, o_custkey*0.5::double v
       from orders)
 select i, a.v + b.v v from a join b using (i)"""
+
+
+# ------------------------------------------------------------------ packed tiles
+for _name in ("sobel", "sobel_reflect101", "convolve", "convolve_reflect101", "gray"):
+    ORACLES[f"{_name}_tiles"] = ORACLES[_name]
+
+ORACLES["convolve_large_mask"] = _with(PIXELS8, GRAY) + """
+select c.image_id, c.y, c.x, cast(sum(p.gray *
+    (((p.y - c.y + 15) % 4 + 1) * ((p.x - c.x + 15) % 5 - 2) + p.y - c.y)) as bigint) gray
+from gray8 c join gray8 p on p.image_id = c.image_id
+  and p.y between c.y - 15 and c.y + 15 and p.x between c.x - 15 and c.x + 15
+group by c.image_id, c.y, c.x"""
