@@ -9,6 +9,8 @@ Products, by shape:
 
 * ``matmul_coo``: join cells on the inner index, aggregate by ``(i, j)``.
   For sparse or skinny inputs; the join emits one row per multiply.
+* ``matmul_sparse``: the same, but inner indices with very many cells (counted
+  first) go through block products instead of the join.
 * ``matmul_block``: pack ``bs x bs`` blocks (groups bounded by ``bs^2``
   cells), group them in cuboids of blocks, send each block once per cuboid that
   needs it, and multiply whole cuboids with NumPy.  For dense inputs.
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.plans.joins import materialise
 from tessera.plans.numbering import number_rows
 
 CELL_SCHEMA = T.StructType([
@@ -149,6 +152,106 @@ def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
             .groupBy("i", "j").agg(F.sum(F.col("av") * F.col("bv")).alias("v")))
 
 
+# Pairs of cells that one inner index may add to a join; beyond it goes in blocks.
+HEAVY_PAIRS = 1 << 20
+# Rows and columns of a block of heavy products, and cells of one of its sides.
+HEAVY_SPAN, HEAVY_CELLS = 1024, 1 << 20
+
+
+def inner_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``(k, na, nb)``: cells per inner index that both sides have, written."""
+    left = a.groupBy(F.col("j").alias("k")).agg(F.count(F.lit(1)).alias("na"))
+    right = b.groupBy(F.col("i").alias("k")).agg(F.count(F.lit(1)).alias("nb"))
+    return materialise(left.join(right, "k"), "inner-counts")
+
+
+def dealt(c: str, n: int):
+    """Group of an index among ``n``, by hash."""
+    return F.pmod(F.xxhash64(c), F.lit(n))
+
+
+def _outer_sums(kinds: pa.Schema, dtype):
+    """Product of the cells of one block: an outer product per inner index,
+    added in place to the block's rows and columns."""
+    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0 or right.num_rows == 0:
+            return kinds.empty_table()
+        rows, r = np.unique(left.column("i").to_numpy(), return_inverse=True)
+        cols, c = np.unique(right.column("j").to_numpy(), return_inverse=True)
+        sums = np.zeros((len(rows), len(cols)), dtype)
+        met, real = np.zeros(sums.shape, bool), np.zeros(sums.shape, bool)
+        sides = []
+        for t, at in ((left, r), (right, c)):
+            k = t.column("k").to_numpy()
+            order = np.argsort(k, kind="stable")
+            v = t.column("v").combine_chunks()
+            known = v.is_valid().to_numpy(zero_copy_only=False)[order]
+            v = v.fill_null(0).to_numpy(zero_copy_only=False).astype(dtype)[order]
+            sides.append((k[order], at[order], v, known))
+        (ka, ra, va, na), (kb, cb, vb, nb) = sides
+        for k in np.intersect1d(ka, kb):
+            x = slice(*np.searchsorted(ka, [k, k + 1]))
+            y = slice(*np.searchsorted(kb, [k, k + 1]))
+            met[np.ix_(ra[x], cb[y])] = True
+            at = np.ix_(ra[x][na[x]], cb[y][nb[y]])
+            with np.errstate(invalid="ignore", over="ignore"):
+                sums[at] += np.outer(va[x][na[x]], vb[y][nb[y]])
+            real[at] = True
+        i, j = np.nonzero(met)
+        return pa.table([pa.array(rows[i]), pa.array(cols[j]), pa.array(sums[i, j], mask=~real[i, j])],
+                        schema=kinds)
+    return multiply
+
+
+def matmul_sparse(a: DataFrame, b: DataFrame, heavy_pairs: int = HEAVY_PAIRS) -> DataFrame:
+    """``C = A B`` of sparse cells, however unevenly the inner index is used.
+
+    Cells are counted per inner index first.  An index with at most
+    ``heavy_pairs`` pairs of cells goes through the join of :func:`matmul_coo`.
+    The heavy ones go in blocks: their cells are dealt by the hashes of row,
+    column and inner index, and a task adds up the outer products of its block
+    in an array of about ``HEAVY_SPAN`` squared, so a pair of cells is never a
+    row.  Same cells and values as :func:`matmul_coo`, exact ``bigint`` for
+    integer input.
+    """
+    exact = _is_integer(a) and _is_integer(b)
+    kind, dtype = ("long", np.int64) if exact else ("double", np.float64)
+    a = materialise(_summed(a), "left-cells")
+    b = materialise(_summed(b), "right-cells")
+    counts = inner_counts(a, b)
+    is_heavy = F.col("na") * F.col("nb") > heavy_pairs
+    light = counts.where(~is_heavy).select("k")
+    left = a.select("i", F.col("j").alias("k"), F.col("v").cast(kind).alias("v"))
+    right = b.select(F.col("i").alias("k"), "j", F.col("v").cast(kind).alias("v"))
+    # Both sides are cut to light indices before they meet: no join key is hot.
+    out = matmul_coo(left.join(light, "k", "left_semi").select("i", F.col("k").alias("j"), "v"),
+                     right.join(light, "k", "left_semi").select(F.col("k").alias("i"), "j", "v"))
+    heavy = materialise(counts.where(is_heavy), "heavy")
+    if heavy.limit(1).count() == 0:
+        return out
+    left = materialise(left.join(heavy.select("k"), "k", "left_semi"), "heavy-left")
+    right = materialise(right.join(heavy.select("k"), "k", "left_semi"), "heavy-right")
+    grid = []
+    for side, c in ((left, "i"), (right, "j")):
+        n = side.agg(F.count(F.lit(1)), F.countDistinct(c)).first()
+        grid.append((n[0], max(1, -(-n[1] // HEAVY_SPAN))))
+    (cells_a, rows), (cells_b, cols) = grid
+    layers = max(1, -(-cells_a // (rows * HEAVY_CELLS)), -(-cells_b // (cols * HEAVY_CELLS)))
+
+    def copies(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    left = left.select(dealt("i", rows).alias("gi"), copies(cols).alias("gj"),
+                       dealt("k", layers).alias("gk"), "i", "k", "v")
+    right = right.select(copies(rows).alias("gi"), dealt("j", cols).alias("gj"),
+                         dealt("k", layers).alias("gk"), "k", "j", "v")
+    kinds = pa.schema([("i", pa.int64()), ("j", pa.int64()), ("v", pa.int64() if exact else pa.float64())])
+    keys = ["gi", "gj", "gk"]
+    sums = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        _outer_sums(kinds, dtype), f"i long, j long, v {kind}")
+    return out.unionByName(sums).groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
 def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
@@ -206,28 +309,49 @@ def _product(ma, va, mb, vb):
     return out
 
 
+def _reached(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which cells of a product some pair of cells reaches."""
+    if a.all() and b.all():
+        return np.ones((a.shape[0], b.shape[1]), bool)
+    return (a.astype(np.float32) @ b.astype(np.float32)) > 0
+
+
 def _is_integer(m: DataFrame) -> bool:
     return isinstance(m.schema["v"].dataType, T.IntegralType)
 
 
-def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128, side: int = 4) -> DataFrame:
+# Cells along one side of a cuboid: a side holds at most 128 MB of doubles.
+MIN_SPAN, MAX_SPAN = 512, 4096
+
+
+def _side(spark: SparkSession, bs: int, shape) -> int:
+    """Blocks along a cuboid's side: as large as memory allows, and so that
+    there are some three cuboids per core."""
+    cells = float(np.prod([float(n) for n in shape]))
+    span = (cells / (3 * max(1, spark.sparkContext.defaultParallelism))) ** (1 / 3)
+    return max(1, int(min(MAX_SPAN, max(MIN_SPAN, span))) // bs)
+
+
+def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128, side: int | None = None) -> DataFrame:
     """Dense ``C = A B`` by cuboids of ``side^3`` blocks of ``bs x bs`` cells.
 
     A block of ``A`` goes once to every cuboid column of ``B``, and the reverse:
     with ``nb`` blocks per dimension a block is sent ``nb / side`` times, not
     ``nb`` times, and no pair of blocks is ever shuffled.  A task multiplies the
-    two sides of a cuboid as dense arrays (``side * bs`` squared) and emits its
-    partial cells; the final aggregation adds one partial per cuboid layer.
+    two sides of a cuboid as dense arrays (``side * bs`` squared; by default chosen
+    from the shape, at most ``MAX_SPAN`` squared) and emits its partial cells; the final aggregation adds one partial per cuboid layer.
     The result has the same cells and values as :func:`matmul_coo`, exact
     ``bigint`` for integer input.
     """
-    if bs < 1 or side < 1:
+    if bs < 1 or (side is not None and side < 1):
         raise ValueError("block size and side must be >= 1")
     exact = _is_integer(a) and _is_integer(b)
     kind, dtype = ("long", np.int64) if exact else ("double", np.float64)
-    span = bs * side
-    top = (a.agg(F.coalesce(F.floor(F.max("i") / span), F.lit(-1)).cast("long").alias("x")).first()["x"],
-           b.agg(F.coalesce(F.floor(F.max("j") / span), F.lit(-1)).cast("long").alias("x")).first()["x"])
+    last = a.agg(F.max("i"), F.max("j")).first(), b.agg(F.max("i"), F.max("j")).first()
+    n_rows, n_inner, n_cols = ((-1 if x is None else int(x)) + 1 for x in (
+        last[0][0], last[0][1], last[1][1]))
+    side = side or _side(a.sparkSession, bs, (n_rows, n_inner, n_cols))
+    top = ((n_rows - 1) // (bs * side), (n_cols - 1) // (bs * side))
 
     def copies(n):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 0)).cast("long")))
@@ -252,8 +376,7 @@ def matmul_block(a: DataFrame, b: DataFrame, bs: int = 128, side: int = 4) -> Da
             return schema.empty_table()
         x = slice((lo - ka) * bs, (hi - ka) * bs)
         y = slice((lo - kb) * bs, (hi - kb) * bs)
-        cover = (sa[:, x].astype(np.float32) @ sb[y].astype(np.float32)) > 0
-        real = (va[:, x].astype(np.float32) @ vb[y].astype(np.float32)) > 0
+        cover, real = _reached(sa[:, x], sb[y]), _reached(va[:, x], vb[y])
         prod = _product(ma[:, x], va[:, x], mb[y], vb[y])
         r, c = np.nonzero(cover)
         return pa.table([pa.array(i0 * bs + r), pa.array(j0 * bs + c),
@@ -316,7 +439,8 @@ def _full_rows(width: int):
                 cells = lists.flatten()
                 out = np.zeros((batch.num_rows, width))
                 j, v = (x.to_numpy(zero_copy_only=False) for x in cells.flatten())
-                out[np.repeat(np.arange(batch.num_rows), count), j] = v
+                met = cells.field(1).is_valid().to_numpy(zero_copy_only=False)
+                out[np.repeat(np.arange(batch.num_rows), count), j] = np.where(met, v, 0.0)
                 off = np.arange(batch.num_rows + 1, dtype=np.int32) * width
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1),
@@ -334,7 +458,10 @@ def matmul_rows(rows: DataFrame, b: DataFrame, vec: str = "vec") -> DataFrame:
     cells (counted first): each Arrow batch of rows is one product, nothing is
     shuffled.  A larger ``B`` goes through :func:`matmul_block` and the rows are
     put together again.  Either way the rows are doubles as wide as ``B``, 0
-    where ``B`` has no cells, and a NULL row stays NULL.
+    where no cells meet, and a NULL row stays NULL.  Rows may differ in length:
+    elements that a row lacks or that are NULL are missing cells, and elements
+    beyond the rows of ``B`` meet nothing.  NaN and infinities meet stored cells
+    only, as in the other products.
     """
     d = b.agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("i"), F.max("j").alias("j")).first()
     width = (d["j"] if d["j"] is not None else -1) + 1
@@ -347,22 +474,36 @@ def matmul_rows(rows: DataFrame, b: DataFrame, vec: str = "vec") -> DataFrame:
             found, "i", "left").mapInArrow(_full_rows(width), "i long, k boolean, v array<double>").select(
             "i", F.when(F.col("k"), F.col("v")).alias(vec))
     right = np.zeros(((d["i"] if d["i"] is not None else -1) + 1, width))
-    for r in _summed(b).collect():
-        right[r["i"], r["j"]] = r["v"]
-    ref = rows.sparkSession.sparkContext.broadcast(right)
+    stored = np.zeros(right.shape, bool)
+    cells = _summed(b.select("i", "j", F.col("v").cast("double").alias("v"))).where(
+        "v is not null").toArrow()
+    at = cells.column("i").to_numpy(), cells.column("j").to_numpy()
+    right[at], stored[at] = cells.column("v").to_numpy(), True
+    ref = rows.sparkSession.sparkContext.broadcast((right, stored))
+    step = max(1, RIGHT_MAX_CELLS // max(1, *right.shape))
 
     def multiply(batches):
-        m = ref.value
-        for batch in batches:
-            vecs = batch.column(1)
-            known = vecs.is_valid().to_numpy(zero_copy_only=False)
-            flat = vecs.flatten().to_numpy(zero_copy_only=False).astype(float)
-            out = flat.reshape(int(known.sum()), -1) @ m if known.any() else np.empty((0, m.shape[1]))
-            off = np.zeros(len(known) + 1, np.int32)
-            np.cumsum(known * m.shape[1], out=off[1:])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(
-                    pa.array(off), pa.array(out.ravel()), mask=pa.array(~known))], names=["i", vec])
+        m, has = ref.value
+        height, wide = m.shape
+        for whole in batches:
+            for lo in range(0, whole.num_rows, step):
+                batch = whole.slice(lo, step)
+                vecs, n = batch.column(1), batch.num_rows
+                known = vecs.is_valid().to_numpy(zero_copy_only=False)
+                size = vecs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = vecs.flatten()
+                row = np.repeat(np.arange(n), size)
+                k = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+                keep = (k < height) & flat.is_valid().to_numpy(zero_copy_only=False)
+                left, valued = np.zeros((n, height)), np.zeros((n, height), bool)
+                left[row[keep], k[keep]] = flat.to_numpy(zero_copy_only=False)[keep]
+                valued[row[keep], k[keep]] = True
+                out = _product(left, valued, m, has)[known]
+                off = np.zeros(n + 1, np.int32)
+                np.cumsum(known * wide, out=off[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(
+                        pa.array(off), pa.array(out.ravel()), mask=pa.array(~known))], names=["i", vec])
 
     return rows.select(F.col("i").cast("long").alias("i"),
                        F.col(vec).cast("array<double>").alias(vec)).mapInArrow(

@@ -510,3 +510,14 @@ def q_convolve_large_mask(spark, sf_dir):
 def q_gray_tiles(spark, sf_dir):
     colour = tiles.pack(tb.pixels8(spark, sf_dir), ("b", "g", "r"), "uint8")
     return tiles.unpack(tiles.gray(colour))
+
+
+# ------------------------------------------------------------ uneven inner indices
+@register("matmul_sparse")
+def q_matmul_sparse(spark, sf_dir):
+    # Inner index 0 holds a third of all cells.
+    ev = tb.read_table(spark, sf_dir, "events")
+    cells = ev.select((F.col("event_id") % 997).alias("i"),
+                      F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id") + 1)
+                      .cast("long").alias("j"), F.floor(F.col("value") * 100).cast("long").alias("v"))
+    return mx.matmul_sparse(cells, mx.transpose(cells.where("i < 400")), heavy_pairs=1 << 16)

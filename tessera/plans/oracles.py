@@ -617,3 +617,12 @@ select c.image_id, c.y, c.x, cast(sum(p.gray *
 from gray8 c join gray8 p on p.image_id = c.image_id
   and p.y between c.y - 15 and c.y + 15 and p.x between c.x - 15 and c.x + 15
 group by c.image_id, c.y, c.x"""
+
+
+# ------------------------------------------------------------ uneven inner indices
+ORACLES["matmul_sparse"] = """
+with m as (
+  select event_id % 997 i, case when event_id % 3 = 0 then 0 else user_id + 1 end k,
+         sum(cast(floor(value*100) as bigint)) v from events group by 1, 2)
+select a.i, b.i j, cast(sum(a.v*b.v) as bigint) v from m a join m b on a.k = b.k where b.i < 400
+group by a.i, b.i"""

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -187,3 +188,53 @@ def test_matmul_rows_fills_missing_columns_either_way(spark, monkeypatch):
         got = mx.matmul_rows(rows, b)
         assert got.dtypes == [("i", "bigint"), ("vec", "array<double>")]
         assert sorted((r.i, r.vec) for r in got.collect()) == want
+
+
+def test_matmul_rows_one_answer_on_both_sides_of_the_limit(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    rows = spark.createDataFrame(
+        [(0, [inf, 1.0]), (1, [None, 2.0]), (2, [nan, None]), (3, [1.0, 2.0, 9.0, nan]), (4, [3.0]),
+         (5, []), (6, None), (7, [0.0, -inf])], "i long, vec array<double>")
+    b = spark.createDataFrame([(0, 0, 1.0), (1, 1, 5.0), (1, 3, None), (0, 4, 2.0), (0, 4, 1.0)],
+                              "i long, j long, v double")
+    want = {0: [inf, 5.0, 0.0, 0.0, inf], 1: [0.0, 10.0, 0.0, 0.0, 0.0], 2: [nan, 0.0, 0.0, 0.0, nan],
+            3: [1.0, 10.0, 0.0, 0.0, 3.0], 4: [3.0, 0.0, 0.0, 0.0, 9.0], 5: [0.0] * 5, 6: None,
+            7: [0.0, -inf, 0.0, 0.0, 0.0]}
+    for limit in (1 << 22, 1):
+        monkeypatch.setattr(mx, "RIGHT_MAX_CELLS", limit)
+        got = {r.i: r.vec for r in mx.matmul_rows(rows, b).collect()}
+        assert {k: str(v) for k, v in got.items()} == {k: str(v) for k, v in want.items()}, limit
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_sparse_product_with_heavy_indices_equals_coo(spark, monkeypatch, kind):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(mx, "HEAVY_SPAN", 16)
+    monkeypatch.setattr(mx, "HEAVY_CELLS", 40)
+    cells = [(int(rng.integers(60)), 0 if rng.random() < 0.4 else int(rng.integers(1, 9)),
+              int(rng.integers(-9, 9))) for _ in range(400)]
+    if kind == "double":
+        cells = [(i, j, None if v == 3 else float("nan") if v == 4 and i < 3 else v * 0.5) for i, j, v in cells]
+    a = spark.createDataFrame(cells, f"i long, j long, v {kind}")
+    b = mx.transpose(a).withColumn("j", F.col("j") % 37)
+    key = lambda df: {(r.i, r.j): str(r.v if r.v is None else round(r.v, 9) + 0) for r in df.collect()}
+    want = key(mx.matmul_coo(mx._summed(a), mx._summed(b)))
+    for heavy in (mx.HEAVY_PAIRS, 500, 0):
+        assert key(mx.matmul_sparse(a, b, heavy)) == want, heavy
+    assert mx.matmul_sparse(a.where("i < 0"), b).collect() == []
+
+
+def test_heavy_index_is_dealt_over_blocks(spark):
+    """A third of the cells in one inner index: no block holds a quarter of its pairs."""
+    cells = spark.range(9000).select((F.col("id") / 3).cast("long").alias("i"))
+    rows = cells.distinct().groupBy(mx.dealt("i", -(-3000 // mx.HEAVY_SPAN)).alias("g")).count().collect()
+    share = max(r["count"] for r in rows) / 3000
+    assert share * share < 0.25
+
+
+def test_cuboid_side_follows_shape_and_memory(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert mx._side(spark, 128, (100, 100, 100)) == mx.MIN_SPAN // 128
+    assert mx._side(spark, 128, (10 ** 6,) * 3) == mx.MAX_SPAN // 128
+    n = mx._side(spark, 128, (4096,) * 3) * 128
+    assert (4096 / n) ** 3 >= 2 * cores
