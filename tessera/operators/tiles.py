@@ -150,9 +150,15 @@ def pack(df: DataFrame, values=("gray",), kind: str | None = None) -> DataFrame:
     parts = df.select("image_id", "y", "x", *values).mapInArrow(
         _fragments(values, kind, id_type),
         f"image_id {id_type}, band int, tile int, starts binary, lengths binary, data binary")
+    return tiles_of_fragments(parts, len(values), kind)
+
+
+def tiles_of_fragments(parts: DataFrame, channels: int, kind: str) -> DataFrame:
+    """Tiles from fragments ``(image_id, band, tile, starts, lengths, data)``: runs of
+    neighbouring pixels by their offsets in the tile, and their samples."""
     whole = parts.groupBy(*KEYS).agg(
         F.collect_list(F.struct("starts", "lengths", "data")).alias("fragments"))
-    return whole.mapInArrow(_assembled(len(values), kind), _schema(id_type))
+    return whole.mapInArrow(_assembled(channels, kind), _schema(_id_type(parts)))
 
 
 # -------------------------------------------------------------------- unpack

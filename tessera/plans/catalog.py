@@ -19,7 +19,10 @@ from tessera.operators import matrix as mx
 from tessera.operators import pixels as pxo
 from tessera.operators import stencil, tiles, tone
 from tessera.operators import timings as tm
+from tessera.plans.joins import scratch_path
+from tessera.sources import raster
 from tessera.sources import tables as tb
+from tessera.sources.appends import append_once, read_appended
 from tessera.sources.hdr import hdr_from_samples
 from tessera.sources.sinks import scale_hdr, to_8bit
 from tessera.sources.timing_logs import parse_timing_lines, rejected_lines
@@ -521,3 +524,42 @@ def q_matmul_sparse(spark, sf_dir):
                       F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id") + 1)
                       .cast("long").alias("j"), F.floor(F.col("value") * 100).cast("long").alias("v"))
     return mx.matmul_sparse(cells, mx.transpose(cells.where("i < 400")), heavy_pairs=1 << 16)
+
+
+# ------------------------------------------------------- raster files, appended logs
+def _raster(spark, sf_dir, values):
+    """The pixels of the events written as raster files and read in small ranges."""
+    path = scratch_path(spark, "raster")
+    packed = tiles.pack(tb.pixels8(spark, sf_dir).withColumn("a", (F.col("x") * 5) % 256), values, "uint8")
+    raster.write_raster(raster.tiles_to_strips(packed), path)
+    return raster.read_raster(spark, path, split_bytes=2000)
+
+
+@register("raster_color")
+def q_raster_color(spark, sf_dir):
+    return raster.raster_pixels(_raster(spark, sf_dir, ("r", "g", "b")), "color")
+
+
+@register("raster_gray")
+def q_raster_gray(spark, sf_dir):
+    return raster.raster_pixels(_raster(spark, sf_dir, ("r", "g", "b")), "gray")
+
+
+@register("raster_rgba")
+def q_raster_rgba(spark, sf_dir):
+    return raster.raster_pixels(_raster(spark, sf_dir, ("r", "g", "b", "a")), "rgba")
+
+
+@register("raster_sobel")
+def q_raster_sobel(spark, sf_dir):
+    # From file bytes to tiles to gradient: pixels become rows only at the end.
+    scan = raster.strips_to_tiles(_raster(spark, sf_dir, ("b", "g", "r")), 3)
+    return tiles.unpack(tiles.sobel_x(tiles.gray(scan)))
+
+
+@register("timing_append_once")
+def q_timing_append_once(spark, sf_dir):
+    runs, log = _timings(spark, sf_dir), scratch_path(spark, "timings")
+    for batch in (0, 1, 0):                           # batch 0 comes twice
+        append_once(runs.where(F.col("event_id") % 2 == batch), log, f"run-{batch}")
+    return read_appended(spark, log, runs.schema)

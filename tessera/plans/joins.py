@@ -48,6 +48,13 @@ def release(spark) -> int:
     return len(paths)
 
 
+def scratch_path(spark, name: str) -> str:
+    """A new path in the shared checkpoint folder, deleted by :func:`release`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
     return the re-read table.

@@ -626,3 +626,21 @@ with m as (
          sum(cast(floor(value*100) as bigint)) v from events group by 1, 2)
 select a.i, b.i j, cast(sum(a.v*b.v) as bigint) v from m a join m b on a.k = b.k where b.i < 400
 group by a.i, b.i"""
+
+
+# ------------------------------------------------------- raster files, appended logs
+ORACLES["raster_color"] = _with(PIXELS8) + \
+    "select cast(image_id as bigint) image_id, y, x, b, g, r from pixels8"
+ORACLES["raster_gray"] = _with(PIXELS8) + """
+select cast(image_id as bigint) image_id, y, x,
+       cast(round_even(r*0.299::double + g*0.587::double + b*0.114::double, 0) as int) gray
+from pixels8"""
+ORACLES["raster_rgba"] = _with(PIXELS8) + \
+    "select cast(image_id as bigint) image_id, y, x, r, g, b, cast(x*5 % 256 as int) a from pixels8"
+ORACLES["raster_sobel"] = \
+    f"select cast(image_id as bigint) image_id, y, x, gray from ({ORACLES['sobel']})"
+ORACLES["timing_append_once"] = """
+select event_type workload,
+       case user_id%3 when 0 then 'naive' when 1 then 'const' else 'shared' end variant, event_id,
+       value/cast(1000 as double) gpu, value*(2+event_id%5)/cast(1000 as double) cpu
+from events"""
