@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.plans.colocated import colocated_join, differing_blocks, only_blocks
 from tessera.plans.joins import materialise
 from tessera.plans.numbering import number_rows
 
@@ -536,6 +537,36 @@ def matrix_diff(a: DataFrame, b: DataFrame, tol: float = 0.0,
     return j.where(_differs(F.col("a"), F.col("b"), tol)).select(*keys, "a", "b")
 
 
+def matrix_diff_blocks(a: DataFrame, b: DataFrame, tol: float = 0.0,
+                       keys: tuple[str, ...] = ("i", "j"), value: str = "v",
+                       block: int = 64) -> DataFrame:
+    """The rows of :func:`matrix_diff`, by digests of blocks first.
+
+    Each side is aggregated to one digest per block of ``block`` positions per
+    axis; only cells of blocks whose digests differ are joined.  What is shuffled
+    follows the blocks and the differing cells, not the matrix.
+    """
+    # Under a tolerance undefined cells differ from themselves.
+    blocks = differing_blocks(a, b, keys, value, block, undefined_differ=tol != 0)
+    return matrix_diff(only_blocks(a, blocks, keys, block), only_blocks(b, blocks, keys, block),
+                       tol, keys, value)
+
+
+def vector_add_colocated(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``vector_add`` of two tables in buckets by ``i`` (``colocated.bucketed``):
+    no shuffle."""
+    return colocated_join(a.withColumnRenamed("v", "av"), b.withColumnRenamed("v", "bv"), ["i"]).select(
+        "i", (F.col("av") + F.col("bv")).alias("v"))
+
+
+def matrix_diff_colocated(a: DataFrame, b: DataFrame, tol: float = 0.0,
+                          keys: tuple[str, ...] = ("i", "j"), value: str = "v") -> DataFrame:
+    """``matrix_diff`` of two tables in buckets by ``keys``: no shuffle."""
+    j = colocated_join(a.select(*keys, F.col(value).alias("a")),
+                       b.select(*keys, F.col(value).alias("b")), keys, "full_outer")
+    return j.where(_differs(F.col("a"), F.col("b"), tol)).select(*keys, "a", "b")
+
+
 def matrix_diff_summary(a: DataFrame, b: DataFrame, tol: float = 0.0,
                         keys: tuple[str, ...] = ("i", "j"), value: str = "v") -> DataFrame:
     """One row: cells compared, cells that differ, largest absolute difference."""

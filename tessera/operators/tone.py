@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import pixel as px
-from tessera.plans.joins import join_small
+from tessera.plans.joins import broadcast_fits, join_small, materialise, size_in_bytes
 
 KEYS = ["image_id", "y", "x"]
 CHANNELS = ("b", "g", "r")
@@ -138,6 +138,30 @@ def tone_with_params(hdr: DataFrame, params: DataFrame, mode: str) -> DataFrame:
     return j.select(*KEYS, *[defined(e).alias(c) for e, c in zip(exprs, CHANNELS)])
 
 
+def write_pixel_store(hdr: DataFrame, path: str) -> None:
+    """Write float pixels as a table with a folder per image; an image is spread
+    over as many files as it takes."""
+    hdr.write.mode("overwrite").partitionBy("image_id").parquet(path)
+
+
+def tone_store_with_params(store: DataFrame, params: DataFrame, mode: str) -> DataFrame:
+    """``tone_with_params`` for the images that ``params`` names, of a table from
+    ``write_pixel_store``.
+
+    The parameter table, once it is under the broadcast threshold, prunes the
+    folders of the scan at run time, so other images are never read.
+    """
+    params = materialise(params.select("image_id", "p1", "p2"), "params")
+    least = params.agg(F.min("image_id")).first()[0]
+    if least is None:
+        return tone_with_params(store.where(F.lit(False)), params, mode)
+    # Spark prunes by a table only if that is filtered, so the bound is spelled out.
+    wanted = params.where(F.col("image_id") >= F.lit(least)).select("image_id")
+    fits = broadcast_fits(store.sparkSession, size_in_bytes(params))
+    pixels = store.join(F.broadcast(wanted) if fits else wanted, "image_id", "left_semi")
+    return tone_with_params(pixels, params, mode)
+
+
 # ------------------------------------------------------ histogram equalisation
 def rgb_to_xyy(hdr: DataFrame, delta: float = px.LOG_Y_DELTA) -> DataFrame:
     """``(image_id, y, x, cx, cy, log_y)``: chromaticity and log10 luminance.

@@ -19,6 +19,8 @@ from tessera.operators import matrix as mx
 from tessera.operators import pixels as pxo
 from tessera.operators import stencil, tiles, tone
 from tessera.operators import timings as tm
+from tessera.functions import sql as px_sql
+from tessera.plans.colocated import bucketed
 from tessera.plans.joins import scratch_path
 from tessera.sources import raster
 from tessera.sources import tables as tb
@@ -563,3 +565,56 @@ def q_timing_append_once(spark, sf_dir):
     for batch in (0, 1, 0):                           # batch 0 comes twice
         append_once(runs.where(F.col("event_id") % 2 == batch), log, f"run-{batch}")
     return read_appended(spark, log, runs.schema)
+
+
+# --------------------------------------------------- co-located joins, block digests
+@register("vector_add_bucketed")
+def q_vector_add_bucketed(spark, sf_dir):
+    a, b = (bucketed(v, ["i"], 8, "vector") for v in tb.vectors(spark, sf_dir))
+    return _round_cols(mx.vector_add_colocated(a, b), ("v",))
+
+
+@register("matrix_diff_bucketed")
+def q_matrix_diff_bucketed(spark, sf_dir):
+    p, keys = tb.pixels8(spark, sf_dir), ("image_id", "y", "x")
+    a, b = (bucketed(pxo.gray(p, how), keys, 8, "gray") for how in ("floor", "half_even"))
+    return mx.matrix_diff_colocated(a, b, keys=keys, value="gray")
+
+
+@register("matrix_diff_blocks")
+def q_matrix_diff_blocks(spark, sf_dir):
+    # The conversions differ in a few rows of every third image only.
+    p, keys = tb.pixels8(spark, sf_dir), ("image_id", "y", "x")
+    other = F.when((F.col("image_id") % 3 == 0) & (F.col("y") < 5), px.gray(rounding="half_even")).otherwise(
+        px.gray())
+    return mx.matrix_diff_blocks(pxo.gray(p), p.select(*keys, other.alias("gray")), keys=keys,
+                                 value="gray", block=10)
+
+
+# ------------------------------------------------------- some images of a pixel store
+@register("tone_store_params")
+def q_tone_store_params(spark, sf_dir):
+    path = scratch_path(spark, "pixels")
+    h = tb.hdr(spark, sf_dir)
+    tone.write_pixel_store(h, path)
+    store = spark.read.schema(h.schema).parquet(path)
+    ids = tb.read_table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / tb.IMAGE_PIXELS).cast("int").alias("image_id")).distinct()
+    params = ids.where("image_id % 4 = 1").select(
+        "image_id", (F.lit(TONE_P1) + F.lit(0.1) * (F.col("image_id") % 3)).alias("p1"),
+        F.lit(TONE_P2).alias("p2"))
+    return _with_8bit(tone.tone_store_with_params(store, params, "A").select("image_id", "y", "x", *"bgr"))
+
+
+# --------------------------------------------------------------- SQL functions
+PIXEL_SQL = """
+select image_id, y, x, px_gray8(r, g, b) gray, px_gray8_even(r, g, b) gray_even,
+       px_exposure8(b, 1.5, -20) exposed, px_wrap8(2 * g) doubled, px_clamp8(r - g + 0L) clamped,
+       px_abs8(r - g + 0L) absolute, px_quantise8(b / 300D) quantised, px_image_type_name(r) name
+from pixels8"""
+
+
+@register("pixel_functions_sql")
+def q_pixel_functions_sql(spark, sf_dir):
+    px_sql.register(spark)
+    return spark.sql(PIXEL_SQL.replace("from pixels8", "from {pixels8}"), pixels8=tb.pixels8(spark, sf_dir))

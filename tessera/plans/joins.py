@@ -29,8 +29,14 @@ def broadcast_threshold(spark) -> int:
     return int(raw)
 
 
-# Folders written by this process and not released yet.
+# Folders written by this process and not released yet, and tables on them.
 _WRITTEN: list[str] = []
+_TABLES: list[str] = []
+
+
+def register_table(name: str) -> None:
+    """Let :func:`release` drop the table ``name``."""
+    _TABLES.append(name)
 
 
 def release(spark) -> int:
@@ -40,6 +46,8 @@ def release(spark) -> int:
     DataFrame that still reads one of them fails afterwards.  Returns how many
     folders went.
     """
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS `{_TABLES.pop()}`")
     paths, _WRITTEN[:] = list(_WRITTEN), []
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:

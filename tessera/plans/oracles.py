@@ -644,3 +644,22 @@ select event_type workload,
        case user_id%3 when 0 then 'naive' when 1 then 'const' else 'shared' end variant, event_id,
        value/cast(1000 as double) gpu, value*(2+event_id%5)/cast(1000 as double) cpu
 from events"""
+
+
+# --------------------------------------------------- co-located joins, block digests
+ORACLES["vector_add_bucketed"] = ORACLES["vector_add"]
+ORACLES["matrix_diff_bucketed"] = ORACLES["matrix_diff"]
+ORACLES["matrix_diff_blocks"] = _with(PIXELS8, GRAY_PAIR) + """
+select image_id, y, x, a, b from pair where a is distinct from b and image_id % 3 = 0 and y < 5"""
+
+ORACLES["tone_store_params"] = f"select * from ({ORACLES['tone_batch_params']}) where image_id % 4 = 1"
+
+_LUM = "r*0.299::double + g*0.587::double + b*0.114::double"
+ORACLES["pixel_functions_sql"] = _with(PIXELS8) + f"""
+select image_id, y, x, cast(floor({_LUM}) as int) gray, cast(round_even({_LUM}, 0) as int) gray_even,
+       {_exposure('b', '1.5::double', '(-20.0::double)')} exposed, cast(2*g % 256 as int) doubled,
+       cast(least(255, greatest(0, r - g)) as int) clamped, cast(abs(r - g) as int) absolute,
+       {Q8('(b / 300::double)')} quantised,
+       (['8U', '8S', '16U', '16S', '32S', '32F', '64F', 'User'])[r % 8 + 1] || 'C' ||
+         cast(r // 8 + 1 as varchar) as name
+from pixels8"""
