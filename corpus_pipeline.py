@@ -15,7 +15,6 @@ from tessera.plans.joins import materialise
 
 # Bytes of a repeated passage: at least some 50 words, of four bytes each.
 PASSAGE_BYTES = 200
-_ROW = "row_number"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,20 +31,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id (shingles of five words, similarity 0.8 or more).  Every row is a node of
     its own: of rows that repeat an id and text one stays, and an id's other
     texts stand for themselves."""
+    row_id = "row"
+    while row_id in map(str.lower, docs.columns):
+        row_id += "_"
     # Written, so that every read sees the same row numbers.
-    rows = materialise(docs.select(F.monotonically_increasing_id().alias(_ROW), "*"), "rows")
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias(row_id), "*"), "rows")
     near = materialise(neardup.near_duplicates(
-        rows.select(F.col(_ROW).alias("doc_id"), "text")).select(
-        F.col("doc_id").alias(_ROW), "component_id"), "near")
+        rows.select(F.col(row_id).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias(row_id), "component_id"), "near")
     # Of groups of one there is nothing to choose.
     groups = materialise(near.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"))
                          .where("n > 1").select("component_id"), "groups")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), _ROW)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row_id)
     members = materialise(near.join(groups, "component_id"), "near-members")
-    members = materialise(members.join(rows.select(_ROW, order.alias("o")), _ROW), "near-order")
-    first = members.groupBy("component_id").agg(F.min("o").alias("o")).select(f"o.{_ROW}")
-    gone = members.select(_ROW).join(first, _ROW, "left_anti")
-    return rows.join(gone, _ROW, "left_anti").select(*docs.columns)
+    members = materialise(members.join(rows.select(row_id, order.alias("o")), row_id), "near-order")
+    first = members.groupBy("component_id").agg(F.min("o").alias("o")).select(f"o.{row_id}")
+    gone = members.select(row_id).join(first, row_id, "left_anti")
+    return rows.join(gone, row_id, "left_anti").select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

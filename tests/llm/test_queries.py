@@ -56,3 +56,12 @@ def test_every_row_is_a_node_of_the_near_duplicate_stage(spark, words):
     got = corpus_pipeline.drop_near_duplicates(spark, df.repartition(3), "").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
         (d or 0, t or "") for d, t in [rows[0], rows[2], rows[3], rows[5], rows[6]])
+
+
+def test_columns_named_like_the_stage_s_own(spark, words):
+    text = words(200)
+    df = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text))], DOCS)
+    for name in ("row_number", "row", "Row", "component_id", "o"):
+        docs = df.selectExpr("*", f"0 as `{name}`")
+        got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        assert got.columns == docs.columns and [r.doc_id for r in got.collect()] == [1]
