@@ -17,7 +17,7 @@ from tessera.functions.pixel import quantise8
 from tessera.operators import cluster as cl
 from tessera.operators import matrix as mx
 from tessera.operators import pixels as pxo
-from tessera.operators import stencil, tiles, tone
+from tessera.operators import stencil, tiles, tone, vectors
 from tessera.operators import timings as tm
 from tessera.functions import sql as px_sql
 from tessera.plans.colocated import bucketed
@@ -84,6 +84,7 @@ TONE_P1, TONE_P2 = 0.4, 1.2
 ROW_BLOCKS = 7
 CLUSTER_K = 8
 LLOYD_ITERATIONS = 3
+VECTOR_K = 16
 CONVOLVE_MASK = (
     (1, 0, 0, 0, -1),
     (2, 1, 0, -1, -2),
@@ -317,6 +318,23 @@ def q_lloyd_centres(spark, sf_dir):
     return _round_cols(cents, ("c",))
 
 
+def _embedding_clusters(spark, sf_dir):
+    return vectors.kmeans_vectors(tb.read_table(spark, sf_dir, "embeddings"), VECTOR_K,
+                                  LLOYD_ITERATIONS, id="vec_id", vec="embedding")
+
+
+@register("kmeans_vectors")
+def q_kmeans_vectors(spark, sf_dir):
+    rows, _ = _embedding_clusters(spark, sf_dir)
+    return _round_cols(rows.withColumnRenamed("id", "vec_id"), ("dist",))
+
+
+@register("kmeans_vector_centres")
+def q_kmeans_vector_centres(spark, sf_dir):
+    _, model = _embedding_clusters(spark, sf_dir)
+    return _round_cols(vectors.centre_cells(spark, model), ("c",))
+
+
 @register("kmeans_tonemap")
 def q_kmeans_tonemap(spark, sf_dir):
     return _with_8bit(cl.kmeans_tonemap(tb.hdr(spark, sf_dir), seed=42))

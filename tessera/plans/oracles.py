@@ -344,6 +344,38 @@ ORACLES["cluster_weighted_mean"] = _with(VALS, C0, _assign("a1", "c0")) + \
 ORACLES["lloyd_centres"] = _with(VALS, C0, _step(1), _step(2), _step(3)) + \
     f"select cid, {CMP('c')} c from c3"
 
+# ----------------------------------------------------------------- vectors
+POINTS = """pts as (
+  select vec_id, cast(embedding as double[]) e from embeddings),
+v0 as (
+  select cast(row_number() over (order by md5(cast(vec_id as varchar) || ':42'), vec_id) - 1 as int) cid,
+         e c
+  from pts qualify cid < 16)"""
+
+
+def _vector_assign(name: str, centres: str) -> str:
+    return f"""{name} as (
+  select vec_id, e, cid, list_distance(e, c) dist from pts, {centres}
+  qualify row_number() over (partition by vec_id order by list_distance(e, c), cid) = 1)"""
+
+
+def _vector_step(k: int) -> str:
+    return ",\n".join([
+        _vector_assign(f"va{k}", f"v{k - 1}"),
+        f"vm{k} as (select cid, list(x order by j) c from (select cid, j, avg(x) x from ("
+        f"select cid, unnest(e) x, unnest(range(len(e))) j from va{k}) group by cid, j) group by cid)",
+        f"v{k} as (select p.cid, coalesce(m.c, p.c) c from v{k - 1} p "
+        f"left join vm{k} m on m.cid = p.cid)",
+    ])
+
+
+VECTOR_STEPS = (POINTS, _vector_step(1), _vector_step(2), _vector_step(3))
+ORACLES["kmeans_vectors"] = _with(*VECTOR_STEPS, _vector_assign("va4", "v3")) + \
+    f"select vec_id, cid, {CMP('dist')} dist from va4"
+ORACLES["kmeans_vector_centres"] = _with(*VECTOR_STEPS) + \
+    f"select cid, j, {CMP('x')} c from (select cid, cast(unnest(range(len(c))) as int) j, " \
+    "unnest(c) x from v3)"
+
 # ----------------------------------------------------------------- timings
 TIMINGS = """timings as (
   select event_type workload,
