@@ -6,8 +6,10 @@ space inside a line (a ``br`` too) becomes one space.  Every line has a text-to-
 The ratios are smoothed with a Gaussian kernel and split into two clusters by
 an iterated threshold; the cluster above it is content.  Lines inside elements
 that never hold the article (menus, headers, footers, asides, forms, adverts,
-comments, scripts, styles) are no candidates, and an ``article`` or ``main``
-element, if the page has one with text, bounds the content region.
+comments, scripts, styles) are no candidates.  ``article`` and ``main`` elements,
+if the page has any with text, bound the content regions: every one that holds
+lines of the content cluster is kept, without runs of link lines below the
+threshold (unmarked menus).
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 
 SIGMA = 1.0               # lines; width of the Gaussian kernel
 RADIUS = 2
+LINK_SHARE = 0.9          # of the characters of a link line
+LINK_RUN = 3              # link lines in a row that make a menu
 
 # Elements of the HTML standard that start a new line.
 BLOCKS = frozenset(
@@ -55,14 +59,21 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SPACE = re.compile(r"\s+")
 
 
+def _solid(text: str) -> int:
+    """Characters that are not white space."""
+    return len("".join(text.split()))
+
+
 class Lines(HTMLParser):
-    """Collects ``[text, tags, dropped, region, heading]`` per line."""
+    """Collects ``(text, tags, dropped, region, heading, link share)`` per line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int, bool, float]] = []
         self.open: list[tuple[str, bool, int]] = []   # tag, dropped, region
         self.parts: list[str] = []
+        self.links = 0                                # open links
+        self.linked = 0                               # characters inside links
         self.tags = 0
         self.dropped = False
         self.region = 0
@@ -72,11 +83,14 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.dropped, self.region, self.heading))
+            share = self.linked / _solid(text) if self.linked else 0.0
+            self.lines.append((text, self.tags, self.dropped, self.region, self.heading, share))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def restore(self) -> None:
+        if self.links:
+            self.links = sum(tag == "a" for tag, *_ in self.open)
         _, self.dropped, self.region = self.open[-1] if self.open else ("", False, 0)
 
     def close_to(self, names) -> None:
@@ -123,6 +137,7 @@ class Lines(HTMLParser):
             self.flush()
         self.heading = tag in HEADINGS or (self.heading and tag not in BLOCKS)
         self.open.append((tag, dropped, region))
+        self.links += tag == "a"
         self.dropped, self.region = dropped, region
 
     def handle_startendtag(self, tag, attrs):
@@ -150,6 +165,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
+        if self.links:
+            self.linked += _solid(data)
 
     def finish(self):
         self.close()
@@ -180,15 +197,25 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
+def _menus(link: np.ndarray) -> np.ndarray:
+    """Lines in runs of ``LINK_RUN`` or more link lines."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], link.astype(np.int8), [0]))))
+    out = np.zeros(len(link), bool)
+    for a, b in zip(edge[::2], edge[1::2]):
+        out[a:b] = b - a >= LINK_RUN
+    return out
+
+
 def extract(html: str | None) -> str:
     """The article text of one page, blocks joined by an empty line; empty if
     there is none.
 
     Without an ``article`` or ``main`` element the region is found from the
     ratios alone: lines above the threshold, and lines between or next to
-    them, up to the first and last line of the content cluster.  Inside such an
-    element the clusters choose among several regions, the one that holds most
-    text of the content cluster.
+    them, up to the first and last line of the content cluster.  Of such elements
+    all are kept that hold lines of the content cluster (all with text if none
+    does); inside them a run of ``LINK_RUN`` or more link lines goes if all of
+    it lies below the threshold, unless nothing else is there.
     """
     if not html:
         return ""
@@ -198,21 +225,19 @@ def extract(html: str | None) -> str:
     if not lines:
         return ""
     ratio = smooth(np.array([len(t) / max(k, 1) for t, k, *_ in lines], float))
-    usable = np.array([not d for _, _, d, _, _ in lines])
+    usable = np.array([not x[2] for x in lines])
     if not usable.any():
         return ""
     cut = threshold(ratio)
     content = usable & (ratio >= min(cut, float(ratio[usable].max())))
-    region = np.array([r for *_, r, _ in lines])
-    size = np.array([len(t) for t, *_ in lines])
-    inside = region > 0
-    if (usable & inside).any():
-        weight = np.bincount(region, weights=size * content)
-        weight[0] = 0
-        if not weight.any():
-            weight = np.bincount(region, weights=size * usable)
-            weight[0] = 0
-        chosen = usable & (region == int(weight.argmax()))
+    region = np.array([r for *_, r, _, _ in lines])
+    inside = usable & (region > 0)
+    if inside.any():
+        kept = np.unique(region[inside & content])
+        chosen = inside & np.isin(region, kept) if len(kept) else inside
+        menu = _menus(chosen & ~content & (np.array([x[-1] for x in lines]) >= LINK_SHARE))
+        if (chosen & ~menu).any():
+            chosen &= ~menu
     else:
         at = np.flatnonzero(content)
         first, last = int(at[0]), int(at[-1])

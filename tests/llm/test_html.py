@@ -44,6 +44,26 @@ def test_without_an_article_element():
     assert html.extract(page) == f"{text.strip()}\n\n{text}x"
 
 
+def test_all_articles_with_content_stay_and_unmarked_menus_go():
+    text = "Words that tell a story and go on for a good while, line after line. " * 4
+    links = "".join(f"<li><a href=x{i}>Link {i}</a></li>" for i in range(5))
+    page = (f"<body><article><p>{text}</p><ul>{links}</ul><p>{text}A</p></article>"
+            f"<article><h2>Other</h2><p>{text}B</p><p>See <a href=y>this</a> now.</p></article></body>")
+    assert html.extract(page).split("\n\n") == [
+        text.strip(), text + "A", "Other", text + "B", "See this now."]
+    two = f"<article><p>{text}</p><p><a>one</a></p><p><a>two</a></p><p>{text}</p></article>"
+    assert html.extract(two).split("\n\n") == [text.strip(), "one", "two", text.strip()]
+    only = f"<article><ul>{links}</ul></article>"
+    assert html.extract(only).split("\n\n") == [f"Link {i}" for i in range(5)]
+
+
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "u", PAGE)] * 3 + [(2, "v", "<p>b</p>")] * 2,
+                               "page_id long, url string, html string")
+    got = [(r.page_id, r.text) for r in html.extract_pages(df).collect()]
+    assert sorted(got) == [(1, html.extract(PAGE))] * 3 + [(2, "b")] * 2
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<article></article>"), (4, None, "plain &amp text"),
             (None, "u", "<p>unclosed <b"), (5, "u", "<article><p>" + "x " * 100000)]
