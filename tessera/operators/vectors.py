@@ -27,7 +27,7 @@ from tessera.plans.joins import materialise
 
 _CELLS = 1 << 20          # distances measured at once in a task
 _TIE = 1e-9               # share within which block products do not decide
-_STATE = "id {id}, vec array<double>, cid int, upper double, lower double, cost long"
+_STATE = "id {id}, vec {vec}, cid int, upper double, lower double, cost long"
 
 
 @dataclass
@@ -47,6 +47,12 @@ def defined_vectors(points: DataFrame, vec: str = "vec"):
         ~F.isnan(x) & (F.abs(x) < F.lit(inf)), F.lit(False))), F.lit(False)) & (F.size(vec) > 0)
 
 
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of a batch in double precision."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(-1, dim)
+
+
 def first_centres(points: DataFrame, k: int, seed: int) -> np.ndarray:
     """``k`` points in the order of the MD5 of ``id:seed``, ties by id: a
     distributed top-k that does not change when a task is retried."""
@@ -87,7 +93,7 @@ def two_nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _advance(batch: pa.RecordBatch, centres: np.ndarray, drift: np.ndarray) -> pa.RecordBatch:
     """The state of a batch for centres that moved by ``drift`` since it was made."""
     n, (k, dim) = batch.num_rows, centres.shape
-    x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
+    x = _matrix(batch.column(1), dim)
     cid = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
     upper = batch.column(3).to_numpy(zero_copy_only=False) + drift[np.maximum(cid, 0)]
     lower = batch.column(4).to_numpy(zero_copy_only=False) - drift.max()
@@ -129,7 +135,7 @@ def _sums(state: DataFrame, k: int, dim: int) -> tuple[np.ndarray, np.ndarray, i
         total, n, cost = np.zeros((k, dim)), np.zeros(k, np.int64), 0
         for batch in batches:
             cid = batch.column(1).to_numpy(zero_copy_only=False)
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            x = _matrix(batch.column(0), dim)
             order = np.argsort(cid, kind="stable")
             unit, first = np.unique(cid[order], return_index=True)
             if len(unit):
@@ -161,7 +167,9 @@ def kmeans_vectors(points: DataFrame, k: int, iterations: int, seed: int = 42,
     ``k`` seeded points, and the model.  Vectors must be of one length."""
     if k < 1 or iterations < 0:
         raise ValueError("k must be >= 1 and iterations >= 0")
-    rows = points.select(F.col(id).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    rows = points.select(F.col(id).alias("id"), F.col(vec).alias("vec"))
+    if rows.schema["vec"].dataType.simpleString() != "array<float>":   # floats stay short
+        rows = rows.withColumn("vec", F.col("vec").cast("array<double>"))
     rows = rows.withColumn("ok", defined_vectors(rows))
     undefined = rows.where("not ok").select("id", F.lit(None).cast("int").alias("cid"),
                                             F.lit(None).cast("double").alias("dist"))
@@ -175,7 +183,7 @@ def kmeans_vectors(points: DataFrame, k: int, iterations: int, seed: int = 42,
         return undefined, VectorModel(np.empty((0, 0)))
     if seen["a"] != seen["b"]:
         raise ValueError(f"vectors of {seen['a']} and of {seen['b']} elements")
-    schema = _STATE.format(id=rows.schema["id"].dataType.simpleString())
+    schema = _STATE.format(**{c: rows.schema[c].dataType.simpleString() for c in ("id", "vec")})
     centres = first_centres(state.select("id", "vec"), k, seed)
     k, dim = centres.shape
     model, drift = VectorModel(centres, seen["n"]), np.zeros(k)
@@ -192,7 +200,7 @@ def kmeans_vectors(points: DataFrame, k: int, iterations: int, seed: int = 42,
         for batch in batches:
             if batch.num_rows:
                 out = _advance(batch, *ref.value)
-                x = out.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                x = _matrix(out.column(1), dim)
                 dist = _direct(x, ref.value[0][out.column(2).to_numpy()])
                 yield pa.RecordBatch.from_arrays([out.column(0), out.column(2), pa.array(dist)],
                                                  names=["id", "cid", "dist"])
