@@ -39,6 +39,7 @@ SIMILARITY = (80, 100)    # 100 * intersection >= 80 * union
 SKETCH = 32               # values of a sketch
 SIGMAS = 5                # standard deviations allowed to sketch overlaps and estimates
 PIVOT_GROWTH = 8          # pivots per list and round grow by this factor
+PARITY = ("p0", "p1", "p2", "p3")   # longs of a set's parity bits
 
 
 def needed_overlap(similarity, k: int) -> float:
@@ -81,15 +82,23 @@ def sketches(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = SKETCH) -> DataFr
 
 
 def full_sets(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, hashes``: the whole shingle set in order."""
+    """``doc_id, hashes`` and the columns ``PARITY``: the whole shingle set in
+    order, and for each of 256 cells of hashes whether it holds an odd number of
+    them."""
     def run(batches):
         for part, data, off in tx.pieces(batches):
             h, d = _shingles(part, data, off, n)
+            odd = np.zeros((part.num_rows, len(PARITY)), np.uint64)
+            at = ((h >> np.uint64(6)) % np.uint64(len(PARITY))).astype(np.int64)
+            np.bitwise_xor.at(odd, (d, at), np.uint64(1) << (h & np.uint64(63)))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), tx.lists(h.view(np.int64), np.bincount(d, minlength=part.num_rows),
-                                          pa.int64())], names=["doc_id", "hashes"])
+                                          pa.int64()),
+                 *(pa.array(np.ascontiguousarray(odd[:, i]).view(np.int64))
+                   for i in range(len(PARITY)))], names=["doc_id", "hashes", *PARITY])
 
-    return _narrow(docs).mapInArrow(run, "doc_id long, hashes array<long>")
+    return _narrow(docs).mapInArrow(
+        run, "doc_id long, hashes array<long>, " + ", ".join(f"{p} long" for p in PARITY))
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -140,6 +149,14 @@ def _enough(similarity, cap, a, b):
     return cap * (num + den) >= (a + b) * num
 
 
+def _near(similarity, a, b, ours, theirs):
+    """Whether sets of sizes ``a``, ``b`` whose parity bits differ in as many
+    places as ``ours`` and ``theirs`` can be a link."""
+    num, den = similarity
+    apart = sum(F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(ours, theirs))
+    return apart * (num + den) <= (a + b) * (den - num)
+
+
 def _live(state: DataFrame, similarity, group: str) -> DataFrame:
     """Entries of lists with different ``group`` values, without entries that
     cannot link even to the smallest member."""
@@ -171,7 +188,9 @@ def link_components(lists: DataFrame, sets: DataFrame, similarity=SIMILARITY,
                     k: int = SKETCH) -> DataFrame:
     """``(node, component)`` over the links of all candidate pairs; None if there
     is no candidate."""
-    rest, links, comp, pivots = lists, None, None, 1
+    parity = sets.select(F.col("doc_id").alias("doc"), *PARITY)
+    rest = materialise(_live(lists, similarity, "doc").join(parity, "doc"), "live-lists")
+    links, comp, pivots = None, None, 1
     while True:
         state = rest.withColumn("c", F.col("doc"))
         if comp is not None:
@@ -189,9 +208,11 @@ def link_components(lists: DataFrame, sets: DataFrame, similarity=SIMILARITY,
         by = Window.partitionBy("value").orderBy((F.col("cap") / F.col("size")).desc(), "doc")
         chosen = materialise(outside.withColumn("r", F.row_number().over(by)).where(
             F.col("r") <= pivots).select("value", F.col("doc").alias("u"), F.col("c").alias("cu"),
-                                         F.col("size").alias("su"), F.col("cap").alias("capu")),
+                                         F.col("size").alias("su"), F.col("cap").alias("capu"),
+                                         *(F.col(p).alias(f"u{p}") for p in PARITY)),
             "pivots")
-        can = _enough(similarity, F.least("cap", "capu"), F.col("size"), F.col("su"))
+        can = (_enough(similarity, F.least("cap", "capu"), F.col("size"), F.col("su"))
+               & _near(similarity, F.col("size"), F.col("su"), PARITY, [f"u{p}" for p in PARITY]))
         pairs = (state.join(chosen, "value").where((F.col("c") != F.col("cu")) & can)
                  .select(F.least("u", "doc").alias("u"), F.greatest("u", "doc").alias("v")).distinct())
         more = confirm(pairs, sets, similarity, k)

@@ -68,6 +68,37 @@ def test_contained_texts_just_above_the_threshold_are_linked(spark, rng):
     assert [d for d, c in got.items() if c != d - d % 2] == []
 
 
+def test_pairs_on_boilerplate_grow_with_the_documents(spark, rng, monkeypatch):
+    """Texts of 12 out of 40 stock sentences, nearly all without a partner."""
+    stock = [" ".join("%x" % rng.getrandbits(40) for _ in range(9)) for _ in range(40)]
+    seen, confirm = [], neardup.confirm
+
+    def counted(pairs, *args):
+        seen.append(pairs.count())
+        return confirm(pairs, *args)
+    monkeypatch.setattr(neardup, "confirm", counted)
+    total = []
+    for n in (300, 1200):
+        rows = [(i, " ".join(rng.sample(stock, 12))) for i in range(n)]
+        rows += [(n + i, rows[i][1] + " more") for i in range(n // 20)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {tuple(r) for r in neardup.near_duplicates(df).collect()}
+        assert got == brute(rows, 5, 80, 100)
+        total.append(sum(seen))
+        seen.clear()
+    print("pairs", total)
+    assert total[1] < 6 * total[0]
+
+
+def test_parity_bits_bound_the_difference(spark, rng, words):
+    df = spark.createDataFrame([(i, words(rng.randint(0, 300))) for i in range(40)],
+                               "doc_id long, text string")
+    rows = neardup.full_sets(df).collect()
+    for a, b in combinations(rows, 2):
+        apart = sum(((a[p] ^ b[p]) & (1 << 64) - 1).bit_count() for p in neardup.PARITY)
+        assert apart <= len(set(a.hashes) ^ set(b.hashes))
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = neardup.near_duplicates(odd_docs, 3).collect()
     assert len(rows) == odd_docs.count()
