@@ -34,6 +34,17 @@ def test_read_back_is_exact(spark, rng):
     assert got == brute(rows)
 
 
+def test_very_long_text_and_clashing_columns(spark):
+    long = "### user: </turn>\\ é\n" * 60000
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", long), (2, 0, "assistant", "")]
+    df = spark.createDataFrame(rows, ROW)
+    for name in ("formatted", "body", "block", "segment", "t", "n_turns", "attachments", "loss_spans"):
+        df = df.withColumn(name, F.lit("clash"))
+    parts = df.withColumn("content", chat.text_part(F.col("text")))
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.digest(chat.read_back(chat.format_chat(parts))).collect()}
+    assert got == brute(rows)
+
+
 def test_typed_parts(spark):
     content = [("text", "see <|image|>", None, None, None, None, None),
                ("image", None, "a.png", 28, 29, None, None), ("audio", None, "b.wav", None, None, 1.5, None),
