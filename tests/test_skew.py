@@ -66,6 +66,23 @@ def test_salted_joins_spread_a_hot_image(shuffled):
     assert hist.where("image_id = 0").agg(F.sum("n")).first()[0] == 120000
 
 
+def test_large_join_side_is_not_broadcast_by_its_file_size(spark):
+    """90,000 rows that compress to a few bytes each are over the size check, so
+    their salted copies may not be broadcast either."""
+    from tessera.plans.joins import join_small
+
+    keys = spark.range(90000).select((F.col("id") % 400).cast("int").alias("image_id"),
+                                      (F.col("id") / 400).cast("int").alias("bin"))
+    small = keys.withColumn("cdf_norm", F.col("bin") / 500)
+    big = keys.unionByName(keys.limit(3).withColumn("bin", F.lit(-1)))
+    out = join_small(big, small, ["image_id", "bin"], "left")
+    rows = out.select(F.count(F.lit(1)).alias("n"), F.count("cdf_norm").alias("hits"),
+                      F.sum((F.col("cdf_norm") != F.col("bin") / 500).cast("int")).alias("wrong"))
+    assert tuple(rows.first()) == (90003, 90000, 0)
+    plan = rows._jdf.queryExecution().executedPlan()
+    assert "BroadcastHashJoin" not in plan.toString() and "SortMergeJoin" in plan.toString()
+
+
 def test_per_image_kmeans_on_a_hot_image(spark, monkeypatch):
     from tessera.operators import cluster as cl
 
