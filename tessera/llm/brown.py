@@ -11,9 +11,12 @@ ending ("shape").  Exchange clustering gives every symbol a class:
    class, tasks find the class with the largest gain in likelihood against the
    class matrix, and half of the symbols move at once.  A sweep that does not
    raise the likelihood is undone and ends the search.
-3. Words that do not fit the table sent to every task stand for their shape where
-   they are the word before; their own class comes from what they follow, in
-   a table that is joined.
+3. Classed words that do not fit the table sent to every task get their symbols by
+   a join.  Classes take one byte a word and are sent to every task; beyond
+   ``SENT_CLASSES`` they are a table that each sweep joins to the pairs they are
+   in.  The results do not depend on which words fit.  Only where a caller names a
+   ``limit`` of context words do the words beyond it stand for their shape as the
+   word before; their own class then comes from what they follow.
 
     P(w | v) = P(class(w) | class(v)) * P(symbol(w) | class(w)) * P(w | symbol(w))
 
@@ -31,11 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textops as tx
 from tessera.plans.joins import materialise
+from tessera.plans.numbering import number_rows
 
 MIN_COUNT = 5             # occurrences of a word with a class of its own
 SEED_WORDS = 768          # words of the first clustering
@@ -43,10 +47,13 @@ SHAPES = 128              # symbols of all other words, by their last bytes
 CLASSES = 64
 SEED_SWEEPS = 8
 SWEEPS = 4                # over the table; each moves half of the symbols
-KNOWN_WORDS = 1 << 19     # word counts sent to every task at most (24 bytes each)
+KNOWN_WORDS = 1 << 19     # word counts sent to every task at most (16 bytes each)
+SENT_CLASSES = 1 << 24    # classes of words sent to every task at most (a byte each)
+_MAYBE_BITS = 22          # of the bitmap that finds words which may be beyond the table
 BACKOFF = 5.0             # pseudo count of the class unigram in a transition
-ROW_TOKENS = 1024         # tokens of a row of the written sequences
+ROW_TOKENS = 256          # tokens of a row of the written sequences
 _BUFFER = 1 << 21         # tokens counted at once in a task
+_SLICE = 1 << 16          # rows of a batch that a task hands back
 
 
 def _shape(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -66,17 +73,27 @@ def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def _slices(batch: pa.RecordBatch):
+    """A batch in parts of bounded size, so that little waits on either side."""
+    for a in range(0, batch.num_rows, _SLICE):
+        yield batch.slice(a, _SLICE)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``(word, shape, c)`` over all rows ``(text)``; ``word`` is a 64-bit hash."""
     def run(batches):
         words, shapes, held = [], [], 0
 
         def flush():
-            w, s = np.concatenate(words), np.concatenate(shapes)
+            w = np.concatenate(words)
+            words.clear()
             unit, first, count = np.unique(w, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(unit.view(np.int64)), pa.array(s[first].astype(np.int32)),
-                 pa.array(count.astype(np.int64))], names=["word", "shape", "c"])
+            del w
+            s = np.concatenate(shapes)[first]
+            shapes.clear()
+            return _slices(pa.RecordBatch.from_arrays(
+                [pa.array(unit.view(np.int64)), pa.array(s.astype(np.int32)),
+                 pa.array(count.astype(np.int64))], names=["word", "shape", "c"]))
 
         for _, data, off in tx.pieces(batches):
             start, end, _ = tx.word_spans(data, off)
@@ -86,10 +103,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
             shapes.append(_shape(data, start, end))
             held += len(start)
             if held >= _BUFFER:
-                yield flush()
-                words, shapes, held = [], [], 0
+                yield from flush()
+                held = 0
         if held:
-            yield flush()
+            yield from flush()
 
     return (texts.select("text").mapInArrow(run, "word long, shape int, c long")
             .groupBy("word", "shape").agg(F.sum("c").alias("c")))
@@ -97,14 +114,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Known:
-    """Counts of the most frequent words, and the symbols."""
+    """Counts of the most frequent words, and the symbols: the words of the table,
+    the shapes, the end, then the classed words beyond the table."""
 
     words: np.ndarray         # sorted hashes
     counts: np.ndarray
     symbol: np.ndarray        # symbol of each by falling count, -1: its shape
     shape_of: np.ndarray      # shape of each word symbol
     seeds: int                # symbols of the first clustering
-    least: int | None         # lowest bin of counts in the table, None: table empty
+    cut: tuple[int, int] | None   # count and hash prefix of the first words outside
+    linked: bool              # whether classed words outside are symbols as well
+    beyond: int = 0           # how many of them
+    maybe: np.ndarray | None = None   # bits: leading bits of their hashes
 
     def look_up(self, h: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(count, symbol)`` per word; count 0: not among the known words."""
@@ -113,7 +134,7 @@ class Known:
         unit, back = np.unique(h, return_inverse=True)
         at = np.minimum(np.searchsorted(self.words, unit), len(self.words) - 1)
         hit = self.words[at] == unit
-        count = np.where(hit, self.counts[at], 0)[back]
+        count = np.where(hit, self.counts[at], 0)[back].astype(np.int64)
         sym = np.where(hit, self.symbol[at], -1)[back]
         return count, np.where(sym >= 0, sym, self.top + shape.astype(np.int64))
 
@@ -130,34 +151,106 @@ class Known:
     def symbols(self) -> int:
         return self.top + SHAPES + 1
 
+    @property
+    def open(self) -> bool:
+        """Whether classed words lie outside the table."""
+        return self.cut is not None and self.cut[0] >= MIN_COUNT
+
+    def outside(self) -> Column:
+        """Whether a row of the word counts lies outside the table."""
+        if self.cut is None:
+            return F.lit(False)
+        c, prefix = self.cut
+        return (F.col("c") < c) | ((F.col("c") == c) & (_prefix() >= prefix))
+
+    def half(self, sym, where=np.where):
+        """The half that a symbol moves with: the parity of its number if all words
+        came first.  ``sym`` is an array, or a column with ``where`` for columns."""
+        if not self.beyond:
+            return sym % 2
+        return where(sym < self.top, sym, where(sym < self.symbols, sym + self.beyond,
+                                                sym - SHAPES - 1)) % 2
+
+    def may_be_beyond(self, h: np.ndarray) -> np.ndarray:
+        """Whether words outside the table may have symbols."""
+        if self.maybe is None:
+            return np.full(len(h), self.open)
+        at = h >> np.uint64(64 - _MAYBE_BITS)
+        return (self.maybe[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _column_where(test, a, b) -> Column:
+    return F.when(test, a).otherwise(b)
+
 
 def _count_bin() -> Column:
     return F.floor(F.log2("c") * 16)
 
 
-def known_words(counts: DataFrame, limit: int = KNOWN_WORDS, seeds: int = SEED_WORDS) -> Known:
-    """The words above a count that at most ``limit`` words reach.  The count is
-    found from a histogram over fixed logarithmic bins."""
-    hist = sorted(((r["b"], r["n"]) for r in counts.groupBy(_count_bin().alias("b")).agg(
-        F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    least, total = None, 0
-    for b, n in hist:
-        if total + n > limit:
-            break
-        least, total = b, total + n
-    if least is None:
-        empty = np.empty(0, np.int64)
-        return Known(empty.view(np.uint64), empty, empty, empty, 0, None)
-    got = counts.where(_count_bin() >= F.lit(least)).select("word", "shape", "c").toArrow()
+def _prefix() -> Column:
+    return F.shiftrightunsigned("word", 48)
+
+
+def _table_end(counts: DataFrame, limit: int) -> tuple[int, int] | None:
+    """Count and hash prefix of the first words that do not fit among ``limit``, by
+    falling count and then hash; None if all fit.  Found from histograms: over
+    logarithmic bins, the counts of one bin and the prefixes of one count."""
+    total = 0
+
+    def first_outside(rows: DataFrame, key: Column, falling: bool):
+        nonlocal total
+        hist = sorted(((r["k"], r["n"]) for r in rows.groupBy(key.alias("k")).agg(
+            F.count(F.lit(1)).alias("n")).collect()), reverse=falling)
+        for k, n in hist:
+            if total + n > limit:
+                return k
+            total += n
+        return None
+
+    b = first_outside(counts, _count_bin(), True)
+    if b is None:
+        return None
+    c = first_outside(counts.where(_count_bin() == F.lit(b)), F.col("c"), True)
+    return c, first_outside(counts.where(F.col("c") == c), _prefix(), False)
+
+
+def known_words(counts: DataFrame, limit: int | None = None, seeds: int = SEED_WORDS) -> Known:
+    """The table of the most frequent words, at most ``KNOWN_WORDS``.  A ``limit`` is
+    another size of it, and words beyond are then no context by themselves."""
+    known = Known(*[np.empty(0, np.int64)] * 4, 0,
+                  _table_end(counts, KNOWN_WORDS if limit is None else limit), limit is None)
+    got = counts.where(~known.outside()).select("word", "shape", "c").toArrow()
     word = got.column("word").to_numpy().view(np.uint64)
     c, shape = got.column("c").to_numpy(), got.column("shape").to_numpy()
     order = np.argsort(word)
     word, c, shape = word[order], c[order], shape[order]
     best = np.lexsort((word, -c))
     best = best[c[best] >= MIN_COUNT]
-    symbol = np.full(len(word), -1, np.int64)
+    symbol = np.full(len(word), -1, np.int32)
     symbol[best] = np.arange(len(best))
-    return Known(word, c, symbol, shape[best].astype(np.int64), min(seeds, len(best)), least)
+    small = np.int32 if c.max(initial=0) < 1 << 31 else np.int64
+    known.words, known.counts, known.symbol = word, c.astype(small), symbol
+    known.shape_of, known.seeds = shape[best].astype(np.int64), min(seeds, len(best))
+    return known
+
+
+def beyond_table(counts: DataFrame, known: Known) -> DataFrame | None:
+    """``(word, shape, c, sym)``: the classed words outside the table, numbered like
+    those inside, by falling count and then hash.  Their number and a bitmap of them go to ``known``."""
+    if not known.open:
+        return None
+    rest = counts.where(known.outside() & (F.col("c") >= MIN_COUNT)).select(
+        (-F.col("c")).alias("order_c"), F.col("word").bitwiseXOR(F.lit(-1 << 63)).alias("order_w"),
+        "word", "shape", "c")
+    rest = materialise(number_rows(rest, ["order_c", "order_w"], name="at").select(
+        "word", "shape", "c", (F.col("at") + known.symbols).cast("int").alias("sym")), "lm-beyond")
+    known.beyond = rest.count()
+    bit = F.shiftrightunsigned("word", 64 - _MAYBE_BITS).cast("int")
+    at = rest.select(bit.alias("at")).distinct().toArrow().column("at").to_numpy()
+    seen = np.zeros(1 << _MAYBE_BITS, bool)
+    seen[at] = True
+    known.maybe = np.packbits(seen, bitorder="little")
+    return rest
 
 
 def _sequence(data, off, known: Known):
@@ -176,90 +269,198 @@ def _sequence(data, off, known: Known):
 
 
 def sequences(texts: DataFrame, known_ref) -> DataFrame:
-    """The training rows as symbols: ``(seq, word, shape, before)``, rows of at most
+    """The training rows as symbols: ``(seq, word, at)``, rows of at most
     ``ROW_TOKENS`` tokens.  ``seq`` is the symbol before the first token and the
-    tokens, as 32-bit integers; the others are the words outside the known table,
-    their shapes and the symbols before them."""
+    tokens, as 32-bit integers.  If classed words lie outside the known table, the
+    others are the words that may be such and their places in ``seq``."""
     def run(batches):
         known = known_ref.value
         for _, data, off in tx.pieces(batches):
-            h, count, sym, _, place, full, _ = _sequence(data, off, known)
-            tail = np.flatnonzero(count == 0)
+            h, count, _, _, place, full, _ = _sequence(data, off, known)
             chain = np.concatenate(([known.end], full)).astype("<i4")
             starts = range(0, len(full), ROW_TOKENS)
-            per_row = np.bincount(place[tail] // ROW_TOKENS, minlength=len(starts))
+            tail = np.flatnonzero(count == 0) if known.open else np.empty(0, np.int64)
+            tail = tail[known.may_be_beyond(h[tail])]
+            # The last token of a row is the one before the next row too.
+            again = tail[((place[tail] + 1) % ROW_TOKENS == 0) & (place[tail] + 1 < len(full))]
+            row = np.concatenate((place[tail], place[again] + 1)) // ROW_TOKENS
+            at = np.concatenate((place[tail] % ROW_TOKENS + 1, np.zeros(len(again), np.int64)))
+            order = np.argsort(row, kind="stable")
+            per_row = np.bincount(row, minlength=len(starts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chain[a:a + ROW_TOKENS + 1].tobytes() for a in starts], pa.binary()),
-                 tx.lists(h[tail].view(np.int64), per_row, pa.int64()),
-                 tx.lists((sym[tail] - known.top).astype(np.int32), per_row, pa.int32()),
-                 tx.lists(chain[place[tail]], per_row, pa.int32())],
-                names=["seq", "word", "shape", "before"])
+                 tx.lists(h[np.concatenate((tail, again))[order]].view(np.int64), per_row, pa.int64()),
+                 tx.lists(at[order].astype(np.int32), per_row, pa.int32())],
+                names=["seq", "word", "at"])
+
+    return texts.select("text").mapInArrow(run, "seq binary, word array<long>, at array<int>")
 
-    return texts.select("text").mapInArrow(
-        run, "seq binary, word array<long>, shape array<int>, before array<int>")
+
+def _symbols(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols of a batch of sequences, and where each row starts."""
+    data, off = tx.text_bytes(batch.column(batch.schema.get_field_index("seq")))
+    flat = data.view("<i4") if data.ctypes.data % 4 == 0 else np.frombuffer(data.tobytes(), "<i4")
+    return flat, off // 4
+
+
+def _parts(batches, rows: int = 1 << 10):
+    """Batches of bounded size."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
 
 
 def _pairs(batches):
     """``(previous, symbol)`` arrays of every batch of sequences."""
-    for batch in batches:
-        data, off = tx.text_bytes(batch.column(batch.schema.get_field_index("seq")))
-        flat = np.frombuffer(data.tobytes(), "<i4").astype(np.int64)
+    for batch in _parts(batches):
+        flat, off = _symbols(batch)
         first = np.zeros(len(flat), bool)             # a row's symbol before
-        first[off[:-1] // 4] = True
+        first[off[:-1]] = True
         at = np.flatnonzero(~first)
         yield flat[at - 1], flat[at]
 
 
-def pair_counts(seqs: DataFrame, group_ref, size: int) -> np.ndarray:
+def _table_pairs(batches, symbols: int):
+    """The pairs of which both are below ``symbols``."""
+    for before, seq in _pairs(batches):
+        ok = (before < symbols) & (seq < symbols)
+        yield (before, seq) if ok.all() else (before[ok], seq[ok])
+
+
+def link(seqs: DataFrame, beyond: DataFrame) -> DataFrame:
+    """``(seq)`` of ``seqs (row, seq, word, at)``, with the symbols of the words of
+    ``beyond`` in place of their shapes."""
+    hits = (seqs.select("row", F.explode(F.arrays_zip("word", "at")).alias("t"))
+            .select("row", "t.word", "t.at").join(beyond.select("word", "sym"), "word")
+            .groupBy("row").agg(F.collect_list(F.struct("at", "sym")).alias("hits")))
+
+    def run(batches):
+        for batch in _parts(batches):
+            flat, off = _symbols(batch)
+            flat, hits = flat.copy(), batch.column(batch.schema.get_field_index("hits"))
+            size = hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            hit = hits.flatten()
+            flat[np.repeat(off[:-1], size) + hit.field("at").to_numpy(zero_copy_only=False)] = (
+                hit.field("sym").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([flat[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())],
+                names=["seq"])
+
+    return seqs.select("row", "seq").join(hits, "row", "left").select("seq", "hits").mapInArrow(
+        run, "seq binary")
+
+
+def beyond_pairs(seqs: DataFrame, symbols: int) -> DataFrame:
+    """``(b, w, n)``: counts of the neighbours of which one is not below ``symbols``."""
+    def run(batches):
+        for before, seq in _pairs(batches):
+            at = np.flatnonzero((before >= symbols) | (seq >= symbols))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(before[at]), pa.array(seq[at])],
+                                                 names=["b", "w"])
+
+    return (seqs.select("seq").mapInArrow(run, "b int, w int")
+            .groupBy("b", "w").agg(F.count(F.lit(1)).alias("n")))
+
+
+def with_groups(pairs: DataFrame, of_beyond: DataFrame, group_ref, symbols: int) -> DataFrame:
+    """``pairs`` with the groups ``cb`` and ``cw`` of their symbols: by ``group`` (an
+    array) below ``symbols``, else from ``of_beyond (sym, cls)``.  Only rare words
+    are keys of these joins."""
+    of_b = of_beyond.select(F.col("sym").alias("b"), F.col("cls").alias("cb"))
+    of_w = of_beyond.select(F.col("sym").alias("w"), F.col("cls").alias("cw"))
+    b, w, none = F.col("b") >= symbols, F.col("w") >= symbols, F.lit(None).cast("int")
+    cols = ["b", "w", "n", "cb", "cw"]
+    parts = [pairs.where(b & ~w).join(of_b, "b").withColumn("cw", none),
+             pairs.where(~b & w).join(of_w, "w").withColumn("cb", none),
+             pairs.where(b & w).join(of_b, "b").join(of_w, "w")]
+    found = parts[0].select(cols).union(parts[1].select(cols)).union(parts[2].select(cols))
+
+    def run(batches):
+        group = group_ref.value
+        for batch in batches:
+            out = [batch.column(i) for i in range(3)]
+            for sym, got in ((0, 3), (1, 4)):
+                s = batch.column(sym).to_numpy()
+                c = batch.column(got).fill_null(0).to_numpy()
+                out.append(pa.array(np.where(s < symbols, group[np.minimum(s, symbols - 1)], c)
+                                    .astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(out, names=cols)
+
+    return found.mapInArrow(run, "b int, w int, n long, cb int, cw int")
+
+
+def pair_counts(seqs: DataFrame, group_ref, size: int, symbols: int,
+                beyond: DataFrame | None = None) -> np.ndarray:
     """``size x size`` counts of neighbouring symbols under ``group`` (an array of
-    symbol -> group).  Each task sends a cell at most once."""
+    symbol -> group), ``beyond`` being the result of :func:`with_groups`.  Each
+    task sends a cell at most once."""
     def run(batches):
         group, total = group_ref.value, np.zeros(size * size, np.int64)
-        for before, seq in _pairs(batches):
-            total += np.bincount(group[before] * size + group[seq], minlength=size * size)
+        for before, seq in _table_pairs(batches, symbols):
+            total += np.bincount(group[before].astype(np.int64) * size + group[seq],
+                                 minlength=size * size)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])],
-                                         names=["cell", "n"])
+        yield from _slices(pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"]))
 
-    got = (seqs.select("seq").mapInArrow(run, "cell int, n long")
-           .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    cells = seqs.select("seq").mapInArrow(run, "cell int, n long")
+    if beyond is not None:
+        cells = cells.union(beyond.select((F.col("cb") * size + F.col("cw")).alias("cell"), "n"))
+    got = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size)
     out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(size, size)
 
 
-def context_counts(seqs: DataFrame, cls_ref, classes: int, half: int) -> DataFrame:
-    """``(sym, cell, n)``: how often the symbols of one half (by parity) precede a
-    class (cells from 0), follow it (cells from ``classes``) or themselves (the
-    last cell).  Tasks add up before the shuffle; rows are sorted by symbol and
-    cell in partitions by symbol."""
+def context_counts(seqs: DataFrame, cls_ref, classes: int, half: int, known: Known,
+                   symbols: int, beyond: DataFrame | None = None) -> DataFrame:
+    """``(sym, cell, n)``: how often the symbols of one half precede a class (cells
+    from 0), follow it (cells from ``classes``) or themselves (the last cell), plus
+    the class held times the number of cells.  ``cls`` has the classes of ``symbols``
+    symbols, ``beyond`` are the pairs with others.  Tasks add up before the shuffle;
+    rows are sorted by symbol and cell in partitions by symbol."""
     width = 2 * classes + 1
+    mine = Known(*[np.empty(0)] * 3, np.empty(known.top), 0, None, True, known.beyond).half
+    kind = np.uint32 if symbols * width < 1 << 32 else np.int64
 
     def run(batches):
         cls, held, size = cls_ref.value, [], 0
 
         def flush():
             key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array((key // width).astype(np.int32)), pa.array((key % width).astype(np.int32)),
-                 pa.array(n.astype(np.int64))], names=["sym", "cell", "n"])
-
-        for before, seq in _pairs(batches):
+            held.clear()
+            sym = key // width
+            return _slices(pa.RecordBatch.from_arrays(
+                [pa.array(sym.astype(np.int32)),
+                 pa.array((key % width + cls[sym].astype(np.int64) * width).astype(np.int32)),
+                 pa.array(n.astype(np.int64))], names=["sym", "cell", "n"]))
+
+        for before, seq in _table_pairs(batches, symbols):
             same = before == seq
-            first = (before % 2 == half) & ~same
-            second = seq % 2 == half
-            held.append(before[first] * width + cls[seq[first]])
-            held.append(seq[second] * width + np.where(same[second], 2 * classes,
-                                                       classes + cls[before[second]]))
+            first = (mine(before) == half) & ~same
+            second = mine(seq) == half
+            held.append((before[first].astype(np.int64) * width + cls[seq[first]]).astype(kind))
+            held.append((seq[second].astype(np.int64) * width
+                         + np.where(same[second], 2 * classes,
+                                    cls[before[second]].astype(np.int64) + classes)).astype(kind))
             size += len(seq)
             if size >= _BUFFER:
-                yield flush()
-                held, size = [], 0
+                yield from flush()
+                size = 0
         if size:
-            yield flush()
-
-    return (seqs.select("seq").mapInArrow(run, "sym int, cell int, n long")
-            .repartition("sym").groupBy("sym", "cell").agg(F.sum("n").alias("n"))
+            yield from flush()
+
+    cells = seqs.select("seq").mapInArrow(run, "sym int, cell int, n long")
+    if beyond is not None:
+        same = F.col("b") == F.col("w")
+        first = beyond.where((mine(F.col("b"), _column_where) == half) & ~same).select(
+            F.col("b").alias("sym"), (F.col("cb") * width + F.col("cw")).alias("cell"), "n")
+        second = beyond.where(mine(F.col("w"), _column_where) == half).select(
+            F.col("w").alias("sym"), (F.col("cw") * width + F.when(same, 2 * classes).otherwise(
+                F.col("cb") + classes)).alias("cell"), "n")
+        cells = cells.union(first).union(second)
+    return (cells.repartition("sym").groupBy("sym", "cell").agg(F.sum("n").alias("n"))
             .sortWithinPartitions("sym", "cell"))
 
 
@@ -364,23 +565,25 @@ def best_classes(unit: np.ndarray, cell: np.ndarray, n: np.ndarray, held: np.nda
     return np.where(gain[row, best] > gain[row, held] + 1e-9, best, held)
 
 
-def _moves(key: str, state_ref, held_of):
+def _moves(key: str, joint_ref):
     """``mapInArrow`` function over rows sorted by ``key``: the best class of every
-    key, ``held_of(state, keys, first rows)`` giving the class held."""
+    key against the class matrix.  ``cell`` tells the class held as well."""
     def run(batches):
-        state, last = state_ref.value, None
+        joint, last = joint_ref.value, None
+        width = 2 * len(joint) + 1
 
         def answer(rows):
             k = rows.column(key).to_numpy()
             first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
             unit = np.cumsum(np.concatenate(([False], k[1:] != k[:-1])))
-            held = held_of(state, rows, first)
+            cell = rows.column("cell").to_numpy()
+            held, cell = (cell[first] // width).astype(np.int64), cell % width
             best = np.empty(len(held), np.int64)
             for a in range(0, len(first), 2048):      # bounded memory
                 b = min(a + 2048, len(first))
                 lo, hi = first[a], first[b] if b < len(first) else len(k)
-                best[a:b] = best_classes(unit[lo:hi] - a, rows.column("cell").to_numpy()[lo:hi],
-                                         rows.column("n").to_numpy()[lo:hi], held[a:b], state[1])
+                best[a:b] = best_classes(unit[lo:hi] - a, cell[lo:hi],
+                                         rows.column("n").to_numpy()[lo:hi], held[a:b], joint)
             return pa.RecordBatch.from_arrays(
                 [pa.array(k[first]), pa.array(held.astype(np.int32)),
                  pa.array(best.astype(np.int32))], names=[key, "held", "cls"])
@@ -406,30 +609,69 @@ def likelihood(joint: np.ndarray) -> float:
     return float(_xlogx(joint).sum() - _xlogx(joint.sum(0)).sum() - _xlogx(joint.sum(1)).sum())
 
 
-def cluster(seqs: DataFrame, known: Known, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every symbol, and the class matrix."""
+def cluster(seqs: DataFrame, known: Known, sweeps: int = SWEEPS, words: DataFrame | None = None
+            ) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
+    """Class of every symbol, the class matrix and, with ``words`` (the result of
+    :func:`beyond_table`, their symbols being in ``seqs``), ``(sym, cls)`` of these."""
     sc = seqs.sparkSession.sparkContext
-    top, seeds = known.top, known.seeds
+    top, seeds, symbols = known.top, known.seeds, known.symbols
     seed_of = np.concatenate([np.arange(seeds), seeds + known.shape_of[seeds:],
-                              seeds + np.arange(SHAPES + 1)])
+                              seeds + np.arange(SHAPES + 1)]).astype(np.uint16)
+    sent = words is not None and symbols + known.beyond <= SENT_CLASSES
+    if sent:
+        got = words.select("sym", F.col("shape").cast("short").alias("shape")).toArrow()
+        seed_of = np.concatenate([seed_of, np.empty(known.beyond, np.uint16)])
+        seed_of[got.column("sym").to_numpy()] = got.column("shape").to_numpy() + seeds
+        symbols += known.beyond
     size = seeds + SHAPES + 1
-    bigrams = pair_counts(seqs, sc.broadcast(seed_of), size)
-    cls = exchange(bigrams)[seed_of]
-    k = int(cls.max()) + 1
-    joint = pair_counts(seqs, sc.broadcast(cls), k)
-    for sweep in range(sweeps if top > seeds else 0):
-        state = sc.broadcast((cls, joint))
-        cells = context_counts(seqs, sc.broadcast(cls), k, sweep % 2)
-        moved = cells.mapInArrow(
-            _moves("sym", state, lambda s, rows, first: s[0][rows.column("sym").to_numpy()[first]]),
-            "sym int, held int, cls int").where("held <> cls").toArrow()
+    pairs = near = others = None
+    ref = sc.broadcast(seed_of)
+    if words is not None and not sent:
+        pairs = materialise(beyond_pairs(seqs, symbols), "lm-beyond-pairs")
+        others = words.select("sym", (F.col("shape") + seeds).cast("int").alias("cls"))
+        near = materialise(with_groups(pairs, others, ref, symbols), "lm-beyond-groups")
+    seed_cls = exchange(pair_counts(seqs, ref, size, symbols, near))
+    cls = seed_cls.astype(np.uint8)[seed_of]
+    k = int(seed_cls.max()) + 1
+    if others is not None:
+        class_of = lambda g: F.element_at(
+            F.array(*[F.lit(int(x)) for x in seed_cls]), F.col(g) + 1)
+        others = materialise(others.select("sym", class_of("cls").alias("cls")), "lm-beyond-classes")
+        near = materialise(near.select("b", "w", "n", class_of("cb").alias("cb"),
+                                       class_of("cw").alias("cw")), "lm-beyond-groups")
+    joint = pair_counts(seqs, sc.broadcast(cls), k, symbols, near)
+    for sweep in range(sweeps if top + known.beyond > seeds else 0):
+        cells = context_counts(seqs, sc.broadcast(cls), k, sweep % 2, known, symbols, near)
+        moved = cells.mapInArrow(_moves("sym", sc.broadcast(joint)),
+                                 "sym int, held int, cls int").where("held <> cls")
+        if others is not None:
+            moved = materialise(moved, "lm-moved")
+        inside = moved.where(F.col("sym") < symbols).select("sym", "cls").toArrow()
         new = cls.copy()
-        new[moved.column("sym").to_numpy()] = moved.column("cls").to_numpy()
-        after = pair_counts(seqs, sc.broadcast(new), k)
+        new[inside.column("sym").to_numpy()] = inside.column("cls").to_numpy()
+        ref, near_new, others_new = sc.broadcast(new), None, None
+        if others is not None:
+            to = moved.where(F.col("sym") >= symbols).select("sym", F.col("cls").alias("to"))
+            others_new = materialise(others.join(to, "sym", "left").select(
+                "sym", F.coalesce("to", "cls").alias("cls")), "lm-beyond-classes")
+            near_new = materialise(with_groups(pairs, others_new, ref, symbols), "lm-beyond-groups")
+        after = pair_counts(seqs, ref, k, symbols, near_new)
         if likelihood(after) <= likelihood(joint):
             break
-        cls, joint = new, after
-    return cls, joint
+        cls, joint, near, others = new, after, near_new, others_new
+    if sent:
+        cls, rest = cls[:known.symbols], sc.broadcast(cls[known.symbols:])
+
+        def classes(batches):
+            for batch in batches:
+                sym = batch.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(rest.value[sym - known_symbols].astype(np.int32))],
+                    names=["sym", "cls"])
+
+        known_symbols = known.symbols
+        others = words.select("sym").mapInArrow(classes, "sym int, cls int")
+    return cls, joint, others
 
 
 def place_rest(seqs: DataFrame, rest: DataFrame, known: Known, cls: np.ndarray,
@@ -437,33 +679,36 @@ def place_rest(seqs: DataFrame, rest: DataFrame, known: Known, cls: np.ndarray,
     """``(word, c, cls)`` of the words ``rest (word, c)`` outside the known table, by
     the classes they follow, and the class matrix with them in their classes."""
     sc, k = seqs.sparkSession.sparkContext, len(joint)
-    state = sc.broadcast((cls, joint, known.top))
+    state = sc.broadcast(cls)
 
     def run(batches):
-        group = state.value[0]
-        for batch in batches:
-            word, shape, before = (
-                batch.column(batch.schema.get_field_index(c)).flatten().to_numpy(zero_copy_only=False)
-                for c in ("word", "shape", "before"))
+        group = state.value
+        for batch in _parts(batches):
+            flat, off = _symbols(batch)
+            at = batch.column(batch.schema.get_field_index("at"))
+            size = at.value_lengths().to_numpy(zero_copy_only=False)
+            place = at.flatten().to_numpy(zero_copy_only=False)
+            word = batch.column(batch.schema.get_field_index("word")).flatten().to_numpy(
+                zero_copy_only=False)
+            own = place > 0                           # else a token of the row before
+            place, word = (np.repeat(off[:-1], size) + place)[own], word[own]
             unit, first, back = np.unique(word, return_index=True, return_inverse=True)
-            key, n = np.unique(back * k + group[before], return_counts=True)
-            at = key // k
+            key, n = np.unique(back * k + group[flat[place - 1]], return_counts=True)
+            held = group[flat[place[first]]].astype(np.int64) * (2 * k + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(unit[at]), pa.array(shape[first][at]),
-                 pa.array((k + key % k).astype(np.int32)), pa.array(n.astype(np.int64))],
-                names=["word", "shape", "cell", "n"])
+                [pa.array(unit[key // k]), pa.array((held[key // k] + k + key % k).astype(np.int32)),
+                 pa.array(n.astype(np.int64))], names=["word", "cell", "n"])
 
     cells = materialise(
-        seqs.select("word", "shape", "before")
-        .mapInArrow(run, "word long, shape int, cell int, n long")
+        seqs.select("seq", "word", "at")
+        .mapInArrow(run, "word long, cell int, n long")
         .join(rest.select("word"), "word", "left_semi")
-        .groupBy("word", "shape", "cell").agg(F.sum("n").alias("n")), "lm-rest-cells")
-    held = lambda s, rows, first: s[0][s[2] + rows.column("shape").to_numpy()[first]]
+        .groupBy("word", "cell").agg(F.sum("n").alias("n")), "lm-rest-cells")
     placed = materialise(
         cells.repartition("word").sortWithinPartitions("word", "cell")
-        .mapInArrow(_moves("word", state, held), "word long, held int, cls int"), "lm-rest")
+        .mapInArrow(_moves("word", sc.broadcast(joint)), "word long, held int, cls int"), "lm-rest")
     gone = (cells.join(placed.where("held <> cls"), "word")
-            .groupBy((F.col("cell") - k).alias("ctx"), "held", "cls").agg(F.sum("n").alias("n"))
+            .groupBy((F.col("cell") % (2 * k + 1) - k).alias("ctx"), "held", "cls").agg(F.sum("n").alias("n"))
             .toArrow())
     joint = joint.copy()
     ctx, n = gone.column("ctx").to_numpy(), gone.column("n").to_numpy()
@@ -480,6 +725,7 @@ class Model:
     cls: np.ndarray
     transition: np.ndarray    # log10 P(class | previous class)
     emission: np.ndarray      # log10 P(symbol | class) less the shape's denominator
+    size: np.ndarray          # log10 of the classes' denominators
     train_tokens: int
     distinct: int
     train_docs: int
@@ -487,18 +733,22 @@ class Model:
 
 
 def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model over training rows ``(text)`` and the table ``(word, c, cls,
-    emission)`` of the words outside the known ones; class and emission are
-    null for words that go by their shape."""
+    """The model over training rows ``(text)`` and the table ``(word, c, cls)`` of the
+    words outside the known ones; the class is null for words that go by their
+    shape."""
     counts = materialise(word_counts(texts), "word-counts")
     known = known_words(counts)
     sc = texts.sparkSession.sparkContext
-    seqs = materialise(sequences(texts, sc.broadcast(known)), "lm-sequences")
-    cls, joint = cluster(seqs, known)
+    beyond = beyond_table(counts, known) if known.linked else None
+    seqs = sequences(texts, sc.broadcast(known))
+    if beyond is None:
+        seqs = materialise(seqs, "lm-sequences")
+    else:
+        seqs = materialise(seqs.withColumn("row", F.monotonically_increasing_id()), "lm-sequences")
+        seqs = materialise(link(seqs, beyond), "lm-linked")
+    cls, joint, placed = cluster(seqs, known, words=beyond)
     k = len(joint)
-    others = counts if known.least is None else counts.where(_count_bin() < F.lit(known.least))
-    others = others.select("word", "c")
-    rest = others.where(F.col("c") >= MIN_COUNT)
+    others = counts.where(known.outside()).select("word", "c")
     rare = F.col("c") < MIN_COUNT
     stats = counts.groupBy("shape").agg(
         F.sum(rare.cast("long")).alias("v"), F.sum(F.when(rare, F.col("c")).otherwise(0)).alias("n"),
@@ -507,10 +757,12 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     for r in stats:
         v[r["shape"]], n[r["shape"]] = r["v"], r["n"]
     members = np.bincount(cls, minlength=k)
-    if rest.isEmpty():
-        placed = None
-    else:
-        placed, joint = place_rest(seqs, rest, known, cls, joint)
+    if beyond is not None:
+        placed = materialise(beyond.join(placed, "sym").select("word", "c", "cls"),
+                             "lm-beyond-placed")
+    elif known.open:
+        placed, joint = place_rest(seqs, others.where(F.col("c") >= MIN_COUNT), known, cls, joint)
+    if placed is not None:
         for r in placed.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect():
             members[r["cls"]] += r["n"]
     unigram = (joint.sum(0) + 1) / (joint.sum() + k)
@@ -525,15 +777,11 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     emission = np.log10(seen + 0.5) - size[cls]
     emission[known.top:known.end] -= np.log10(n + v + 1)
     if placed is None:
-        others = others.select("word", "c", F.lit(None).cast("int").alias("cls"),
-                               F.lit(None).cast("double").alias("emission"))
+        others = others.select("word", "c", F.lit(None).cast("int").alias("cls"))
     else:
-        size_of = F.element_at(F.array(*[F.lit(float(x)) for x in size]), F.col("cls") + 1)
-        others = materialise(others.join(
-            placed.select("word", "cls", (F.log10(F.col("c") + 0.5) - size_of).alias("emission")),
-            "word", "left"), "lm-others")
+        others = materialise(others.join(placed.select("word", "cls"), "word", "left"), "lm-others")
     distinct = sum(r["words"] for r in stats) + (docs > 0)
-    return Model(known, cls, transition, emission, words + docs, distinct, docs,
+    return Model(known, cls, transition, emission, size, words + docs, distinct, docs,
                  words - int(n.sum())), others
 
 
@@ -541,9 +789,11 @@ def score(docs: DataFrame, model: Model, others: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row.
 
     Words outside the known table are looked up by a join on the word; only
-    they are shuffled.  Null texts are empty: their one token is the end.
+    they are shuffled.  Where they are symbols, the word after them is scored
+    anew as well.  Null texts are empty: their one token is the end.
     """
     ref = docs.sparkSession.sparkContext.broadcast(model)
+    linked, k = model.known.linked and model.known.open, len(model.transition)
     denominator = float(np.log10(model.train_tokens + model.distinct + 1))
 
     def run(batches):
@@ -557,6 +807,9 @@ def score(docs: DataFrame, model: Model, others: DataFrame) -> DataFrame:
             own = np.where(count > 0, np.log10(count + 1.0), 0.0)
             rare = sym >= m.known.top
             tail = np.flatnonzero(count == 0)
+            at = place[tail]
+            near = (m.cls[before[at]].astype(np.int32) * SHAPES
+                    + (full[at] - m.known.top).astype(np.int32)) * k + m.cls[full[at + 1]]
             tokens = np.bincount(owner, minlength=n)
             total = lambda d, w: np.bincount(d, weights=w, minlength=n)
             yield pa.RecordBatch.from_arrays([
@@ -567,9 +820,8 @@ def score(docs: DataFrame, model: Model, others: DataFrame) -> DataFrame:
                 pa.ListArray.from_arrays(
                     pa.array(np.searchsorted(doc[tail], np.arange(n + 1)), pa.int32()),
                     pa.StructArray.from_arrays(
-                        [pa.array(h[tail].view(np.int64)),
-                         pa.array(m.cls[before[place[tail]]].astype(np.int32)),
-                         pa.array(step[place[tail]])], names=["word", "ctx", "step"])),
+                        [pa.array(h[tail].view(np.int64)), pa.array(near),
+                         pa.array(at.astype(np.int32))], names=["word", "near", "at"])),
             ], names=["uid", "doc_id", "n_tokens", "known", "base", "model", "tail"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"),
@@ -577,17 +829,49 @@ def score(docs: DataFrame, model: Model, others: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
     part = materialise(rows.mapInArrow(
         run, "uid long, doc_id long, n_tokens long, known long, base double, model double, "
-             "tail array<struct<word: long, ctx: int, step: double>>"), "lm-parts")
-    step = docs.sparkSession.createDataFrame(
-        [(i, j, float(x)) for (i, j), x in np.ndenumerate(model.transition)],
-        "ctx int, cls int, move double")               # classes x classes rows
+             "tail array<struct<word: long, near: int, at: int>>"), "lm-parts")
+    top, end = model.known.top, model.known.end
+    shape_cls = model.cls[top:end].astype(int)
+    frame = docs.sparkSession.createDataFrame
+    # Tables of fixed size: a step between classes, and one to or from a shape.
+    step = frame([(i, j, float(x)) for (i, j), x in np.ndenumerate(model.transition)],
+                 "ctx int, cls int, move double")
+    to_shape = frame([(i, j, float(x)) for (i, j), x in np.ndenumerate(
+        model.transition[:, shape_cls] + model.emission[top:end])], "ctx int, shape int, step double")
     by_shape = F.log10(F.col("c") + 1)
-    tail = (part.select("uid", F.explode("tail").alias("t")).select("uid", "t.*")
-            .join(others, "word").join(F.broadcast(step), ["ctx", "cls"], "left")
+    found = (part.select("uid", F.explode("tail").alias("t")).select("uid", "t.*")
+             .join(others, "word").drop("word"))
+    ctx = F.floor(F.col("near") / (SHAPES * k)).cast("int")
+    again = F.lit(0.0)
+    if linked:
+        # A class found here is the context of the next word; if that one is found
+        # as well, its own step tells, else the step after changes.
+        row = Window.partitionBy("uid").orderBy("at")
+        before, after = F.lag("at").over(row), F.lead("at").over(row)
+        found = found.withColumns({
+            "ctx": F.when(before == F.col("at") - 1, F.lag("cls").over(row)),
+            "told": F.coalesce((after == F.col("at") + 1) & F.lead("cls").over(row).isNotNull(),
+                               F.lit(False))})
+        ctx = F.coalesce("ctx", ctx)
+    found = found.select("uid", "c", "cls", *(["told"] if linked else []), ctx.alias("ctx"),
+                         (F.floor(F.col("near") / k) % SHAPES).cast("int").alias("shape"),
+                         (F.col("near") % k).alias("next"),
+                         F.floor(F.col("near") / (SHAPES * k)).cast("int").alias("was"))
+    if linked:
+        after = frame([(i, j, float(x)) for (i, j), x in np.ndenumerate(model.transition[shape_cls])],
+                      "shape int, next int, after double")
+        found = (found.join(F.broadcast(after), ["shape", "next"])
+                 .join(F.broadcast(step.toDF("cls", "next", "then")), ["cls", "next"], "left"))
+        again = F.when(F.col("told"), 0.0).otherwise(
+            F.coalesce(F.col("then") - F.col("after"), again))
+    size_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.size]), F.col("cls") + 1)
+    emission = F.log10(F.col("c") + 0.5) - size_of
+    tail = (found.join(F.broadcast(to_shape.withColumnRenamed("ctx", "was")), ["was", "shape"])
+            .join(F.broadcast(step), ["ctx", "cls"], "left")
             .groupBy("uid").agg(
                 F.sum(by_shape).alias("more"),
-                F.sum(F.coalesce(F.col("move") + F.col("emission") - F.col("step"),
-                                 by_shape)).alias("change"),
+                F.sum(again + F.coalesce(F.col("move") + emission - F.col("step"),
+                                         by_shape)).alias("change"),
                 F.count(F.lit(1)).alias("found")))
     none = F.lit(0.0)
     return part.join(tail, "uid", "left").select(

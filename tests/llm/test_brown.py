@@ -178,3 +178,35 @@ def test_sweeps_never_lower_the_likelihood_and_raise_it_on_documents(spark):
     seqs = brown.materialise(brown.sequences(texts, spark.sparkContext.broadcast(known)), "seqs")
     a, b = (brown.likelihood(brown.cluster(seqs, known, s)[1]) for s in (0, 2))
     assert b > a
+
+
+@pytest.mark.parametrize("sent", [1 << 24, 0])
+def test_scores_do_not_depend_on_the_size_of_the_table(spark, words, monkeypatch, sent):
+    monkeypatch.setattr(brown, "SENT_CLASSES", sent)
+    monkeypatch.setattr(brown.known_words, "__defaults__", (None, 30))
+    monkeypatch.setattr(brown, "ROW_TOKENS", 16)
+    rows = [(i, words(i % 50) + (" Rare%d" % (i % 40))) for i in range(150)] + [(500, None), (501, "")]
+    rows += [(600, "twice twice " * 30 + "ab\tcab " * 9), (601, rows[7][1]), (601, rows[7][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def run(table):
+        monkeypatch.setattr(brown, "KNOWN_WORDS", table)
+        model, others = brown.fit(df.where(~brown.held_out(F.col("doc_id"))).select("text"))
+        assert len(model.known.words) <= table
+        score = sorted((r.doc_id, r.score, r.base_score, r.n_known)
+                       for r in brown.score(df, model, others).collect())
+        return model, others.where("cls is not null").count(), score
+    whole, none, want = run(1 << 19)
+    small, beyond, got = run(60)
+    assert none == 0 and beyond > 60 and small.known.beyond == beyond
+    assert np.array_equal(whole.transition, small.transition)
+    for a, b in zip(want, got):
+        assert a == pytest.approx(b)
+
+
+def test_table_is_cut_inside_a_count(spark):
+    counts = spark.createDataFrame([(w << 48, w % 7, 6) for w in range(100)] + [(-5, 1, 9)],
+                                   "word long, shape int, c long")
+    known = brown.known_words(counts, 40)
+    assert len(known.words) == 40 and known.cut == (6, 39)
+    assert counts.where(known.outside()).count() == 61
