@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import textops as tx
 
-CACHE_PIECES = 250_000    # encoded pieces remembered per worker, twice
+CACHE_PIECES = 100_000    # encoded pieces remembered per worker, twice
 CACHED_CHARS = 64         # longer pieces are not remembered
 CACHE_PAIRS = 500_000     # compatibility answers remembered per worker
 

@@ -44,3 +44,14 @@ def test_table_round_trip(spark, odd_docs, no_docs, library):
         assert (r.n_tokens, r.ids_sha256) == (len(r.token_ids), hashlib.sha256(raw).hexdigest())
     assert bpe.encode(no_docs, **bpe_files()).collect() == []
     assert BPE_RANKS in bpe_files()["path"]
+
+
+def test_remembered_pieces_are_bounded_and_change_nothing(codec, monkeypatch):
+    assert bpe.CACHE_PIECES <= 100_000                # twice in every worker
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 8)
+    few = bpe.Codec(codec.ranks, P.PATTERN)
+    texts = [" ".join(f"word{i} the {i * 7}" for i in range(k, k + 30)) for k in range(40)]
+    got = [few.encode(t) for t in texts]
+    assert len(few.cache) <= 8 and len(few.older) <= 8
+    monkeypatch.undo()
+    assert got == [codec.encode(t) for t in texts]
