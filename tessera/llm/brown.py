@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textops as tx
-from tessera.plans.joins import materialise
+from tessera.plans.joins import discard, materialise
 from tessera.plans.numbering import number_rows
 
 MIN_COUNT = 5             # occurrences of a word with a class of its own
@@ -47,7 +47,8 @@ SHAPES = 128              # symbols of all other words, by their last bytes
 CLASSES = 64
 SEED_SWEEPS = 8
 SWEEPS = 4                # over the table; each moves half of the symbols
-KNOWN_WORDS = 1 << 19     # word counts sent to every task at most (16 bytes each)
+KNOWN_WORDS = 1 << 20     # word counts sent to every task at most (16 bytes each)
+RARE_FILL = 1 << 19       # words under MIN_COUNT only fill the table up to this size
 SENT_CLASSES = 1 << 24    # classes of words sent to every task at most (a byte each)
 _MAYBE_BITS = 22          # of the bitmap that finds words which may be beyond the table
 BACKOFF = 5.0             # pseudo count of the class unigram in a transition
@@ -215,10 +216,13 @@ def _table_end(counts: DataFrame, limit: int) -> tuple[int, int] | None:
 
 
 def known_words(counts: DataFrame, limit: int | None = None, seeds: int = SEED_WORDS) -> Known:
-    """The table of the most frequent words, at most ``KNOWN_WORDS``.  A ``limit`` is
-    another size of it, and words beyond are then no context by themselves."""
-    known = Known(*[np.empty(0, np.int64)] * 4, 0,
-                  _table_end(counts, KNOWN_WORDS if limit is None else limit), limit is None)
+    """The table of the most frequent words: the classed ones, at most ``KNOWN_WORDS``,
+    and others up to ``RARE_FILL``.  A ``limit`` is another size of it, and words
+    beyond are then no context by themselves."""
+    most, linked = limit, limit is None
+    if linked:
+        most = min(KNOWN_WORDS, max(RARE_FILL, counts.where(F.col("c") >= MIN_COUNT).count()))
+    known = Known(*[np.empty(0, np.int64)] * 4, 0, _table_end(counts, most), linked)
     got = counts.where(~known.outside()).select("word", "shape", "c").toArrow()
     word = got.column("word").to_numpy().view(np.uint64)
     c, shape = got.column("c").to_numpy(), got.column("shape").to_numpy()
@@ -413,16 +417,38 @@ def pair_counts(seqs: DataFrame, group_ref, size: int, symbols: int,
     return out.reshape(size, size)
 
 
+def _packed(key: np.ndarray, n: np.ndarray, width: int, held: np.ndarray | None = None
+            ) -> pa.RecordBatch:
+    """``(sym, held, cells)`` of the sorted cells ``key`` (symbol times ``width`` plus
+    cell) with their counts: a row per symbol and class held, its cells one after the
+    other as pairs of number and count.  Counts over 255 take several pairs."""
+    kind = np.uint8 if width <= 256 else np.uint16
+    times = (n + 254) // 255
+    key, last = np.repeat(key, times), np.cumsum(times) - 1
+    pairs = np.full((len(key), 2), 255, kind)
+    pairs[last, 1] = n - (times - 1) * 255
+    pairs[:, 0] = key % width
+    sym = key // width
+    first = np.flatnonzero(np.diff(sym, prepend=-1))
+    ends = np.append(first, len(key)).astype(np.int64) * (2 * pairs.itemsize)
+    cells = pa.Array.from_buffers(pa.large_binary(), len(first), [
+        None, pa.py_buffer(ends), pa.py_buffer(pairs)]).cast(pa.binary())
+    sym = sym[first].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(sym), pa.array(held[sym].astype(np.int32)), cells], names=["sym", "held", "cells"])
+
+
 def context_counts(seqs: DataFrame, cls_ref, classes: int, half: int, known: Known,
                    symbols: int, beyond: DataFrame | None = None) -> DataFrame:
-    """``(sym, cell, n)``: how often the symbols of one half precede a class (cells
-    from 0), follow it (cells from ``classes``) or themselves (the last cell), plus
-    the class held times the number of cells.  ``cls`` has the classes of ``symbols``
-    symbols, ``beyond`` are the pairs with others.  Tasks add up before the shuffle;
-    rows are sorted by symbol and cell in partitions by symbol."""
+    """``(sym, held, cells)``: how often the symbols of one half precede a class (cells
+    from 0), follow it (cells from ``classes``) or themselves (the last cell), and
+    the class held.  ``cls`` has the classes of ``symbols`` symbols, ``beyond`` are the
+    pairs with others.  Tasks add up before the shuffle and send the cells of a symbol
+    as one value (:func:`_packed`); rows are sorted by symbol in partitions by symbol."""
     width = 2 * classes + 1
     mine = Known(*[np.empty(0)] * 3, np.empty(known.top), 0, None, True, known.beyond).half
     kind = np.uint32 if symbols * width < 1 << 32 else np.int64
+    schema = "sym int, held int, cells binary"
 
     def run(batches):
         cls, held, size = cls_ref.value, [], 0
@@ -430,11 +456,7 @@ def context_counts(seqs: DataFrame, cls_ref, classes: int, half: int, known: Kno
         def flush():
             key, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            sym = key // width
-            return _slices(pa.RecordBatch.from_arrays(
-                [pa.array(sym.astype(np.int32)),
-                 pa.array((key % width + cls[sym].astype(np.int64) * width).astype(np.int32)),
-                 pa.array(n.astype(np.int64))], names=["sym", "cell", "n"]))
+            return _slices(_packed(key.astype(np.int64), n, width, cls))
 
         for before, seq in _table_pairs(batches, symbols):
             same = before == seq
@@ -451,17 +473,25 @@ def context_counts(seqs: DataFrame, cls_ref, classes: int, half: int, known: Kno
         if size:
             yield from flush()
 
-    cells = seqs.select("seq").mapInArrow(run, "sym int, cell int, n long")
+    cells = seqs.select("seq").mapInArrow(run, schema)
     if beyond is not None:
         same = F.col("b") == F.col("w")
         first = beyond.where((mine(F.col("b"), _column_where) == half) & ~same).select(
-            F.col("b").alias("sym"), (F.col("cb") * width + F.col("cw")).alias("cell"), "n")
+            F.col("b").alias("sym"), F.col("cb").alias("held"), F.col("cw").alias("cell"), "n")
         second = beyond.where(mine(F.col("w"), _column_where) == half).select(
-            F.col("w").alias("sym"), (F.col("cw") * width + F.when(same, 2 * classes).otherwise(
-                F.col("cb") + classes)).alias("cell"), "n")
-        cells = cells.union(first).union(second)
-    return (cells.repartition("sym").groupBy("sym", "cell").agg(F.sum("n").alias("n"))
-            .sortWithinPartitions("sym", "cell"))
+            F.col("w").alias("sym"), F.col("cw").alias("held"),
+            F.when(same, 2 * classes).otherwise(F.col("cb") + classes).alias("cell"), "n")
+
+        def pack(batches):
+            for batch in batches:
+                sym, held, cell, n = (c.to_numpy() for c in batch.columns)
+                unit, at, back = np.unique(sym, return_index=True, return_inverse=True)
+                key, place = np.unique(back * width + cell, return_inverse=True)
+                rows = _packed(key, np.bincount(place, weights=n).astype(np.int64), width, held[at])
+                yield rows.set_column(0, "sym", pa.array(unit.astype(np.int32)))
+
+        cells = cells.union(first.union(second).mapInArrow(pack, schema))
+    return cells.repartition("sym").sortWithinPartitions("sym")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -528,12 +558,12 @@ def best_classes(unit: np.ndarray, cell: np.ndarray, n: np.ndarray, held: np.nda
     """Best class of each symbol against a class matrix that counts it in ``held``.
 
     ``(unit, cell, n)`` are the counts of :func:`context_counts`, ``unit`` numbering
-    the symbols.  The gain in likelihood is exact for one symbol moved alone.
+    the symbols; a cell may come several times.  The gain in likelihood is exact for one symbol moved alone.
     Only classes that a symbol meets cost anything.
     """
     k, m = len(joint), len(held)
-    table = np.zeros((m, 2 * k + 1))
-    table[unit, cell] = n
+    table = np.bincount(unit * (2 * k + 1) + cell, weights=n,
+                        minlength=m * (2 * k + 1)).reshape(m, 2 * k + 1)
     right, left, own = table[:, :k], table[:, k:2 * k], table[:, 2 * k]
     row = np.arange(m)
     gain = np.zeros((m, k))
@@ -565,9 +595,24 @@ def best_classes(unit: np.ndarray, cell: np.ndarray, n: np.ndarray, held: np.nda
     return np.where(gain[row, best] > gain[row, held] + 1e-9, best, held)
 
 
-def _moves(key: str, joint_ref):
+def _word_cells(rows: pa.Table, first: np.ndarray, unit: np.ndarray, width: int):
+    """``(held, unit, cell, n)`` of rows ``(word, cell, n)``, whose ``cell`` has the class
+    held times ``width`` added."""
+    cell = rows.column("cell").to_numpy()
+    return cell[first] // width, unit, cell % width, rows.column("n").to_numpy()
+
+
+def _symbol_cells(rows: pa.Table, first: np.ndarray, unit: np.ndarray, width: int):
+    """``(held, unit, cell, n)`` of rows of :func:`context_counts`."""
+    data, off = tx.text_bytes(rows.column("cells").combine_chunks())
+    pairs = np.frombuffer(data.tobytes(), np.uint8 if width <= 256 else np.uint16).reshape(-1, 2)
+    return (rows.column("held").to_numpy()[first], np.repeat(unit, np.diff(off) // (2 * pairs.itemsize)),
+            pairs[:, 0].astype(np.int64), pairs[:, 1])
+
+
+def _moves(key: str, joint_ref, cells_of):
     """``mapInArrow`` function over rows sorted by ``key``: the best class of every
-    key against the class matrix.  ``cell`` tells the class held as well."""
+    key against the class matrix.  ``cells_of`` reads the counts and the class held."""
     def run(batches):
         joint, last = joint_ref.value, None
         width = 2 * len(joint) + 1
@@ -576,14 +621,13 @@ def _moves(key: str, joint_ref):
             k = rows.column(key).to_numpy()
             first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
             unit = np.cumsum(np.concatenate(([False], k[1:] != k[:-1])))
-            cell = rows.column("cell").to_numpy()
-            held, cell = (cell[first] // width).astype(np.int64), cell % width
+            held, unit, cell, n = cells_of(rows, first, unit, width)
+            held = held.astype(np.int64)
             best = np.empty(len(held), np.int64)
             for a in range(0, len(first), 2048):      # bounded memory
                 b = min(a + 2048, len(first))
-                lo, hi = first[a], first[b] if b < len(first) else len(k)
-                best[a:b] = best_classes(unit[lo:hi] - a, cell[lo:hi],
-                                         rows.column("n").to_numpy()[lo:hi], held[a:b], joint)
+                lo, hi = np.searchsorted(unit, (a, b))
+                best[a:b] = best_classes(unit[lo:hi] - a, cell[lo:hi], n[lo:hi], held[a:b], joint)
             return pa.RecordBatch.from_arrays(
                 [pa.array(k[first]), pa.array(held.astype(np.int32)),
                  pa.array(best.astype(np.int32))], names=[key, "held", "cls"])
@@ -642,7 +686,7 @@ def cluster(seqs: DataFrame, known: Known, sweeps: int = SWEEPS, words: DataFram
     joint = pair_counts(seqs, sc.broadcast(cls), k, symbols, near)
     for sweep in range(sweeps if top + known.beyond > seeds else 0):
         cells = context_counts(seqs, sc.broadcast(cls), k, sweep % 2, known, symbols, near)
-        moved = cells.mapInArrow(_moves("sym", sc.broadcast(joint)),
+        moved = cells.mapInArrow(_moves("sym", sc.broadcast(joint), _symbol_cells),
                                  "sym int, held int, cls int").where("held <> cls")
         if others is not None:
             moved = materialise(moved, "lm-moved")
@@ -706,7 +750,7 @@ def place_rest(seqs: DataFrame, rest: DataFrame, known: Known, cls: np.ndarray,
         .groupBy("word", "cell").agg(F.sum("n").alias("n")), "lm-rest-cells")
     placed = materialise(
         cells.repartition("word").sortWithinPartitions("word", "cell")
-        .mapInArrow(_moves("word", sc.broadcast(joint)), "word long, held int, cls int"), "lm-rest")
+        .mapInArrow(_moves("word", sc.broadcast(joint), _word_cells), "word long, held int, cls int"), "lm-rest")
     gone = (cells.join(placed.where("held <> cls"), "word")
             .groupBy((F.col("cell") % (2 * k + 1) - k).alias("ctx"), "held", "cls").agg(F.sum("n").alias("n"))
             .toArrow())
@@ -744,8 +788,9 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     if beyond is None:
         seqs = materialise(seqs, "lm-sequences")
     else:
-        seqs = materialise(seqs.withColumn("row", F.monotonically_increasing_id()), "lm-sequences")
-        seqs = materialise(link(seqs, beyond), "lm-linked")
+        whole = materialise(seqs.withColumn("row", F.monotonically_increasing_id()), "lm-sequences")
+        seqs = materialise(link(whole, beyond), "lm-linked")
+        discard(whole)
     cls, joint, placed = cluster(seqs, known, words=beyond)
     k = len(joint)
     others = counts.where(known.outside()).select("word", "c")
@@ -762,6 +807,7 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
                              "lm-beyond-placed")
     elif known.open:
         placed, joint = place_rest(seqs, others.where(F.col("c") >= MIN_COUNT), known, cls, joint)
+    discard(seqs)
     if placed is not None:
         for r in placed.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect():
             members[r["cls"]] += r["n"]
@@ -780,6 +826,7 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
         others = others.select("word", "c", F.lit(None).cast("int").alias("cls"))
     else:
         others = materialise(others.join(placed.select("word", "cls"), "word", "left"), "lm-others")
+        discard(counts)
     distinct = sum(r["words"] for r in stats) + (docs > 0)
     return Model(known, cls, transition, emission, size, words + docs, distinct, docs,
                  words - int(n.sum())), others

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import brown
 from tessera.llm import textops as tx
+from tessera.plans import joins
 from llm_fixtures import *  # noqa: F401,F403
 
 
@@ -210,3 +211,63 @@ def test_table_is_cut_inside_a_count(spark):
     known = brown.known_words(counts, 40)
     assert len(known.words) == 40 and known.cut == (6, 39)
     assert counts.where(known.outside()).count() == 61
+
+
+def test_context_counts_send_one_exact_row_per_symbol(spark, rng):
+    k, symbols = 5, 40
+    rows = [[rng.randrange(symbols) for _ in range(200)] + [3, 4] * 400 + [7] * 300 for _ in range(4)]
+    cls = np.array([rng.randrange(k) for _ in range(symbols)], np.uint8)
+    seqs = spark.createDataFrame([(bytearray(np.array(r, "<i4").tobytes()),) for r in rows],
+                                 "seq binary").coalesce(1)
+    known = brown.Known(*[np.empty(0, np.int64)] * 3, np.empty(symbols, np.int64), 0, None, True)
+    want = Counter()
+    for r in rows:
+        for b, w in zip(r, r[1:]):
+            want[w, 2 * k if b == w else k + cls[b]] += 1
+            if b != w:
+                want[b, cls[w]] += 1
+    got, per_half = Counter(), []
+    for half in (0, 1):
+        out = brown.context_counts(seqs, spark.sparkContext.broadcast(cls), k, half, known, symbols)
+        out = out.collect()
+        per_half.append(sorted(r.sym for r in out))
+        for r in out:
+            assert r.held == cls[r.sym] and r.sym % 2 == half
+            for cell, n in zip(r.cells[::2], r.cells[1::2]):
+                got[r.sym, cell] += n
+    assert got == want and max(want.values()) > 255
+    assert all(len(set(x)) == len(x) for x in per_half)
+
+
+def test_best_classes_add_up_repeated_cells(rng):
+    k, m = 4, 6
+    joint = np.array([[rng.randrange(50, 90) for _ in range(k)] for _ in range(k)], float)
+    unit = np.repeat(np.arange(m), 2 * k)
+    cell = np.tile(np.arange(2 * k), m)
+    n = np.array([rng.randrange(2, 9) for _ in unit])
+    held = np.array([rng.randrange(k) for _ in range(m)])
+    want = brown.best_classes(unit, cell, n, held, joint)
+    got = brown.best_classes(np.repeat(unit, 2), np.repeat(cell, 2),
+                             np.stack((n - 1, np.ones_like(n)), 1).ravel(), held, joint)
+    assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("classed, size", [(10, 20), (30, 30), (70, 50)])
+def test_rare_words_do_not_fill_the_table(spark, monkeypatch, classed, size):
+    monkeypatch.setattr(brown, "KNOWN_WORDS", 50)
+    monkeypatch.setattr(brown, "RARE_FILL", 20)
+    counts = spark.createDataFrame([(w << 48, w % 7, 9 if w < classed else 1) for w in range(200)],
+                                   "word long, shape int, c long")
+    known = brown.known_words(counts)
+    assert len(known.words) == size and known.open == (classed > size)
+
+
+@pytest.mark.parametrize("table", [1 << 19, 60])
+def test_fit_leaves_no_sequences_on_disk(spark, words, monkeypatch, table):
+    monkeypatch.setattr(brown, "KNOWN_WORDS", table)
+    texts = spark.createDataFrame([(words(i % 50),) for i in range(100)], "text string")
+    before = set(joins._WRITTEN)
+    brown.fit(texts)
+    left = {p.rsplit("/", 1)[-1][:-33]: p for p in joins._WRITTEN if p not in before}
+    assert not {"lm-sequences", "lm-linked"} & set(left)
+    assert ("lm-others" in left) == (table == 60) and ("word-counts" in left) == (table > 60)
