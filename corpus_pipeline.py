@@ -2,16 +2,22 @@
 
 ``STAGES`` are applied in order; each works on all rows that the stage before
 it kept.  All but the last return the columns of ``documents``.
+
+One executor runs all stages, so what each holds adds up: every stage bounds the
+batches of texts that its Python tasks get (``tuning.bound_text_batches``).
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontam, neardup, suffixdedup, toxicity
 from tessera.llm.queries import bpe_files
 from tessera.plans.joins import materialise
+from tessera.plans.tuning import bound_text_batches
 
 # Bytes of a repeated passage: at least some 50 words, of four bytes each.
 PASSAGE_BYTES = 200
@@ -21,11 +27,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def _stage(fn):
+    """``fn`` in a session whose batches of texts are bounded by bytes."""
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_text_batches(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run
+
+
+@_stage
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go."""
     return toxicity.reject(docs, _read(spark, sf_dir, "labels"))
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays, the one with the smallest
     id (shingles of five words, similarity 0.8 or more).  Every row is a node of
@@ -50,6 +68,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.join(gone, row_id, "left_anti").select(*docs.columns)
 
 
+@_stage
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat are cut out; a document of which nothing is left goes."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
@@ -60,11 +79,13 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return cut.select(*(whole.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns))
 
 
+@_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontam.clean(docs, _read(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they
     decode to."""

@@ -3,11 +3,13 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tessera.llm import decontam
 from tessera.llm.queries import bpe_files
+from tessera.plans.tuning import BATCH_KEY, TEXT_BATCH_BYTES
 from test_bpe import codec, library  # noqa: F401
 from test_decontam import edits, even
 from test_neardup import brute as components
@@ -97,3 +99,44 @@ def test_run_equals_plain_python(spark, rng, words, tmp_path, library):  # noqa:
     assert ids & set(kinds["copies"]) == {kinds["copies"][0]}
     for kind in ("toxic", "items", "edited items"):
         assert not ids & set(kinds[kind])
+
+
+@pytest.fixture
+def batch_conf(spark):
+    before = spark.conf.get(BATCH_KEY, None)
+    spark.conf.unset(BATCH_KEY)
+    yield
+    spark.conf.unset(BATCH_KEY) if before is None else spark.conf.set(BATCH_KEY, before)
+
+
+def test_stages_bound_the_texts_of_a_batch(spark, batch_conf):
+    docs = spark.range(0, 6000, 1, 1).selectExpr(
+        "id as doc_id", "concat(id, repeat(' some words', 200)) as text", "'en' as lang",
+        "'s' as source", "2200L as n_chars")
+
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    def sizes():
+        return [r.n for r in docs.select("doc_id", "text").mapInArrow(batch_bytes, "n long").collect()]
+
+    assert max(sizes()) > 2 * TEXT_BATCH_BYTES
+    corpus_pipeline.encode(spark, docs, "")
+    assert max(sizes()) < TEXT_BATCH_BYTES + 10_000 and len(sizes()) > 2
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_every_stage_sets_the_bound(spark, batch_conf, monkeypatch, name, stage):
+    set_in = []
+    monkeypatch.setattr(corpus_pipeline, "bound_text_batches", set_in.append)
+    with pytest.raises(Exception):                    # there is no table to work on
+        stage(spark, None, "")
+    assert set_in == [spark]
+
+
+def test_stages_keep_a_bound_of_the_session(spark, batch_conf):
+    spark.conf.set(BATCH_KEY, "12345678")
+    docs = spark.createDataFrame([(1, "a text of a few words", "en", "s", 21)], DOCS)
+    assert corpus_pipeline.encode(spark, docs, "").first().n_tokens > 0
+    assert spark.conf.get(BATCH_KEY) == "12345678"
